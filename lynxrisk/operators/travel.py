@@ -1,28 +1,42 @@
 """Impossible travel: two places on one day that are farther apart than a limit.
 
-The farthest pair of a day is not searched among all pairs. The points at the six extremes of
-the unit sphere's axes and the box around them bound it from both sides, in one grouped pass;
-that settles a day unless its points fill an area close to the limit. For such a day only
-points that can end a farthest pair are kept: first the northernmost and southernmost of each
-meridian, then the corners of the convex hull per band of longitude, then those of the hull of
-all bands. What is left are a few corners.
+The farthest pair of a day is not searched among all pairs. The extents of its points along a
+few directions bound it from both sides, in one grouped pass; that settles a day unless its
+points fill an area close to the limit. For such a day only points that can end a farthest
+pair are kept: first the northernmost and southernmost of each meridian, then the corners of
+the convex hull per band of longitude, then those of the hull of all bands. What is left are a
+few corners.
 """
 
 from __future__ import annotations
 
 import sys
-from itertools import combinations
+from functools import reduce
+from math import sqrt
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lynxrisk.functions.expr import EARTH_KM, at_most, haversine_km
+from lynxrisk.sources.session import settle
 
 BANDS_PER_DEGREE = 10
 
+# up to this size a group is compared pair by pair within its row
+FEW_POINTS = 100
+
+# the axes, face diagonals and body diagonals of a cube
+DIRECTIONS = [
+    (1, 0, 0), (0, 1, 0), (0, 0, 1),
+    (1, 1, 0), (1, -1, 0), (1, 0, 1), (1, 0, -1), (0, 1, 1), (0, 1, -1),
+    (1, 1, 1), (1, 1, -1), (1, -1, 1), (-1, 1, 1),
+]
+# every line in space makes an angle with one of them whose cosine is at least 1 / 1.1281
+NEAREST_DIRECTION = 0.886
+
 # the two small functions below travel with the task, so workers need not have this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -76,59 +90,92 @@ def any_pair_beyond(pdf: pd.DataFrame, km: float) -> bool:
     return False
 
 
+def _widths(located: DataFrame, keys: list[str]) -> DataFrame:
+    """Per group: the extent of its points along 13 directions, as chords of the unit sphere.
+
+    Only minima and maxima of numbers, which every map task folds into one row per group.
+    """
+    la, lo = F.radians("_lat"), F.radians("_lon")
+    placed = located.select(
+        *keys, (F.cos(la) * F.cos(lo)).alias("x"), (F.cos(la) * F.sin(lo)).alias("y"), F.sin(la).alias("z")
+    )
+    along = {
+        f"d{i}": sum((F.col(axis) * step for axis, step in zip("xyz", d) if step), F.lit(0.0)) / sqrt(sum(map(abs, d)))
+        for i, d in enumerate(DIRECTIONS)
+    }
+    # one point without a latitude or longitude has NULL in both terms that need it
+    complete = F.col("x").isNotNull() & F.col("z").isNotNull()
+    extents = [
+        (F.max(F.when(complete, v)) - F.min(F.when(complete, v))).alias(name) for name, v in along.items()
+    ]
+    return placed.groupBy(*keys).agg(F.count_if(complete).alias("n"), *extents)
+
+
+def _arc_km(chord: Column) -> Column:
+    return F.asin(at_most(chord / 2, 1.0)) * (2 * EARTH_KM)
+
+
 def impossible_travel(
     points: DataFrame, key: str, day: str, lat: str, lon: str, km: float = 500.0, out: str = "impossible"
 ) -> DataFrame:
     """One row per key and day with points: is any pair farther apart than ``km``?"""
+    keys = [key, day]
     located = points.select(
-        key, day, F.col(lat).cast("double").alias("_lat"), F.col(lon).cast("double").alias("_lon")
+        *keys, F.col(lat).cast("double").alias("_lat"), F.col(lon).cast("double").alias("_lon")
     )
-    valid = F.col("_lat").isNotNull() & F.col("_lon").isNotNull()
-    la, lo = F.radians("_lat"), F.radians("_lon")
-    axes = {"x": F.cos(la) * F.cos(lo), "y": F.cos(la) * F.sin(lo), "z": F.sin(la)}
-    extremes = []
-    for name, value in axes.items():
-        point = F.when(valid, F.struct(value.alias("v"), "_lat", "_lon"))
-        extremes += [F.min(point).alias(f"min_{name}"), F.max(point).alias(f"max_{name}")]
-    days = located.groupBy(key, day).agg(*extremes)
-
-    ends = [f"{side}_{name}" for name in axes for side in ("min", "max")]
-    between = [
-        haversine_km(F.col(f"{a}._lat"), F.col(f"{a}._lon"), F.col(f"{b}._lat"), F.col(f"{b}._lon"))
-        for a, b in combinations(ends, 2)
-    ]
-    diagonal = F.sqrt(sum(F.pow(F.col(f"max_{n}.v") - F.col(f"min_{n}.v"), 2) for n in axes))
-    settled = days.select(
-        key,
-        day,
-        F.coalesce(F.greatest(*between), F.lit(0.0)).alias("_at_least"),
-        F.coalesce(2 * EARTH_KM * F.asin(at_most(diagonal / 2, 1.0)), F.lit(0.0)).alias("_at_most"),
-    ).withColumn("_far", F.col("_at_least") > km)
+    widths = _widths(located, keys)
+    widest = F.greatest(*[F.col(f"d{i}") for i in range(len(DIRECTIONS))])
+    box = F.sqrt(sum(F.col(f"d{i}") * F.col(f"d{i}") for i in range(3)))
+    at_most_chord = F.least(box, widest / NEAREST_DIRECTION)
     # a margin of a millimetre covers rounding in the two bounds
-    is_open = ~F.col("_far") & (F.col("_at_most") > km - 1e-6)
-    open_days = settled.filter(is_open).select(key, day)
+    bounded = widths.select(
+        *keys,
+        "n",
+        F.coalesce(_arc_km(widest) > km + 1e-6, F.lit(False)).alias("_far"),
+        F.coalesce(_arc_km(at_most_chord) <= km - 1e-6, F.lit(True)).alias("_near"),
+    )
+    days = settle(bounded)
+    open_days = days.filter(~F.col("_far") & ~F.col("_near"))
+    few, many = open_days.filter(F.col("n") <= FEW_POINTS), open_days.filter(F.col("n") > FEW_POINTS)
+    complete = located.filter(F.col("_lat").isNotNull() & F.col("_lon").isNotNull())
+    decided = [
+        decide(complete.join(part.select(*keys), keys, "left_semi"), keys, km)
+        for part, decide in ((few, _decide_few), (many, _decide_many))
+        if not part.isEmpty()
+    ]
+    if not decided:
+        return days.select(*keys, F.col("_far").alias(out))
+    pairs = reduce(DataFrame.unionByName, decided)
+    return days.join(pairs, keys, "left").select(
+        *keys, (F.col("_far") | F.coalesce("_pair", F.lit(False))).alias(out)
+    )
+
 
-    meridian_ends = (
-        located.filter(valid)
-        .join(open_days, [key, day], "left_semi")
-        .groupBy(key, day, "_lon")
+def _decide_few(points: DataFrame, keys: list[str], km: float) -> DataFrame:
+    """Groups of at most ``FEW_POINTS`` points: every point against every other, in place."""
+    beyond = lambda a, b: haversine_km(a["_lat"], a["_lon"], b["_lat"], b["_lon"]) > km
+    pair = F.exists("_points", lambda a: F.exists("_points", lambda b: beyond(a, b)))
+    return (
+        points.groupBy(*keys)
+        .agg(F.collect_list(F.struct("_lat", "_lon")).alias("_points"))
+        .select(*keys, pair.alias("_pair"))
+    )
+
+
+def _decide_many(points: DataFrame, keys: list[str], km: float) -> DataFrame:
+    """Larger groups: reduced to the corners of their hull, by meridian, band and group."""
+    ends = (
+        points.groupBy(*keys, "_lon")
         .agg(F.array_distinct(F.array(F.min("_lat"), F.max("_lat"))).alias("_ends"))
-        .select(key, day, "_lon", F.explode("_ends").alias("_lat"))
+        .select(*keys, "_lon", F.explode("_ends").alias("_lat"))
         .withColumn("_band", F.floor(F.col("_lon") * BANDS_PER_DEGREE))
     )
-    schema = f"{key} {_type(points, key)}, {day} {_type(points, day)}"
-    corners = meridian_ends.groupBy(key, day, "_band").applyInPandas(
-        lambda pdf: hull_corners(pdf)[[key, day, "_lat", "_lon"]], f"{schema}, _lat double, _lon double"
+    schema = ", ".join(f"{k} {points.schema[k].dataType.simpleString()}" for k in keys)
+    corners = ends.groupBy(*keys, "_band").applyInPandas(
+        lambda pdf: hull_corners(pdf)[[*keys, "_lat", "_lon"]], f"{schema}, _lat double, _lon double"
     )
 
     def decide(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pdf[[key, day]].head(1).assign(_pair=any_pair_beyond(pdf, km))
-
-    decided = corners.groupBy(key, day).applyInPandas(decide, f"{schema}, _pair boolean")
-    return settled.join(decided, [key, day], "left").select(
-        key, day, (F.col("_far") | F.coalesce("_pair", F.lit(False))).alias(out)
-    )
-
+        return pdf[keys].head(1).assign(_pair=any_pair_beyond(pdf, km))
 
-def _type(df: DataFrame, col: str) -> str:
-    return df.schema[col].dataType.simpleString()
+    return corners.groupBy(*keys).applyInPandas(decide, f"{schema}, _pair boolean")

@@ -21,7 +21,7 @@ from lynxrisk.queries.registry import query
 DIMS = 64
 
 
-def rounded(df: DataFrame, *cols: str, digits: int = 6) -> DataFrame:
+def rounded(df: DataFrame, *cols: str, digits: int = 9) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in cols})
 
 
@@ -39,7 +39,7 @@ def daily_events(f: Feeds) -> DataFrame:
     "q14_daily_rollup",
     """SELECT user_id, day, count(*) AS n,
               count(*) FILTER (hour(event_timestamp) < 8 OR hour(event_timestamp) >= 18) AS after_hours,
-              count(*) FILTER (dayofweek(event_timestamp) IN (0, 6)) AS weekend, round(sum(value), 6) AS value
+              count(*) FILTER (dayofweek(event_timestamp) IN (0, 6)) AS weekend, round(sum(value), 9) AS value
        FROM ev GROUP BY 1, 2""",
 )
 def daily_rollup(f: Feeds) -> DataFrame:
@@ -49,7 +49,7 @@ def daily_rollup(f: Feeds) -> DataFrame:
 @query(
     "q15_rolling_7d",
     """WITH d AS (SELECT user_id, day, count(*) AS n, sum(value) AS value, max(value) AS top FROM ev GROUP BY 1, 2)
-       SELECT user_id, window_end_date, CAST(sum(n) AS BIGINT) AS events, round(sum(value), 6) AS value,
+       SELECT user_id, window_end_date, CAST(sum(n) AS BIGINT) AS events, round(sum(value), 9) AS value,
               max(top) AS top, CAST(count(*) AS BIGINT) AS active_days
        FROM d JOIN ends ON day BETWEEN window_end_date - 6 AND window_end_date GROUP BY 1, 2""",
 )
@@ -68,18 +68,18 @@ def rolling(f: Feeds) -> DataFrame:
 
 @query(
     "q16_peer_zscore",
-    """SELECT employee_id, window_end_date, round(badge_swipes_outlier, 6) AS badge_swipes_outlier,
-              round(after_hours_pacs_score, 6) AS after_hours_pacs_score FROM f_pacs""",
+    """SELECT employee_id, window_end_date, round(badge_swipes_outlier, 9) AS badge_swipes_outlier,
+              round(after_hours_pacs_score, 9) AS after_hours_pacs_score FROM f_pacs""",
 )
 def peer_zscore(f: Feeds) -> DataFrame:
-    out = G.agg_pacs(f.silver["pacs"], f.hris, f.ends)
+    out = G.agg_pacs(f.feed("pacs").ok, f.hris, f.ends)
     return rounded(out, "badge_swipes_outlier", "after_hours_pacs_score")
 
 
 @query(
     "q16b_zscore_by_brand",
     """WITH s AS (SELECT p_brand, avg(p_retailprice) AS m, stddev_samp(p_retailprice) AS sd FROM part GROUP BY 1)
-       SELECT p_partkey, round(coalesce((p_retailprice - m) / nullif(sd, 0), 0), 6) AS price_z
+       SELECT p_partkey, round(coalesce((p_retailprice - m) / nullif(sd, 0), 0), 9) AS price_z
        FROM part JOIN s USING (p_brand)""",
 )
 def zscore_by_brand(f: Feeds) -> DataFrame:
@@ -89,46 +89,46 @@ def zscore_by_brand(f: Feeds) -> DataFrame:
 
 @query(
     "q17_peer_fraction_gap",
-    """SELECT employee_id, window_end_date, round(after_hours_network_score, 6) AS after_hours_network_score,
-              round(vpn_anomaly_score, 6) AS vpn_anomaly_score FROM f_network""",
+    """SELECT employee_id, window_end_date, round(after_hours_network_score, 9) AS after_hours_network_score,
+              round(vpn_anomaly_score, 9) AS vpn_anomaly_score FROM f_network""",
 )
 def fraction_gap(f: Feeds) -> DataFrame:
-    out = G.agg_network(f.silver["network"], f.hris, f.ends)
+    out = G.agg_network(f.feed("network").ok, f.hris, f.ends)
     return rounded(out, "after_hours_network_score", "vpn_anomaly_score")
 
 
 @query(
     "q18_multi_zscore",
-    """SELECT employee_id, window_end_date, round(usb_exfiltration_score, 6) AS usb_exfiltration_score,
-              round(file_movement_outlier, 6) AS file_movement_outlier,
-              round(cloud_upload_outlier, 6) AS cloud_upload_outlier FROM f_dlp""",
+    """SELECT employee_id, window_end_date, round(usb_exfiltration_score, 9) AS usb_exfiltration_score,
+              round(file_movement_outlier, 9) AS file_movement_outlier,
+              round(cloud_upload_outlier, 9) AS cloud_upload_outlier FROM f_dlp""",
 )
 def multi_zscore(f: Feeds) -> DataFrame:
-    out = G.agg_dlp(f.silver["dlp"], f.hris, f.ends)
+    out = G.agg_dlp(f.feed("dlp").ok, f.hris, f.ends)
     return rounded(out, "usb_exfiltration_score", "file_movement_outlier", "cloud_upload_outlier")
 
 
 @query(
     "q19_wow_delta",
-    "SELECT employee_id, window_end_date, round(comms_volume_delta, 6) AS comms_volume_delta FROM f_comms",
+    "SELECT employee_id, window_end_date, round(comms_volume_delta, 9) AS comms_volume_delta FROM f_comms",
 )
 def wow_delta(f: Feeds) -> DataFrame:
-    out = G.agg_comms(f.silver["comms"], f.ends)
+    out = G.agg_comms(f.feed("comms").ok, f.ends)
     return rounded(out.drop("external_comms_ratio"), "comms_volume_delta")
 
 
 @query(
     "q20_ratio",
-    "SELECT employee_id, window_end_date, round(external_comms_ratio, 6) AS external_comms_ratio FROM f_comms",
+    "SELECT employee_id, window_end_date, round(external_comms_ratio, 9) AS external_comms_ratio FROM f_comms",
 )
 def external_ratio(f: Feeds) -> DataFrame:
-    out = G.agg_comms(f.silver["comms"], f.ends)
+    out = G.agg_comms(f.feed("comms").ok, f.ends)
     return rounded(out.drop("comms_volume_delta"), "external_comms_ratio")
 
 
 @query(
     "q21_trend_baseline",
-    "SELECT employee_id, window_end_date, round(sentiment_trend, 6) AS sentiment_trend FROM f_pai",
+    "SELECT employee_id, window_end_date, round(sentiment_trend, 9) AS sentiment_trend FROM f_pai",
 )
 def trend_baseline(f: Feeds) -> DataFrame:
     return rounded(G.agg_pai(f.feed("pai").ok, f.ends), "sentiment_trend")
@@ -136,20 +136,20 @@ def trend_baseline(f: Feeds) -> DataFrame:
 
 @query("q22_impossible_travel", "SELECT employee_id, event_date, impossible FROM geo_days")
 def travel_days(f: Feeds) -> DataFrame:
-    return impossible_travel(f.silver["geo"], "employee_id", "event_date", "latitude", "longitude")
+    return impossible_travel(f.feed("geo").ok, "employee_id", "event_date", "latitude", "longitude")
 
 
 @query("q22b_impossible_travel_window", "SELECT employee_id, window_end_date, impossible_travel_flag FROM f_geo")
 def travel_windows(f: Feeds) -> DataFrame:
-    return G.agg_geo(f.silver["geo"], f.ends)
+    return G.agg_geo(f.feed("geo").ok, f.ends)
 
 
 @query("q23_window_any", "SELECT employee_id, window_end_date, clearance_anomaly_flag FROM f_adjudication")
 def window_any(f: Feeds) -> DataFrame:
-    return G.agg_adjudication(f.silver["adjudication"], f.ends)
+    return G.agg_adjudication(f.sv_adjudication, f.ends)
 
 
-_GRID_COLUMNS = ", ".join(f"round({c}, 6) AS {c}" for c in SCORE_FEATURES)
+_GRID_COLUMNS = ", ".join(f"round({c}, 9) AS {c}" for c in SCORE_FEATURES)
 
 
 @query(
@@ -162,7 +162,8 @@ def grid_fill(f: Feeds) -> DataFrame:
 
 
 def feature_grid(f: Feeds) -> DataFrame:
-    return G.feature_grid({**f.silver, "pai": f.feed("pai").ok}, f.hris, f.ends, CFG)
+    tables = {d: f.feed(d).ok for d in ("pacs", "network", "dlp", "comms", "pai", "geo")}
+    return G.feature_grid({**tables, "adjudication": f.sv_adjudication}, f.hris, f.ends, CFG)
 
 
 @query("q25_cross_count", "SELECT employee_id, window_end_date, cross_domain_anomaly_count FROM counted")
@@ -176,9 +177,9 @@ def cross_count(f: Feeds) -> DataFrame:
                          quantile_cont(l_quantity, 0.01) AS l2, quantile_cont(l_quantity, 0.99) AS h2,
                          quantile_cont(l_tax, 0.01) AS l3, quantile_cont(l_tax, 0.99) AS h3 FROM lineitem)
        SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-              round(coalesce((greatest(l1, least(h1, l_extendedprice)) - l1) / nullif(h1 - l1, 0), 0), 6) AS price_unit,
-              round(coalesce((greatest(l2, least(h2, l_quantity)) - l2) / nullif(h2 - l2, 0), 0), 6) AS quantity_unit,
-              round(coalesce((greatest(l3, least(h3, l_tax)) - l3) / nullif(h3 - l3, 0), 0), 6) AS tax_unit
+              round(coalesce((greatest(l1, least(h1, l_extendedprice)) - l1) / nullif(h1 - l1, 0), 0), 9) AS price_unit,
+              round(coalesce((greatest(l2, least(h2, l_quantity)) - l2) / nullif(h2 - l2, 0), 0), 9) AS quantity_unit,
+              round(coalesce((greatest(l3, least(h3, l_tax)) - l3) / nullif(h3 - l3, 0), 0), 9) AS tax_unit
        FROM lineitem, b""",
 )
 def winsor(f: Feeds) -> DataFrame:
@@ -186,9 +187,9 @@ def winsor(f: Feeds) -> DataFrame:
     units = winsorize_minmax(lines, ["l_extendedprice", "l_quantity", "l_tax"])
     return lines.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-        F.round(units["l_extendedprice"], 6).alias("price_unit"),
-        F.round(units["l_quantity"], 6).alias("quantity_unit"),
-        F.round(units["l_tax"], 6).alias("tax_unit"),
+        F.round(units["l_extendedprice"], 9).alias("price_unit"),
+        F.round(units["l_quantity"], 9).alias("quantity_unit"),
+        F.round(units["l_tax"], 9).alias("tax_unit"),
     )
 
 
@@ -202,7 +203,7 @@ _NEAREST = """WITH x AS (SELECT label, i, avg(embedding[i]) AS c
               d AS (SELECT vec_id, x.label AS cluster_id, sqrt(sum(pow(CAST(embedding[i] AS DOUBLE) - c, 2))) AS dist
                     FROM embeddings e JOIN x ON TRUE GROUP BY 1, 2),
               n AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, cluster_id) AS rn FROM d),
-              s AS (SELECT vec_id, cluster_id, round(dist, 6) AS anomaly_score FROM n WHERE rn = 1)"""
+              s AS (SELECT vec_id, cluster_id, round(dist, 9) AS anomaly_score FROM n WHERE rn = 1)"""
 
 
 @query("q27_nearest_centroid", f"{_NEAREST} SELECT vec_id, cluster_id, anomaly_score FROM s")
@@ -227,7 +228,7 @@ _BINS = "CASE WHEN p > 95 THEN 'HIGH' WHEN p > 75 THEN 'MEDIUM' ELSE 'LOW' END"
 @query(
     "q29_percentile_tier",
     f"""{_NEAREST}, r AS (SELECT vec_id, {_RANK.format(x="anomaly_score")} AS p FROM s)
-        SELECT vec_id, round(p, 6) AS percentile, {_BINS} AS tier FROM r""",
+        SELECT vec_id, round(p, 9) AS percentile, {_BINS} AS tier FROM r""",
 )
 def tiers(f: Feeds) -> DataFrame:
     scored = rounded(labelled_distance(f).select("vec_id", "anomaly_score"), "anomaly_score")
@@ -239,7 +240,7 @@ def tiers(f: Feeds) -> DataFrame:
     "q29b_percentile_ties",
     f"""WITH r AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
                           {_RANK.format(x="l_quantity")} AS p FROM lineitem)
-        SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(p, 6) AS percentile, {_BINS} AS tier FROM r""",
+        SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(p, 9) AS percentile, {_BINS} AS tier FROM r""",
 )
 def tied_tiers(f: Feeds) -> DataFrame:
     """50 different values over the whole table: almost every rank is shared."""
@@ -251,7 +252,7 @@ def tied_tiers(f: Feeds) -> DataFrame:
 @query(
     "q30_percent_rank_tier",
     """WITH r AS (SELECT event_id, round(percent_rank() OVER (ORDER BY value), 9) AS p FROM events)
-       SELECT event_id, round(p, 6) AS share,
+       SELECT event_id, round(p, 9) AS share,
               CASE WHEN p >= 0.95 THEN 'HIGH' WHEN p >= 0.75 THEN 'MEDIUM' ELSE 'LOW' END AS tier FROM r""",
 )
 def share_tiers(f: Feeds) -> DataFrame:

@@ -437,12 +437,12 @@ FEED_SQL |= {
                avg(anomaly_percentile / 100) AS internal_behavioral_risk_score FROM gold GROUP BY 1, 2""",
     "fused": """
         SELECT week_start_date, employee_id,
-               coalesce(round(t.sentiment_risk_score, 9), 0) AS twitter_risk_score,
-               coalesce(round(l.location_risk_score, 9), 0) AS location_risk_score,
-               coalesce(round(s.lifestyle_risk_score, 9), 0) AS lifestyle_risk_score,
-               coalesce(round(f.financial_risk_score, 9), 0) AS financial_risk_score,
-               coalesce(round(d.darkweb_risk_score, 9), 0) AS darkweb_risk_score,
-               coalesce(round(i.internal_behavioral_risk_score, 9), 0) AS internal_behavioral_risk_score
+               coalesce(t.sentiment_risk_score, 0) AS twitter_risk_score,
+               coalesce(l.location_risk_score, 0) AS location_risk_score,
+               coalesce(s.lifestyle_risk_score, 0) AS lifestyle_risk_score,
+               coalesce(f.financial_risk_score, 0) AS financial_risk_score,
+               coalesce(d.darkweb_risk_score, 0) AS darkweb_risk_score,
+               coalesce(i.internal_behavioral_risk_score, 0) AS internal_behavioral_risk_score
         FROM wk_internal i FULL OUTER JOIN wk_twitter t USING (week_start_date, employee_id)
         FULL OUTER JOIN wk_location l USING (week_start_date, employee_id)
         FULL OUTER JOIN wk_lifestyle s USING (week_start_date, employee_id)

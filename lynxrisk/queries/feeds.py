@@ -264,14 +264,14 @@ class Feeds:
     def sv_hris(self) -> DataFrame:
         return S.silver_hris(self.hris, CTX)
 
+    @cached_property
+    def sv_adjudication(self) -> DataFrame:
+        return S.silver_adjudication(self.adjudication, CTX)
+
     @cached_property
     def silver(self) -> dict[str, DataFrame]:
         tables = {d: self.feed(d).ok for d in ("pacs", "network", "dlp", "comms", "geo")}
-        return {
-            **tables,
-            "pai": self.sv_pai_tagged,
-            "adjudication": S.silver_adjudication(self.adjudication, CTX),
-        }
+        return {**tables, "pai": self.sv_pai_tagged, "adjudication": self.sv_adjudication}
 
     @cached_property
     def sv_pai_tagged(self) -> DataFrame:

@@ -111,24 +111,24 @@ def comms(f: Feeds) -> DataFrame:
     "q06_null_employee_join",
     """SELECT employee_id, event_date, 'pai' AS source_domain, 'pai_events.csv' AS source_file, record_hash,
               's2_silver_v2' AS pipeline_version, 'RESOLVED' AS identity_resolution_status, platform,
-              round(sentiment_score, 6) AS sentiment_score, post_count, engagement_count
+              round(sentiment_score, 9) AS sentiment_score, post_count, engagement_count
        FROM sv_pai""",
 )
 def pai(f: Feeds) -> DataFrame:
     rows = f.feed("pai").ok.drop("event_timestamp", "ingested_at", "transformed_at")
-    return rows.withColumn("sentiment_score", F.round("sentiment_score", 6))
+    return rows.withColumn("sentiment_score", F.round("sentiment_score", 9))
 
 
 @query(
     "q06b_geo_conformed",
-    """SELECT employee_id, event_date, record_hash, building_code, round(latitude, 6) AS latitude,
-              round(longitude, 6) AS longitude, 'phone' AS device_type
+    """SELECT employee_id, event_date, record_hash, building_code, round(latitude, 9) AS latitude,
+              round(longitude, 9) AS longitude, 'phone' AS device_type
        FROM sv_geo""",
 )
 def geo(f: Feeds) -> DataFrame:
     return f.feed("geo").ok.select(
-        "employee_id", "event_date", "record_hash", "building_code", F.round("latitude", 6).alias("latitude"),
-        F.round("longitude", 6).alias("longitude"), "device_type",
+        "employee_id", "event_date", "record_hash", "building_code", F.round("latitude", 9).alias("latitude"),
+        F.round("longitude", 9).alias("longitude"), "device_type",
     )
 
 
@@ -139,7 +139,7 @@ def geo(f: Feeds) -> DataFrame:
        FROM sv_adjudication""",
 )
 def adjudication(f: Feeds) -> DataFrame:
-    return f.silver["adjudication"].select(
+    return f.sv_adjudication.select(
         "employee_id", "event_date", "record_hash", "clearance_level", "clearance_status", "investigation_flag",
         "status_change_flag", "identity_resolution_status",
     )
@@ -257,19 +257,19 @@ def band_incongruity(f: Feeds) -> DataFrame:
 @query(
     "q12_json_stress_running",
     """SELECT record_id, event_date, employee_id, record_hash, record_type, amount_usd, stress_score,
-              round(cumulative_stress_score, 6) AS cumulative_stress_score
+              round(cumulative_stress_score, 9) AS cumulative_stress_score
        FROM sv_financial""",
 )
 def stress_running(f: Feeds) -> DataFrame:
     return f.sv_financial.select(
         "record_id", "event_date", "employee_id", "record_hash", "record_type", "amount_usd", "stress_score",
-        F.round("cumulative_stress_score", 6).alias("cumulative_stress_score"),
+        F.round("cumulative_stress_score", 9).alias("cumulative_stress_score"),
     )
 
 
 @query(
     "q13_hash_confidence",
-    """SELECT detection_id, severity, round(confidence_score, 6) AS confidence_score FROM sv_darkweb""",
+    """SELECT detection_id, severity, round(confidence_score, 9) AS confidence_score FROM sv_darkweb""",
 )
 def hash_confidence(f: Feeds) -> DataFrame:
-    return f.sv_darkweb.ok.select("detection_id", "severity", F.round("confidence_score", 6).alias("confidence_score"))
+    return f.sv_darkweb.ok.select("detection_id", "severity", F.round("confidence_score", 9).alias("confidence_score"))

@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def dense_grid(people: DataFrame, ends: Column, key: str = "employee_id") -> DataFrame:
-    """Every key with every window end date."""
-    return people.select(key, F.explode(ends).alias("window_end_date"))
+def dense_grid(people: DataFrame, ends: Column, key: str = "employee_id", carry: Sequence[str] = ()) -> DataFrame:
+    """Every key with every window end date, and the attributes to ``carry``."""
+    return people.select(key, *carry, F.explode(ends).alias("window_end_date"))
 
 
 def gather(parts: Sequence[DataFrame], keys: Sequence[str], grid: DataFrame | None = None) -> DataFrame:
@@ -20,15 +20,13 @@ def gather(parts: Sequence[DataFrame], keys: Sequence[str], grid: DataFrame | No
     With a ``grid`` only its keys are kept, as in left joins onto it. A chain of joins would
     shuffle the growing result again at each step; here every row moves once.
     """
-    columns = [c for part in parts for c in part.columns if c not in keys]
+    tables = list(parts) if grid is None else [*parts, grid.withColumn("_on_grid", F.lit(True))]
+    columns = [c for t in tables for c in t.columns if c not in keys]
     if len(columns) != len(set(columns)):
-        raise ValueError("the parts must not share columns besides the keys")
-    tables = list(parts) if grid is None else [*parts, grid.select(*keys, F.lit(True).alias("_on_grid"))]
+        raise ValueError("the tables must not share columns besides the keys")
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
-    picked = [F.max(c).alias(c) for c in columns]
-    if grid is None:
-        return rows.groupBy(*keys).agg(*picked)
-    return rows.groupBy(*keys).agg(*picked, F.max("_on_grid").alias("_on_grid")).filter("_on_grid").drop("_on_grid")
+    merged = rows.groupBy(*keys).agg(*[F.max(c).alias(c) for c in columns])
+    return merged if grid is None else merged.filter("_on_grid").drop("_on_grid")
 
 
 def enrich(df: DataFrame, updates: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lynxrisk.config import Scale
 from lynxrisk.functions.expr import first_match
+from lynxrisk.sources.session import settle
 
 
 def value_ranks(df: DataFrame, col: str) -> DataFrame:
@@ -21,7 +22,7 @@ def value_ranks(df: DataFrame, col: str) -> DataFrame:
     each range is ranked by itself and shifted by the count of the ranges before it.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_ties"))
+    counts = settle(df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_ties")))
     cuts = counts.approxQuantile(col, [i / parts for i in range(1, parts)], 0.2 / parts)
     edges = [float("-inf"), *(sorted(set(cuts)) or [0.0]), float("inf")]
     ranged = Bucketizer(splits=edges, inputCol=col, outputCol="_range").transform(counts)

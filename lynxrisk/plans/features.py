@@ -30,30 +30,22 @@ PEERS = [END, "role_peer_group"]
 
 
 def _daily(rows: DataFrame, **measures: Column) -> DataFrame:
-    return rows.groupBy(EMPLOYEE, DAY).agg(*[agg.alias(name) for name, agg in measures.items()])
+    """One row per employee and day, written out: the windows, their end dates and the peer
+    statistics all start from it, and none of them may scan the feed again."""
+    return settle(rows.groupBy(EMPLOYEE, DAY).agg(*[agg.alias(name) for name, agg in measures.items()]))
 
 
 def _weekly_sums(daily: DataFrame, names: list[str], ends: Column, present: str) -> DataFrame:
     return rolling_features(daily, EMPLOYEE, DAY, {n: Frame(n) for n in names}, ends, present)
 
 
-def _with_peers(windows: DataFrame, peers: DataFrame, values: list[str]) -> DataFrame:
-    """Only employees with events in the window are present here, so only they are peers."""
-    return with_peer_stats(windows.join(peers, EMPLOYEE, "left"), values, PEERS)
-
-
-def agg_pacs(pacs: DataFrame, peers: DataFrame, ends: Column) -> DataFrame:
+def pacs_windows(pacs: DataFrame, ends: Column) -> DataFrame:
     daily = _daily(pacs, swipes=F.count(F.lit(1)), late=count_true(F.col("after_hours_flag")))
     windows = _weekly_sums(daily, ["swipes", "late"], ends, "swipes")
-    windows = windows.withColumn("late_share", ratio(F.col("late"), F.col("swipes")))
-    return _with_peers(windows, peers, ["swipes", "late_share"]).select(
-        *KEYS,
-        z_of("swipes").alias("badge_swipes_outlier"),
-        gap_of("late_share").alias("after_hours_pacs_score"),
-    )
+    return windows.select(*KEYS, "swipes", ratio(F.col("late"), F.col("swipes")).alias("pacs_late"))
 
 
-def agg_network(network: DataFrame, peers: DataFrame, ends: Column) -> DataFrame:
+def network_windows(network: DataFrame, ends: Column) -> DataFrame:
     # an event without a type does not count as an event, but its flags do
     daily = _daily(
         network,
@@ -62,28 +54,58 @@ def agg_network(network: DataFrame, peers: DataFrame, ends: Column) -> DataFrame
         vpn=count_true(F.col("vpn_flag")),
     )
     windows = _weekly_sums(daily, ["events", "late", "vpn"], ends, "events")
-    windows = windows.withColumn("late_share", ratio(F.col("late"), F.col("events")))
-    return _with_peers(windows, peers, ["late_share", "vpn"]).select(
-        *KEYS,
-        gap_of("late_share").alias("after_hours_network_score"),
-        z_of("vpn").alias("vpn_anomaly_score"),
-    )
+    return windows.select(*KEYS, "vpn", ratio(F.col("late"), F.col("events")).alias("network_late"))
 
 
-def agg_dlp(dlp: DataFrame, peers: DataFrame, ends: Column) -> DataFrame:
+def dlp_windows(dlp: DataFrame, ends: Column) -> DataFrame:
     daily = _daily(
         dlp,
         moves=F.count(F.lit(1)),
         usb=count_true(F.col("usb_flag")),
         uploads=count_true(F.col("cloud_upload_flag")),
     )
-    windows = _weekly_sums(daily, ["moves", "usb", "uploads"], ends, "moves")
-    return _with_peers(windows, peers, ["moves", "usb", "uploads"]).select(
-        *KEYS,
-        z_of("usb").alias("usb_exfiltration_score"),
-        z_of("moves").alias("file_movement_outlier"),
-        z_of("uploads").alias("cloud_upload_outlier"),
-    )
+    return _weekly_sums(daily, ["moves", "usb", "uploads"], ends, "moves")
+
+
+# feature -> (how it compares with the peers, the value compared)
+PEER_FEATURES = {
+    "badge_swipes_outlier": (z_of, "swipes"),
+    "after_hours_pacs_score": (gap_of, "pacs_late"),
+    "after_hours_network_score": (gap_of, "network_late"),
+    "vpn_anomaly_score": (z_of, "vpn"),
+    "usb_exfiltration_score": (z_of, "usb"),
+    "file_movement_outlier": (z_of, "moves"),
+    "cloud_upload_outlier": (z_of, "uploads"),
+}
+
+
+def add_peer_features(windows: DataFrame) -> DataFrame:
+    """Replace the raw values of the windows by features against the peer group.
+
+    All values share one set of peer statistics. An employee without events in a window has
+    NULL values there, which no mean or deviation counts: only those present are peers.
+    """
+    found = {f: (rule, v) for f, (rule, v) in PEER_FEATURES.items() if v in windows.columns}
+    raw = sorted({v for _, v in found.values()})
+    compared = with_peer_stats(windows, raw, PEERS)
+    kept = [c for c in windows.columns if c not in raw and c != "role_peer_group"]
+    return compared.select(*kept, *[rule(v).alias(f) for f, (rule, v) in found.items()])
+
+
+def agg_pacs(pacs: DataFrame, peers: DataFrame, ends: Column) -> DataFrame:
+    return _against_peers(pacs_windows(pacs, ends), peers)
+
+
+def agg_network(network: DataFrame, peers: DataFrame, ends: Column) -> DataFrame:
+    return _against_peers(network_windows(network, ends), peers)
+
+
+def agg_dlp(dlp: DataFrame, peers: DataFrame, ends: Column) -> DataFrame:
+    return _against_peers(dlp_windows(dlp, ends), peers)
+
+
+def _against_peers(windows: DataFrame, peers: DataFrame) -> DataFrame:
+    return add_peer_features(windows.join(peers.select(EMPLOYEE, "role_peer_group"), EMPLOYEE, "left"))
 
 
 def agg_comms(comms: DataFrame, ends: Column) -> DataFrame:
@@ -151,17 +173,17 @@ def feature_grid(silver: Mapping[str, DataFrame], people: DataFrame, ends: Colum
     ``silver`` maps feed names (pacs, network, ...) to tables; ``people`` has one row per
     employee with ``role_peer_group``.
     """
-    peers = people.select(EMPLOYEE, "role_peer_group")
     parts = [
-        agg_pacs(silver["pacs"], peers, ends),
-        agg_network(silver["network"], peers, ends),
-        agg_dlp(silver["dlp"], peers, ends),
+        pacs_windows(silver["pacs"], ends),
+        network_windows(silver["network"], ends),
+        dlp_windows(silver["dlp"], ends),
         agg_comms(silver["comms"], ends),
         agg_pai(silver["pai"], ends, cfg.baseline_days),
         agg_geo(silver["geo"], ends, cfg.travel_km),
         agg_adjudication(silver["adjudication"], ends),
     ]
-    features = gather(parts, KEYS, dense_grid(peers, ends))
+    grid = dense_grid(people, ends, carry=["role_peer_group"])
+    features = add_peer_features(settle(gather(parts, KEYS, grid)))
     filled = features.fillna(0.0, C.SCORE_FEATURES).fillna(False, C.FLAG_FEATURES)
     return filled.select(
         EMPLOYEE,
@@ -188,7 +210,7 @@ def score(grid: DataFrame, vectors: DataFrame, centroids: DataFrame, cfg: RiskCo
     """Cluster, score, percentile, tier and lineage for the vectors of a feature grid."""
     scored = nearest_centroid(vectors, "feature_vector", centroids)
     # rows with the same behaviour must tie, whatever the order their sums were made in
-    scored = scored.withColumn("anomaly_score", F.round("anomaly_score", 9))
+    scored = settle(scored.withColumn("anomaly_score", F.round("anomaly_score", 9)))
     return add_tiers(scored, cfg).select(
         *grid.columns,
         "feature_vector",

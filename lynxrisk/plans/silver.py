@@ -9,16 +9,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lynxrisk import config as C
-from lynxrisk.config import RESOLVED, Box, RunContext, Scale
+from lynxrisk.config import RESOLVED, UNRESOLVED, Box, RunContext, Scale
 from lynxrisk.functions.expr import (
     contains_any,
     first_match,
     id_spread,
     lookup,
+    piped,
+    record_hash,
     stamp,
 )
 from lynxrisk.operators.grid import enrich, first_row_per
 from lynxrisk.operators.identity import (
+    DEAD_LETTER_COLUMNS,
     Resolved,
     dead_letters,
     dual_register,
@@ -26,9 +29,10 @@ from lynxrisk.operators.identity import (
     latest_register,
     tag_identity,
 )
-from lynxrisk.operators.lineage import lineage
+from lynxrisk.operators.lineage import LINEAGE_COLUMNS, lineage
 from lynxrisk.operators.ordering import running_sum, sliding
 from lynxrisk.operators.tagging import Rules, tag_groups
+from lynxrisk.sources.session import settle
 
 def _ts(name: str = "event_timestamp") -> Column:
     return F.col(name)
@@ -191,6 +195,43 @@ def split_feed(feed: Feed, tagged: DataFrame, ctx: RunContext) -> Resolved:
     return Resolved(ok, dead)
 
 
+def conform_all(feed: Feed, tagged: DataFrame, ctx: RunContext) -> DataFrame:
+    """Resolved events and dead letters side by side, for one write partitioned by status.
+
+    The feed is then read and written once; ``resolved_part`` and ``dead_part`` each read
+    their own partition of the result.
+    """
+    resolved = F.col("identity_resolution_status") == RESOLVED
+    prefix = lineage(
+        F.col("employee_id"), F.to_date(_ts()), feed.domain, feed.source_file,
+        [_part(p) for p in feed.hash_parts], ctx, native=_ts(),
+    )
+    hashes = F.when(resolved, record_hash([_part(p) for p in feed.hash_parts]))
+    if feed.dead_hash:
+        hashes = hashes.otherwise(record_hash([_part(p) for p in feed.dead_hash]))
+    raw = piped([_part(p) for p in feed.raw_parts]) if feed.raw_parts else F.lit(None).cast("string")
+    columns = dict(zip(LINEAGE_COLUMNS, prefix)) | {
+        "record_hash": hashes.alias("record_hash"),
+        "identity_resolution_status": F.col("identity_resolution_status"),
+    }
+    return tagged.select(
+        *columns.values(),
+        *_own(feed),
+        F.when(~resolved, F.col(feed.key)).alias("raw_identifier"),
+        F.when(~resolved, F.lit(feed.key)).alias("identifier_type"),
+        F.when(~resolved, raw).alias("raw_record"),
+    )
+
+
+def resolved_part(feed: Feed, written: DataFrame) -> DataFrame:
+    names = [c if isinstance(c, str) else c[1] for c in feed.own]
+    return written.filter(F.col("identity_resolution_status") == RESOLVED).select(*LINEAGE_COLUMNS, *names)
+
+
+def dead_part(written: DataFrame) -> DataFrame:
+    return written.filter(F.col("identity_resolution_status") == UNRESOLVED).select(*DEAD_LETTER_COLUMNS)
+
+
 def silver_feed(domain: str, events: DataFrame, register: DataFrame, ctx: RunContext) -> Resolved:
     """A feed against its register: pacs, network, dlp, comms, pai or geo."""
     feed = FEEDS[domain]
@@ -223,7 +264,7 @@ def people(sv_hris: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# External feeds
+# External feeds: matched once and written, then split into resolved rows and dead letters
 # ---------------------------------------------------------------------------
 
 _SCRAPED = "scraped_datetime"
@@ -306,7 +347,7 @@ def silver_geo_anomalies(
     posts: DataFrame, handles: DataFrame, ctx: RunContext, rules: PlaceRules = PlaceRules()
 ) -> Resolved:
     """Public posts by kind of place, with anomaly, work-hours and incongruity flags."""
-    tagged = tag_identity(posts, known_people(handles), {"handle": "social_handle"})
+    tagged = settle(tag_identity(posts, known_people(handles), {"handle": "social_handle"}))
     place, lat, lon = F.col("location_string"), F.col("location_lat"), F.col("location_lon")
     home = rules.home
     outside = (lat < home.lat_min) | (lat > home.lat_max) | (lon < home.lon_min) | (lon > home.lon_max)
@@ -349,7 +390,7 @@ def silver_lifestyle(
 
     The frame counts signals, not days. Signals of one day are ordered by id.
     """
-    tagged = tag_identity(signals, known_people(handles), {"handle": "social_handle"})
+    tagged = settle(tag_identity(signals, known_people(handles), {"handle": "social_handle"}))
     titles = people(sv_hris, ["role_title"])
     band = salary_band(F.col("role_title"))
     value = F.coalesce(F.col("estimated_value_usd"), F.lit(0))
@@ -389,7 +430,7 @@ def silver_financial(records: DataFrame, ctx: RunContext, scale: Scale = Scale()
 def silver_darkweb(signals: DataFrame, directory: DataFrame, handles: DataFrame, ctx: RunContext) -> Resolved:
     """Detections matched by e-mail address or by social handle, whichever they name."""
     register = dual_register(directory, handles).withColumnsRenamed({"matched_on": "kind", "handle": "name"})
-    tagged = tag_identity(signals, register, {"matched_on": "kind", "handle": "name"})
+    tagged = settle(tag_identity(signals, register, {"matched_on": "kind", "handle": "name"}))
     severity = F.coalesce(_json("severity"), F.lit("low"))
     confidence = lambda base, spread: F.lit(base) + id_spread(F.col("detection_id"), spread) / 100.0
     score = None

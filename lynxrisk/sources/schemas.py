@@ -66,3 +66,8 @@ PIPELINE_RUNS = (
     "run_id string, stage_name string, started_at timestamp, completed_at timestamp, status string, "
     "rows_in bigint, rows_out bigint, duration_seconds double, artifacts array<string>, notes string"
 )
+
+DEAD_LETTERS = (
+    "source_domain string, source_file string, raw_identifier string, identifier_type string, record_hash string, "
+    "identity_resolution_status string, ingested_at timestamp, pipeline_version string, raw_record string"
+)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,6 +36,13 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write the rows once to the shared folder, so that later steps all see the same ones."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write the rows once to the shared folder and go on from there.
+
+    For results that several later steps read: none of them runs the plan again, all see the
+    same rows, and a lost executor costs a read. Parquet, so that readers fetch only the
+    columns they need and Spark knows the size when it plans their joins.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/lynxrisk-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

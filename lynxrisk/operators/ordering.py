@@ -24,8 +24,8 @@ BORROWED = "_borrowed"
 
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     """Rows of the biggest key."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return sizes.agg(F.max("_rows")).first()[0] or 0
 
 
 def sorted_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -97,18 +97,18 @@ def _widths(located: DataFrame, keys: list[str]) -> DataFrame:
     """
     la, lo = F.radians("_lat"), F.radians("_lon")
     placed = located.select(
-        *keys, (F.cos(la) * F.cos(lo)).alias("x"), (F.cos(la) * F.sin(lo)).alias("y"), F.sin(la).alias("z")
+        *keys, (F.cos(la) * F.cos(lo)).alias("_x"), (F.cos(la) * F.sin(lo)).alias("_y"), F.sin(la).alias("_z")
     )
     along = {
-        f"d{i}": sum((F.col(axis) * step for axis, step in zip("xyz", d) if step), F.lit(0.0)) / sqrt(sum(map(abs, d)))
+        f"_d{i}": sum((F.col(f"_{axis}") * step for axis, step in zip("xyz", d) if step), F.lit(0.0)) / sqrt(sum(map(abs, d)))
         for i, d in enumerate(DIRECTIONS)
     }
     # one point without a latitude or longitude has NULL in both terms that need it
-    complete = F.col("x").isNotNull() & F.col("z").isNotNull()
+    complete = F.col("_x").isNotNull() & F.col("_z").isNotNull()
     extents = [
         (F.max(F.when(complete, v)) - F.min(F.when(complete, v))).alias(name) for name, v in along.items()
     ]
-    return placed.groupBy(*keys).agg(F.count_if(complete).alias("n"), *extents)
+    return placed.groupBy(*keys).agg(F.count_if(complete).alias("_n"), *extents)
 
 
 def _arc_km(chord: Column) -> Column:
@@ -124,19 +124,19 @@ def impossible_travel(
         *keys, F.col(lat).cast("double").alias("_lat"), F.col(lon).cast("double").alias("_lon")
     )
     widths = _widths(located, keys)
-    widest = F.greatest(*[F.col(f"d{i}") for i in range(len(DIRECTIONS))])
-    box = F.sqrt(sum(F.col(f"d{i}") * F.col(f"d{i}") for i in range(3)))
+    widest = F.greatest(*[F.col(f"_d{i}") for i in range(len(DIRECTIONS))])
+    box = F.sqrt(sum(F.col(f"_d{i}") * F.col(f"_d{i}") for i in range(3)))
     at_most_chord = F.least(box, widest / NEAREST_DIRECTION)
     # a margin of a millimetre covers rounding in the two bounds
     bounded = widths.select(
         *keys,
-        "n",
+        "_n",
         F.coalesce(_arc_km(widest) > km + 1e-6, F.lit(False)).alias("_far"),
         F.coalesce(_arc_km(at_most_chord) <= km - 1e-6, F.lit(True)).alias("_near"),
     )
     days = settle(bounded)
     open_days = days.filter(~F.col("_far") & ~F.col("_near"))
-    few, many = open_days.filter(F.col("n") <= FEW_POINTS), open_days.filter(F.col("n") > FEW_POINTS)
+    few, many = open_days.filter(F.col("_n") <= FEW_POINTS), open_days.filter(F.col("_n") > FEW_POINTS)
     complete = located.filter(F.col("_lat").isNotNull() & F.col("_lon").isNotNull())
     decided = [
         decide(complete.join(part.select(*keys), keys, "left_semi"), keys, km)

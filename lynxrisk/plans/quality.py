@@ -263,10 +263,10 @@ def check_keys(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]
         missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
         facts = (
             table.groupBy(*key)
-            .agg(F.count(F.lit(1)).alias("n"))
+            .agg(F.count(F.lit(1)).alias("_rows"))
             .agg(
-                F.coalesce(F.sum(F.when(missing, F.col("n"))), F.lit(0)).alias("nulls"),
-                F.count_if(~missing & (F.col("n") > 1)).alias("twice"),
+                F.coalesce(F.sum(F.when(missing, F.col("_rows"))), F.lit(0)).alias("nulls"),
+                F.count_if(~missing & (F.col("_rows") > 1)).alias("twice"),
             )
         )
         bad = F.col("nulls") + F.col("twice")

@@ -4,8 +4,7 @@ The farthest pair of a day is not searched among all pairs. The extents of its p
 few directions bound it from both sides, in one grouped pass; that settles a day unless its
 points fill an area close to the limit. For such a day only points that can end a farthest
 pair are kept: first the northernmost and southernmost of each meridian, then the corners of
-the convex hull per band of longitude, then those of the hull of all bands. What is left are a
-few corners.
+the convex hull. What is left are a few corners.
 """
 
 from __future__ import annotations
@@ -23,7 +22,9 @@ from pyspark.sql import functions as F
 from lynxrisk.functions.expr import EARTH_KM, at_most, haversine_km
 from lynxrisk.sources.session import settle
 
-BANDS_PER_DEGREE = 10
+# how many points of one group a task reduces at once, and how many reduced pieces it merges
+PIECE_POINTS = 50_000
+MERGED_PIECES = 50
 
 # up to this size a group is compared pair by pair within its row
 FEW_POINTS = 100
@@ -139,7 +140,7 @@ def impossible_travel(
     few, many = open_days.filter(F.col("_n") <= FEW_POINTS), open_days.filter(F.col("_n") > FEW_POINTS)
     complete = located.filter(F.col("_lat").isNotNull() & F.col("_lon").isNotNull())
     decided = [
-        decide(complete.join(part.select(*keys), keys, "left_semi"), keys, km)
+        decide(complete.join(part.select(*keys, "_n"), keys), keys, km)
         for part, decide in ((few, _decide_few), (many, _decide_many))
         if not part.isEmpty()
     ]
@@ -163,17 +164,32 @@ def _decide_few(points: DataFrame, keys: list[str], km: float) -> DataFrame:
 
 
 def _decide_many(points: DataFrame, keys: list[str], km: float) -> DataFrame:
-    """Larger groups: reduced to the corners of their hull, by meridian, band and group."""
-    ends = (
+    """Larger groups: reduced to the corners of their hull, piece by piece.
+
+    The hull of a group is the hull of the hulls of its pieces, however it is cut. Pieces are
+    cut to ``PIECE_POINTS`` and merged ``MERGED_PIECES`` at a time until one is left, so no
+    task ever holds a group whole.
+    """
+    largest = points.groupBy(*keys).agg(F.max("_n").alias("_n")).agg(F.max("_n")).first()[0]
+    corners = (
         points.groupBy(*keys, "_lon")
-        .agg(F.array_distinct(F.array(F.min("_lat"), F.max("_lat"))).alias("_ends"))
-        .select(*keys, "_lon", F.explode("_ends").alias("_lat"))
-        .withColumn("_band", F.floor(F.col("_lon") * BANDS_PER_DEGREE))
+        .agg(F.max("_n").alias("_n"), F.array_distinct(F.array(F.min("_lat"), F.max("_lat"))).alias("_ends"))
+        .select(*keys, "_n", "_lon", F.explode("_ends").alias("_lat"), F.xxhash64("_lon").alias("_cut"))
     )
     schema = ", ".join(f"{k} {points.schema[k].dataType.simpleString()}" for k in keys)
-    corners = ends.groupBy(*keys, "_band").applyInPandas(
-        lambda pdf: hull_corners(pdf)[[*keys, "_lat", "_lon"]], f"{schema}, _lat double, _lon double"
-    )
+    columns = [*keys, "_n", "_lon", "_lat", "_cut"]
+    size = PIECE_POINTS
+    while size < largest:
+        piece = F.pmod(F.col("_cut"), F.ceil(F.col("_n") / size))
+        corners = (
+            corners.groupBy(*keys, piece.alias("_piece"))
+            .applyInPandas(
+                lambda pdf: hull_corners(pdf)[columns], f"{schema}, _n long, _lon double, _lat double, _cut long"
+            )
+            # all corners of a piece move on together
+            .withColumn("_cut", F.pmod(F.col("_cut"), F.ceil(F.col("_n") / size)))
+        )
+        size *= MERGED_PIECES
 
     def decide(pdf: pd.DataFrame) -> pd.DataFrame:
         return pdf[keys].head(1).assign(_pair=any_pair_beyond(pdf, km))

@@ -68,8 +68,8 @@ def rolling(f: Feeds) -> DataFrame:
 
 @query(
     "q16_peer_zscore",
-    """SELECT employee_id, window_end_date, round(badge_swipes_outlier, 9) AS badge_swipes_outlier,
-              round(after_hours_pacs_score, 9) AS after_hours_pacs_score FROM f_pacs""",
+    """SELECT employee_id, window_end_date, round(badge_swipes_outlier, 9) + 0 AS badge_swipes_outlier,
+              round(after_hours_pacs_score, 9) + 0 AS after_hours_pacs_score FROM f_pacs""",
 )
 def peer_zscore(f: Feeds) -> DataFrame:
     out = G.agg_pacs(f.feed("pacs").ok, f.hris, f.ends)
@@ -89,8 +89,8 @@ def zscore_by_brand(f: Feeds) -> DataFrame:
 
 @query(
     "q17_peer_fraction_gap",
-    """SELECT employee_id, window_end_date, round(after_hours_network_score, 9) AS after_hours_network_score,
-              round(vpn_anomaly_score, 9) AS vpn_anomaly_score FROM f_network""",
+    """SELECT employee_id, window_end_date, round(after_hours_network_score, 9) + 0 AS after_hours_network_score,
+              round(vpn_anomaly_score, 9) + 0 AS vpn_anomaly_score FROM f_network""",
 )
 def fraction_gap(f: Feeds) -> DataFrame:
     out = G.agg_network(f.feed("network").ok, f.hris, f.ends)
@@ -99,9 +99,9 @@ def fraction_gap(f: Feeds) -> DataFrame:
 
 @query(
     "q18_multi_zscore",
-    """SELECT employee_id, window_end_date, round(usb_exfiltration_score, 9) AS usb_exfiltration_score,
-              round(file_movement_outlier, 9) AS file_movement_outlier,
-              round(cloud_upload_outlier, 9) AS cloud_upload_outlier FROM f_dlp""",
+    """SELECT employee_id, window_end_date, round(usb_exfiltration_score, 9) + 0 AS usb_exfiltration_score,
+              round(file_movement_outlier, 9) + 0 AS file_movement_outlier,
+              round(cloud_upload_outlier, 9) + 0 AS cloud_upload_outlier FROM f_dlp""",
 )
 def multi_zscore(f: Feeds) -> DataFrame:
     out = G.agg_dlp(f.feed("dlp").ok, f.hris, f.ends)
@@ -110,7 +110,7 @@ def multi_zscore(f: Feeds) -> DataFrame:
 
 @query(
     "q19_wow_delta",
-    "SELECT employee_id, window_end_date, round(comms_volume_delta, 9) AS comms_volume_delta FROM f_comms",
+    "SELECT employee_id, window_end_date, round(comms_volume_delta, 9) + 0 AS comms_volume_delta FROM f_comms",
 )
 def wow_delta(f: Feeds) -> DataFrame:
     out = G.agg_comms(f.feed("comms").ok, f.ends)
@@ -119,7 +119,7 @@ def wow_delta(f: Feeds) -> DataFrame:
 
 @query(
     "q20_ratio",
-    "SELECT employee_id, window_end_date, round(external_comms_ratio, 9) AS external_comms_ratio FROM f_comms",
+    "SELECT employee_id, window_end_date, round(external_comms_ratio, 9) + 0 AS external_comms_ratio FROM f_comms",
 )
 def external_ratio(f: Feeds) -> DataFrame:
     out = G.agg_comms(f.feed("comms").ok, f.ends)
@@ -128,7 +128,7 @@ def external_ratio(f: Feeds) -> DataFrame:
 
 @query(
     "q21_trend_baseline",
-    "SELECT employee_id, window_end_date, round(sentiment_trend, 9) AS sentiment_trend FROM f_pai",
+    "SELECT employee_id, window_end_date, round(sentiment_trend, 9) + 0 AS sentiment_trend FROM f_pai",
 )
 def trend_baseline(f: Feeds) -> DataFrame:
     return rounded(G.agg_pai(f.feed("pai").ok, f.ends), "sentiment_trend")
@@ -149,7 +149,7 @@ def window_any(f: Feeds) -> DataFrame:
     return G.agg_adjudication(f.sv_adjudication, f.ends)
 
 
-_GRID_COLUMNS = ", ".join(f"round({c}, 9) AS {c}" for c in SCORE_FEATURES)
+_GRID_COLUMNS = ", ".join(f"round({c}, 9) + 0 AS {c}" for c in SCORE_FEATURES)
 
 
 @query(
@@ -203,7 +203,7 @@ _NEAREST = """WITH x AS (SELECT label, i, avg(embedding[i]) AS c
               d AS (SELECT vec_id, x.label AS cluster_id, sqrt(sum(pow(CAST(embedding[i] AS DOUBLE) - c, 2))) AS dist
                     FROM embeddings e JOIN x ON TRUE GROUP BY 1, 2),
               n AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, cluster_id) AS rn FROM d),
-              s AS (SELECT vec_id, cluster_id, round(dist, 9) AS anomaly_score FROM n WHERE rn = 1)"""
+              s AS (SELECT vec_id, cluster_id, round(dist, 9) + 0 AS anomaly_score FROM n WHERE rn = 1)"""
 
 
 @query("q27_nearest_centroid", f"{_NEAREST} SELECT vec_id, cluster_id, anomaly_score FROM s")
@@ -228,7 +228,7 @@ _BINS = "CASE WHEN p > 95 THEN 'HIGH' WHEN p > 75 THEN 'MEDIUM' ELSE 'LOW' END"
 @query(
     "q29_percentile_tier",
     f"""{_NEAREST}, r AS (SELECT vec_id, {_RANK.format(x="anomaly_score")} AS p FROM s)
-        SELECT vec_id, round(p, 9) AS percentile, {_BINS} AS tier FROM r""",
+        SELECT vec_id, round(p, 9) + 0 AS percentile, {_BINS} AS tier FROM r""",
 )
 def tiers(f: Feeds) -> DataFrame:
     scored = rounded(labelled_distance(f).select("vec_id", "anomaly_score"), "anomaly_score")
@@ -240,7 +240,7 @@ def tiers(f: Feeds) -> DataFrame:
     "q29b_percentile_ties",
     f"""WITH r AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
                           {_RANK.format(x="l_quantity")} AS p FROM lineitem)
-        SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(p, 9) AS percentile, {_BINS} AS tier FROM r""",
+        SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(p, 9) + 0 AS percentile, {_BINS} AS tier FROM r""",
 )
 def tied_tiers(f: Feeds) -> DataFrame:
     """50 different values over the whole table: almost every rank is shared."""
@@ -252,7 +252,7 @@ def tied_tiers(f: Feeds) -> DataFrame:
 @query(
     "q30_percent_rank_tier",
     """WITH r AS (SELECT event_id, round(percent_rank() OVER (ORDER BY value), 9) AS p FROM events)
-       SELECT event_id, round(p, 9) AS share,
+       SELECT event_id, round(p, 9) + 0 AS share,
               CASE WHEN p >= 0.95 THEN 'HIGH' WHEN p >= 0.75 THEN 'MEDIUM' ELSE 'LOW' END AS tier FROM r""",
 )
 def share_tiers(f: Feeds) -> DataFrame:

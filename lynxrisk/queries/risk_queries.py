@@ -42,12 +42,12 @@ def gold(f: Feeds) -> DataFrame:
     return _written(f.spark, f.spark.sparkContext.applicationId, f.folder)[1]
 
 
-_SCORES = ", ".join(f"round({c}, 9) AS {c}" for c in SCORE_FEATURES)
+_SCORES = ", ".join(f"round({c}, 9) + 0 AS {c}" for c in SCORE_FEATURES)
 
 
 @query(
     "q31_weekly_sentiment",
-    """SELECT week_start_date, employee_id, sentiment_trend, round(sentiment_risk_score, 9) AS sentiment_risk_score,
+    """SELECT week_start_date, employee_id, sentiment_trend, round(sentiment_risk_score, 9) + 0 AS sentiment_risk_score,
               primary_emotion FROM wk_twitter""",
 )
 def weekly_sentiment(f: Feeds) -> DataFrame:
@@ -57,7 +57,7 @@ def weekly_sentiment(f: Feeds) -> DataFrame:
 @query(
     "q33_weekly_location",
     """SELECT week_start_date, employee_id, sensitive_location_count, work_hours_absence_count,
-              round(location_risk_score, 9) AS location_risk_score, risk_narrative FROM wk_location""",
+              round(location_risk_score, 9) + 0 AS location_risk_score, risk_narrative FROM wk_location""",
 )
 def weekly_location(f: Feeds) -> DataFrame:
     return rounded(weekly.weekly_location(f.anomalies.ok), "location_risk_score")
@@ -66,7 +66,7 @@ def weekly_location(f: Feeds) -> DataFrame:
 @query(
     "q34_weekly_lifestyle",
     """SELECT week_start_date, employee_id, incongruity_event_count, cumulative_30day_spend, max_incongruity_score,
-              round(lifestyle_risk_score, 9) AS lifestyle_risk_score, risk_narrative FROM wk_lifestyle""",
+              round(lifestyle_risk_score, 9) + 0 AS lifestyle_risk_score, risk_narrative FROM wk_lifestyle""",
 )
 def weekly_lifestyle(f: Feeds) -> DataFrame:
     return rounded(weekly.weekly_lifestyle(f.sv_lifestyle.ok), "lifestyle_risk_score")
@@ -75,8 +75,8 @@ def weekly_lifestyle(f: Feeds) -> DataFrame:
 @query(
     "q35_weekly_financial",
     """SELECT week_start_date, employee_id, active_record_count,
-              round(cumulative_stress_score, 9) AS cumulative_stress_score,
-              round(financial_risk_score, 9) AS financial_risk_score,
+              round(cumulative_stress_score, 9) + 0 AS cumulative_stress_score,
+              round(financial_risk_score, 9) + 0 AS financial_risk_score,
               'Public records=' || active_record_count || ' cumulative_stress='
                   || CAST(CAST(round(cumulative_stress_score, 3) AS DECIMAL(18, 3)) AS VARCHAR) AS risk_narrative
        FROM wk_financial""",
@@ -88,7 +88,7 @@ def weekly_financial(f: Feeds) -> DataFrame:
 @query(
     "q36_weekly_darkweb",
     """SELECT week_start_date, employee_id, detection_count, max_severity,
-              round(darkweb_risk_score, 9) AS darkweb_risk_score, risk_narrative FROM wk_darkweb""",
+              round(darkweb_risk_score, 9) + 0 AS darkweb_risk_score, risk_narrative FROM wk_darkweb""",
 )
 def weekly_darkweb(f: Feeds) -> DataFrame:
     return rounded(weekly.weekly_darkweb(f.sv_darkweb.ok), "darkweb_risk_score")
@@ -110,10 +110,10 @@ def composite(f: Feeds) -> DataFrame:
 
 @query(
     "q37_composite",
-    """SELECT week_start_date, employee_id, round(twitter_risk_score, 9) AS twitter_risk_score,
-              round(location_risk_score, 9) AS location_risk_score, round(lifestyle_risk_score, 9) AS lifestyle_risk_score,
-              round(financial_risk_score, 9) AS financial_risk_score, round(darkweb_risk_score, 9) AS darkweb_risk_score,
-              round(internal_behavioral_risk_score, 9) AS internal_behavioral_risk_score, composite_risk_score,
+    """SELECT week_start_date, employee_id, round(twitter_risk_score, 9) + 0 AS twitter_risk_score,
+              round(location_risk_score, 9) + 0 AS location_risk_score, round(lifestyle_risk_score, 9) + 0 AS lifestyle_risk_score,
+              round(financial_risk_score, 9) + 0 AS financial_risk_score, round(darkweb_risk_score, 9) + 0 AS darkweb_risk_score,
+              round(internal_behavioral_risk_score, 9) + 0 AS internal_behavioral_risk_score, composite_risk_score,
               risk_tier, FALSE AS tier_change_flag, primary_signal_driver, recommended_action,
               'Composite=' || CAST(CAST(composite_risk_score AS DECIMAL(18, 4)) AS VARCHAR)
                   || ' driver=' || primary_signal_driver AS composite_narrative
@@ -127,8 +127,8 @@ def fused(f: Feeds) -> DataFrame:
 @query(
     "q49_risk_features",
     f"""SELECT employee_id, window_end_date, window_start_date, {_SCORES}, impossible_travel_flag,
-               clearance_anomaly_flag, cross_domain_anomaly_count, cluster_id, round(anomaly_score, 9) AS anomaly_score,
-               round(anomaly_percentile, 9) AS anomaly_percentile, anomaly_tier,
+               clearance_anomaly_flag, cross_domain_anomaly_count, cluster_id, round(anomaly_score, 9) + 0 AS anomaly_score,
+               round(anomaly_percentile, 9) + 0 AS anomaly_percentile, anomaly_tier,
                round(list_sum(feature_vector), 9) AS vector_sum,
                'sv_pacs,sv_network,sv_dlp,sv_comms,sv_pai,sv_geo,sv_adjudication' AS source_silver_files,
                'run-1' AS model_run_id
@@ -143,7 +143,7 @@ def risk_features(f: Feeds) -> DataFrame:
 
 
 _TOP = """SELECT g.employee_id, full_name, department, role_title, clearance_level,
-                 round(anomaly_score, 9) AS anomaly_score, round(anomaly_percentile, 9) AS anomaly_percentile,
+                 round(anomaly_score, 9) + 0 AS anomaly_score, round(anomaly_percentile, 9) + 0 AS anomaly_percentile,
                  anomaly_tier, cross_domain_anomaly_count, window_end_date, cluster_id
           FROM gold g JOIN hris h ON g.employee_id = h.employee_id
           WHERE window_end_date = (SELECT max(window_end_date) FROM gold) AND anomaly_tier = 'HIGH'
@@ -159,7 +159,7 @@ def top_risk(f: Feeds) -> DataFrame:
 
 @query(
     "q39_persistent_high",
-    """SELECT employee_id, window_end_date, round(anomaly_score, 9) AS anomaly_score, anomaly_tier,
+    """SELECT employee_id, window_end_date, round(anomaly_score, 9) + 0 AS anomaly_score, anomaly_tier,
               cross_domain_anomaly_count
        FROM gold WHERE employee_id IN
             (SELECT employee_id FROM gold WHERE anomaly_tier = 'HIGH' GROUP BY employee_id HAVING count(*) >= 3)""",

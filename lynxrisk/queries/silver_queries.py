@@ -111,7 +111,7 @@ def comms(f: Feeds) -> DataFrame:
     "q06_null_employee_join",
     """SELECT employee_id, event_date, 'pai' AS source_domain, 'pai_events.csv' AS source_file, record_hash,
               's2_silver_v2' AS pipeline_version, 'RESOLVED' AS identity_resolution_status, platform,
-              round(sentiment_score, 9) AS sentiment_score, post_count, engagement_count
+              round(sentiment_score, 9) + 0 AS sentiment_score, post_count, engagement_count
        FROM sv_pai""",
 )
 def pai(f: Feeds) -> DataFrame:
@@ -121,8 +121,8 @@ def pai(f: Feeds) -> DataFrame:
 
 @query(
     "q06b_geo_conformed",
-    """SELECT employee_id, event_date, record_hash, building_code, round(latitude, 9) AS latitude,
-              round(longitude, 9) AS longitude, 'phone' AS device_type
+    """SELECT employee_id, event_date, record_hash, building_code, round(latitude, 9) + 0 AS latitude,
+              round(longitude, 9) + 0 AS longitude, 'phone' AS device_type
        FROM sv_geo""",
 )
 def geo(f: Feeds) -> DataFrame:
@@ -257,7 +257,7 @@ def band_incongruity(f: Feeds) -> DataFrame:
 @query(
     "q12_json_stress_running",
     """SELECT record_id, event_date, employee_id, record_hash, record_type, amount_usd, stress_score,
-              round(cumulative_stress_score, 9) AS cumulative_stress_score
+              round(cumulative_stress_score, 9) + 0 AS cumulative_stress_score
        FROM sv_financial""",
 )
 def stress_running(f: Feeds) -> DataFrame:
@@ -269,7 +269,7 @@ def stress_running(f: Feeds) -> DataFrame:
 
 @query(
     "q13_hash_confidence",
-    """SELECT detection_id, severity, round(confidence_score, 9) AS confidence_score FROM sv_darkweb""",
+    """SELECT detection_id, severity, round(confidence_score, 9) + 0 AS confidence_score FROM sv_darkweb""",
 )
 def hash_confidence(f: Feeds) -> DataFrame:
     return f.sv_darkweb.ok.select("detection_id", "severity", F.round("confidence_score", 9).alias("confidence_score"))

@@ -53,8 +53,11 @@ def test_equals_all_pairs(spark, monkeypatch, few):
     assert 20 < sum(expect.values()) < 190
 
 
-def test_one_day_with_very_many_points(spark):
-    """A disc of 20,000 points just too small, and one with a single point more."""
+@pytest.mark.parametrize("piece,merged", [(50_000, 50), (300, 8)])
+def test_one_day_with_very_many_points(spark, monkeypatch, piece, merged):
+    """A disc of 20,000 points just too small, and one with two points more."""
+    monkeypatch.setattr(travel, "PIECE_POINTS", piece)
+    monkeypatch.setattr(travel, "MERGED_PIECES", merged)
     rng = np.random.default_rng(7)
     r, a = 2.24 * np.sqrt(rng.random(20000)), rng.random(20000) * 2 * np.pi
     disc = [(1, day(0), float(x), float(y)) for x, y in zip(r * np.sin(a), r * np.cos(a))]

@@ -7,6 +7,7 @@ events costs no more than any other; all windows and peer statistics work on the
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -173,15 +174,18 @@ def feature_grid(silver: Mapping[str, DataFrame], people: DataFrame, ends: Colum
     ``silver`` maps feed names (pacs, network, ...) to tables; ``people`` has one row per
     employee with ``role_peer_group``.
     """
-    parts = [
-        pacs_windows(silver["pacs"], ends),
-        network_windows(silver["network"], ends),
-        dlp_windows(silver["dlp"], ends),
-        agg_comms(silver["comms"], ends),
-        agg_pai(silver["pai"], ends, cfg.baseline_days),
-        agg_geo(silver["geo"], ends, cfg.travel_km),
-        agg_adjudication(silver["adjudication"], ends),
+    feeds = [
+        lambda: pacs_windows(silver["pacs"], ends),
+        lambda: network_windows(silver["network"], ends),
+        lambda: dlp_windows(silver["dlp"], ends),
+        lambda: agg_comms(silver["comms"], ends),
+        lambda: agg_pai(silver["pai"], ends, cfg.baseline_days),
+        lambda: agg_geo(silver["geo"], ends, cfg.travel_km),
+        lambda: agg_adjudication(silver["adjudication"], ends),
     ]
+    # each writes its daily table; the writes are independent, so they share the cluster
+    with ThreadPoolExecutor(len(feeds)) as pool:
+        parts = list(pool.map(lambda windows: windows(), feeds))
     grid = dense_grid(people, ends, carry=["role_peer_group"])
     features = add_peer_features(settle(gather(parts, KEYS, grid)))
     filled = features.fillna(0.0, C.SCORE_FEATURES).fillna(False, C.FLAG_FEATURES)

@@ -46,9 +46,12 @@ class Feeds:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        if table not in self._tables:
+            self._tables[table] = self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        return self._tables[table]
 
     # --- events and people ---------------------------------------------------
 

@@ -6,7 +6,7 @@ compute as well; training by k-means is ``q28``.
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,15 +31,58 @@ def scored_features(f: Feeds) -> DataFrame:
     return G.score(grid, vectors, centers, CFG, CTX)
 
 
+class Written:
+    """The tables that later stages read, each written once, as the daily job does."""
+
+    def __init__(self, f: Feeds):
+        self.f = f
+
+    @cached_property
+    def gold(self) -> DataFrame:
+        return settle(scored_features(self.f))
+
+    @cached_property
+    def silver(self) -> dict[str, DataFrame]:
+        return {d: settle(t) for d, t in self.f.silver.items()} | {"hris": settle(self.f.sv_hris)}
+
+    @cached_property
+    def external(self) -> dict[str, DataFrame]:
+        tables = {
+            "silver_geo_anomalies": self.f.anomalies.ok,
+            "silver_lifestyle_incongruity": self.f.sv_lifestyle.ok,
+            "silver_financial_stress": self.f.sv_financial,
+            "silver_darkweb_signals": self.f.sv_darkweb.ok,
+        }
+        return {name: settle(t) for name, t in tables.items()}
+
+    @cached_property
+    def dead(self) -> DataFrame:
+        return settle(self.f.dead)
+
+    @cached_property
+    def weekly(self) -> dict[str, DataFrame]:
+        ext = self.external
+        streams = {
+            "twitter": weekly.weekly_twitter(self.silver["pai"]),
+            "location": weekly.weekly_location(ext["silver_geo_anomalies"]),
+            "lifestyle": weekly.weekly_lifestyle(ext["silver_lifestyle_incongruity"]),
+            "financial": weekly.weekly_financial(ext["silver_financial_stress"]),
+            "darkweb": weekly.weekly_darkweb(ext["silver_darkweb_signals"]),
+        }
+        return {name: settle(t) for name, t in streams.items()}
+
+
 @lru_cache(maxsize=4)
-def _written(spark: SparkSession, application: str, folder: str) -> tuple[Feeds, DataFrame]:
-    """The scored table once per session and folder, as a job would write it for its readers."""
-    f = Feeds(spark, folder)
-    return f, settle(scored_features(f))
+def _written(spark: SparkSession, application: str, folder: str) -> Written:
+    return Written(Feeds(spark, folder))
+
+
+def written(f: Feeds) -> Written:
+    return _written(f.spark, f.spark.sparkContext.applicationId, f.folder)
 
 
 def gold(f: Feeds) -> DataFrame:
-    return _written(f.spark, f.spark.sparkContext.applicationId, f.folder)[1]
+    return written(f).gold
 
 
 _SCORES = ", ".join(f"round({c}, 9) + 0 AS {c}" for c in SCORE_FEATURES)
@@ -94,18 +137,8 @@ def weekly_darkweb(f: Feeds) -> DataFrame:
     return rounded(weekly.weekly_darkweb(f.sv_darkweb.ok), "darkweb_risk_score")
 
 
-def streams(f: Feeds) -> dict[str, DataFrame]:
-    return {
-        "twitter": weekly.weekly_twitter(f.sv_pai_tagged),
-        "location": weekly.weekly_location(f.anomalies.ok),
-        "lifestyle": weekly.weekly_lifestyle(f.sv_lifestyle.ok),
-        "financial": weekly.weekly_financial(f.sv_financial),
-        "darkweb": weekly.weekly_darkweb(f.sv_darkweb.ok),
-    }
-
-
 def composite(f: Feeds) -> DataFrame:
-    return weekly.composite(weekly.weekly_internal(gold(f)), streams(f))
+    return weekly.composite(weekly.weekly_internal(gold(f)), written(f).weekly)
 
 
 @query(
@@ -269,23 +302,9 @@ _CHECKS = [
 
 @query("q43_quality_report", " UNION ALL ".join(_CHECKS))
 def quality_report(f: Feeds) -> DataFrame:
-    silver = {**f.silver, "hris": f.sv_hris}
-    external = {
-        "silver_geo_anomalies": f.anomalies.ok,
-        "silver_lifestyle_incongruity": f.sv_lifestyle.ok,
-        "silver_financial_stress": f.sv_financial,
-        "silver_darkweb_signals": f.sv_darkweb.ok,
-    }
-    week = streams(f)
-    tables = {
-        "gold_twitter_risk": week["twitter"],
-        "gold_location_risk": week["location"],
-        "gold_lifestyle_risk": week["lifestyle"],
-        "gold_financial_stress_risk": week["financial"],
-        "gold_darkweb_risk": week["darkweb"],
-        "gold_composite_risk": weekly.composite(weekly.weekly_internal(gold(f)), week),
-    }
-    return quality.quality_report(silver, external, f.dead, gold(f), tables, CFG).drop("detail")
+    w = written(f)
+    tables = dict(zip(quality.WEEKLY, w.weekly.values())) | {"gold_composite_risk": composite(f)}
+    return quality.quality_report(w.silver, w.external, w.dead, w.gold, tables, CFG).drop("detail")
 
 
 _GIVEN = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",

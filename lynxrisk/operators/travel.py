@@ -2,8 +2,9 @@
 
 The farthest pair of a day is not searched among all pairs. The extents of its points along a
 few directions bound it from both sides, in one grouped pass; that settles a day unless its
-points fill an area close to the limit. For such a day only points that can end a farthest
-pair are kept: first the northernmost and southernmost of each meridian, then the corners of
+points fill an area close to the limit. For such days a second pass along directions of the
+plane at their middle leaves a range of one per cent open. In what is still left only points
+that can end a farthest pair are kept: first the northernmost and southernmost of each meridian, then the corners of
 the convex hull. What is left are a few corners.
 """
 
@@ -11,7 +12,7 @@ from __future__ import annotations
 
 import sys
 from functools import reduce
-from math import sqrt
+from math import cos, pi, sin, sqrt
 
 import numpy as np
 import pandas as pd
@@ -38,6 +39,9 @@ DIRECTIONS = [
 # every line in space makes an angle with one of them whose cosine is at least 1 / 1.1281
 NEAREST_DIRECTION = 0.886
 
+# directions in the plane at the middle of a group, for days that the first bounds leave open
+FLAT_DIRECTIONS = 16
+
 # the two small functions below travel with the task, so workers need not have this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -91,61 +95,103 @@ def any_pair_beyond(pdf: pd.DataFrame, km: float) -> bool:
     return False
 
 
+def _on_sphere(located: DataFrame, *kept: str) -> DataFrame:
+    """The points as unit vectors ``_x``, ``_y``, ``_z``."""
+    la, lo = F.radians("_lat"), F.radians("_lon")
+    return located.select(
+        *kept, (F.cos(la) * F.cos(lo)).alias("_x"), (F.cos(la) * F.sin(lo)).alias("_y"), F.sin(la).alias("_z")
+    )
+
+
 def _widths(located: DataFrame, keys: list[str]) -> DataFrame:
-    """Per group: the extent of its points along 13 directions, as chords of the unit sphere.
+    """Per group: the extent of its points along 13 directions, as chords of the unit sphere,
+    and the middle of its box.
 
     Only minima and maxima of numbers, which every map task folds into one row per group.
     """
-    la, lo = F.radians("_lat"), F.radians("_lon")
-    placed = located.select(
-        *keys, (F.cos(la) * F.cos(lo)).alias("_x"), (F.cos(la) * F.sin(lo)).alias("_y"), F.sin(la).alias("_z")
-    )
     along = {
         f"_d{i}": sum((F.col(f"_{axis}") * step for axis, step in zip("xyz", d) if step), F.lit(0.0)) / sqrt(sum(map(abs, d)))
         for i, d in enumerate(DIRECTIONS)
     }
     # one point without a latitude or longitude has NULL in both terms that need it
     complete = F.col("_x").isNotNull() & F.col("_z").isNotNull()
-    extents = [
-        (F.max(F.when(complete, v)) - F.min(F.when(complete, v))).alias(name) for name, v in along.items()
-    ]
-    return placed.groupBy(*keys).agg(F.count_if(complete).alias("_n"), *extents)
+    inside = {name: F.when(complete, v) for name, v in along.items()}
+    extents = [(F.max(v) - F.min(v)).alias(name) for name, v in inside.items()]
+    middle = [((F.max(inside[f"_d{i}"]) + F.min(inside[f"_d{i}"])) / 2).alias(f"_c{axis}") for i, axis in enumerate("xyz")]
+    return _on_sphere(located, *keys).groupBy(*keys).agg(F.count_if(complete).alias("_n"), *extents, *middle)
+
+
+def _flat_widths(located: DataFrame, keys: list[str]) -> DataFrame:
+    """The widest extent along ``FLAT_DIRECTIONS`` directions of the plane that touches the
+    sphere at the middle of the group."""
+    c = {axis: F.col(f"_c{axis}") for axis in "xyz"}
+    length = F.sqrt(c["x"] * c["x"] + c["y"] * c["y"] + c["z"] * c["z"])
+    c = {axis: v / length for axis, v in c.items()}
+    # east of the middle; at a pole any direction serves
+    flat = F.sqrt(c["x"] * c["x"] + c["y"] * c["y"])
+    polar = flat < 1e-9
+    ex = F.when(polar, F.lit(1.0)).otherwise(-c["y"] / flat)
+    ey = F.when(polar, F.lit(0.0)).otherwise(c["x"] / flat)
+    east = F.col("_x") * F.col("_ex") + F.col("_y") * F.col("_ey")
+    north = (
+        F.col("_z") * (F.col("_mx") * F.col("_ey") - F.col("_my") * F.col("_ex"))
+        + F.col("_mz") * (F.col("_y") * F.col("_ex") - F.col("_x") * F.col("_ey"))
+    )
+    framed = _on_sphere(located, *keys, "_n", *[v.alias(f"_m{a}") for a, v in c.items()], ex.alias("_ex"), ey.alias("_ey"))
+    plane = framed.select(*keys, "_n", east.alias("_u"), north.alias("_v"))
+    turns = [pi * i / FLAT_DIRECTIONS for i in range(FLAT_DIRECTIONS)]
+    along = [F.col("_u") * cos(t) + F.col("_v") * sin(t) for t in turns]
+    return plane.groupBy(*keys).agg(
+        F.max("_n").alias("_n"), *[(F.max(v) - F.min(v)).alias(f"_w{i}") for i, v in enumerate(along)]
+    ).select(*keys, "_n", F.greatest(*[f"_w{i}" for i in range(FLAT_DIRECTIONS)]).alias("_widest"))
 
 
 def _arc_km(chord: Column) -> Column:
     return F.asin(at_most(chord / 2, 1.0)) * (2 * EARTH_KM)
 
 
+def _verdict(df: DataFrame, least: Column, most: Column, km: float, *kept: str) -> DataFrame:
+    """``_far`` from a lower bound of the diameter, ``_near`` from an upper one; a margin of a
+    millimetre covers rounding in the two."""
+    return df.select(
+        *kept,
+        F.coalesce(_arc_km(least) > km + 1e-6, F.lit(False)).alias("_far"),
+        F.coalesce(_arc_km(most) <= km - 1e-6, F.lit(True)).alias("_near"),
+    )
+
+
 def impossible_travel(
     points: DataFrame, key: str, day: str, lat: str, lon: str, km: float = 500.0, out: str = "impossible"
 ) -> DataFrame:
     """One row per key and day with points: is any pair farther apart than ``km``?"""
     keys = [key, day]
+    middle = ["_cx", "_cy", "_cz"]
     located = points.select(
         *keys, F.col(lat).cast("double").alias("_lat"), F.col(lon).cast("double").alias("_lon")
     )
-    widths = _widths(located, keys)
     widest = F.greatest(*[F.col(f"_d{i}") for i in range(len(DIRECTIONS))])
     box = F.sqrt(sum(F.col(f"_d{i}") * F.col(f"_d{i}") for i in range(3)))
-    at_most_chord = F.least(box, widest / NEAREST_DIRECTION)
-    # a margin of a millimetre covers rounding in the two bounds
-    bounded = widths.select(
-        *keys,
-        "_n",
-        F.coalesce(_arc_km(widest) > km + 1e-6, F.lit(False)).alias("_far"),
-        F.coalesce(_arc_km(at_most_chord) <= km - 1e-6, F.lit(True)).alias("_near"),
-    )
-    days = settle(bounded)
-    open_days = days.filter(~F.col("_far") & ~F.col("_near"))
-    few, many = open_days.filter(F.col("_n") <= FEW_POINTS), open_days.filter(F.col("_n") > FEW_POINTS)
-    complete = located.filter(F.col("_lat").isNotNull() & F.col("_lon").isNotNull())
-    decided = [
-        decide(complete.join(part.select(*keys, "_n"), keys), keys, km)
-        for part, decide in ((few, _decide_few), (many, _decide_many))
-        if not part.isEmpty()
-    ]
-    if not decided:
+    most = F.least(box, widest / NEAREST_DIRECTION)
+    days = settle(_verdict(_widths(located, keys), widest, most, km, *keys, "_n", *middle))
+    undecided = ~F.col("_far") & ~F.col("_near")
+    open_days = days.filter(undecided)
+    if open_days.isEmpty():
         return days.select(*keys, F.col("_far").alias(out))
+
+    complete = located.filter(F.col("_lat").isNotNull() & F.col("_lon").isNotNull())
+    rest = settle(complete.join(open_days.select(*keys, "_n", *middle), keys))
+    # an open day lies within this angle of its middle; a chord of it makes at most the same
+    # angle with the plane there
+    reach = km / EARTH_KM
+    cover = cos(reach) * cos(pi / (2 * FLAT_DIRECTIONS)) if reach < 0.5 else 0.0
+    flat = _flat_widths(rest, keys)
+    upper = F.col("_widest") / cover if cover else F.lit(2.0)
+    finer = settle(_verdict(flat, F.col("_widest"), upper, km, *keys, "_n"))
+    decided = [finer.filter("_far").select(*keys, F.lit(True).alias("_pair"))]
+    for size, decide in ((F.col("_n") <= FEW_POINTS, _decide_few), (F.col("_n") > FEW_POINTS, _decide_many)):
+        part = finer.filter(undecided & size).select(*keys)
+        if not part.isEmpty():
+            decided.append(decide(rest.join(part, keys, "left_semi"), keys, km))
     pairs = reduce(DataFrame.unionByName, decided)
     return days.join(pairs, keys, "left").select(
         *keys, (F.col("_far") | F.coalesce("_pair", F.lit(False))).alias(out)

@@ -52,8 +52,11 @@ def any_true(flag: Column) -> Column:
 
 
 def fixed(x: Column, digits: int) -> Column:
-    """Text of a number with exactly that many digits, rounded half away from zero."""
-    return F.round(x, digits).cast(f"decimal(38,{digits})").cast("string")
+    """Text of a number with exactly that many digits, rounded half away from zero.
+
+    The inner rounding drops the noise of binary sums: 0.0125 must round up however it came about.
+    """
+    return F.round(F.round(x, 12), digits).cast(f"decimal(38,{digits})").cast("string")
 
 
 # --- identifiers -----------------------------------------------------------

@@ -17,6 +17,7 @@ from lynxrisk.plans import features as G
 from lynxrisk.plans.weekly import top_item
 from lynxrisk.queries.feeds import CFG, Feeds, name
 from lynxrisk.queries.registry import query
+from lynxrisk.queries.written import feature_grid, written
 
 DIMS = 64
 
@@ -161,14 +162,9 @@ def grid_fill(f: Feeds) -> DataFrame:
     return rounded(feature_grid(f).drop("cross_domain_anomaly_count"), *SCORE_FEATURES)
 
 
-def feature_grid(f: Feeds) -> DataFrame:
-    tables = {d: f.feed(d).ok for d in ("pacs", "network", "dlp", "comms", "pai", "geo")}
-    return G.feature_grid({**tables, "adjudication": f.sv_adjudication}, f.hris, f.ends, CFG)
-
-
 @query("q25_cross_count", "SELECT employee_id, window_end_date, cross_domain_anomaly_count FROM counted")
 def cross_count(f: Feeds) -> DataFrame:
-    return feature_grid(f).select("employee_id", "window_end_date", "cross_domain_anomaly_count")
+    return written(f).grid.select("employee_id", "window_end_date", "cross_domain_anomaly_count")
 
 
 @query(

@@ -398,7 +398,7 @@ FEED_SQL |= {
         SELECT r.week_start_date, r.employee_id,
                CASE WHEN round(a - base, 9) < -0.25 THEN 'declining_sharply' WHEN round(a - base, 9) < -0.08 THEN 'declining'
                     WHEN round(a - base, 9) > 0.08 THEN 'improving' ELSE 'stable' END AS sentiment_trend,
-               greatest(0, least(1, (base - a + 1) / 2)) AS sentiment_risk_score, emotion AS primary_emotion
+               greatest(0, least(1, (base - a + 1) / 2)) AS sentiment_risk_score, emotion AS primary_emotion, a, base
         FROM r LEFT JOIN t ON r.week_start_date = t.week_start_date AND r.employee_id = t.employee_id AND t.rn = 1""",
     "wk_location": """
         SELECT CAST(date_trunc('week', event_date) AS DATE) AS week_start_date, employee_id,

@@ -6,83 +6,15 @@ compute as well; training by k-means is ``q28``.
 
 from __future__ import annotations
 
-from functools import cached_property, lru_cache
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lynxrisk.config import SCORE_FEATURES, VECTOR_FEATURES
-from lynxrisk.operators.clustering import mean_centroids
-from lynxrisk.plans import features as G
+from lynxrisk.config import SCORE_FEATURES
 from lynxrisk.plans import quality, reports, weekly
-from lynxrisk.queries.feature_queries import feature_grid, rounded
-from lynxrisk.queries.feeds import CFG, CTX, Feeds
+from lynxrisk.queries.feature_queries import rounded
+from lynxrisk.queries.feeds import CFG, Feeds
 from lynxrisk.queries.registry import query
-from lynxrisk.sources.session import settle
-
-
-def scored_features(f: Feeds) -> DataFrame:
-    grid = settle(feature_grid(f))
-    vectors = G.add_vectors(grid, CFG)
-    groups = sorted(r[0] for r in f.hris.select("role_peer_group").distinct().collect())
-    number = F.array_position(F.array(*[F.lit(g) for g in groups]), F.col("role_peer_group")) - 1
-    labelled = vectors.join(f.hris.select("employee_id", "role_peer_group"), "employee_id").withColumn("g", number)
-    centers = settle(mean_centroids(labelled, "g", "feature_vector", len(VECTOR_FEATURES)))
-    return G.score(grid, vectors, centers, CFG, CTX)
-
-
-class Written:
-    """The tables that later stages read, each written once, as the daily job does."""
-
-    def __init__(self, f: Feeds):
-        self.f = f
-
-    @cached_property
-    def gold(self) -> DataFrame:
-        return settle(scored_features(self.f))
-
-    @cached_property
-    def silver(self) -> dict[str, DataFrame]:
-        return {d: settle(t) for d, t in self.f.silver.items()} | {"hris": settle(self.f.sv_hris)}
-
-    @cached_property
-    def external(self) -> dict[str, DataFrame]:
-        tables = {
-            "silver_geo_anomalies": self.f.anomalies.ok,
-            "silver_lifestyle_incongruity": self.f.sv_lifestyle.ok,
-            "silver_financial_stress": self.f.sv_financial,
-            "silver_darkweb_signals": self.f.sv_darkweb.ok,
-        }
-        return {name: settle(t) for name, t in tables.items()}
-
-    @cached_property
-    def dead(self) -> DataFrame:
-        return settle(self.f.dead)
-
-    @cached_property
-    def weekly(self) -> dict[str, DataFrame]:
-        ext = self.external
-        streams = {
-            "twitter": weekly.weekly_twitter(self.silver["pai"]),
-            "location": weekly.weekly_location(ext["silver_geo_anomalies"]),
-            "lifestyle": weekly.weekly_lifestyle(ext["silver_lifestyle_incongruity"]),
-            "financial": weekly.weekly_financial(ext["silver_financial_stress"]),
-            "darkweb": weekly.weekly_darkweb(ext["silver_darkweb_signals"]),
-        }
-        return {name: settle(t) for name, t in streams.items()}
-
-
-@lru_cache(maxsize=4)
-def _written(spark: SparkSession, application: str, folder: str) -> Written:
-    return Written(Feeds(spark, folder))
-
-
-def written(f: Feeds) -> Written:
-    return _written(f.spark, f.spark.sparkContext.applicationId, f.folder)
-
-
-def gold(f: Feeds) -> DataFrame:
-    return written(f).gold
+from lynxrisk.queries.written import gold, scored_features, written
 
 
 _SCORES = ", ".join(f"round({c}, 9) + 0 AS {c}" for c in SCORE_FEATURES)
@@ -91,10 +23,12 @@ _SCORES = ", ".join(f"round({c}, 9) + 0 AS {c}" for c in SCORE_FEATURES)
 @query(
     "q31_weekly_sentiment",
     """SELECT week_start_date, employee_id, sentiment_trend, round(sentiment_risk_score, 9) + 0 AS sentiment_risk_score,
-              primary_emotion FROM wk_twitter""",
+              primary_emotion, 'Weekly sentiment avg=' || CAST(round(CAST(a AS DECIMAL(18, 9)), 3) AS VARCHAR)
+                  || ' vs 30d baseline=' || CAST(round(CAST(base AS DECIMAL(18, 9)), 3) AS VARCHAR) AS risk_narrative
+       FROM wk_twitter""",
 )
 def weekly_sentiment(f: Feeds) -> DataFrame:
-    return rounded(weekly.weekly_twitter(f.sv_pai_tagged).drop("risk_narrative"), "sentiment_risk_score")
+    return rounded(weekly.weekly_twitter(f.sv_pai_tagged), "sentiment_risk_score")
 
 
 @query(
@@ -201,6 +135,18 @@ def persistent_high(f: Feeds) -> DataFrame:
     return rounded(reports.persistent_high(gold(f)), "anomaly_score")
 
 
+@query(
+    "q39b_risk_trend",
+    f"""SELECT employee_id, window_end_date, round(anomaly_score, 9) + 0 AS anomaly_score, anomaly_tier,
+               cross_domain_anomaly_count
+        FROM gold WHERE employee_id IN (SELECT employee_id FROM ({_TOP}) ORDER BY anomaly_score DESC, employee_id LIMIT 10)""",
+)
+def risk_trend(f: Feeds) -> DataFrame:
+    """The windows of the ten employees that lead the report."""
+    leaders = [r.employee_id for r in reports.top_risks(gold(f), f.hris, 25).collect()]
+    return rounded(reports.risk_trend(gold(f), leaders), "anomaly_score")
+
+
 @query(
     "q40_cluster_summary",
     """SELECT cluster_id, count(DISTINCT employee_id) AS employees, count(*) AS windows,
@@ -400,3 +346,20 @@ def _key_sql(table: str, key: list[str]) -> str:
 @query("q46_key_uniqueness", " UNION ALL ".join(_key_sql(t, k) for t, k in _KEY_TABLES.items()))
 def key_uniqueness(f: Feeds) -> DataFrame:
     return quality.check_keys({t: f.table(t) for t in _KEY_TABLES}, _KEY_TABLES).drop("detail")
+
+
+@query(
+    "q51_latest_runs",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS run_id, o_orderpriority AS stage_name, o_orderstatus AS status,
+              o_custkey AS rows_in, o_custkey AS rows_out, o_totalprice AS duration_seconds,
+              strftime(o_orderdate, '%Y-%m-%d') AS started
+       FROM orders ORDER BY o_orderdate DESC, run_id LIMIT 20""",
+)
+def latest_runs(f: Feeds) -> DataFrame:
+    """Audit rows in the shape of ``orders``: the latest 20 by start."""
+    runs = f.table("orders").select(
+        F.col("o_orderkey").cast("string").alias("run_id"), F.col("o_orderpriority").alias("stage_name"),
+        F.col("o_orderstatus").alias("status"), F.col("o_custkey").alias("rows_in"), F.col("o_custkey").alias("rows_out"),
+        F.col("o_totalprice").alias("duration_seconds"), F.col("o_orderdate").alias("started_at"),
+    )
+    return reports.latest_runs(runs).withColumn("started", F.date_format("started_at", "yyyy-MM-dd")).drop("started_at")

@@ -69,9 +69,6 @@ class Lake:
         write_table(df, self.path(layer, name), partition_by)
         return self.read(layer, name)
 
-    def snapshot(self, df: DataFrame, layer: str, name: str) -> None:
-        write_table(df, f"{self.base}/snapshots/{layer}/{name}")
-
     @property
     def runs_path(self) -> str:
         return f"{self.base}/bronze/pipeline_runs"

@@ -37,22 +37,35 @@ def squared_distance(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, d: s + d)
 
 
-def nearest_centroid(df: DataFrame, vec: str, centroids: DataFrame, distance=squared_distance) -> DataFrame:
+# up to this many terms the distances are written out, as plain arithmetic in generated code
+UNROLLED_TERMS = 400
+
+
+def nearest_centroid(
+    df: DataFrame, vec: str, centroids: DataFrame, distance=squared_distance, dims: int | None = None
+) -> DataFrame:
     """Adds the nearest centroid's id and the distance to it; equal distances: the lowest id.
 
     The model is a scalar subquery of k rows, so the scored table is neither joined nor
-    shuffled.
+    shuffled. With ``dims`` given, a small model is compared several times faster.
     """
     model = centroids.agg(F.collect_list(F.struct("centroid", "cluster_id"))).scalar()
     numbers = F.transform(F.col(vec), lambda x: x.cast("double"))
-    best = F.array_min(
-        F.transform(
-            F.col("_model"),
-            lambda c: F.struct(
-                distance(F.col("_vec"), c["centroid"]).alias("d"), c["cluster_id"].alias("id")
-            ),
+    k = centroids.count() if dims else 0
+    if 0 < k * (dims or 0) <= UNROLLED_TERMS and distance is squared_distance:
+        pick = lambda j: F.struct(_written_out(F.col("_vec"), F.col("_model")[j]["centroid"], dims).alias("d"),
+                                  F.col("_model")[j]["cluster_id"].alias("id"))
+        best = F.least(*[pick(j) for j in range(k)]) if k > 1 else pick(0)
+        numbers = F.col(vec).cast("array<double>")
+    else:
+        best = F.array_min(
+            F.transform(
+                F.col("_model"),
+                lambda c: F.struct(
+                    distance(F.col("_vec"), c["centroid"]).alias("d"), c["cluster_id"].alias("id")
+                ),
+            )
         )
-    )
     return (
         df.withColumn("_vec", numbers)
         .withColumn("_model", model)
@@ -61,3 +74,7 @@ def nearest_centroid(df: DataFrame, vec: str, centroids: DataFrame, distance=squ
         .withColumn("anomaly_score", F.sqrt(F.col("_best.d")))
         .drop("_vec", "_model", "_best")
     )
+
+
+def _written_out(a: Column, b: Column, dims: int) -> Column:
+    return sum(((a[i] - b[i]) * (a[i] - b[i]) for i in range(dims)), F.lit(0.0))

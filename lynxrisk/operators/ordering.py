@@ -10,6 +10,7 @@ offsets that are tiny: one row per key and slice.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,14 +29,14 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     return sizes.agg(F.max("_rows")).first()[0] or 0
 
 
-def sorted_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def sorted_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], pieces: int = 1) -> DataFrame:
     """Rows cut into ranges of (key, order), with the number of the range in ``_slice``.
 
-    The slice number is written out with the rows, so it cannot change when a lost task is
-    run again.
+    At least ``pieces`` ranges. The slice number is written out with the rows, so it cannot
+    change when a lost task is run again.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(parts, *keys, *order)
+    ranged = df.repartitionByRange(max(parts, pieces), *keys, *order)
     return settle(ranged.withColumn(SLICE, F.spark_partition_id()))
 
 
@@ -51,9 +52,9 @@ def _add_offsets(local: DataFrame, offsets: DataFrame, keys: Sequence[str]) -> D
     return local.join(offsets, on, "left").drop(offsets[SLICE], *[offsets[k] for k in keys])
 
 
-def row_index(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str) -> DataFrame:
+def row_index(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, pieces: int = 1) -> DataFrame:
     """1-based position of every row within its key; ``order`` must be total."""
-    slices = sorted_slices(df, keys, order)
+    slices = sorted_slices(df, keys, order, pieces)
     here = Window.partitionBy(*keys, SLICE).orderBy(*order)
     local = slices.withColumn("_here", F.row_number().over(here).cast("long"))
     offsets = _slice_offsets(slices, keys, F.count(F.lit(1)), "_offset")
@@ -65,10 +66,11 @@ def running_sum(
     df: DataFrame, value: str, keys: Sequence[str], order: Sequence[str], out: str, scale: Scale = Scale()
 ) -> DataFrame:
     """Sum of all rows of the key up to and including this one."""
-    if largest_group(df, keys) <= scale.window_rows:
+    largest = largest_group(df, keys)
+    if largest <= scale.window_rows:
         upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(out, F.sum(value).over(upto))
-    slices = sorted_slices(df, keys, order)
+    slices = sorted_slices(df, keys, order, ceil(largest / scale.chunk_rows))
     here = Window.partitionBy(*keys, SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = slices.withColumn("_here", F.sum(value).over(here))
     offsets = _slice_offsets(slices, keys, F.sum(value), "_offset")
@@ -94,10 +96,11 @@ def frame_chunks(
     after the window): each piece of a large key also holds the few rows that frames at its
     edge reach in the neighbouring piece.
     """
-    if largest_group(df, keys) <= scale.window_rows:
+    largest = largest_group(df, keys)
+    if largest <= scale.window_rows:
         return df.withColumn(CHUNK, F.lit(0).cast("long")).withColumn(BORROWED, F.lit(False))
     size = max(scale.chunk_rows, before, after, 1)
-    numbered = row_index(df, keys, order, "_index")
+    numbered = row_index(df, keys, order, "_index", ceil(largest / size))
     zero_based = F.col("_index") - 1
     home = F.floor(zero_based / size).cast("long")
     place = zero_based % size

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from math import floor
+from math import ceil, floor
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
@@ -14,19 +14,23 @@ from lynxrisk.functions.expr import first_match
 from lynxrisk.sources.session import settle
 
 
-def value_ranks(df: DataFrame, col: str) -> DataFrame:
+# more ranges than this do not make a global rank faster
+MOST_RANGES = 10_000
+
+
+def value_ranks(df: DataFrame, col: str, scale: Scale = Scale()) -> DataFrame:
     """Per distinct value: rows below it (``_below``), equal to it (``_ties``), in all (``_n``).
 
     Equal values are counted together first, so a frequent value is one row. The distinct
     values are cut into ranges at approximate quantiles (one number per range on the driver);
     each range is ranked by itself and shifted by the count of the ranges before it.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = settle(df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_ties")))
-    cuts = counts.approxQuantile(col, [i / parts for i in range(1, parts)], 0.2 / parts)
-    edges = [float("-inf"), *(sorted(set(cuts)) or [0.0]), float("inf")]
+    ranges = min(ceil(counts.count() / scale.rank_rows), MOST_RANGES)
+    cuts = counts.approxQuantile(col, [i / ranges for i in range(1, ranges)], 0.2 / ranges) if ranges > 1 else [0.0]
+    edges = [float("-inf"), *sorted(set(cuts)), float("inf")]
     ranged = Bucketizer(splits=edges, inputCol=col, outputCol="_range").transform(counts)
-    # one row per range: the number of shuffle partitions bounds these windows and the broadcast
+    # one row per range: these windows and the broadcast hold at most MOST_RANGES rows
     every = Window.orderBy("_range")
     earlier = every.rowsBetween(Window.unboundedPreceding, -1)
     all_ranges = every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -46,20 +50,18 @@ def value_ranks(df: DataFrame, col: str) -> DataFrame:
     )
 
 
-def percentile_rank_avg(df: DataFrame, col: str, out: str) -> DataFrame:
+def percentile_rank_avg(df: DataFrame, col: str, out: str, scale: Scale = Scale()) -> DataFrame:
     """Percentile 0..100 of the average rank; ties share their mean rank."""
     mean_rank = F.col("_below") + (F.col("_ties") + 1) / 2
-    return df.join(value_ranks(df, col), col, "left").withColumn(out, mean_rank / F.col("_n") * 100).drop("_below", "_ties", "_n")
+    ranked = df.join(value_ranks(df, col, scale), col, "left")
+    return ranked.withColumn(out, mean_rank / F.col("_n") * 100).drop("_below", "_ties", "_n")
 
 
-def percent_rank(df: DataFrame, col: str, out: str) -> DataFrame:
+def percent_rank(df: DataFrame, col: str, out: str, scale: Scale = Scale()) -> DataFrame:
     """(rank - 1) / (rows - 1), the SQL PERCENT_RANK over the whole table."""
     share = F.when(F.col("_n") > 1, F.col("_below") / (F.col("_n") - 1)).otherwise(F.lit(0.0))
-    return (
-        df.join(value_ranks(df, col), col, "left")
-        .withColumn(out, F.when(F.col(col).isNotNull(), share))
-        .drop("_below", "_ties", "_n")
-    )
+    ranked = df.join(value_ranks(df, col, scale), col, "left")
+    return ranked.withColumn(out, F.when(F.col(col).isNotNull(), share)).drop("_below", "_ties", "_n")
 
 
 def percentile_tier(percentile: str, cuts: tuple[float, float] = (75.0, 95.0)):

@@ -206,13 +206,13 @@ def add_vectors(features: DataFrame, cfg: RiskConfig) -> DataFrame:
 
 
 def add_tiers(scored: DataFrame, cfg: RiskConfig) -> DataFrame:
-    ranked = percentile_rank_avg(scored, "anomaly_score", "anomaly_percentile")
+    ranked = percentile_rank_avg(scored, "anomaly_score", "anomaly_percentile", cfg.scale)
     return ranked.withColumn("anomaly_tier", percentile_tier("anomaly_percentile", cfg.tier_cuts))
 
 
 def score(grid: DataFrame, vectors: DataFrame, centroids: DataFrame, cfg: RiskConfig, ctx: RunContext) -> DataFrame:
     """Cluster, score, percentile, tier and lineage for the vectors of a feature grid."""
-    scored = nearest_centroid(vectors, "feature_vector", centroids)
+    scored = nearest_centroid(vectors, "feature_vector", centroids, dims=len(C.VECTOR_FEATURES))
     # rows with the same behaviour must tie, whatever the order their sums were made in
     scored = settle(scored.withColumn("anomaly_score", F.round("anomaly_score", 9)))
     return add_tiers(scored, cfg).select(

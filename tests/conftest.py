@@ -10,7 +10,7 @@ from lynxrisk.config import RunContext, Scale  # noqa: E402
 from lynxrisk.sources.session import local_session  # noqa: E402
 
 # sizes at which every operator takes its distributed form on a handful of rows
-TINY = Scale(window_rows=5, chunk_rows=7, percentile_rows=5, quantile_rest=8)
+TINY = Scale(window_rows=5, chunk_rows=7, rank_rows=9, percentile_rows=5, quantile_rest=8)
 CTX = RunContext(dt.datetime(2026, 1, 31), "test", "run-t")
 
 

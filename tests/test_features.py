@@ -138,10 +138,14 @@ def test_kmeans_separates_planted_groups(spark):
         assert r.anomaly_score == pytest.approx(min(np.linalg.norm(np.array(r.v) - c) for c in model.values()))
 
 
-def test_equal_distance_takes_the_lower_id(spark):
+@pytest.mark.parametrize("dims", [None, 1])
+def test_equal_distance_takes_the_lower_id(spark, dims):
     centers = spark.createDataFrame([(1, [2.0]), (0, [0.0])], clustering.CENTROID_SCHEMA)
-    row = clustering.nearest_centroid(spark.createDataFrame([([1.0],)], "v array<double>"), "v", centers).first()
+    point = spark.createDataFrame([([1.0],)], "v array<float>")
+    row = clustering.nearest_centroid(point, "v", centers, dims=dims).first()
     assert (row.cluster_id, row.anomaly_score) == (0, 1.0)
+    one = clustering.nearest_centroid(point, "v", centers.filter("cluster_id = 1"), dims=dims).first()
+    assert (one.cluster_id, one.anomaly_score) == (1, 1.0)
 
 
 def test_unknown_peer_group_gives_zero_features(spark):

@@ -72,17 +72,19 @@ def scores(spark):
     return values, spark.createDataFrame(list(enumerate(values)), "id int, x double")
 
 
-def test_average_rank(scores):
+@pytest.mark.parametrize("scale", [Scale(), TINY])
+def test_average_rank(scores, scale):
     values, df = scores
     n = len(values)
     expect = {i: (sum(w < v for w in values) + (sum(w == v for w in values) + 1) / 2) / n * 100 for i, v in enumerate(values)}
-    for r in R.percentile_rank_avg(df, "x", "p").collect():
+    for r in R.percentile_rank_avg(df, "x", "p", scale).collect():
         assert r.p == pytest.approx(expect[r.id], abs=1e-9)
 
 
-def test_percent_rank(scores):
+@pytest.mark.parametrize("scale", [Scale(), TINY])
+def test_percent_rank(scores, scale):
     values, df = scores
-    for r in R.percent_rank(df, "x", "p").collect():
+    for r in R.percent_rank(df, "x", "p", scale).collect():
         assert r.p == pytest.approx(sum(w < values[r.id] for w in values) / (len(values) - 1), abs=1e-12)
 
 

@@ -111,6 +111,43 @@ SIGNAL_PHRASES = {
 }
 NO_SIGNAL_PHRASE = "multi-domain behavioral drift without single dominant signal"
 
+# feature values beyond which a phrase is said
+SIGNAL_Z = 1.5
+SIGNAL_LATE_GAP = 0.2
+SIGNAL_COMMS_UP = 0.5
+SIGNAL_COMMS_DOWN = -0.3
+SIGNAL_SENTIMENT = -0.2
+
+# weekly scores: weight of each count or maximum
+LOCATION_WEIGHTS = {"anomaly": 0.15, "incongruity": 0.10}
+LIFESTYLE_WEIGHTS = {"event": 0.05, "incongruity": 0.30}
+FINANCIAL_WEIGHTS = {"record": 0.10, "stress": 0.15}
+DARKWEB_WEIGHTS = {"detection": 0.15}
+
+# texts of the weekly tables; each %s is a value
+NARRATIVES = {
+    "twitter": "Weekly sentiment avg=%s vs 30d baseline=%s",
+    "location": "Anomaly locations=%s incongruent=%s",
+    "lifestyle": "Events=%s max_incongruity=%s 30d_spend=$%s",
+    "financial": "Public records=%s cumulative_stress=%s",
+    "darkweb": "Detections=%s max_severity=%s",
+    "composite": "Composite=%s driver=%s",
+}
+
+# sentiment trends from falling to rising, and kinds of place in order of precedence
+TRENDS = {"sharp": "declining_sharply", "slight": "declining", "up": "improving", "none": "stable"}
+PLACE_KINDS = {
+    "sensitive": "sensitive_government",
+    "hub": "travel_hub",
+    "away": "unusual_travel",
+    "check_in": "standard_checkin",
+    "other": "standard",
+}
+
+# hours: working day of a post (both inside), and the first and last hour that is not "after hours"
+WORK_HOURS = (9, 17)
+DAY_HOURS = (8, 17)
+
 
 # ---------------------------------------------------------------------------
 # Tunable settings, with the reference run's numbers as defaults.

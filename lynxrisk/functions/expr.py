@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lynxrisk.config import DAY_HOURS
+
 
 def contains_any(text: Column, words: Sequence[str]) -> Column:
     """Case-insensitive substring test against several words; NULL text gives NULL."""
@@ -59,6 +61,15 @@ def fixed(x: Column, digits: int) -> Column:
     return F.round(F.round(x, 12), digits).cast(f"decimal(38,{digits})").cast("string")
 
 
+def filled(template: str, *values: Column) -> Column:
+    """A text with its %s replaced by the values; a NULL value makes the whole NULL."""
+    first, *others = template.split("%s")
+    pieces = [F.lit(first)]
+    for value, text in zip(values, others, strict=True):
+        pieces += [value, F.lit(text)]
+    return F.concat(*pieces)
+
+
 # --- identifiers -----------------------------------------------------------
 
 
@@ -99,7 +110,7 @@ def day_number(day: Column) -> Column:
 
 
 def after_hours(ts: Column) -> Column:
-    return (F.hour(ts) < 8) | (F.hour(ts) >= 18)
+    return ~F.hour(ts).between(*DAY_HOURS)
 
 
 def on_weekend(ts: Column) -> Column:

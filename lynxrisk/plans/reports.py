@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lynxrisk import config as C
@@ -131,15 +131,15 @@ def signal_summary() -> Column:
     """The conspicuous signals of a row as one sentence."""
     say, col = C.SIGNAL_PHRASES, F.col
     rules = [
-        (F.abs(col("badge_swipes_outlier")) > 1.5, say["badge"]),
-        (col("after_hours_pacs_score") > 0.2, say["after_hours_badge"]),
-        (col("after_hours_network_score") > 0.2, say["after_hours_network"]),
-        (col("usb_exfiltration_score") > 1.5, say["usb"]),
-        (col("file_movement_outlier") > 1.5, say["files"]),
-        (col("vpn_anomaly_score") > 1.5, say["vpn"]),
-        (col("comms_volume_delta") > 0.5, say["comms_up"]),
-        (col("comms_volume_delta") < -0.3, say["comms_down"]),
-        (col("sentiment_trend") < -0.2, say["sentiment"]),
+        (F.abs(col("badge_swipes_outlier")) > C.SIGNAL_Z, say["badge"]),
+        (col("after_hours_pacs_score") > C.SIGNAL_LATE_GAP, say["after_hours_badge"]),
+        (col("after_hours_network_score") > C.SIGNAL_LATE_GAP, say["after_hours_network"]),
+        (col("usb_exfiltration_score") > C.SIGNAL_Z, say["usb"]),
+        (col("file_movement_outlier") > C.SIGNAL_Z, say["files"]),
+        (col("vpn_anomaly_score") > C.SIGNAL_Z, say["vpn"]),
+        (col("comms_volume_delta") > C.SIGNAL_COMMS_UP, say["comms_up"]),
+        (col("comms_volume_delta") < C.SIGNAL_COMMS_DOWN, say["comms_down"]),
+        (col("sentiment_trend") < C.SIGNAL_SENTIMENT, say["sentiment"]),
         (col("impossible_travel_flag"), say["travel"]),
         (col("clearance_anomaly_flag"), say["clearance"]),
     ]
@@ -152,8 +152,6 @@ def case_narratives(top: DataFrame, n: int = 10) -> DataFrame:
 
     The rank orders the few rows of the report, which its own limit bounds.
     """
-    from pyspark.sql import Window
-
     order = Window.orderBy(F.desc("anomaly_score"), "employee_id")
     ranked = top.withColumn("case_no", F.row_number().over(order)).filter(F.col("case_no") <= n)
     unknown = lambda name: F.coalesce(F.col(name), F.lit("Unknown"))

@@ -355,18 +355,18 @@ def silver_geo_anomalies(
     sensitive = contains_any(place, rules.sensitive)
     kind = first_match(
         [
-            (sensitive, "sensitive_government"),
-            (contains_any(place, rules.hubs), "travel_hub"),
-            (away, "unusual_travel"),
-            (F.col("post_type") == "check_in", "standard_checkin"),
+            (sensitive, C.PLACE_KINDS["sensitive"]),
+            (contains_any(place, rules.hubs), C.PLACE_KINDS["hub"]),
+            (away, C.PLACE_KINDS["away"]),
+            (F.col("post_type") == "check_in", C.PLACE_KINDS["check_in"]),
         ],
-        "standard",
+        C.PLACE_KINDS["other"],
     )
     ok = _found(tagged).select(
         *_external_prefix("instagram", "post_id", [F.col("post_id"), F.col("handle")], ctx),
         kind.alias("classified_location_type"),
         F.coalesce(sensitive | away, F.lit(False)).alias("anomaly_flag"),
-        F.hour(_SCRAPED).between(9, 17).alias("work_hours_flag"),
+        F.hour(_SCRAPED).between(*C.WORK_HOURS).alias("work_hours_flag"),
         F.coalesce(contains_any(place, rules.luxury), F.lit(False)).alias("incongruity_flag"),
     )
     return Resolved(ok, _external_dead(tagged, "instagram", "post_id", F.lit("social_handle"), ctx))

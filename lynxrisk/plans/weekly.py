@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lynxrisk import config as C
 from lynxrisk.config import RiskConfig
-from lynxrisk.functions.expr import clip, count_true, first_match, fixed, week_start
+from lynxrisk.functions.expr import clip, count_true, filled, first_match, fixed, week_start
 from lynxrisk.operators.grid import gather
 
 WEEK, EMPLOYEE = "week_start_date", "employee_id"
@@ -38,17 +38,15 @@ def weekly_twitter(sv_pai: DataFrame, cfg: RiskConfig = RiskConfig()) -> DataFra
     tagged = sv_pai.filter(F.col("emotion_tags").isNotNull()).withColumn(WEEK, week_start(F.col("event_date")))
     emotions = top_item(tagged, KEYS, "emotion_tags", "primary_emotion")
     trend = first_match(
-        [(change < -sharp, "declining_sharply"), (change < -slight, "declining"), (change > slight, "improving")],
-        "stable",
+        [(change < -sharp, C.TRENDS["sharp"]), (change < -slight, C.TRENDS["slight"]), (change > slight, C.TRENDS["up"])],
+        C.TRENDS["none"],
     )
     return based.join(emotions, KEYS, "left").select(
         *KEYS,
         trend.alias("sentiment_trend"),
         clip((F.col("_base") - F.col("_avg") + 1.0) / 2.0, 0.0, 1.0).alias("sentiment_risk_score"),
         "primary_emotion",
-        F.concat(
-            F.lit("Weekly sentiment avg="), fixed(F.col("_avg"), 3), F.lit(" vs 30d baseline="), fixed(F.col("_base"), 3)
-        ).alias("risk_narrative"),
+        filled(C.NARRATIVES["twitter"], fixed(F.col("_avg"), 3), fixed(F.col("_base"), 3)).alias("risk_narrative"),
     )
 
 
@@ -63,13 +61,13 @@ def weekly_location(anomalies: DataFrame) -> DataFrame:
         count_true(F.col("work_hours_flag")).alias("work_hours_absence_count"),
         count_true(F.col("incongruity_flag")).alias("_incongruent"),
     )
-    found, odd = F.col("sensitive_location_count"), F.col("_incongruent")
+    found, odd, weights = F.col("sensitive_location_count"), F.col("_incongruent"), C.LOCATION_WEIGHTS
     return weeks.select(
         *KEYS,
         "sensitive_location_count",
         "work_hours_absence_count",
-        _capped(found * 0.15 + odd * 0.10).alias("location_risk_score"),
-        F.concat(F.lit("Anomaly locations="), found, F.lit(" incongruent="), odd).alias("risk_narrative"),
+        _capped(found * weights["anomaly"] + odd * weights["incongruity"]).alias("location_risk_score"),
+        filled(C.NARRATIVES["location"], found, odd).alias("risk_narrative"),
     )
 
 
@@ -82,12 +80,11 @@ def weekly_lifestyle(signals: DataFrame) -> DataFrame:
     n, top, spend = (
         F.col(c) for c in ("incongruity_event_count", "max_incongruity_score", "cumulative_30day_spend")
     )
+    weights = C.LIFESTYLE_WEIGHTS
     return weeks.select(
         "*",
-        _capped(n * 0.05 + top * 0.30).alias("lifestyle_risk_score"),
-        F.concat(
-            F.lit("Events="), n, F.lit(" max_incongruity="), fixed(top, 3), F.lit(" 30d_spend=$"), spend
-        ).alias("risk_narrative"),
+        _capped(n * weights["event"] + top * weights["incongruity"]).alias("lifestyle_risk_score"),
+        filled(C.NARRATIVES["lifestyle"], n, fixed(top, 3), spend).alias("risk_narrative"),
     )
 
 
@@ -96,11 +93,11 @@ def weekly_financial(records: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("active_record_count"),
         F.max("cumulative_stress_score").alias("cumulative_stress_score"),
     )
-    n, stress = F.col("active_record_count"), F.col("cumulative_stress_score")
+    n, stress, weights = F.col("active_record_count"), F.col("cumulative_stress_score"), C.FINANCIAL_WEIGHTS
     return weeks.select(
         "*",
-        _capped(n * 0.10 + stress * 0.15).alias("financial_risk_score"),
-        F.concat(F.lit("Public records="), n, F.lit(" cumulative_stress="), fixed(stress, 3)).alias("risk_narrative"),
+        _capped(n * weights["record"] + stress * weights["stress"]).alias("financial_risk_score"),
+        filled(C.NARRATIVES["financial"], n, fixed(stress, 3)).alias("risk_narrative"),
     )
 
 
@@ -119,8 +116,8 @@ def weekly_darkweb(detections: DataFrame) -> DataFrame:
         *KEYS,
         "detection_count",
         "max_severity",
-        _capped(n * 0.15 + F.col("_part")).alias("darkweb_risk_score"),
-        F.concat(F.lit("Detections="), n, F.lit(" max_severity="), F.col("_word")).alias("risk_narrative"),
+        _capped(n * C.DARKWEB_WEIGHTS["detection"] + F.col("_part")).alias("darkweb_risk_score"),
+        filled(C.NARRATIVES["darkweb"], n, F.col("_word")).alias("risk_narrative"),
     )
 
 
@@ -173,7 +170,5 @@ def composite(internal: DataFrame, streams: Mapping[str, DataFrame]) -> DataFram
         F.lit(False).alias("tier_change_flag"),
         "primary_signal_driver",
         pick(1).alias("recommended_action"),
-        F.concat(F.lit("Composite="), fixed(value, 4), F.lit(" driver="), F.col("primary_signal_driver")).alias(
-            "composite_narrative"
-        ),
+        filled(C.NARRATIVES["composite"], fixed(value, 4), F.col("primary_signal_driver")).alias("composite_narrative"),
     )

@@ -129,19 +129,21 @@ def gold_stats(gold: DataFrame) -> DataFrame:
 
 def signal_summary() -> Column:
     """The conspicuous signals of a row as one sentence."""
-    say, col = C.SIGNAL_PHRASES, F.col
+    say = C.SIGNAL_PHRASES
+    # a value at a threshold must not pass it by the noise of a sum
+    value = lambda name: F.round(F.col(name), 9)
     rules = [
-        (F.abs(col("badge_swipes_outlier")) > C.SIGNAL_Z, say["badge"]),
-        (col("after_hours_pacs_score") > C.SIGNAL_LATE_GAP, say["after_hours_badge"]),
-        (col("after_hours_network_score") > C.SIGNAL_LATE_GAP, say["after_hours_network"]),
-        (col("usb_exfiltration_score") > C.SIGNAL_Z, say["usb"]),
-        (col("file_movement_outlier") > C.SIGNAL_Z, say["files"]),
-        (col("vpn_anomaly_score") > C.SIGNAL_Z, say["vpn"]),
-        (col("comms_volume_delta") > C.SIGNAL_COMMS_UP, say["comms_up"]),
-        (col("comms_volume_delta") < C.SIGNAL_COMMS_DOWN, say["comms_down"]),
-        (col("sentiment_trend") < C.SIGNAL_SENTIMENT, say["sentiment"]),
-        (col("impossible_travel_flag"), say["travel"]),
-        (col("clearance_anomaly_flag"), say["clearance"]),
+        (F.abs(value("badge_swipes_outlier")) > C.SIGNAL_Z, say["badge"]),
+        (value("after_hours_pacs_score") > C.SIGNAL_LATE_GAP, say["after_hours_badge"]),
+        (value("after_hours_network_score") > C.SIGNAL_LATE_GAP, say["after_hours_network"]),
+        (value("usb_exfiltration_score") > C.SIGNAL_Z, say["usb"]),
+        (value("file_movement_outlier") > C.SIGNAL_Z, say["files"]),
+        (value("vpn_anomaly_score") > C.SIGNAL_Z, say["vpn"]),
+        (value("comms_volume_delta") > C.SIGNAL_COMMS_UP, say["comms_up"]),
+        (value("comms_volume_delta") < C.SIGNAL_COMMS_DOWN, say["comms_down"]),
+        (value("sentiment_trend") < C.SIGNAL_SENTIMENT, say["sentiment"]),
+        (F.col("impossible_travel_flag"), say["travel"]),
+        (F.col("clearance_anomaly_flag"), say["clearance"]),
     ]
     phrases = F.array_compact(F.array(*[F.when(test, F.lit(text)) for test, text in rules]))
     return F.when(F.size(phrases) > 0, F.array_join(phrases, "; ")).otherwise(F.lit(C.NO_SIGNAL_PHRASE))

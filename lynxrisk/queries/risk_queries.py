@@ -269,15 +269,15 @@ def catalog(f: Feeds) -> DataFrame:
 
 
 _SIGNALS = """concat_ws('; ',
-    CASE WHEN abs(badge_swipes_outlier) > 1.5 THEN 'unusual physical access frequency' END,
-    CASE WHEN after_hours_pacs_score > 0.2 THEN 'elevated after-hours badge activity' END,
-    CASE WHEN after_hours_network_score > 0.2 THEN 'elevated after-hours network sessions' END,
-    CASE WHEN usb_exfiltration_score > 1.5 THEN 'anomalous USB write volume' END,
-    CASE WHEN file_movement_outlier > 1.5 THEN 'unusual file movement activity' END,
-    CASE WHEN vpn_anomaly_score > 1.5 THEN 'irregular VPN usage pattern' END,
-    CASE WHEN comms_volume_delta > 0.5 THEN 'significant week-over-week communications spike'
-         WHEN comms_volume_delta < -0.3 THEN 'sudden drop in communications volume' END,
-    CASE WHEN sentiment_trend < -0.2 THEN 'declining public sentiment trend' END,
+    CASE WHEN abs(round(badge_swipes_outlier, 9)) > 1.5 THEN 'unusual physical access frequency' END,
+    CASE WHEN round(after_hours_pacs_score, 9) > 0.2 THEN 'elevated after-hours badge activity' END,
+    CASE WHEN round(after_hours_network_score, 9) > 0.2 THEN 'elevated after-hours network sessions' END,
+    CASE WHEN round(usb_exfiltration_score, 9) > 1.5 THEN 'anomalous USB write volume' END,
+    CASE WHEN round(file_movement_outlier, 9) > 1.5 THEN 'unusual file movement activity' END,
+    CASE WHEN round(vpn_anomaly_score, 9) > 1.5 THEN 'irregular VPN usage pattern' END,
+    CASE WHEN round(comms_volume_delta, 9) > 0.5 THEN 'significant week-over-week communications spike'
+         WHEN round(comms_volume_delta, 9) < -0.3 THEN 'sudden drop in communications volume' END,
+    CASE WHEN round(sentiment_trend, 9) < -0.2 THEN 'declining public sentiment trend' END,
     CASE WHEN impossible_travel_flag THEN 'impossible travel detected (geospatial anomaly)' END,
     CASE WHEN clearance_anomaly_flag THEN 'security clearance status change or reinvestigation flag' END)"""
 

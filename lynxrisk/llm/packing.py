@@ -9,9 +9,9 @@ the open sequences, and a lost task is run again with the same result from the s
 
 from __future__ import annotations
 
+import base64
 import os
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +19,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+# Fixed value: how a byte-level BPE of this kind parts a text before merging (a rank file doesn't say).
+PARTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
 OPEN = 64
 #: Texts are given to the tokenizer in groups of about so many characters.
 GROUP_CHARS = 2_000_000
@@ -68,6 +71,26 @@ def cut(length: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first), *((start, capacity) for start in range(first, length, capacity))]
 
 
+def encoder(path: str) -> Callable[[list[str]], Iterator[np.ndarray]]:
+    """Token ids of texts by a vocabulary file: a tokenizer (.json), or byte-level BPE ranks (.tiktoken).
+
+    Of one vocabulary both give the same ids; ranks need a third of the time. Special tokens in a text are ordinary text.
+    """
+    if path.endswith(".tiktoken"):
+        import tiktoken
+
+        with open(path, "rb") as file:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
+        by_rank = tiktoken.Encoding("ranks", pat_str=PARTS, mergeable_ranks=ranks, special_tokens={})
+        return lambda texts: (np.array(by_rank.encode_ordinary(t), dtype="<u4") for t in texts)
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    return lambda texts: (np.array(e.ids, dtype="<u4") for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False))
+
+
 def _groups(texts: list[str]) -> Iterator[list[str]]:
     group, chars = [], 0
     for text in texts:
@@ -92,7 +115,7 @@ def pack(
     A document is the ids of its text and ``end_id``; a null or empty text is ``end_id`` alone. Only documents of more than
     ``capacity`` tokens are cut. ``ids`` holds a piece's ids as little-endian unsigned 32-bit numbers. Sequences are numbered
     by task, and have no gaps from offset 0. Repeated rows and a null doc_id are packed like any other; other columns are not read.
-    The tokenizer file is read on the executors. Special tokens in a text are ordinary text.
+    The vocabulary file (see ``encoder``) is read on the executors.
     """
     schema = T.StructType(
         [
@@ -107,19 +130,15 @@ def pack(
     )
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(tokenizer_path)
-        tokenizer.encode_special_tokens = True
+        encode = encoder(tokenizer_path)
         fit = BestFit(capacity, most_open)
         first = TaskContext.get().partitionId() << 40
         for batch in batches:
             row = 0
             for group in _groups([t or "" for t in batch.column("text").to_pylist()]):
                 out: list[tuple] = []
-                for code in tokenizer.encode_batch_fast(group, add_special_tokens=False):
-                    tokens = np.fromiter(chain(code.ids, (end_id,)), dtype="<u4")
+                for ids in encode(group):
+                    tokens = np.append(ids, np.uint32(end_id))
                     for piece, (start, length) in enumerate(cut(len(tokens), capacity)):
                         sequence, offset = fit.place(length)
                         out.append((row, piece, start, length, tokens[start : start + length].tobytes(), first + sequence, offset))

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from lynxrisk.llm import chat, hamming_search, langid, line_dedup, mixing, packing, quality, secret_scan, sharding, simhash
 from lynxrisk.llm.common import text_or_empty
 
-TOKENIZER = "byte_bpe_50k.json"
+#: The ranks of byte_bpe_50k.json, which give the same ids (tested) in a third of the time.
+TOKENIZER = "byte_bpe_50k.tiktoken"
 
 
 def tokenizer_path() -> str:

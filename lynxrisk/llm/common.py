@@ -11,8 +11,8 @@ from lynxrisk.sources.session import settle
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: A table of up to so many rows may be broadcast; it is counted first.
-SMALL_ROWS = 200_000
+#: A table of up to so many values may be broadcast; they are counted first. About 30 MB.
+SMALL_VALUES = 4_000_000
 
 
 def text_or_empty(text: Column) -> Column:
@@ -25,8 +25,12 @@ def n_words(text: Column) -> Column:
 
 
 def words(text: Column) -> Column:
-    """The words of a text, in order, as an array."""
-    return F.filter(F.split(text, SPACE, -1), lambda w: w != "")
+    """The words of a text, in order, as an array. Where blanks are the only white space, a plain split is enough."""
+    other = F.lit(False)
+    for c in "\t\x0b\x0c\r\n":
+        other = other | F.contains(text, F.lit(c))
+    parts = F.when(other, F.split(text, SPACE, -1)).otherwise(F.split(text, " ", -1))
+    return F.filter(parts, lambda w: w != "")
 
 
 def uniform(*parts: Column) -> Column:
@@ -38,12 +42,15 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def small_join(df: DataFrame, small: DataFrame, on: Column, how: str = "inner") -> DataFrame:
-    """Join with a table written before, broadcast only if its counted rows are few.
+def small_join(df: DataFrame, small: DataFrame, on: Column, how: str = "inner", lists: str | None = None) -> DataFrame:
+    """Join with a table written before, broadcast only if its counted values are few.
 
-    A larger table is joined by shuffle, where adaptive execution splits a hot key.
+    Values are its rows times its columns, and the elements of the column ``lists``. A larger table is joined by shuffle, where
+    adaptive execution splits a hot key.
     """
-    few = small.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS
+    elements = F.sum(F.size(lists)) if lists else F.lit(0)
+    rows, more = small.agg(F.count("*"), elements).first()
+    few = rows * len(small.columns) + (more or 0) <= SMALL_VALUES
     return df.join(F.broadcast(small) if few else small, on, how)
 
 
@@ -54,4 +61,4 @@ def replace(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*kept, *[v.alias(k) for k, v in columns.items()])
 
 
-__all__ = ["SMALL_ROWS", "SPACE", "WORD", "n_words", "partitions", "replace", "settle", "small_join", "text_or_empty", "uniform", "words"]
+__all__ = ["SMALL_VALUES", "SPACE", "WORD", "n_words", "partitions", "replace", "settle", "small_join", "text_or_empty", "uniform", "words"]

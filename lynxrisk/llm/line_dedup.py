@@ -27,18 +27,18 @@ from lynxrisk.llm.common import SPACE, WORD, settle, small_join, text_or_empty,
 SHINGLE = 5
 #: Least Jaccard similarity of linked lines, as a fraction.
 NUMERATOR, DENOMINATOR = 4, 5
-SKETCH = 1 << 16
+SKETCH_BITS = 15
 #: How many postings before each are looked at without a join.
 NEAR = 6
 _LINE_WITH_SHINGLE = f"(?:{WORD}{SPACE}){{{SHINGLE - 1}}}{WORD}"
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, line_no, line): lower-cased lines of at least five words."""
+    """(doc_id, text_hash, line_no, line): lines of at least five words."""
     parts = docs.select(
         "doc_id",
         F.xxhash64("text").alias("text_hash"),
-        F.posexplode(F.split(F.lower(text_or_empty(F.col("text"))), "\n", -1)).alias("line_no", "line"),
+        F.posexplode(F.split(text_or_empty(F.col("text")), "\n", -1)).alias("line_no", "line"),
     )
     return parts.filter(F.col("line").rlike(_LINE_WITH_SHINGLE))
 
@@ -55,19 +55,26 @@ def _shingles(line: Column) -> Column:
 
 
 def rarity_sketch(table: DataFrame) -> Column:
-    """Sizes (in quarters of an octave) of a fixed number of buckets that all shingles are counted in, as a constant: one byte for each."""
+    """All shingles counted in a fixed number of buckets, by the first bits of their hash; as a constant array.
+
+    An entry is the count in quarters of an octave, in the highest byte of a long.
+    """
     tokens = table.select(F.explode(_shingles(F.col("line"))).alias("t"))
-    counts = tokens.groupBy(F.pmod("t", F.lit(SKETCH)).alias("bucket")).agg(F.count("*").alias("n"))
-    level = F.least(F.floor(F.log2("n") * 4), F.lit(126)).cast("int")
-    found = dict(counts.select("bucket", level).collect())  # at most SKETCH rows
-    return F.lit(bytearray(found.get(i, 0) for i in range(SKETCH)))
+    counts = tokens.groupBy(F.shiftrightunsigned("t", 64 - SKETCH_BITS).cast("int").alias("bucket")).agg(F.count("*").alias("n"))
+    level = F.least(F.floor(F.log2("n") * 4), F.lit(126)).cast("long")
+    found = dict(counts.select("bucket", level).collect())  # at most 2 ** SKETCH_BITS rows
+    levels = ",".join(str(found.get(i, 0) << 56) for i in range(1 << SKETCH_BITS))
+    return F.split(F.lit(levels), ",").cast("array<bigint>")
 
 
 def token_sets(table: DataFrame, sketch: Column) -> DataFrame:
-    """Lines with ``tokens``: their different shingles, rarest first. A token is its rarity (high bits) and 56 bits of its hash."""
-    rarity = lambda t: F.ascii(F.substring(sketch, F.pmod(t, F.lit(SKETCH)).cast("int") + 1, 1).cast("string"))
-    code = lambda t: rarity(t).cast("long") * F.lit(1 << 56) + F.shiftrightunsigned(t, 8)
-    return table.withColumn("tokens", F.array_sort(F.array_distinct(F.transform(_shingles(F.col("line")), code)))).drop("line")
+    """Lines with ``tokens``: their different shingles, rarest first. A token is its rarity (high byte) and 56 bits of its hash."""
+
+    def code(t: Column) -> Column:
+        rarity = F.element_at(sketch, F.shiftrightunsigned(t, 64 - SKETCH_BITS).cast("int") + 1)
+        return rarity.bitwiseOR(F.shiftrightunsigned(t, 8))
+
+    return table.withColumn("tokens", F.sort_array(F.array_distinct(F.transform(_shingles(F.col("line")), code)))).drop("line")
 
 
 def _key(tokens: str) -> list[Column]:
@@ -86,7 +93,7 @@ def line_classes(sets: DataFrame) -> DataFrame:
     rows = sets.select(
         *_key("tokens"),
         n.alias("n"),
-        F.transform(prefix, lambda t: t.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("prefix"),
+        prefix.alias("prefix"),
         parity.alias("parity"),
         _position(F.col("doc_id"), F.col("text_hash"), F.col("line_no")).alias("first"),
     )
@@ -131,13 +138,15 @@ def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.filter(common * DENOMINATOR >= union * NUMERATOR).select("x", "y")
 
 
-def classes_with_earlier(classes: DataFrame, sets: DataFrame) -> DataFrame:
-    """(id) of classes that have an earlier similar class; ``sets`` are the lines with their tokens."""
+def classes_with_earlier(classes: DataFrame, table: DataFrame, sketch: Column) -> DataFrame:
+    """(id) of classes that have an earlier similar class; ``table`` has the lines."""
     shared = _shared(classes)
-    wanted = settle(classes.join(shared.select("id").distinct(), "id", "left_semi").select("id", F.col("h1").alias("k1"), F.col("h2").alias("k2"), "first"))
-    keyed = sets.select(*_key("tokens"), _position(F.col("doc_id"), F.col("text_hash"), F.col("line_no")).alias("here"), "tokens")
-    same = (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")) & F.col("here").eqNullSafe(F.col("first"))
-    token_table = settle(small_join(keyed, wanted, same).select("id", "tokens").dropDuplicates(["id"]))
+    # a class's tokens are made again from its first line, which its place tells
+    wanted = settle(classes.join(shared.select("id").distinct(), "id", "left_semi").select("id", "first.*"))
+    wanted = wanted.select("id", F.col("doc_id").alias("w_id"), F.col("text_hash").alias("w_hash"), F.col("line_no").alias("w_line"))
+    there = F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_hash")) & (F.col("line_no") == F.col("w_line"))
+    first_lines = small_join(table, wanted, there).select("id", "line")
+    token_table = settle(token_sets(first_lines, sketch).dropDuplicates(["id"]))
 
     posting = F.struct("id", "n", "at", "parity").alias("p")
     listed = shared.select("t", "first", posting)
@@ -169,22 +178,22 @@ def _linkable(x: str, y: Column) -> Column:
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """All rows and columns, with the text less its lines that are similar to an earlier line, and n_lines, n_removed (long).
 
-    Lines end at \\n. Their order is that of doc_id (null last), then of a hash of the text, then in the text. A line of five words or more goes if
+    Lines end at \\n. Their order is that of doc_id (null last), then of a hash of the text, then in the text. A line of five words or more (as they stand, capitals count) goes if
     an earlier line, kept or not, of this or another document has the same shingles or a Jaccard similarity of at least
     4/5; shorter and empty lines stay. A document whose lines all go has an empty text. A null text stays null (0 lines). Rows
     that are equal in doc_id and text are one document here: they are treated alike. An empty table gives an empty result. Input columns
     named n_lines or n_removed are replaced.
     """
     table = lines(docs)
-    sets = token_sets(table, rarity_sketch(table))
-    classes = line_classes(sets)
-    removed = classes_with_earlier(classes, sets)
+    sketch = rarity_sketch(table)
+    classes = line_classes(token_sets(table, sketch))
+    removed = classes_with_earlier(classes, table, sketch)
     kept = classes.join(removed, "id", "left_anti").select("first.*")
     by_doc = settle(kept.groupBy("doc_id", "text_hash").agg(F.collect_set("line_no").alias("kept")).select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"), "kept"))
 
     rows = docs.select(F.struct("*").alias("row"))
     same = F.col("row.doc_id").eqNullSafe(F.col("kept_id")) & (F.xxhash64("row.text") == F.col("kept_hash"))
-    joined = small_join(rows, by_doc, same, "left")
+    joined = small_join(rows, by_doc, same, "left", lists="kept")
     numbered = F.transform(F.split(F.col("row.text").cast("string"), "\n", -1), lambda line, i: F.struct(line.alias("line"), i.alias("i")))
     stays = F.filter(
         numbered,

@@ -172,8 +172,6 @@ class Scale:
     window_rows: int = 5_000_000
     # rows per piece when a larger key is cut
     chunk_rows: int = 1_000_000
-    # different values that one task of a global rank orders
-    rank_rows: int = 2_000_000
     # row count up to which the built-in exact percentile is used
     percentile_rows: int = 1_000_000
     # values a quantile search may leave to be sorted at the end
@@ -194,7 +192,6 @@ class RiskConfig:
     clusters: int = 5
     max_iterations: int = 20
     tolerance: float = 1e-3
-    seed: int = 42
     tier_cuts: tuple[float, float] = (75.0, 95.0)
     trend_cuts: tuple[float, float] = (0.25, 0.08)
     baseline_weeks: int = 5

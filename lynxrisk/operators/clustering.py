@@ -1,80 +1,94 @@
-"""k-means: training with MLlib, scoring as a column expression."""
+"""k-means: training on DataFrames, scoring as a column expression."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lynxrisk.sources.session import settle
+
 CENTROID_SCHEMA = "cluster_id int, centroid array<double>"
+#: Components are averaged as decimals, whose sums don't depend on the order of the rows, and rounded.
+DECIMAL, DIGITS = "decimal(28, 12)", 9
+
 
+@dataclass(frozen=True)
+class Training:
+    """Centroids (cluster_id, centroid), and one row (rounds, reassigned, objective) that says how it went."""
 
-def fit_centroids(
-    df: DataFrame, vec: str, k: int = 5, max_iter: int = 20, tol: float = 1e-3, seed: int = 42
-) -> DataFrame:
-    """Centroids as rows (cluster_id, centroid), numbered in lexicographic order.
+    centroids: DataFrame
+    summary: DataFrame
 
-    Only the vector column is kept for the iterations; k rows come back to the driver.
+
+def train(df: DataFrame, vec: str, k: int = 5, max_iter: int = 20, tol: float = 1e-3) -> Training:
+    """k-means from a start that depends on the vectors alone: the least vector, then the farthest from those chosen.
+
+    Rounds go on until at most the share ``tol`` of the rows changes its cluster, or ``max_iter`` rounds are done; a
+    negative ``tol`` does them all. The same rows give the same centroids, however they are partitioned. Each round is one pass over
+    written vectors and a grouping by cluster; k vectors come back to the driver. NULL vectors are left out. Fewer than k
+    different vectors give as many centroids. Centroids are numbered in lexicographic order. ``objective`` is the sum of
+    squared distances to the last centroids.
     """
-    vectors = df.select(array_to_vector(F.col(vec)).alias("features")).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = KMeans(k=k, maxIter=max_iter, tol=tol, seed=seed, initMode="k-means||").fit(vectors)
-    finally:
-        vectors.unpersist()
-    centers = sorted([float(x) for x in c] for c in model.clusterCenters())
-    return df.sparkSession.createDataFrame(list(enumerate(centers)), CENTROID_SCHEMA)
+    spark = df.sparkSession
+    numbers = F.transform(F.col(vec), lambda x: x.cast("double"))
+    points = settle(df.filter(F.col(vec).isNotNull()).select(numbers.alias("v")))
+    table = lambda rows: spark.createDataFrame([(i, list(c)) for i, c in enumerate(rows)], CENTROID_SCHEMA)
+    first = points.agg(F.min("v")).first()[0]
+    centers = [first] if first is not None else []
+    while centers and len(centers) < k:
+        apart = nearest_centroid(points, "v", table(centers)).select("v", F.round("anomaly_score", DIGITS).alias("d"))
+        far = apart.agg(F.max_by(F.struct("v", "d"), F.struct("d", "v"))).first()[0]
+        if far is None or far.d <= 0:
+            break
+        centers.append(far.v)
+    rounds, reassigned, objective = 0, 0.0, 0.0
+    while centers and rounds < max_iter:
+        old = table(centers)
+        assigned = nearest_centroid(points, "v", old)
+        means = dict(map(tuple, mean_centroids(assigned, "cluster_id", "v", len(first)).collect()))  # k rows
+        centers = [means.get(i, c) for i, c in enumerate(centers)]
+        rounds += 1
+        now = nearest_centroid(assigned.select("v", F.col("cluster_id").alias("was")), "v", table(centers))
+        moved = now.agg(F.avg((F.col("was") != F.col("cluster_id")).cast("double")), F.sum(F.pow("anomaly_score", F.lit(2)))).first()
+        reassigned, objective = moved
+        if reassigned <= tol:
+            break
+    summary = spark.createDataFrame([(rounds, float(reassigned), float(objective))], "rounds int, reassigned double, objective double")
+    return Training(table(sorted(centers)), summary)
 
 
 def mean_centroids(df: DataFrame, label: str, vec: str, dims: int) -> DataFrame:
-    """The mean vector per label: the centroid step on its own."""
-    means = [F.avg(F.col(vec)[i].cast("double")) for i in range(dims)]
-    return df.groupBy(F.col(label).cast("int").alias("cluster_id")).agg(F.array(*means).alias("centroid"))
+    """The mean vector per label: the centroid step on its own. The same for any order of the rows."""
+    exact = [F.round(F.sum(F.col(vec)[i].cast(DECIMAL)).cast("double") / F.count(F.col(vec)[i]), DIGITS) for i in range(dims)]
+    return df.groupBy(F.col(label).cast("int").alias("cluster_id")).agg(F.array(*exact).alias("centroid"))
 
 
 def squared_distance(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, d: s + d)
 
 
-# up to this many terms the distances are written out, as plain arithmetic in generated code
-UNROLLED_TERMS = 400
+def nearest_centroid(df: DataFrame, vec: str, centroids: DataFrame, distance=squared_distance) -> DataFrame:
+    """Adds the nearest centroid's id (``cluster_id``) and the distance to it (``anomaly_score``); equal distances: the lowest id.
 
-
-def nearest_centroid(
-    df: DataFrame, vec: str, centroids: DataFrame, distance=squared_distance, dims: int | None = None
-) -> DataFrame:
-    """Adds the nearest centroid's id and the distance to it; equal distances: the lowest id.
-
-    The model is a scalar subquery of k rows, so the scored table is neither joined nor
-    shuffled. With ``dims`` given, a small model is compared several times faster.
+    The model is a scalar subquery of k rows, so the scored table is neither joined nor shuffled. A NULL vector and one
+    with a NULL component belong to no cluster. A vector whose length is not that of the centroids is an error.
     """
     model = centroids.agg(F.collect_list(F.struct("centroid", "cluster_id"))).scalar()
     numbers = F.transform(F.col(vec), lambda x: x.cast("double"))
-    k = centroids.count() if dims else 0
-    if 0 < k * (dims or 0) <= UNROLLED_TERMS and distance is squared_distance:
-        pick = lambda j: F.struct(_written_out(F.col("_vec"), F.col("_model")[j]["centroid"], dims).alias("d"),
-                                  F.col("_model")[j]["cluster_id"].alias("id"))
-        best = F.least(*[pick(j) for j in range(k)]) if k > 1 else pick(0)
-        numbers = F.col(vec).cast("array<double>")
-    else:
-        best = F.array_min(
-            F.transform(
-                F.col("_model"),
-                lambda c: F.struct(
-                    distance(F.col("_vec"), c["centroid"]).alias("d"), c["cluster_id"].alias("id")
-                ),
-            )
-        )
+
+    def apart(c: Column) -> Column:
+        wrong = F.raise_error(F.concat(F.lit("vector length "), F.size("_vec").cast("string"), F.lit(", centroid length "), F.size(c["centroid"]).cast("string")))
+        far = F.when(F.size("_vec") != F.size(c["centroid"]), wrong.cast("double")).otherwise(distance(F.col("_vec"), c["centroid"]))
+        return F.struct(far.alias("d"), c["cluster_id"].alias("id"))
+
+    best = F.array_min(F.filter(F.transform(F.col("_model"), apart), lambda s: s["d"].isNotNull()))
     return (
         df.withColumn("_vec", numbers)
         .withColumn("_model", model)
-        .withColumn("_best", best)
+        .withColumn("_best", F.when(F.col("_vec").isNotNull(), best))
         .withColumn("cluster_id", F.col("_best.id"))
         .withColumn("anomaly_score", F.sqrt(F.col("_best.d")))
         .drop("_vec", "_model", "_best")
     )
-
-
-def _written_out(a: Column, b: Column, dims: int) -> Column:
-    return sum(((a[i] - b[i]) * (a[i] - b[i]) for i in range(dims)), F.lit(0.0))

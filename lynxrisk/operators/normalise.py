@@ -10,9 +10,12 @@ from lynxrisk.functions.expr import clip
 from lynxrisk.operators.ranking import exact_quantiles
 
 
-def winsorized_unit(col: str, low: float, high: float) -> Column:
-    """Clip to [low, high], then to 0..1. After the clip the minimum and maximum ARE the bounds."""
-    if high == low:
+def winsorized_unit(col: str, low: float | None, high: float | None) -> Column:
+    """Clip to [low, high], then to 0..1. After the clip the minimum and maximum ARE the bounds.
+
+    A flat column, and one without any value (no bounds), gives 0.
+    """
+    if low is None or high is None or high == low:
         return F.lit(0.0)
     return (clip(F.col(col).cast("double"), low, high) - F.lit(low)) / F.lit(high - low)
 

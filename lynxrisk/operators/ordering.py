@@ -73,13 +73,12 @@ def running_sum(
     slices = sorted_slices(df, keys, order, ceil(largest / scale.chunk_rows))
     here = Window.partitionBy(*keys, SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = slices.withColumn("_here", F.sum(value).over(here))
-    offsets = _slice_offsets(slices, keys, F.sum(value), "_offset")
-    return (
-        _add_offsets(local, offsets, keys)
-        .withColumn(out, F.when(F.col("_here").isNotNull(), F.col("_here") + F.col("_offset"))
-                    .otherwise(F.when(F.col("_offset") != 0, F.col("_offset"))))
-        .drop("_here", "_offset", SLICE)
-    )
+    earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    totals = slices.groupBy(*keys, SLICE).agg(F.sum(value).alias("_total"))
+    # a slice without any value has the total NULL, and so has a key before its first value
+    offsets = totals.select(*keys, SLICE, F.sum("_total").over(earlier).alias("_offset"))
+    added = F.coalesce(F.col("_here") + F.col("_offset"), "_here", "_offset")
+    return _add_offsets(local, offsets, keys).withColumn(out, added).drop("_here", "_offset", SLICE)
 
 
 def frame_chunks(

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from math import ceil, floor
+from math import floor
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,53 +13,65 @@ from lynxrisk.functions.expr import first_match
 from lynxrisk.sources.session import settle
 
 
-# more ranges than this do not make a global rank faster
-MOST_RANGES = 10_000
+SLICE = "_slice"
 
 
-def value_ranks(df: DataFrame, col: str, scale: Scale = Scale()) -> DataFrame:
-    """Per distinct value: rows below it (``_below``), equal to it (``_ties``), in all (``_n``).
+def with_ranks(df: DataFrame, col: str) -> DataFrame:
+    """All rows, with how many rows have a lower value (``_below``), the same (``_ties``), and any (``_n``).
 
-    Equal values are counted together first, so a frequent value is one row. The distinct
-    values are cut into ranges at approximate quantiles (one number per range on the driver);
-    each range is ranked by itself and shifted by the count of the ranges before it.
+    Rows are cut into ranges of the value, ties at random places, so that no range is large because one value is
+    frequent. Each range counts by itself. A value can lie in several ranges only as the least or the
+    greatest of each, so two rows for each range tell what must be added; they are joined to the range, not to the value, and nothing but
+    the number of a range and that small table moves. NULL has no rank; NaN is above every number, as in SQL.
     """
-    counts = settle(df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_ties")))
-    ranges = min(ceil(counts.count() / scale.rank_rows), MOST_RANGES)
-    cuts = counts.approxQuantile(col, [i / ranges for i in range(1, ranges)], 0.2 / ranges) if ranges > 1 else [0.0]
-    edges = [float("-inf"), *sorted(set(cuts)), float("inf")]
-    ranged = Bucketizer(splits=edges, inputCol=col, outputCol="_range").transform(counts)
-    # one row per range: these windows and the broadcast hold at most MOST_RANGES rows
-    every = Window.orderBy("_range")
-    earlier = every.rowsBetween(Window.unboundedPreceding, -1)
-    all_ranges = every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    offsets = (
-        ranged.groupBy("_range")
-        .agg(F.sum("_ties").alias("_size"))
-        .select(
-            "_range",
-            F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"),
-            F.sum("_size").over(all_ranges).alias("_n"),
-        )
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    valued = df.filter(F.col(col).isNotNull())
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    ranged = settle(valued.withColumn("_spread", spread).repartitionByRange(parts, col, "_spread").drop("_spread").withColumn(SLICE, F.spark_partition_id()))
+    counts = ranged.groupBy(SLICE, col).agg(F.count(F.lit(1)).alias("_here"))
+    in_slice = Window.partitionBy(SLICE)
+    by_value = in_slice.orderBy(col)
+    lower = F.coalesce(F.sum("_here").over(by_value.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    values = counts.select(
+        "*", lower.alias("_lower"), F.sum("_here").over(in_slice).alias("_rows"),
+        F.min(col).over(in_slice).alias("_least"), F.max(col).over(in_slice).alias("_most"),
     )
-    lower = Window.partitionBy("_range").orderBy(col).rowsBetween(Window.unboundedPreceding, -1)
-    local = ranged.withColumn("_lower", F.coalesce(F.sum("_ties").over(lower), F.lit(0)))
-    return local.join(F.broadcast(offsets), "_range").select(
-        col, (F.col("_offset") + F.col("_lower")).alias("_below"), "_ties", "_n"
+    at_edge = values.filter((F.col(col) == F.col("_least")) | (F.col(col) == F.col("_most")))
+    # at most two rows for each range from here to the end of the edges
+    sizes = at_edge.groupBy(SLICE).agg(F.first("_rows").alias("_rows"))
+    before = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy()
+    offsets = settle(sizes.select(
+        F.col(SLICE).alias("_s"), F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"), F.sum("_rows").over(whole).alias("_n")
+    ))
+    edges = at_edge.join(F.broadcast(offsets), F.col(SLICE) == F.col("_s"))
+    joint = edges.groupBy(F.col(col).alias("_edge")).agg(
+        F.min(F.col("_offset") + F.col("_lower")).alias("_edge_below"), F.sum("_here").alias("_edge_ties")
     )
+    spanning = settle(edges.join(joint, F.col(col) == F.col("_edge")).select(F.col(SLICE).alias("_es"), "_edge", "_edge_below", "_edge_ties"))
 
+    row_lower = F.rank().over(by_value) - 1
+    row_ties = F.count(F.lit(1)).over(Window.partitionBy(SLICE, col))
+    ranked = ranged.select("*", row_lower.alias("_lower"), row_ties.alias("_here")).join(F.broadcast(offsets), F.col(SLICE) == F.col("_s"))
+    joined = ranked.join(F.broadcast(spanning), (F.col(SLICE) == F.col("_es")) & (F.col(col) == F.col("_edge")), "left")
+    below = F.coalesce("_edge_below", F.col("_offset") + F.col("_lower"))
+    names = [F.col(f"`{c}`") for c in df.columns]
+    found = joined.select(*names, below.alias("_below"), F.coalesce("_edge_ties", "_here").alias("_ties"), "_n")
+    none = F.lit(None).cast("long")
+    return found.unionByName(df.filter(F.col(col).isNull()).select(*names, none.alias("_below"), none.alias("_ties"), none.alias("_n")))
 
-def percentile_rank_avg(df: DataFrame, col: str, out: str, scale: Scale = Scale()) -> DataFrame:
+
+def percentile_rank_avg(df: DataFrame, col: str, out: str) -> DataFrame:
     """Percentile 0..100 of the average rank; ties share their mean rank."""
     mean_rank = F.col("_below") + (F.col("_ties") + 1) / 2
-    ranked = df.join(value_ranks(df, col, scale), col, "left")
+    ranked = with_ranks(df, col)
     return ranked.withColumn(out, mean_rank / F.col("_n") * 100).drop("_below", "_ties", "_n")
 
 
-def percent_rank(df: DataFrame, col: str, out: str, scale: Scale = Scale()) -> DataFrame:
+def percent_rank(df: DataFrame, col: str, out: str) -> DataFrame:
     """(rank - 1) / (rows - 1), the SQL PERCENT_RANK over the whole table."""
     share = F.when(F.col("_n") > 1, F.col("_below") / (F.col("_n") - 1)).otherwise(F.lit(0.0))
-    ranked = df.join(value_ranks(df, col, scale), col, "left")
+    ranked = with_ranks(df, col)
     return ranked.withColumn(out, F.when(F.col(col).isNotNull(), share)).drop("_below", "_ties", "_n")
 
 
@@ -140,21 +151,23 @@ def _narrow(df: DataFrame, targets: list[_Target], accuracy: int) -> None:
 
 def exact_quantiles(
     df: DataFrame, cols: list[str], probs: tuple[float, ...], scale: Scale = Scale(), accuracy: int = 10_000
-) -> dict[str, list[float]]:
+) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of whole columns, exact at any size.
 
     Small tables use the built-in ``percentile``, which keeps all distinct values in one
     task. Larger ones are narrowed: approximate quantiles bracket each wanted order
     statistic, exact counts say where it lies, and only the few values strictly inside the
-    bracket go on. The driver sees a handful of numbers per column.
+    bracket go on. The driver sees a handful of numbers per column. A column without any value has
+    quantiles None.
     """
     sizes = df.agg(*[F.count(c).alias(c) for c in cols]).first()
     if max(sizes) <= scale.percentile_rows:
         row = df.agg(*[F.percentile(c, F.array(*[F.lit(p) for p in probs])).alias(c) for c in cols]).first()
-        return {c: list(row[c]) for c in cols}
+        return {c: list(row[c] or [None] * len(probs)) for c in cols}
 
     wanted: dict[tuple[str, int], _Target] = {}
-    for c in cols:
+    filled = [c for c in cols if sizes[c]]
+    for c in filled:
         for p in probs:
             at = p * (sizes[c] - 1)
             for index in {floor(at), min(floor(at) + 1, sizes[c] - 1)}:
@@ -180,4 +193,4 @@ def exact_quantiles(
         b = wanted[c, min(i + 1, sizes[c] - 1)].answer
         return a + (b - a) * (at - i)
 
-    return {c: [interpolate(c, p) for p in probs] for c in cols}
+    return {c: [interpolate(c, p) if sizes[c] else None for p in probs] for c in cols}

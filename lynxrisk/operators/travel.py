@@ -5,7 +5,7 @@ few directions bound it from both sides, in one grouped pass; that settles a day
 points fill an area close to the limit. For such days a second pass along directions of the
 plane at their middle leaves a range of one per cent open. In what is still left only points
 that can end a farthest pair are kept: first the northernmost and southernmost of each meridian, then the corners of
-the convex hull. What is left are a few corners.
+the convex hulls of pieces. What is left is compared block by block.
 """
 
 from __future__ import annotations
@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 from lynxrisk.functions.expr import EARTH_KM, at_most, haversine_km
 from lynxrisk.sources.session import settle
 
-# how many points of one group a task reduces at once, and how many reduced pieces it merges
+# how many points of one group a task reduces at once, and how many corners a task compares with as many others
 PIECE_POINTS = 50_000
-MERGED_PIECES = 50
+BLOCK_POINTS = 4_000
 
 # up to this size a group is compared pair by pair within its row
 FEW_POINTS = 100
@@ -83,14 +83,13 @@ def hull_corners(pdf: pd.DataFrame) -> pd.DataFrame:
     return pdf.iloc[corners]
 
 
-def any_pair_beyond(pdf: pd.DataFrame, km: float) -> bool:
-    """Whether two corners of the hull are farther apart than ``km``."""
-    corners = hull_corners(pdf)
-    lat, lon = np.radians(corners["_lat"].to_numpy()), np.radians(corners["_lon"].to_numpy())
-    for i in range(len(lat) - 1):
-        a = np.sin((lat[i + 1 :] - lat[i]) / 2) ** 2
-        a += np.cos(lat[i]) * np.cos(lat[i + 1 :]) * np.sin((lon[i + 1 :] - lon[i]) / 2) ** 2
-        if (2 * EARTH_KM * np.arcsin(np.sqrt(np.minimum(a, 1.0))) > km).any():
+def any_pair_beyond(points: np.ndarray, others: np.ndarray, km: float) -> bool:
+    """Whether a point and one of the others (unit vectors) are farther apart than ``km``; chords are as good as arcs."""
+    limit = (2 * np.sin(min(km / EARTH_KM, np.pi) / 2)) ** 2
+    for start in range(0, len(points), 512):
+        part = points[start : start + 512]
+        # summed by component: exact for near points, where a scalar product would cancel
+        if (sum((part[:, None, i] - others[None, :, i]) ** 2 for i in range(3)) > limit).any():
             return True
     return False
 
@@ -210,34 +209,35 @@ def _decide_few(points: DataFrame, keys: list[str], km: float) -> DataFrame:
 
 
 def _decide_many(points: DataFrame, keys: list[str], km: float) -> DataFrame:
-    """Larger groups: reduced to the corners of their hull, piece by piece.
+    """Larger groups: pieces are reduced to the corners of their hulls, and corners are compared block by block.
 
-    The hull of a group is the hull of the hulls of its pieces, however it is cut. Pieces are
-    cut to ``PIECE_POINTS`` and merged ``MERGED_PIECES`` at a time until one is left, so no
-    task ever holds a group whole.
+    The farthest pair of a group are corners of the hulls of their pieces, however it is cut. A task holds one piece, or
+    two blocks of corners; each pair of blocks is a group of its own, so a day whose points are all corners
+    (a ring) is spread over many tasks.
     """
-    largest = points.groupBy(*keys).agg(F.max("_n").alias("_n")).agg(F.max("_n")).first()[0]
     corners = (
         points.groupBy(*keys, "_lon")
         .agg(F.max("_n").alias("_n"), F.array_distinct(F.array(F.min("_lat"), F.max("_lat"))).alias("_ends"))
-        .select(*keys, "_n", "_lon", F.explode("_ends").alias("_lat"), F.xxhash64("_lon").alias("_cut"))
+        .select(*keys, "_n", "_lon", F.explode("_ends").alias("_lat"))
     )
     schema = ", ".join(f"{k} {points.schema[k].dataType.simpleString()}" for k in keys)
-    columns = [*keys, "_n", "_lon", "_lat", "_cut"]
-    size = PIECE_POINTS
-    while size < largest:
-        piece = F.pmod(F.col("_cut"), F.ceil(F.col("_n") / size))
-        corners = (
-            corners.groupBy(*keys, piece.alias("_piece"))
-            .applyInPandas(
-                lambda pdf: hull_corners(pdf)[columns], f"{schema}, _n long, _lon double, _lat double, _cut long"
-            )
-            # all corners of a piece move on together
-            .withColumn("_cut", F.pmod(F.col("_cut"), F.ceil(F.col("_n") / size)))
+    columns = [*keys, "_lon", "_lat"]
+    piece = F.pmod(F.xxhash64("_lon"), F.ceil(F.col("_n") / PIECE_POINTS))
+    corners = settle(
+        corners.groupBy(*keys, piece.alias("_piece")).applyInPandas(
+            lambda pdf: hull_corners(pdf)[columns], f"{schema}, _lon double, _lat double"
         )
-        size *= MERGED_PIECES
+    )
+    sizes = corners.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / BLOCK_POINTS).alias("_blocks"))
+    cut = corners.join(sizes, keys).withColumn("_block", F.pmod(F.xxhash64("_lat", "_lon"), F.col("_blocks")))
+    met = cut.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    pairs = met.withColumn("_a", F.least("_block", "_other")).withColumn("_b", F.greatest("_block", "_other"))
 
     def decide(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pdf[keys].head(1).assign(_pair=any_pair_beyond(pdf, km))
+        xyz = _unit(pdf["_lat"].to_numpy(), pdf["_lon"].to_numpy())
+        first = (pdf["_block"] == pdf["_a"]).to_numpy()
+        others = xyz if pdf["_a"].iloc[0] == pdf["_b"].iloc[0] else xyz[~first]
+        return pdf[keys].head(1).assign(_pair=any_pair_beyond(xyz[first], others, km))
 
-    return corners.groupBy(*keys).applyInPandas(decide, f"{schema}, _pair boolean")
+    compared = pairs.groupBy(*keys, "_a", "_b").applyInPandas(decide, f"{schema}, _pair boolean")
+    return compared.groupBy(*keys).agg(F.bool_or("_pair").alias("_pair"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from lynxrisk import config as C
 from lynxrisk.config import RiskConfig, RunContext
 from lynxrisk.functions.expr import any_true, count_true, ratio
-from lynxrisk.operators.clustering import fit_centroids, nearest_centroid
+from lynxrisk.operators.clustering import nearest_centroid, train
 from lynxrisk.operators.grid import dense_grid, gather
 from lynxrisk.operators.normalise import winsorize_minmax
 from lynxrisk.operators.peers import gap_of, with_peer_stats, z_of
@@ -206,13 +206,13 @@ def add_vectors(features: DataFrame, cfg: RiskConfig) -> DataFrame:
 
 
 def add_tiers(scored: DataFrame, cfg: RiskConfig) -> DataFrame:
-    ranked = percentile_rank_avg(scored, "anomaly_score", "anomaly_percentile", cfg.scale)
+    ranked = percentile_rank_avg(scored, "anomaly_score", "anomaly_percentile")
     return ranked.withColumn("anomaly_tier", percentile_tier("anomaly_percentile", cfg.tier_cuts))
 
 
 def score(grid: DataFrame, vectors: DataFrame, centroids: DataFrame, cfg: RiskConfig, ctx: RunContext) -> DataFrame:
     """Cluster, score, percentile, tier and lineage for the vectors of a feature grid."""
-    scored = nearest_centroid(vectors, "feature_vector", centroids, dims=len(C.VECTOR_FEATURES))
+    scored = nearest_centroid(vectors, "feature_vector", centroids)
     # rows with the same behaviour must tie, whatever the order their sums were made in
     scored = settle(scored.withColumn("anomaly_score", F.round("anomaly_score", 9)))
     return add_tiers(scored, cfg).select(
@@ -232,6 +232,7 @@ def score(grid: DataFrame, vectors: DataFrame, centroids: DataFrame, cfg: RiskCo
 class RiskFeatures:
     table: DataFrame
     centroids: DataFrame
+    summary: DataFrame
 
 
 def risk_features(
@@ -240,5 +241,5 @@ def risk_features(
     """The whole feature table: features, vector, trained clusters, score, percentile, tier."""
     grid = settle(feature_grid(silver, people, calendar(cfg) if ends is None else ends, cfg))
     vectors = add_vectors(grid, cfg)
-    centroids = fit_centroids(vectors, "feature_vector", cfg.clusters, cfg.max_iterations, cfg.tolerance, cfg.seed)
-    return RiskFeatures(score(grid, vectors, centroids, cfg, ctx), centroids)
+    training = train(vectors, "feature_vector", cfg.clusters, cfg.max_iterations, cfg.tolerance)
+    return RiskFeatures(score(grid, vectors, training.centroids, cfg, ctx), training.centroids, training.summary)

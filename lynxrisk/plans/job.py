@@ -6,6 +6,7 @@ import datetime as dt
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +16,9 @@ from lynxrisk.operators.identity import Resolved, resolution_gate
 from lynxrisk.plans import features as G
 from lynxrisk.plans import quality, reports, weekly
 from lynxrisk.plans import silver as S
-from lynxrisk.sources.schemas import DEAD_LETTERS, PIPELINE_RUNS
-from lynxrisk.sources.tables import Lake, append_rows, read_bronze, write_dead_letter
+from lynxrisk.sources.schemas import BRONZE, DEAD_LETTERS, KEYS, PIPELINE_RUNS
+from lynxrisk.sources.session import scratch, shared_folder, use_utc
+from lynxrisk.sources.tables import Lake, append_rows, invalid_lines, read_bronze, write_dead_letter
 
 REGISTERS = {
     "pacs": "badge_registry",
@@ -61,6 +63,23 @@ class Run:
 
     # --- stages: each returns (rows in, rows out) --------------------------------
 
+    def check_inputs(self) -> tuple[int, int]:
+        """Keep the lines that don't fit their schema, count them, and stop if a register lists a key twice.
+
+        A register entry that is there twice would double every event that it matches.
+        """
+        lines = [invalid_lines(read_bronze(self.spark, n, self.bronze, corrupt=True), n) for n in BRONZE]
+        bad = self.lake.write(reduce(DataFrame.unionByName, lines), "silver", "malformed_lines")
+        per_source = bad.groupBy("source_domain").agg(F.count(F.lit(1)).alias("lines"))
+        self.lake.write(per_source, "reports", "malformed_lines")
+        keyed = [n for n in BRONZE if n in KEYS]
+        checks = self.lake.write(quality.check_keys({n: self.source(n) for n in keyed}), "reports", "input_keys")
+        registers = [f"key_{n}" for n in {*REGISTERS.values()}]
+        wrong = [r.check for r in checks.filter(~F.col("passed") & F.col("check").isin(registers)).collect()]
+        if wrong:
+            raise StageFailed(f"registers with missing or repeated keys: {', '.join(sorted(wrong))}")
+        return bad.count(), checks.count()
+
     def load_hris(self) -> tuple[int, int]:
         rows = self.lake.write(S.silver_hris(self.source("hris_events"), self.ctx), "silver", "sv_hris").count()
         return rows, rows
@@ -135,6 +154,7 @@ class Run:
         month = result.table.withColumn("window_month", F.trunc("window_end_date", "MM"))
         gold = self.lake.write(month, "gold", "employee_risk_features", ["window_month"])
         self.lake.write(result.centroids, "gold", "gd_kmeans_output")
+        self.lake.write(result.summary, "gold", "gd_kmeans_summary")
         keys = ["employee_id", "window_end_date"]
         self.lake.write(gold.select(*keys, "feature_vector"), "gold", "employee_features")
         self.lake.write(gold.select(*keys, "cluster_id", "anomaly_score"), "gold", "gd_scored")
@@ -204,6 +224,7 @@ def stages(run: Run) -> list[tuple[str, Callable[[], tuple[int, int]]]]:
     """In order: lifestyle needs the employee master, the tags need the posts."""
     feeds = [(f"silver_{d}", lambda d=d: run.load_feed(d)) for d in REGISTERS]
     return [
+        ("inputs", run.check_inputs),
         ("silver_hris", run.load_hris),
         *feeds,
         ("silver_adjudication", run.load_adjudication),
@@ -231,13 +252,21 @@ def run_pipeline(
     A stage that fails, or that writes no rows, stops the run; its audit row says so. Tables
     of earlier runs are not touched.
     """
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    started = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    use_utc(spark)
+    shared_folder(spark)  # a missing one ends the run here, not hours later
+    with scratch(spark):
+        return _run_stages(spark, bronze, base, cfg, run_id, now)
+
+
+def _run_stages(
+    spark: SparkSession, bronze: str, base: str, cfg: RiskConfig, run_id: str | None, now: dt.datetime | None
+) -> DataFrame:
+    started = now or dt.datetime.now(dt.timezone.utc)
     run_id = run_id or started.strftime("run-%Y%m%dT%H%M%S")
     lake = Lake(spark, base, run_id)
     run = Run(spark, bronze, lake, cfg, RunContext(started, cfg.silver_version, run_id))
     for name, stage in stages(run):
-        begun, clock = dt.datetime.now(), time.perf_counter()
+        begun, clock = dt.datetime.now(dt.timezone.utc), time.perf_counter()
         rows_in = rows_out = 0
         status, notes, error = "success", None, None
         try:
@@ -245,9 +274,9 @@ def run_pipeline(
             if rows_out == 0 and name != "report":
                 raise StageFailed(f"{name} wrote no rows")
         except Exception as e:  # recorded below, then raised again
-            status, notes, error = "failed", str(e)[:500], e
+            status, notes, error = "failed", str(e), e
         row = (
-            f"{run_id}/{name}", name, begun, dt.datetime.now(), status, rows_in, rows_out,
+            f"{run_id}/{name}", name, begun, dt.datetime.now(dt.timezone.utc), status, rows_in, rows_out,
             time.perf_counter() - clock, [lake.base], notes,
         )
         append_rows(spark.createDataFrame([row], PIPELINE_RUNS), lake.runs_path)

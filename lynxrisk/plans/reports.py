@@ -52,9 +52,9 @@ def persistent_high(gold: DataFrame, windows: int = 3) -> DataFrame:
     return gold.select(*_TREND).join(often, "employee_id", "left_semi").orderBy("employee_id", "window_end_date")
 
 
-def risk_trend(gold: DataFrame, employees: Sequence[str], most: int = 10) -> DataFrame:
-    """All windows of the first few named employees."""
-    chosen = F.col("employee_id").isin(*employees[:most])
+def risk_trend(gold: DataFrame, employees: Sequence[str]) -> DataFrame:
+    """All windows of the named employees."""
+    chosen = F.col("employee_id").isin(*employees)
     return gold.filter(chosen).select(*_TREND).orderBy("employee_id", "window_end_date")
 
 

@@ -180,21 +180,6 @@ def tag_feed(feed: Feed, events: DataFrame, register: DataFrame) -> DataFrame:
     return tag_identity(events, feed.prepare(register), {feed.key: feed.register_key})
 
 
-def split_feed(feed: Feed, tagged: DataFrame, ctx: RunContext) -> Resolved:
-    ok = conform(feed, tagged.filter(F.col("identity_resolution_status") == RESOLVED), ctx)
-    dead = dead_letters(
-        tagged,
-        feed.domain,
-        feed.source_file,
-        F.col(feed.key),
-        F.lit(feed.key),
-        [_part(p) for p in feed.dead_hash],
-        [_part(p) for p in feed.raw_parts],
-        ctx,
-    )
-    return Resolved(ok, dead)
-
-
 def conform_all(feed: Feed, tagged: DataFrame, ctx: RunContext) -> DataFrame:
     """Resolved events and dead letters side by side, for one write partitioned by status.
 
@@ -233,9 +218,13 @@ def dead_part(written: DataFrame) -> DataFrame:
 
 
 def silver_feed(domain: str, events: DataFrame, register: DataFrame, ctx: RunContext) -> Resolved:
-    """A feed against its register: pacs, network, dlp, comms, pai or geo."""
+    """A feed against its register: pacs, network, dlp, comms, pai or geo.
+
+    The same plan as the daily job's, without the write between: both parts come from ``conform_all``.
+    """
     feed = FEEDS[domain]
-    return split_feed(feed, tag_feed(feed, events, register), ctx)
+    whole = conform_all(feed, tag_feed(feed, events, register), ctx)
+    return Resolved(resolved_part(feed, whole), dead_part(whole))
 
 
 def silver_adjudication(events: DataFrame, ctx: RunContext) -> DataFrame:

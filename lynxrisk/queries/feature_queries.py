@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lynxrisk.config import SCORE_FEATURES
+from lynxrisk.config import SCORE_FEATURES, Scale
 from lynxrisk.functions.expr import after_hours, count_true, on_weekend, week_start
-from lynxrisk.operators.clustering import fit_centroids, mean_centroids, nearest_centroid
+from lynxrisk.operators.clustering import mean_centroids, nearest_centroid, train
 from lynxrisk.operators.normalise import winsorize_minmax
+from lynxrisk.operators.ordering import running_sum, sliding
 from lynxrisk.operators.peers import safe_zscore
 from lynxrisk.operators.ranking import percent_rank, percent_rank_tier, percentile_rank_avg, percentile_tier
 from lynxrisk.operators.rolling import Frame, rolling_features
@@ -207,16 +208,101 @@ def nearest(f: Feeds) -> DataFrame:
     return rounded(labelled_distance(f).select("vec_id", "cluster_id", "anomaly_score"), "anomaly_score")
 
 
-@query("q28_kmeans_train")
+KMEANS_ROUNDS = 5
+
+
+def _kmeans_sql(k: int, rounds: int) -> str:
+    """Farthest-first start and so many rounds, one materialized step after the other."""
+    far = "list_distance({a}, {b})"
+    steps = ["p AS MATERIALIZED (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)", "c0 AS MATERIALIZED (SELECT 0 AS id, min(v) AS c FROM p)"]
+    for i in range(1, k):
+        d = far.format(a="v", b="c")
+        nearest = f"SELECT v, round(min({d}), 9) AS d FROM p, c{i - 1} GROUP BY v"
+        steps.append(f"c{i} AS MATERIALIZED (SELECT * FROM c{i - 1} UNION ALL (SELECT {i}, v FROM ({nearest}) ORDER BY d DESC, v DESC LIMIT 1))")
+    model = f"c{k - 1}"
+    assigned = "SELECT vec_id, v, first(id ORDER BY {d}, id) AS id, min({d}) AS d FROM p, {m} GROUP BY vec_id, v"
+    for r in range(rounds):
+        steps.append(f"a{r} AS MATERIALIZED ({assigned.format(d=far.format(a='v', b='c'), m=model)})")
+        mean = "round(CAST(sum(CAST(v[i] AS DECIMAL(28, 12))) AS DOUBLE) / count(*), 9)"
+        steps.append(
+            f"m{r} AS MATERIALIZED (SELECT id, list(x ORDER BY i) AS c FROM (SELECT id, i, {mean} AS x FROM a{r}, range(1, {DIMS + 1}) q(i) GROUP BY id, i) GROUP BY id)"
+        )
+        model = f"m{r}"
+    steps.append(f"n AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY c) - 1 AS INTEGER) AS id, c FROM {model})")
+    last = assigned.format(d=far.format(a="v", b="c"), m="n")
+    return f"WITH {', '.join(steps)} SELECT id AS cluster_id, count(*) AS members, round(avg(d), 4) + 0 AS mean_distance FROM ({last}) GROUP BY id"
+
+
+@query("q28_kmeans_train", _kmeans_sql(CFG.clusters, KMEANS_ROUNDS))
 def kmeans_train(f: Feeds) -> DataFrame:
-    """No SQL twin: an iterative method with a random start. Tested by its properties."""
+    """A fixed number of rounds, which SQL can unroll; the engine also stops when few rows move."""
     vectors = f.table("embeddings").select(F.transform("embedding", lambda x: x.cast("double")).alias("v"))
-    centers = fit_centroids(vectors, "v", CFG.clusters, CFG.max_iterations, CFG.tolerance, CFG.seed)
+    centers = train(vectors, "v", CFG.clusters, KMEANS_ROUNDS, tol=-1.0).centroids
     return nearest_centroid(vectors, "v", centers).groupBy("cluster_id").agg(
         F.count(F.lit(1)).alias("members"), F.round(F.avg("anomaly_score"), 4).alias("mean_distance")
     )
 
 
+# sizes at which every operator takes its distributed form on the given tables
+TINY = Scale(window_rows=100, chunk_rows=150, percentile_rows=100, quantile_rest=16)
+_GAPS = """CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 5 < 2 THEN 0 ELSE value END"""
+_ORDERED = f"SELECT event_id, event_type, event_timestamp, {_GAPS} AS v FROM ev"
+
+
+def _with_gaps(f: Feeds) -> DataFrame:
+    """Few keys with many rows, and a value with NULLs and zeros."""
+    return f.events.select("event_id", "event_type", "event_timestamp", F.expr(_GAPS).alias("v"))
+
+
+@query(
+    "q52_running_sum_sliced",
+    f"""SELECT event_id, event_type, round(sum(v) OVER (PARTITION BY event_type ORDER BY event_timestamp, event_id
+               ROWS UNBOUNDED PRECEDING), 6) + 0 AS upto FROM ({_ORDERED})""",
+)
+def sliced_running_sum(f: Feeds) -> DataFrame:
+    summed = running_sum(_with_gaps(f), "v", ["event_type"], ["event_timestamp", "event_id"], "upto", TINY)
+    return rounded(summed.select("event_id", "event_type", "upto"), "upto", digits=6)
+
+
+@query(
+    "q53_sliding_chunked",
+    f"""SELECT event_id, event_type, round(sum(v) OVER w, 6) + 0 AS frame_sum, count(v) OVER w AS frame_count,
+               max(v) OVER w AS frame_most FROM ({_ORDERED})
+        WINDOW w AS (PARTITION BY event_type ORDER BY event_timestamp, event_id ROWS 29 PRECEDING)""",
+)
+def chunked_frames(f: Feeds) -> DataFrame:
+    frames = {"frame_sum": F.sum("v"), "frame_count": F.count("v"), "frame_most": F.max("v")}
+    out = sliding(_with_gaps(f), frames, ["event_type"], ["event_timestamp", "event_id"], 29, TINY)
+    return rounded(out.select("event_id", "event_type", *frames), "frame_sum", digits=6)
+
+
+@query(
+    "q55_quantile_narrowed",
+    f"""WITH b AS (SELECT quantile_cont(v, 0.01) AS l, quantile_cont(v, 0.99) AS h FROM ({_ORDERED}))
+        SELECT event_id, round((greatest(l, least(h, v)) - l) / nullif(h - l, 0), 9) + 0 AS unit FROM ({_ORDERED}), b""",
+)
+def narrowed_quantiles(f: Feeds) -> DataFrame:
+    events = _with_gaps(f)
+    units = winsorize_minmax(events, ["v"], scale=TINY)
+    return rounded(events.select("event_id", units["v"].alias("unit")), "unit")
+
+
+@query(
+    "q56_travel_hull",
+    """WITH p AS (SELECT building_code, date_trunc('month', event_date) AS m, latitude, longitude, row_number() OVER () AS i FROM sv_geo)
+       SELECT a.building_code, CAST(a.m AS DATE) AS month, coalesce(max(2 * 6371 * asin(sqrt(
+                  pow(sin(radians(b.latitude - a.latitude) / 2), 2) + cos(radians(a.latitude))
+                  * cos(radians(b.latitude)) * pow(sin(radians(b.longitude - a.longitude) / 2), 2)))) > 408, FALSE) AS impossible
+       FROM p a LEFT JOIN p b ON a.building_code IS NOT DISTINCT FROM b.building_code AND a.m = b.m AND a.i < b.i
+            AND a.latitude IS NOT NULL AND b.latitude IS NOT NULL
+       GROUP BY 1, 2""",
+)
+def travel_of_large_groups(f: Feeds) -> DataFrame:
+    """Few groups with many points and a limit near the farthest ones, so that bounds don't settle them."""
+    points = f.feed("geo").ok.withColumn("month", F.trunc("event_date", "month"))
+    return impossible_travel(points, "building_code", "month", "latitude", "longitude", 408.0)
+
+
 _RANK = "round((rank() OVER (ORDER BY {x}) + (count(*) OVER (PARTITION BY {x}) - 1) / CAST(2 AS DOUBLE)) / count(*) OVER () * 100, 9)"
 _BINS = "CASE WHEN p > 95 THEN 'HIGH' WHEN p > 75 THEN 'MEDIUM' ELSE 'LOW' END"
 

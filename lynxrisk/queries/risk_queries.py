@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lynxrisk.config import SCORE_FEATURES
+from lynxrisk.config import SCORE_FEATURES, VECTOR_FEATURES
 from lynxrisk.plans import quality, reports, weekly
 from lynxrisk.queries.feature_queries import rounded
 from lynxrisk.queries.feeds import CFG, Feeds
@@ -91,22 +91,25 @@ def fused(f: Feeds) -> DataFrame:
     return rounded(composite(f), *scores, "internal_behavioral_risk_score")
 
 
+_ELEMENTS = ", ".join(f"round(feature_vector[{i}], 9) + 0 AS v{i}" for i in range(1, len(VECTOR_FEATURES) + 1))
+
+
 @query(
     "q49_risk_features",
     f"""SELECT employee_id, window_end_date, window_start_date, {_SCORES}, impossible_travel_flag,
                clearance_anomaly_flag, cross_domain_anomaly_count, cluster_id, round(anomaly_score, 9) + 0 AS anomaly_score,
                round(anomaly_percentile, 9) + 0 AS anomaly_percentile, anomaly_tier,
-               round(list_sum(feature_vector), 9) AS vector_sum,
+               {_ELEMENTS},
                'sv_pacs,sv_network,sv_dlp,sv_comms,sv_pai,sv_geo,sv_adjudication' AS source_silver_files,
                'run-1' AS model_run_id
         FROM gold""",
 )
 def risk_features(f: Feeds) -> DataFrame:
-    total = F.aggregate("feature_vector", F.lit(0.0), lambda a, b: a + b)
-    table = scored_features(f).withColumn("vector_sum", total)
+    elements = {f"v{i + 1}": F.col("feature_vector")[i] for i in range(len(VECTOR_FEATURES))}
+    table = scored_features(f).withColumns(elements)
     table = table.withColumn("source_silver_files", F.array_join("source_silver_files", ","))
     plain = table.drop("feature_vector", "scored_at")
-    return rounded(plain, *SCORE_FEATURES, "anomaly_score", "anomaly_percentile", "vector_sum")
+    return rounded(plain, *SCORE_FEATURES, "anomaly_score", "anomaly_percentile", *elements)
 
 
 _TOP = """SELECT g.employee_id, full_name, department, role_title, clearance_level,
@@ -117,11 +120,17 @@ _TOP = """SELECT g.employee_id, full_name, department, role_title, clearance_lev
           ORDER BY g.anomaly_score DESC, g.employee_id LIMIT 25"""
 
 
-@query("q38_top_risk", _TOP)
+_TOP_FEATURES = _TOP.replace(
+    "SELECT g.employee_id,",
+    f"SELECT {_SCORES}, impossible_travel_flag, clearance_anomaly_flag, 'run-1' AS model_run_id, g.employee_id,",
+    1,
+)
+
+
+@query("q38_top_risk", _TOP_FEATURES)
 def top_risk(f: Feeds) -> DataFrame:
     top = reports.top_risks(gold(f), f.hris, 25)
-    plain = top.drop(*SCORE_FEATURES, "impossible_travel_flag", "clearance_anomaly_flag", "model_run_id")
-    return rounded(plain, "anomaly_score", "anomaly_percentile")
+    return rounded(top, *SCORE_FEATURES, "anomaly_score", "anomaly_percentile")
 
 
 @query(
@@ -143,7 +152,7 @@ def persistent_high(f: Feeds) -> DataFrame:
 )
 def risk_trend(f: Feeds) -> DataFrame:
     """The windows of the ten employees that lead the report."""
-    leaders = [r.employee_id for r in reports.top_risks(gold(f), f.hris, 25).collect()]
+    leaders = [r.employee_id for r in reports.top_risks(gold(f), f.hris, 10).collect()]
     return rounded(reports.risk_trend(gold(f), leaders), "anomaly_score")
 
 
@@ -183,7 +192,7 @@ _AUDIT = " UNION ALL ".join(
 
 @query("q42_resolution_audit", f"SELECT * FROM ({_AUDIT}) WHERE record_count > 0")
 def resolution_audit(f: Feeds) -> DataFrame:
-    return reports.resolution_audit({d: f.silver[d] for d in _FEED_NAMES})
+    return reports.resolution_audit({d: written(f).silver[d] for d in _FEED_NAMES})
 
 
 def _rate(domain: str, table: str, check: str, floor: float) -> str:

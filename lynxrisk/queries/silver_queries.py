@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lynxrisk.config import RESOLVED, UNRESOLVED
 from lynxrisk.operators.grid import enrich
 from lynxrisk.operators.identity import latest_register, resolution_report
 from lynxrisk.operators.tagging import tag_groups, tag_text
@@ -49,11 +50,15 @@ def dead_letter(f: Feeds) -> DataFrame:
            SELECT 'pacs' AS d, count(*) AS n FROM pacs UNION ALL SELECT 'network', count(*) FROM network
            UNION ALL SELECT 'dlp', count(*) FROM dlp UNION ALL SELECT 'comms', count(*) FROM comms
            UNION ALL SELECT 'pai', count(*) FROM pai UNION ALL SELECT 'geo', count(*) FROM geo),
-       l AS (SELECT source_domain AS d, count(*) AS n FROM dead GROUP BY 1)
-       SELECT t.d AS source_domain, t.n - coalesce(l.n, 0) AS resolved, t.n AS total,
-              round(CAST(t.n - coalesce(l.n, 0) AS DOUBLE) / t.n, 4) AS rate,
-              CAST(t.n - coalesce(l.n, 0) AS DOUBLE) / t.n >= 0.9 AS passed
-       FROM t LEFT JOIN l ON t.d = l.d""",
+       l AS (SELECT source_domain AS d, count(*) AS n FROM dead GROUP BY 1),
+       x AS (
+           SELECT 'instagram' AS d, count(*) AS n FROM anomalies UNION ALL SELECT 'lifestyle', count(*) FROM sv_lifestyle
+           UNION ALL SELECT 'darkweb', count(*) FROM sv_darkweb),
+       r AS (
+           SELECT t.d, t.n - coalesce(l.n, 0) AS resolved, t.n AS total, 0.9 AS floor FROM t LEFT JOIN l ON t.d = l.d UNION ALL
+           SELECT 'osint_' || x.d, x.n, x.n + coalesce(l.n, 0), 0.3 FROM x LEFT JOIN l ON x.d = l.d)
+       SELECT d AS source_domain, resolved, total, round(CAST(resolved AS DOUBLE) / total, 4) AS rate,
+              CAST(resolved AS DOUBLE) / total >= floor AS passed FROM r""",
 )
 def resolution_rate(f: Feeds) -> DataFrame:
     registers = {"pacs": f.badges, "geo": f.badges, "network": f.machines, "dlp": f.machines, "comms": f.directory,
@@ -63,6 +68,9 @@ def resolution_rate(f: Feeds) -> DataFrame:
         tagged = S.tag_feed(S.FEEDS[domain], getattr(f, domain), register)
         part = tagged.select(F.lit(domain).alias("source_domain"), "identity_resolution_status")
         rows = part if rows is None else rows.unionByName(part)
+    for domain, result in {"instagram": f.anomalies, "lifestyle": f.sv_lifestyle, "darkweb": f.sv_darkweb}.items():
+        for table, status in ((result.ok, RESOLVED), (result.dead, UNRESOLVED)):
+            rows = rows.unionByName(table.select(F.lit(f"osint_{domain}").alias("source_domain"), F.lit(status).alias("identity_resolution_status")))
     return resolution_report(rows)
 
 

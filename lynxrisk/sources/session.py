@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cpus: int | str = "*", memory: str = "20g") -> SparkSession:
+def local_session(cpus: int | str = "*", memory: str | None = None) -> SparkSession:
     """A session for tests and local runs. On a cluster, use the one spark-submit gives."""
     partitions = "8" if cpus == "*" else str(cpus)
+    memory = memory or os.environ.get("SPARK_DRIVER_MEMORY", "12g")
     return (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("lynxrisk")
@@ -35,6 +39,28 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def use_utc(spark: SparkSession) -> None:
+    """Dates, hours and hashes are those of UTC, in the batch job and in streams alike."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+#: Tables that ``settle`` has written in this process and that are not yet deleted.
+_SETTLED: list[str] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete what is settled inside the block when it ends; results must have been written elsewhere by then."""
+    known = len(_SETTLED)
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        while len(_SETTLED) > known:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_SETTLED.pop())
+            path.getFileSystem(hadoop).delete(path, True)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write the rows once to the shared folder and go on from there.
 
@@ -44,5 +70,6 @@ def settle(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/lynxrisk-{uuid.uuid4().hex}"
+    _SETTLED.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -28,7 +28,9 @@ def read_bronze(spark: SparkSession, name: str, base: str, corrupt: bool = False
 
 def invalid_lines(df: DataFrame, name: str) -> DataFrame:
     """The lines of a feed (read with ``corrupt=True``) that did not fit its schema."""
-    return df.filter(F.col(CORRUPT).isNotNull()).select(
+    # Spark refuses a plan that reads the original line alone, so the test looks at all columns
+    values = F.struct(*[c for c in df.columns if c != CORRUPT])
+    return df.filter(F.col(CORRUPT).isNotNull() & values.isNotNull()).select(
         F.lit(name).alias("source_domain"), F.col(CORRUPT).alias("raw_record")
     )
 

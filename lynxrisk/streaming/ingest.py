@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from lynxrisk.config import RunContext
 from lynxrisk.plans import silver as S
 from lynxrisk.sources.schemas import BRONZE
+from lynxrisk.sources.session import use_utc
 
 
 def read_feed_stream(spark: SparkSession, name: str, folder: str, files_per_batch: int = 1000) -> DataFrame:
@@ -31,6 +32,7 @@ def stream_feed(
 
     ``resolved_part`` and ``dead_part`` of the silver plans read the result.
     """
+    use_utc(spark)
     feed = S.FEEDS[domain]
     tagged = S.tag_feed(feed, read_feed_stream(spark, f"{domain}_events", folder), register)
     return (

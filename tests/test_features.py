@@ -129,7 +129,7 @@ def test_kmeans_separates_planted_groups(spark):
     rng = np.random.default_rng(1)
     points = [(int(g), [float(x) for x in rng.normal(g * 10, 0.1, 3)]) for g in range(3) for _ in range(30)]
     df = spark.createDataFrame(points, "g int, v array<double>")
-    centers = clustering.fit_centroids(df, "v", k=3)
+    centers = clustering.train(df, "v", k=3).centroids
     assert [r.cluster_id for r in centers.orderBy("centroid").collect()] == [0, 1, 2]
     scored = clustering.nearest_centroid(df, "v", centers)
     assert scored.filter("cluster_id <> g").count() == 0
@@ -138,16 +138,36 @@ def test_kmeans_separates_planted_groups(spark):
         assert r.anomaly_score == pytest.approx(min(np.linalg.norm(np.array(r.v) - c) for c in model.values()))
 
 
-@pytest.mark.parametrize("dims", [None, 1])
-def test_equal_distance_takes_the_lower_id(spark, dims):
+def test_equal_distance_takes_the_lower_id(spark):
     centers = spark.createDataFrame([(1, [2.0]), (0, [0.0])], clustering.CENTROID_SCHEMA)
     point = spark.createDataFrame([([1.0],)], "v array<float>")
-    row = clustering.nearest_centroid(point, "v", centers, dims=dims).first()
+    row = clustering.nearest_centroid(point, "v", centers).first()
     assert (row.cluster_id, row.anomaly_score) == (0, 1.0)
-    one = clustering.nearest_centroid(point, "v", centers.filter("cluster_id = 1"), dims=dims).first()
+    one = clustering.nearest_centroid(point, "v", centers.filter("cluster_id = 1")).first()
     assert (one.cluster_id, one.anomaly_score) == (1, 1.0)
 
 
+def test_vectors_that_cannot_be_placed(spark):
+    centers = spark.createDataFrame([(0, [0.0, 0.0]), (1, [1.0, 1.0])], clustering.CENTROID_SCHEMA)
+    rows = spark.createDataFrame([(1, None), (2, [None, 1.0]), (3, [1.0, 1.0])], "id int, v array<double>")
+    got = {r.id: (r.cluster_id, r.anomaly_score) for r in clustering.nearest_centroid(rows, "v", centers).collect()}
+    assert got == {1: (None, None), 2: (None, None), 3: (1, 0.0)}
+    long = spark.createDataFrame([([1.0, 1.0, 1.0],)], "v array<double>")
+    with pytest.raises(Exception, match="vector length 3"):
+        clustering.nearest_centroid(long, "v", centers).collect()
+
+
+def test_training_does_not_depend_on_the_partitions(spark):
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame([([float(x) for x in rng.normal(0, 1, 4)],) for _ in range(400)], "v array<double>")
+    three, seven = (clustering.train(df.repartition(n), "v") for n in (3, 7))
+    assert three.centroids.collect() == seven.centroids.collect()
+    summary = three.summary.first()
+    assert 1 <= summary.rounds <= 20 and summary.reassigned <= 1 and summary.objective > 0
+    empty = clustering.train(df.limit(0), "v")
+    assert empty.centroids.count() == 0 and empty.summary.first().rounds == 0
+
+
 def test_unknown_peer_group_gives_zero_features(spark):
     cols = "employee_id string, event_date date"
     empty = lambda extra: spark.createDataFrame([], f"{cols}, {extra}")

@@ -56,11 +56,9 @@ def test_one_write_holds_both_parts(spark):
     events = pacs(spark, ["B1", "B9"])
     tagged = S.tag_feed(feed, events, badges(spark))
     both = S.conform_all(feed, tagged, CTX)
-    split = S.split_feed(feed, tagged, CTX)
+    split = S.silver_feed("pacs", events, badges(spark), CTX)
     assert S.resolved_part(feed, both).exceptAll(split.ok).count() == 0
-    assert S.dead_part(both).withColumns(
-        {"source_domain": F.lit("pacs")}
-    ).exceptAll(split.dead).count() == 0
+    assert S.dead_part(both).exceptAll(split.dead).count() == 0
     assert (S.resolved_part(feed, both).count(), S.dead_part(both).count()) == (1, 1)
 
 

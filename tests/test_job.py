@@ -24,7 +24,7 @@ def done(spark, tmp_path_factory):
 
 def test_all_stages_succeed(done):
     rows = done[3].collect()
-    assert len(rows) == 16
+    assert len(rows) == 17
     assert {r.status for r in rows} == {"success"}
     assert all(r.rows_out > 0 for r in rows)
 
@@ -79,7 +79,45 @@ def test_reports_are_written(done, spark):
     assert catalogs == [17, 13, 10]
     assert latest_runs(pipeline_runs(spark, done[1]), 5).count() == 5
     trend = risk_trend(lake.read("gold", "employee_risk_features"), [employee(i) for i in range(1, 13)])
-    assert trend.select("employee_id").distinct().count() == 10
+    assert trend.select("employee_id").distinct().count() == 12
+
+
+def test_inputs_are_checked(done):
+    lake = done[2]
+    assert lake.read("silver", "malformed_lines").count() == 0
+    keys = {r.check: r.passed for r in lake.read("reports", "input_keys").collect()}
+    assert keys["key_badge_registry"] and keys["key_raw_tweets"]
+    summary = lake.read("gold", "gd_kmeans_summary").first()
+    assert summary.rounds >= 1 and 0 <= summary.reassigned <= 1
+
+
+def test_settled_tables_are_deleted(done, spark):
+    import os
+
+    from lynxrisk.sources.session import scratch, settle, shared_folder
+
+    folder = shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    with scratch(spark):
+        assert settle(spark.range(3)).count() == 3
+        assert set(os.listdir(folder)) > before
+    assert set(os.listdir(folder)) == before
+
+
+def test_a_badge_listed_twice_stops_the_run(spark, tmp_path):
+    bronze, lake = tmp_path / "bronze", tmp_path / "lake"
+    bronze.mkdir()
+    write_bronze(str(bronze))
+    with open(bronze / "badge_registry.csv", "a") as register:
+        register.write("BADGE_00001,EMP_00002,2021-01-01\n")
+    with open(bronze / "geo_events.csv", "a") as feed:
+        feed.write("BADGE_00001,DEV1,not a time,B1,north,-77.0,phone\n")
+    with pytest.raises(StageFailed, match="key_badge_registry"):
+        run_pipeline(spark, str(bronze), str(lake), CFG, run_id="twice", now=NOW)
+    rows = Lake(spark, str(lake), "twice").read("silver", "malformed_lines").collect()
+    assert [(r.source_domain, r.raw_record[:24]) for r in rows] == [("geo_events", "BADGE_00001,DEV1,not a t")]
+    audit = pipeline_runs(spark, str(lake)).first()
+    assert audit.status == "failed" and "key_badge_registry" in audit.notes
 
 
 def test_rerun_gives_the_same_rows(done, spark):

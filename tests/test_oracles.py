@@ -4,8 +4,9 @@ import duckdb
 import pandas as pd
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check import TABLES, canonical
+from lynxrisk.queries import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -18,11 +19,11 @@ def db():
     return connection
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, db, name):
-    got = queries()[name](spark, FOLDER).toPandas()
+    got = QUERIES[name](spark, FOLDER).toPandas()
     assert len(got)
-    sql = oracle_sql().get(name)
+    sql = ORACLES.get(name)
     if sql is None:
         return
     cursor = db.execute(sql)
@@ -34,5 +35,5 @@ def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-def test_only_training_has_no_twin():
-    assert set(queries()) - set(oracle_sql()) == {"q28_kmeans_train"}
+def test_every_query_has_a_twin():
+    assert set(QUERIES) == set(ORACLES)

@@ -53,11 +53,11 @@ def test_equals_all_pairs(spark, monkeypatch, few):
     assert 20 < sum(expect.values()) < 190
 
 
-@pytest.mark.parametrize("piece,merged", [(50_000, 50), (300, 8)])
-def test_one_day_with_very_many_points(spark, monkeypatch, piece, merged):
+@pytest.mark.parametrize("piece,block", [(50_000, 4000), (300, 100)])
+def test_one_day_with_very_many_points(spark, monkeypatch, piece, block):
     """A disc of 20,000 points just too small, and one with two points more."""
     monkeypatch.setattr(travel, "PIECE_POINTS", piece)
-    monkeypatch.setattr(travel, "MERGED_PIECES", merged)
+    monkeypatch.setattr(travel, "BLOCK_POINTS", block)
     rng = np.random.default_rng(7)
     r, a = 2.24 * np.sqrt(rng.random(20000)), rng.random(20000) * 2 * np.pi
     disc = [(1, day(0), float(x), float(y)) for x, y in zip(r * np.sin(a), r * np.cos(a))]
@@ -66,6 +66,18 @@ def test_one_day_with_very_many_points(spark, monkeypatch, piece, merged):
     assert got == {(1, day(0)): False, (2, day(0)): True}
 
 
+def test_a_ring_of_corners_is_spread_over_tasks(spark, monkeypatch):
+    """200,000 points on a circle are all corners; no task compares more than two blocks of them."""
+    monkeypatch.setattr(travel, "BLOCK_POINTS", 2000)
+    monkeypatch.setattr(travel, "PIECE_POINTS", 5000)
+    a = np.linspace(0, 2 * np.pi, 200_000, endpoint=False)
+    ring = pd.DataFrame({"g": 1, "d": day(0), "la": 2.245 * np.sin(a), "lo": 2.245 * np.cos(a)})
+    table = spark.createDataFrame(ring)
+    assert travel.impossible_travel(table, "g", "d", "la", "lo").first().impossible is False
+    wider = ring.assign(la=ring.la * 1.003, lo=ring.lo * 1.003)
+    assert travel.impossible_travel(spark.createDataFrame(wider), "g", "d", "la", "lo").first().impossible is True
+
+
 def test_the_directions_cover_the_sphere():
     rng = np.random.default_rng(8)
     d = np.array(travel.DIRECTIONS, float)

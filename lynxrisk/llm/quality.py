@@ -30,7 +30,7 @@ MEASURES = {
     "upper": (40, False),  # A-Z by characters in words
     "word_length": (500, True),  # characters by words, in thousandths of a character
     "repeated": (100, False),  # words in repeated windows by words
-    "dup_lines": (100, False),  # repeated lines by lines
+    "dup_lines": (250, False),  # repeated lines by lines
 }
 #: A fence lies so many quartile ranges outside the quartiles.
 REACH = 3

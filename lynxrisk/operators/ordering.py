@@ -65,7 +65,8 @@ def row_index(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str
 def running_sum(
     df: DataFrame, value: str, keys: Sequence[str], order: Sequence[str], out: str, scale: Scale = Scale()
 ) -> DataFrame:
-    """Sum of all rows of the key up to and including this one."""
+    """Sum of all rows of the key up to and including this one. The rows are written first, so they are made once."""
+    df = settle(df)
     largest = largest_group(df, keys)
     if largest <= scale.window_rows:
         upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
@@ -93,8 +94,9 @@ def frame_chunks(
 
     Adds ``_chunk`` (put it into the window's partition) and ``_borrowed`` (drop these rows
     after the window): each piece of a large key also holds the few rows that frames at its
-    edge reach in the neighbouring piece.
+    edge reach in the neighbouring piece. The rows are written first, so they are made once.
     """
+    df = settle(df)
     largest = largest_group(df, keys)
     if largest <= scale.window_rows:
         return df.withColumn(CHUNK, F.lit(0).cast("long")).withColumn(BORROWED, F.lit(False))

@@ -19,6 +19,7 @@ from lynxrisk.plans.weekly import top_item
 from lynxrisk.queries.feeds import CFG, Feeds, name
 from lynxrisk.queries.registry import query
 from lynxrisk.queries.written import feature_grid, written
+from lynxrisk.sources.session import settle
 
 DIMS = 64
 
@@ -59,6 +60,7 @@ def rolling(f: Feeds) -> DataFrame:
     daily = f.events.groupBy("user_id", F.to_date("event_timestamp").alias("day")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("value").alias("value"), F.max("value").alias("top")
     )
+    daily = settle(daily)  # the calendar and the windows both read it
     frames = {
         "events": Frame("n"),
         "value": Frame("value"),

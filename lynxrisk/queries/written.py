@@ -95,48 +95,5 @@ def written(f: Feeds) -> Written:
     return _written(f.spark, f.spark.sparkContext.applicationId, f.folder, _files(f.spark, f.folder))
 
 
-def gold(self) -> DataFrame:
-        return settle(scored_features(self.f))
-
-    @cached_property
-    def silver(self) -> dict[str, DataFrame]:
-        return {d: settle(t) for d, t in self.f.silver.items()} | {"hris": settle(self.f.sv_hris)}
-
-    @cached_property
-    def external(self) -> dict[str, DataFrame]:
-        tables = {
-            "silver_geo_anomalies": self.f.anomalies.ok,
-            "silver_lifestyle_incongruity": self.f.sv_lifestyle.ok,
-            "silver_financial_stress": self.f.sv_financial,
-            "silver_darkweb_signals": self.f.sv_darkweb.ok,
-        }
-        return {name: settle(t) for name, t in tables.items()}
-
-    @cached_property
-    def dead(self) -> DataFrame:
-        return settle(self.f.dead)
-
-    @cached_property
-    def weekly(self) -> dict[str, DataFrame]:
-        ext = self.external
-        streams = {
-            "twitter": weekly.weekly_twitter(self.silver["pai"]),
-            "location": weekly.weekly_location(ext["silver_geo_anomalies"]),
-            "lifestyle": weekly.weekly_lifestyle(ext["silver_lifestyle_incongruity"]),
-            "financial": weekly.weekly_financial(ext["silver_financial_stress"]),
-            "darkweb": weekly.weekly_darkweb(ext["silver_darkweb_signals"]),
-        }
-        return {name: settle(t) for name, t in streams.items()}
-
-
-@lru_cache(maxsize=4)
-def _written(spark: SparkSession, application: str, folder: str) -> Written:
-    return Written(Feeds(spark, folder))
-
-
-def written(f: Feeds) -> Written:
-    return _written(f.spark, f.spark.sparkContext.applicationId, f.folder)
-
-
 def gold(f: Feeds) -> DataFrame:
     return written(f).gold

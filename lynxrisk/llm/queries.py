@@ -53,6 +53,62 @@ def op4_adaptive_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents")).drop("failed")
 
 
+def _op4() -> str:
+    """The rules, sketches and fences of ``quality`` in SQL, from its fixed values and parameters."""
+    q = quality
+    measures = {
+        "symbols": "n_symbols * 1000 // greatest(n_words, 1)",
+        "upper": "n_upper * 1000 // greatest(word_chars, 1)",
+        "word_length": "word_chars * 1000 // greatest(n_words, 1)",
+        "repeated": "n_repeat_words * 1000 // greatest(n_words, 1)",
+        "dup_lines": "n_dup_lines * 1000 // greatest(n_lines, 1)",
+    }
+    long = " UNION ALL ".join(f"SELECT doc_id, lang, source, '{m}' AS m, {e} AS v FROM counted WHERE NOT base_failed" for m, e in measures.items())
+    limits = ", ".join(f"('{m}', {w}, {low})" for m, (w, low) in q.MEASURES.items())
+    shift = f"greatest(length(bin(v)) - {1 + q.FRACTION_BITS}, 0)"
+    low = 1 << q.FRACTION_BITS
+
+    def quartiles(name: str, by: str) -> str:
+        group = f"{by}, m" if by else "m"
+        end = f"CASE WHEN b < {2 * low} THEN b ELSE ((b - (b // {low} - 1) * {low} + 1) << CAST(b // {low} - 1 AS INTEGER)) - 1 END"
+        return (
+            f"{name} AS (SELECT {group}, any_value(n) AS n, min({end}) FILTER (c >= ceil(n * 0.25)) AS q1, min({end}) FILTER (c >= ceil(n * 0.75)) AS q3"
+            f" FROM (SELECT {group}, b, sum(k) OVER (PARTITION BY {group} ORDER BY b) AS c, sum(k) OVER (PARTITION BY {group}) AS n"
+            f" FROM (SELECT {group}, b, count(*) AS k FROM sketch GROUP BY ALL)) GROUP BY {group})"
+        )
+
+    space = r"\x20\x09-\x0D"
+    pick = lambda c: f"CASE WHEN o.n >= {q.LEAST_DOCS} THEN o.{c} WHEN l.n >= {q.LEAST_DOCS} THEN l.{c} ELSE e.{c} END"
+    return f"""
+WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^{space}]+') AS ws,
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^{space}]')) AS ls FROM d),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i + {q.WINDOW - 1}], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - {q.WINDOW - 2})) AS i FROM w)),
+rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM win) WHERE c > 1),
+cov AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM rep, range(0, {q.WINDOW}) r(k) GROUP BY doc_id),
+raw AS (SELECT w.doc_id, lang, source, len(ws) AS n_words, CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+        len(regexp_extract_all(t, '[{q.SYMBOLS}]')) AS n_symbols, len(ls) - len(list_distinct(ls)) AS n_dup_lines,
+        coalesce(cov.n, 0) AS n_repeat_words, len(regexp_extract_all(t, '[A-Z]')) AS n_upper, len(ls) AS n_lines
+        FROM w LEFT JOIN cov ON w.doc_id = cov.doc_id),
+counted AS (SELECT *, n_words < {q.LEAST_WORDS} OR 100 * n_repeat_words > {q.MOST_REPEATED_PERCENT} * n_words AS base_failed FROM raw),
+measured AS ({long}),
+sketch AS (SELECT *, CASE WHEN v < {low} THEN v ELSE {shift} * {low} + (v >> CAST({shift} AS INTEGER)) END AS b FROM measured),
+{quartiles("o", "lang, source")}, {quartiles("l", "lang")}, {quartiles("e", "")},
+p(m, width, low_too) AS (VALUES {limits}),
+f AS (SELECT o.lang, o.source, o.m, p.width, p.low_too, {pick("q1")} AS q1, {pick("q3")} AS q3
+        FROM o JOIN l ON o.lang IS NOT DISTINCT FROM l.lang AND o.m = l.m JOIN e ON o.m = e.m JOIN p ON o.m = p.m),
+g AS (SELECT lang, source, m, CASE WHEN low_too THEN q1 - {q.REACH} * greatest(q3 - q1, width) ELSE -1 END AS least,
+        q3 + {q.REACH} * greatest(q3 - q1, width) AS most FROM f),
+bad AS (SELECT DISTINCT x.doc_id FROM measured x JOIN g ON x.lang IS NOT DISTINCT FROM g.lang AND x.source IS NOT DISTINCT FROM g.source AND x.m = g.m
+        WHERE v < least OR v > most)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM bad) AS kept FROM counted
+"""
+
+
+OP4 = _op4()
+
+
 def op5_cube_mix(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents").select("doc_id", "source", "text"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -67,16 +123,16 @@ def op6_perspective_chat(spark: SparkSession, folder: str) -> DataFrame:
 OP6 = """
 WITH t AS (
   SELECT conv_id, turn, role, replace(coalesce(text, ''), '<|', '< |') AS text,
-         row_number() OVER (PARTITION BY conv_id, turn // 256 ORDER BY turn, role, text) - 1 AS at, turn // 256 AS r FROM conversations),
-p AS (SELECT *, dense_rank() OVER (PARTITION BY conv_id ORDER BY r, at // 256) - 1 AS piece FROM t),
+         row_number() OVER (PARTITION BY conv_id, turn // 256 ORDER BY turn, role, text) - 1 AS pos, turn // 256 AS r FROM conversations),
+p AS (SELECT *, dense_rank() OVER (PARTITION BY conv_id ORDER BY r, pos // 256) - 1 AS piece FROM t),
 s AS (SELECT DISTINCT conv_id, role AS speaker FROM conversations WHERE role IS NOT NULL AND role <> 'system'),
 v AS (SELECT p.*, speaker, role = speaker AS own,
         '<|im_start|>' || CASE WHEN role = speaker THEN 'assistant' WHEN role = 'system' THEN 'system'
           ELSE 'user name=' || coalesce(role, 'unknown') END || chr(10) AS head FROM p JOIN s USING (conv_id)),
 w AS (SELECT *, head || text || '<|im_end|>' || chr(10) AS whole FROM v),
-o AS (SELECT *, coalesce(sum(length(whole)) OVER (PARTITION BY conv_id, speaker, piece ORDER BY at ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM w)
-SELECT conv_id, speaker, CAST(piece AS BIGINT) AS piece, count(*) AS n_turns, string_agg(whole, '' ORDER BY at) AS text,
-  coalesce(string_agg(CAST(CAST(off + length(head) AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(off + length(whole) - 1 AS BIGINT) AS VARCHAR), ',' ORDER BY at) FILTER (own), '') AS spans
+o AS (SELECT *, coalesce(sum(length(whole)) OVER (PARTITION BY conv_id, speaker, piece ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM w)
+SELECT conv_id, speaker, CAST(piece AS BIGINT) AS piece, count(*) AS n_turns, string_agg(whole, '' ORDER BY pos) AS text,
+  coalesce(string_agg(CAST(CAST(off + length(head) AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(off + length(whole) - 1 AS BIGINT) AS VARCHAR), ',' ORDER BY pos) FILTER (own), '') AS spans
 FROM o GROUP BY conv_id, speaker, piece
 """
 
@@ -136,5 +192,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLES: dict[str, str] = {"op2_hamming_top_k": OP2, "op6_perspective_chat": OP6}
+ORACLES: dict[str, str] = {"op2_hamming_top_k": OP2, "op4_adaptive_quality": OP4, "op6_perspective_chat": OP6}
 

@@ -35,11 +35,9 @@ _LINE_WITH_SHINGLE = f"(?:{WORD}{SPACE}){{{SHINGLE - 1}}}{WORD}"
 
 def lines(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, line_no, line): lines of at least five words."""
-    parts = docs.select(
-        "doc_id",
-        F.xxhash64("text").alias("text_hash"),
-        F.posexplode(F.split(text_or_empty(F.col("text")), "\n", -1)).alias("line_no", "line"),
-    )
+    # cut first, then explode: a line must not carry its document's text along
+    cut = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.split(text_or_empty(F.col("text")), "\n", -1).alias("all_lines"))
+    parts = cut.select("doc_id", "text_hash", F.posexplode_outer("all_lines").alias("line_no", "line"))
     return parts.filter(F.col("line").rlike(_LINE_WITH_SHINGLE))
 
 
@@ -59,7 +57,8 @@ def rarity_sketch(table: DataFrame) -> Column:
 
     An entry is the count in quarters of an octave, in the highest byte of a long.
     """
-    tokens = table.select(F.explode(_shingles(F.col("line"))).alias("t"))
+    # outer: else Spark first tests that there are shingles, and so makes them twice
+    tokens = table.select(F.explode_outer(_shingles(F.col("line"))).alias("t"))
     counts = tokens.groupBy(F.shiftrightunsigned("t", 64 - SKETCH_BITS).cast("int").alias("bucket")).agg(F.count("*").alias("n"))
     level = F.least(F.floor(F.log2("n") * 4), F.lit(126)).cast("long")
     found = dict(counts.select("bucket", level).collect())  # at most 2 ** SKETCH_BITS rows
@@ -142,11 +141,13 @@ def classes_with_earlier(classes: DataFrame, table: DataFrame, sketch: Column) -
     """(id) of classes that have an earlier similar class; ``table`` has the lines."""
     shared = _shared(classes)
     # a class's tokens are made again from its first line, which its place tells
-    wanted = settle(classes.join(shared.select("id").distinct(), "id", "left_semi").select("id", "first.*"))
-    wanted = wanted.select("id", F.col("doc_id").alias("w_id"), F.col("text_hash").alias("w_hash"), F.col("line_no").alias("w_line"))
+    places = classes.join(shared.select("id").distinct(), "id", "left_semi").select("id", "first.*")
+    wanted = settle(places).select("id", F.col("doc_id").alias("w_id"), F.col("text_hash").alias("w_hash"), F.col("line_no").alias("w_line"))
     there = F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_hash")) & (F.col("line_no") == F.col("w_line"))
     first_lines = small_join(table, wanted, there).select("id", "line")
-    token_table = settle(token_sets(first_lines, sketch).dropDuplicates(["id"]))
+    token_table = settle(token_sets(first_lines, sketch))
+    if token_table.count() > wanted.count():  # the input has equal rows
+        token_table = settle(token_table.dropDuplicates(["id"]))
 
     posting = F.struct("id", "n", "at", "parity").alias("p")
     listed = shared.select("t", "first", posting)

@@ -5,10 +5,11 @@ that is left. Which documents get one more is drawn by the cube method: inclusio
 leave the source's token total and its document total as they are, until they are 0 or 1. Three documents always
 allow such a direction, so at most two stay undecided (the landing problem).
 
-At scale a source is cut into blocks by a hash. Each block is a task's work; its one or two undecided documents go on to the
-next level, where blocks of such rest rows are formed, until one block is left for each source. Only there the landing
-takes place: first the document total is given up, then the last document is drawn. The largest documents of a block are
-settled first, so what stays undecided, and the error of the totals, is small. All draws are seeded by hashes.
+At scale a source is cut into blocks by a hash. Each block is a task's work. Its undecided documents go on to the next level, where
+blocks of such rest rows are formed, until one block is left for each source; only there the landing takes place. For it
+each block holds back a few documents from the flight, of sizes that fall by a third at a time. They are decided
+last, from the largest to the smallest, each so that the token total comes as near to its target as it can; so the error left is
+about half a small document. All draws are seeded by hashes.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from lynxrisk.llm.common import n_words, settle, small_join
 WEIGHTS = (1, 2, 3)
 MOST = 3.0
 BLOCK_ROWS = 8192
+#: Rows that a block hands on, as a rule at most: the undecided and those held back (sizes fall by a third).
+REST_ROWS = 120
 _NEAR = 1e-9
 
 
@@ -98,29 +101,43 @@ def _move(probability: list[float], at: list[int], direction: tuple[float, ...],
         probability[i] += step * u
 
 
-def land(probability: list[float], tokens: list[float], rest: list[int], draw: Iterable[float]) -> None:
-    """Decide what the flight left: keep the token total while two are open, then draw the last one."""
-    draw = iter(draw)
-    rest = list(rest)
-    while len(rest) > 1:
-        a, b = rest[:2]
-        direction = (tokens[b], -tokens[a]) if tokens[a] or tokens[b] else (1.0, -1.0)
-        _move(probability, [a, b], direction, next(draw))
-        rest = [j for j in rest if _undecided(probability, j)]
-    for i in rest:
-        probability[i] = float(next(draw) < probability[i])
+def held_back(tokens: list[float], each: int = 3) -> list[int]:
+    """Indices of a few rows for the landing, given sizes in falling order: ``each`` at a time, then none above two thirds of the last."""
+    kept: list[int] = []
+    size, room = math.inf, each
+    for i, t in enumerate(tokens):
+        if t > 0 and (room or t <= size):
+            kept.append(i)
+            room = room - 1 if room else each - 1
+            size = t * 2 / 3
+    return kept
+
+
+def land(probability: list[float], tokens: list[float], counts: list[float], rest: list[int]) -> None:
+    """Decide what is left, from the largest, each time keeping the token total nearest to its expectation; without words, the row total."""
+    off_tokens = off_rows = 0.0
+    for i in sorted(rest, key=lambda j: -tokens[j]):
+        p, t, n = probability[i], tokens[i], counts[i]
+        off, weight = (off_tokens, t) if t else (off_rows, n)
+        taken = abs(off + (1 - p) * weight) < abs(off - p * weight)
+        probability[i] = float(taken)
+        off_tokens += (taken - p) * t
+        off_rows += (taken - p) * n
 
 
 def _decide(rows: pd.DataFrame, seed: int, last: bool) -> pd.DataFrame:
     """One block of one source: the flight, and the landing where it is the source's only block."""
     rows = rows.sort_values(["tokens", "unit"], ascending=[False, True], ignore_index=True)
     probability, tokens, counts = (rows[c].astype(float).tolist() for c in ("probability", "tokens", "n"))
-    key = xxhash.xxh64_intdigest(rows["unit"].to_numpy().tobytes(), seed)
-    draws = np.random.default_rng(key)
-    chance = iter(lambda: float(draws.random()), None)
-    rest = flight(probability, tokens, counts, chance)
+    draws = np.random.default_rng(xxhash.xxh64_intdigest(rows["unit"].to_numpy().tobytes(), seed))
+    kept = [i for i in held_back(tokens) if _undecided(probability, i)]
+    flying = sorted(set(range(len(rows))) - set(kept))
+    part = [probability[i] for i in flying]
+    rest = flight(part, [tokens[i] for i in flying], [counts[i] for i in flying], iter(lambda: float(draws.random()), None))
+    for i, p in zip(flying, part, strict=True):
+        probability[i] = p
     if last:
-        land(probability, tokens, rest, chance)
+        land(probability, tokens, counts, kept + [flying[i] for i in rest])
     return rows.assign(probability=probability)
 
 
@@ -134,16 +151,18 @@ def _unit(docs: DataFrame, text: str) -> list[Column]:
     return [F.xxhash64(F.lit(50), F.col("doc_id").isNull(), *parts).alias("unit"), F.xxhash64(F.lit(51), *parts).alias("unit_too")]
 
 
-def sample_units(units: DataFrame, blocks_of: DataFrame, largest: int, seed: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(unit, unit_too, source, probability 0 or 1) for units (source, unit, unit_too, tokens, n, probability).
+def sample_units(units: DataFrame, largest: int, seed: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(unit, unit_too, probability 0 or 1) for units (source_no, rows, unit, unit_too, tokens, n, probability).
 
-    ``largest`` is the number of units of the largest source; ``blocks_of`` has (source, rows).
+    ``rows`` is the number of rows of the unit's source, and ``largest`` that of the largest source.
     """
     schema = "source_no long, unit long, unit_too long, tokens double, n double, probability double, blocks long"
     blocks = F.ceil(F.col("rows") / block_rows).cast("long")
-    numbered = units.join(blocks_of.select("source_no", blocks.alias("blocks")), "source_no").select(
-        "source_no", "unit", "unit_too", F.col("tokens").cast("double"), F.col("n").cast("double"), "probability", "blocks"
+    numbered = units.select(
+        "source_no", "unit", "unit_too", F.col("tokens").cast("double"), F.col("n").cast("double"), "probability", blocks.alias("blocks")
     )
+    if block_rows < 2 * REST_ROWS:
+        raise ValueError(f"blocks need at least {2 * REST_ROWS} rows")
     decided, most = [], math.ceil(max(1, largest) / block_rows)
     level = 0
     while True:
@@ -152,9 +171,9 @@ def sample_units(units: DataFrame, blocks_of: DataFrame, largest: int, seed: int
         decided.append(out.filter("probability IN (0D, 1D)").select("unit", "unit_too", "probability"))
         if most <= 1:
             break
-        # two rest rows of each block at most; a source that had one block has none
-        most = math.ceil(2 * most / block_rows)
-        fewer = F.ceil(F.col("blocks") * 2 / block_rows).cast("long")
+        # a source that had one block has no rest rows
+        most = math.ceil(REST_ROWS * most / block_rows)
+        fewer = F.ceil(F.col("blocks") * REST_ROWS / block_rows).cast("long")
         numbered = out.filter("probability NOT IN (0D, 1D)").withColumn("blocks", fewer)
         level += 1
     result = decided[0]
@@ -163,15 +182,8 @@ def sample_units(units: DataFrame, blocks_of: DataFrame, largest: int, seed: int
     return result
 
 
-def mix(docs: DataFrame, weights: Iterable[float] = WEIGHTS, most: float = MOST, seed: int = 5, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """All rows and columns, with size, source_size (long), target (double) and copies (long): how often the mix takes the row.
-
-    Size is the number of words of the text (null: 0). Targets are those of ``source_targets``. Of a source with target r times its size,
-    every row has floor(r) or floor(r) + 1 copies, and the words taken come as near to the target as the last, small document
-    allows. A source without words has no copies. Rows that are equal in doc_id, source and text are drawn together, as one unit. The
-    result depends on the rows and the seed only, not on their partitions. Null sources are a source of their own; an
-    empty table gives an empty result. Input columns named like the new ones are replaced.
-    """
+def _drawn(docs: DataFrame, weights: Iterable[float], most: float, seed: int, block_rows: int) -> DataFrame:
+    """(row, size, source_size, target, copies) for every row."""
     named = docs.select(F.struct("*").alias("row"), "doc_id", F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text"))
     sized = named.select("row", "source", n_words(F.col("text")).alias("size"), *_unit(named, "text"))
     narrow = settle(sized.drop("row"))
@@ -179,21 +191,33 @@ def mix(docs: DataFrame, weights: Iterable[float] = WEIGHTS, most: float = MOST,
     targets = settle(targets.withColumn("ratio", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)))
 
     per_unit = narrow.groupBy("source", "unit", "unit_too").agg(F.sum("size").alias("tokens"), F.count("*").alias("n"))
-    known = targets.select(F.col("source").alias("of"), "source_no", "ratio")
+    known = targets.select(F.col("source").alias("of"), "source_no", "rows", "ratio")
     units = small_join(per_unit, known, F.col("source").eqNullSafe(F.col("of"))).withColumn("probability", F.col("ratio") - F.floor("ratio"))
     largest = targets.agg(F.max("rows")).first()[0] or 0
-    extra = sample_units(units, targets.select("source_no", "rows"), largest, seed, block_rows)
+    extra = sample_units(units, largest, seed, block_rows)
 
     chosen = extra.filter("probability = 1D").select("unit", "unit_too", F.lit(1).alias("once_more"))
     facts = targets.select(F.col("source").alias("of"), "source_size", "target", "ratio")
     drawn = small_join(sized.join(chosen, ["unit", "unit_too"], "left"), facts, F.col("source").eqNullSafe(F.col("of")))
     copies = F.floor("ratio").cast("long") + F.coalesce("once_more", F.lit(0))
-    new = {"size": F.col("size"), "source_size": F.col("source_size"), "target": F.col("target"), "copies": copies}
+    return drawn.select("row", "size", "source_size", F.col("target").cast("double").alias("target"), copies.cast("long").alias("copies"))
+
+
+def mix(docs: DataFrame, weights: Iterable[float] = WEIGHTS, most: float = MOST, seed: int = 5, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """All rows and columns, with size, source_size (long), target (double) and copies (long): how often the mix takes the row.
+
+    Size is the number of words of the text (null: 0). Targets are those of ``source_targets``. Of a source with target r times its size,
+    every row has floor(r) or floor(r) + 1 copies, and the words taken come as near to the target as the last, small document
+    allows. A source without words has no copies. Rows that are equal in doc_id, source and text are drawn together, as one unit. The
+    result depends on the rows and the seed only, not on their partitions. Null sources are a source of their own; an
+    empty table gives an empty result. Input columns named like the new ones are replaced.
+    """
+    new = ["size", "source_size", "target", "copies"]
     kept = [F.col("row").getField(c).alias(c) for c in docs.columns if c.lower() not in new]
-    return drawn.select(*kept, *[v.cast("double" if k == "target" else "long").alias(k) for k, v in new.items()])
+    return _drawn(docs, weights, most, seed, block_rows).select(*kept, *new)
 
 
-def take(docs: DataFrame, **options) -> DataFrame:
+def take(docs: DataFrame, weights: Iterable[float] = WEIGHTS, most: float = MOST, seed: int = 5, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """The mix itself: each row as many times as it has copies, with the columns of the input."""
-    mixed = mix(docs.select(F.struct("*").alias("row"), "doc_id", "source", "text"), **options)
-    return mixed.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select("row.*")
+    drawn = _drawn(docs, weights, most, seed, block_rows).filter("copies > 0").select("row", "copies")
+    return drawn.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select("row.*")

@@ -49,23 +49,23 @@ def hypergeometric(total: str, marked: str, drawn: str, uniform: str) -> str:
     """
     mode = f"CAST(floor((double({drawn}) + 1) * (double({marked}) + 1) / (double({total}) + 2)) AS BIGINT)"
     rest = f"({total} - {marked} - {drawn})"
-    at_mode = f"exp({log_choose(f'double({marked})', 'double(m)')} + {log_choose(f'double({total} - {marked})', f'double({drawn} - m)')} - {log_choose(f'double({total})', f'double({drawn})')})"
+    at_mode = f"exp({log_choose(f'double({marked})', 'double(m_)')} + {log_choose(f'double({total} - {marked})', f'double({drawn} - m_)')} - {log_choose(f'double({total})', f'double({drawn})')})"
     spread = f"sqrt(double({drawn}) * {marked} / {total} * ({total} - {marked}) / {total})"
     reach = f"CAST(least(13 * {spread} + 13, double(least({marked}, {drawn}))) AS BIGINT)"
-    up = f"s.up * (double({marked} - m - t) * double({drawn} - m - t)) / (double(m + t + 1) * double({rest} + m + t + 1))"
-    down = f"s.down * (double(m - t) * double({rest} + m - t)) / (double({marked} - m + t + 1) * double({drawn} - m + t + 1))"
+    up = f"s_.up * (double({marked} - m_ - t_) * double({drawn} - m_ - t_)) / (double(m_ + t_ + 1) * double({rest} + m_ + t_ + 1))"
+    down = f"s_.down * (double(m_ - t_) * double({rest} + m_ - t_)) / (double({marked} - m_ + t_ + 1) * double({drawn} - m_ + t_ + 1))"
     step = (
-        "CASE WHEN s.x IS NOT NULL THEN s"
-        f" WHEN s.left < s.up THEN named_struct('left', s.left, 'up', s.up, 'down', s.down, 'x', m + t)"
-        f" WHEN t > 0 AND s.left - s.up < s.down THEN named_struct('left', s.left, 'up', s.up, 'down', s.down, 'x', m - t)"
-        f" ELSE named_struct('left', s.left - s.up - if(t > 0, s.down, 0D),"
-        f" 'up', if(m + t >= least({marked}, {drawn}), 0D, {up}), 'down', if(m - t <= greatest(0L, -{rest}), 0D, {down}), 'x', CAST(NULL AS BIGINT)) END"
+        "CASE WHEN s_.x IS NOT NULL THEN s_"
+        f" WHEN s_.left < s_.up THEN named_struct('left', s_.left, 'up', s_.up, 'down', s_.down, 'x', m_ + t_)"
+        f" WHEN t_ > 0 AND s_.left - s_.up < s_.down THEN named_struct('left', s_.left, 'up', s_.up, 'down', s_.down, 'x', m_ - t_)"
+        f" ELSE named_struct('left', s_.left - s_.up - if(t_ > 0, s_.down, 0D),"
+        f" 'up', if(m_ + t_ >= least({marked}, {drawn}), 0D, {up}), 'down', if(m_ - t_ <= greatest(0L, -{rest}), 0D, {down}), 'x', CAST(NULL AS BIGINT)) END"
     )
     search = (
-        f"aggregate(sequence(0L, {reach}), named_struct('left', {uniform}, 'up', p, 'down', p, 'x', CAST(NULL AS BIGINT)),"
-        f" (s, t) -> {step}, s -> coalesce(s.x, m))"
+        f"aggregate(sequence(0L, {reach}), named_struct('left', {uniform}, 'up', p_, 'down', p_, 'x', CAST(NULL AS BIGINT)),"
+        f" (s_, t_) -> {step}, s_ -> coalesce(s_.x, m_))"
     )
-    drawn_value = _let(mode, "m", _let(at_mode, "p", search))
+    drawn_value = _let(mode, "m_", _let(at_mode, "p_", search))
     return f"CASE WHEN {marked} = 0 OR {drawn} = 0 THEN 0L WHEN {marked} = {total} THEN {drawn} WHEN {drawn} = {total} THEN {marked} ELSE {drawn_value} END"
 
 

@@ -27,7 +27,7 @@ from lynxrisk.llm.common import SPACE, WORD, settle, small_join, text_or_empty,
 SHINGLE = 5
 #: Least Jaccard similarity of linked lines, as a fraction.
 NUMERATOR, DENOMINATOR = 4, 5
-SKETCH_BITS = 15
+SKETCH_BITS = 12  # the sketch is part of the plans that use it
 #: How many postings before each are looked at without a join.
 NEAR = 6
 _LINE_WITH_SHINGLE = f"(?:{WORD}{SPACE}){{{SHINGLE - 1}}}{WORD}"

@@ -196,9 +196,10 @@ def _drawn(docs: DataFrame, weights: Iterable[float], most: float, seed: int, bl
     largest = targets.agg(F.max("rows")).first()[0] or 0
     extra = sample_units(units, largest, seed, block_rows)
 
-    chosen = extra.filter("probability = 1D").select("unit", "unit_too", F.lit(1).alias("once_more"))
+    chosen = extra.filter("probability = 1D").select(F.col("unit").alias("c1"), F.col("unit_too").alias("c2"), F.lit(1).alias("once_more"))
+    same = (F.col("unit") == F.col("c1")) & (F.col("unit_too") == F.col("c2"))
     facts = targets.select(F.col("source").alias("of"), "source_size", "target", "ratio")
-    drawn = small_join(sized.join(chosen, ["unit", "unit_too"], "left"), facts, F.col("source").eqNullSafe(F.col("of")))
+    drawn = small_join(small_join(sized, chosen, same, "left"), facts, F.col("source").eqNullSafe(F.col("of")))
     copies = F.floor("ratio").cast("long") + F.coalesce("once_more", F.lit(0))
     return drawn.select("row", "size", "source_size", F.col("target").cast("double").alias("target"), copies.cast("long").alias("copies"))
 

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lynxrisk.llm.common import partitions, settle
+from lynxrisk.llm.common import partitions, settle, small_join
 from lynxrisk.llm.components import components
 
 BITS, SEGMENTS, LINKED = 64, 6, 3
@@ -236,11 +236,17 @@ def near_duplicates(docs: DataFrame, bucket_rows: int = 2048) -> DataFrame:
 def one_of_each(docs: DataFrame, bucket_rows: int = 2048) -> DataFrame:
     """The documents without near copies: of each component one row stays, with all its columns as they are.
 
-    It is the row with the smallest doc_id (null last); of several such rows, the least by a hash of the text, and of
-    equal rows any one. A component is reduced where its rows are before they are shuffled, so a large one is no burden.
+    It is the row with the smallest doc_id (null last); of several such rows, the least by a hash of the text, and of rows
+    equal in both any one. Which rows stay is found on ids and hashes alone; texts are not shuffled while the list of kept rows is
+    small enough to be sent to them.
     """
-    rows = settle(docs.select(F.struct("*").alias("row"), F.col("doc_id"), fingerprint(F.col("text")).alias("fp")))
-    named = rows.select("row", "doc_id", "fp").join(component_names(rows.select("doc_id", "fp"), bucket_rows), "fp")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("row.text"))
-    kept = named.groupBy("component_id").agg(F.min_by("row", order).alias("row"))
-    return kept.select("row.*")
+    own = settle(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), fingerprint(F.col("text")).alias("fp")))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"))
+    named = own.join(component_names(own.select("doc_id", "fp"), bucket_rows), "fp")
+    kept = settle(named.groupBy("component_id").agg(F.min(order).alias("least")).select("least.kept_id", "least.kept_hash"))
+    here = F.col("row.doc_id").eqNullSafe(F.col("kept_id")) & (F.xxhash64("row.text") == F.col("kept_hash"))
+    rows = small_join(docs.select(F.struct("*").alias("row")), kept, here, "left_semi")
+    same = own.doc_id.eqNullSafe(kept.kept_id) & (own.text_hash == kept.kept_hash)
+    if own.join(kept, same, "left_semi").count() > kept.count():  # the input has equal rows
+        rows = rows.groupBy(F.col("row.doc_id"), F.xxhash64("row.text")).agg(F.first("row").alias("row"))
+    return rows.select("row.*")

@@ -209,12 +209,12 @@ def fingerprint_links(fingerprints: DataFrame, bucket_rows: int = 2048) -> DataF
 
 
 def component_names(own: DataFrame, bucket_rows: int = 2048) -> DataFrame:
-    """(fp, component_id) for each different fingerprint of a written table (doc_id, fp)."""
+    """(fp, root, component_id) for each different fingerprint of a written table (doc_id, fp); a root stands for a component."""
     classes = settle(own.groupBy("fp").agg(F.min("doc_id").alias("first")))
     roots = components(fingerprint_links(classes, bucket_rows))  # only fingerprints that have a link
     rooted = classes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return rooted.join(least, "root").select("fp", "component_id")
+    return rooted.join(least, "root").select("fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, bucket_rows: int = 2048) -> DataFrame:
@@ -243,7 +243,7 @@ def one_of_each(docs: DataFrame, bucket_rows: int = 2048) -> DataFrame:
     own = settle(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), fingerprint(F.col("text")).alias("fp")))
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"))
     named = own.join(component_names(own.select("doc_id", "fp"), bucket_rows), "fp")
-    kept = settle(named.groupBy("component_id").agg(F.min(order).alias("least")).select("least.kept_id", "least.kept_hash"))
+    kept = settle(named.groupBy("root").agg(F.min(order).alias("least")).select("least.kept_id", "least.kept_hash"))
     here = F.col("row.doc_id").eqNullSafe(F.col("kept_id")) & (F.xxhash64("row.text") == F.col("kept_hash"))
     rows = small_join(docs.select(F.struct("*").alias("row")), kept, here, "left_semi")
     same = own.doc_id.eqNullSafe(kept.kept_id) & (own.text_hash == kept.kept_hash)

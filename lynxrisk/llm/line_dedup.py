@@ -1,7 +1,7 @@
 """Removing lines that are similar to an earlier line: an exact set-similarity join.
 
 A line's tokens are the hashes of its five-word shingles; lines link at a Jaccard similarity of 4/5 or more.
-Tokens are ordered by rarity, so the first ones of a line (its prefix) are rare. Similar lines share a token of
+Tokens are ordered by rarity, so that the first ones of a line (its prefix) are rare. Similar lines share a token of
 their prefixes, which is where candidates meet; length, position and a parity signature filter them, and
 the Jaccard similarity of the whole token sets is verified. Only DataFrame and SQL functions are used.
 
@@ -9,8 +9,9 @@ For 100 TB:
 
 * Lines with the same token set are one class, found by a grouping that combines before the shuffle; a line that
   repeats a million times is one row from there on. A class stands at its first line.
-* Rarity comes from a count sketch of fixed size, so that no token is joined to its count. It only decides the order,
-  which is the same for all lines; the result doesn't depend on it.
+* Tokens stand in the order of their hashes, but for frequent ones, which stand last, by their count. Which are frequent is counted exactly
+  where it matters, in the prefixes: only lines with such a token there are ordered anew. So no token is
+  joined to its count but those of these lines. The order is the same for all lines; the result doesn't depend on it.
 * A large group of similar lines is not expanded into pairs. Only whether a class has *any* earlier similar class matters. So each
   posting is first compared to the first ones and the last ones before it in its token's list, by window functions. Only classes
   that have found nothing there are joined to all earlier ones.
@@ -27,7 +28,8 @@ from lynxrisk.llm.common import SPACE, WORD, settle, small_join, text_or_empty,
 SHINGLE = 5
 #: Least Jaccard similarity of linked lines, as a fraction.
 NUMERATOR, DENOMINATOR = 4, 5
-SKETCH_BITS = 12  # the sketch is part of the plans that use it
+#: Prefix tokens of more classes than this are frequent.
+FREQUENT = 64
 #: How many postings before each are looked at without a join.
 NEAR = 6
 _LINE_WITH_SHINGLE = f"(?:{WORD}{SPACE}){{{SHINGLE - 1}}}{WORD}"
@@ -52,28 +54,9 @@ def _shingles(line: Column) -> Column:
     return F.get(F.transform(F.array(hashes), joined), 0)
 
 
-def rarity_sketch(table: DataFrame) -> Column:
-    """All shingles counted in a fixed number of buckets, by the first bits of their hash; as a constant array.
-
-    An entry is the count in quarters of an octave, in the highest byte of a long.
-    """
-    # outer: else Spark first tests that there are shingles, and so makes them twice
-    tokens = table.select(F.explode_outer(_shingles(F.col("line"))).alias("t"))
-    counts = tokens.groupBy(F.shiftrightunsigned("t", 64 - SKETCH_BITS).cast("int").alias("bucket")).agg(F.count("*").alias("n"))
-    level = F.least(F.floor(F.log2("n") * 4), F.lit(126)).cast("long")
-    found = dict(counts.select("bucket", level).collect())  # at most 2 ** SKETCH_BITS rows
-    levels = ",".join(str(found.get(i, 0) << 56) for i in range(1 << SKETCH_BITS))
-    return F.split(F.lit(levels), ",").cast("array<bigint>")
-
-
-def token_sets(table: DataFrame, sketch: Column) -> DataFrame:
-    """Lines with ``tokens``: their different shingles, rarest first. A token is its rarity (high byte) and 56 bits of its hash."""
-
-    def code(t: Column) -> Column:
-        rarity = F.element_at(sketch, F.shiftrightunsigned(t, 64 - SKETCH_BITS).cast("int") + 1)
-        return rarity.bitwiseOR(F.shiftrightunsigned(t, 8))
-
-    return table.withColumn("tokens", F.sort_array(F.array_distinct(F.transform(_shingles(F.col("line")), code)))).drop("line")
+def token_sets(table: DataFrame) -> DataFrame:
+    """Lines with ``tokens``: the hashes of their different shingles, in order."""
+    return table.withColumn("tokens", F.sort_array(F.array_distinct(_shingles(F.col("line"))))).drop("line")
 
 
 def _key(tokens: str) -> list[Column]:
@@ -109,11 +92,49 @@ def _bit(token: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(token, 32).bitwiseAND(F.lit(63)).cast("int"))
 
 
-def _shared(classes: DataFrame) -> DataFrame:
-    """Postings (t, at, id, n, parity, first) of prefix tokens that at least two classes have."""
-    postings = classes.select("id", F.posexplode("prefix").alias("at", "t"))
-    counted = postings.withColumn("c", F.count("*").over(Window.partitionBy("t"))).filter("c > 1").select("t", "at", "id")
-    return settle(counted.join(classes.select("id", "n", "parity", "first"), "id"))
+def _tokens_of(classes: DataFrame, table: DataFrame) -> DataFrame:
+    """(id, tokens) of some classes, made again from the classes' first lines, which their places tell."""
+    wanted = settle(classes.select("id", F.col("first.doc_id").alias("w_id"), F.col("first.text_hash").alias("w_hash"), F.col("first.line_no").alias("w_line")))
+    there = F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_hash")) & (F.col("line_no") == F.col("w_line"))
+    found = settle(token_sets(small_join(table, wanted, there).select("id", "line")))
+    if found.count() > wanted.count():  # the input has equal rows
+        found = settle(found.dropDuplicates(["id"]))
+    return found
+
+
+def _postings(classes: DataFrame) -> DataFrame:
+    return classes.select("id", F.posexplode("prefix").alias("at", "t"))
+
+
+def _more_than(postings: DataFrame, n: int) -> DataFrame:
+    """Postings (t, at, id, c) of tokens that more than ``n`` classes have."""
+    return postings.withColumn("c", F.count("*").over(Window.partitionBy("t"))).filter(F.col("c") > n).select("t", "at", "id", "c")
+
+
+def frequent_last(classes: DataFrame, table: DataFrame, shared: DataFrame) -> DataFrame:
+    """(id, prefix) of the classes whose prefix changes when frequent tokens stand last, by their counts."""
+    frequent = shared.filter(F.col("c") > FREQUENT)
+    tokens = _tokens_of(classes.join(frequent.select("id").distinct(), "id", "left_semi"), table)
+    counts = frequent.select("t", "c").distinct()
+    ranked = tokens.select("id", F.explode("tokens").alias("t")).join(counts, "t", "left")
+    ordered = ranked.groupBy("id").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("c", F.lit(0)).alias("c"), "t"))).alias("all"))
+    length = F.size("all") - F.floor((F.size("all") * NUMERATOR + DENOMINATOR - 1) / DENOMINATOR).cast("int") + 1
+    return ordered.select("id", F.transform(F.slice("all", F.lit(1), length), lambda x: x["t"]).alias("prefix"))
+
+
+def _shared(classes: DataFrame, table: DataFrame) -> DataFrame:
+    """Postings (t, at, id, n, parity, first) of prefix tokens that at least two classes have, frequent tokens last."""
+    postings = _postings(classes)
+    shared = settle(_more_than(postings, 1))
+    if not shared.filter(F.col("c") > FREQUENT).isEmpty():
+        moved = settle(frequent_last(classes, table, shared))
+        new = _postings(moved)
+        # old postings that stand: shared ones, and those that only now share a token
+        tokens = settle(new.select(F.col("t").alias("new_t")).distinct())
+        met = small_join(postings, tokens, F.col("t") == F.col("new_t"), "left_semi").select("t", "at", "id")
+        old = met.union(shared.select("t", "at", "id")).join(moved.select("id"), "id", "left_anti").select("t", "at", "id")
+        shared = _more_than(old.union(new.select("t", "at", "id")).distinct(), 1)
+    return settle(shared.drop("c").join(classes.select("id", "n", "parity", "first"), "id"))
 
 
 def _may_link(x: str, y: str) -> Column:
@@ -137,17 +158,10 @@ def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.filter(common * DENOMINATOR >= union * NUMERATOR).select("x", "y")
 
 
-def classes_with_earlier(classes: DataFrame, table: DataFrame, sketch: Column) -> DataFrame:
+def classes_with_earlier(classes: DataFrame, table: DataFrame) -> DataFrame:
     """(id) of classes that have an earlier similar class; ``table`` has the lines."""
-    shared = _shared(classes)
-    # a class's tokens are made again from its first line, which its place tells
-    places = classes.join(shared.select("id").distinct(), "id", "left_semi").select("id", "first.*")
-    wanted = settle(places).select("id", F.col("doc_id").alias("w_id"), F.col("text_hash").alias("w_hash"), F.col("line_no").alias("w_line"))
-    there = F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_hash")) & (F.col("line_no") == F.col("w_line"))
-    first_lines = small_join(table, wanted, there).select("id", "line")
-    token_table = settle(token_sets(first_lines, sketch))
-    if token_table.count() > wanted.count():  # the input has equal rows
-        token_table = settle(token_table.dropDuplicates(["id"]))
+    shared = _shared(classes, table)
+    token_table = _tokens_of(classes.join(shared.select("id").distinct(), "id", "left_semi"), table)
 
     posting = F.struct("id", "n", "at", "parity").alias("p")
     listed = shared.select("t", "first", posting)
@@ -186,9 +200,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     named n_lines or n_removed are replaced.
     """
     table = lines(docs)
-    sketch = rarity_sketch(table)
-    classes = line_classes(token_sets(table, sketch))
-    removed = classes_with_earlier(classes, table, sketch)
+    classes = line_classes(token_sets(table))
+    removed = classes_with_earlier(classes, table)
     kept = classes.join(removed, "id", "left_anti").select("first.*")
     by_doc = settle(kept.groupBy("doc_id", "text_hash").agg(F.collect_set("line_no").alias("kept")).select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"), "kept"))
 

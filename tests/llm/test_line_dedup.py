@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from lynxrisk.llm import line_dedup
@@ -40,7 +41,9 @@ def check(spark, rows):
     assert sorted([(r.doc_id, r.text, r.n_lines, r.n_removed) for r in got.collect()], key=str) == sorted(brute(spark, rows), key=str)
 
 
-def test_near_lines_against_brute_force(spark):
+@pytest.mark.parametrize("frequent", [64, 2])
+def test_near_lines_against_brute_force(spark, monkeypatch, frequent):
+    monkeypatch.setattr(line_dedup, "FREQUENT", frequent)
     rng = random.Random(5)
     vocabulary = [f"w{i}" for i in range(60)]
     lines = [" ".join(rng.choices(vocabulary, k=rng.randint(3, 60))) for _ in range(30)]

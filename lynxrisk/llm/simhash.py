@@ -13,8 +13,8 @@ The sum of the segments' bounds is a lower bound of the whole distance.
 * Within such a bucket, pairs whose bound exceeds 3 are discarded, and survivors are verified.
 * A bucket gives a spanning forest of its links, not all pairs. It is read as a stream of sorted rows.
   Buckets above ``bucket_rows`` are not paired: they go to the next level, where the bits that the
-  bucket leaves open are cut into six finer segments. At the last level a bucket leaves at most 8 bits
-  open, so it has at most 256 rows.
+  bucket leaves open are cut into six finer segments. At the last level a bucket leaves at most 9 bits
+  open, so it has at most 512 rows.
 """
 
 from __future__ import annotations

@@ -28,8 +28,8 @@ from lynxrisk.llm.common import SPACE, WORD, settle, small_join, text_or_empty,
 SHINGLE = 5
 #: Least Jaccard similarity of linked lines, as a fraction.
 NUMERATOR, DENOMINATOR = 4, 5
-#: Prefix tokens of more classes than this are frequent.
-FREQUENT = 64
+#: Prefix tokens of more classes than this are frequent. Shorter lists cost less than ordering their lines anew.
+FREQUENT = 1000
 #: How many postings before each are looked at without a join.
 NEAR = 6
 _LINE_WITH_SHINGLE = f"(?:{WORD}{SPACE}){{{SHINGLE - 1}}}{WORD}"
@@ -115,8 +115,8 @@ def frequent_last(classes: DataFrame, table: DataFrame, shared: DataFrame) -> Da
     """(id, prefix) of the classes whose prefix changes when frequent tokens stand last, by their counts."""
     frequent = shared.filter(F.col("c") > FREQUENT)
     tokens = _tokens_of(classes.join(frequent.select("id").distinct(), "id", "left_semi"), table)
-    counts = frequent.select("t", "c").distinct()
-    ranked = tokens.select("id", F.explode("tokens").alias("t")).join(counts, "t", "left")
+    counts = settle(frequent.select(F.col("t").alias("f"), "c").distinct())
+    ranked = small_join(tokens.select("id", F.explode("tokens").alias("t")), counts, F.col("t") == F.col("f"), "left")
     ordered = ranked.groupBy("id").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("c", F.lit(0)).alias("c"), "t"))).alias("all"))
     length = F.size("all") - F.floor((F.size("all") * NUMERATOR + DENOMINATOR - 1) / DENOMINATOR).cast("int") + 1
     return ordered.select("id", F.transform(F.slice("all", F.lit(1), length), lambda x: x["t"]).alias("prefix"))

@@ -41,7 +41,7 @@ def check(spark, rows):
     assert sorted([(r.doc_id, r.text, r.n_lines, r.n_removed) for r in got.collect()], key=str) == sorted(brute(spark, rows), key=str)
 
 
-@pytest.mark.parametrize("frequent", [64, 2])
+@pytest.mark.parametrize("frequent", [1000, 2])
 def test_near_lines_against_brute_force(spark, monkeypatch, frequent):
     monkeypatch.setattr(line_dedup, "FREQUENT", frequent)
     rng = random.Random(5)

@@ -19,7 +19,7 @@ def read_feed_stream(spark: SparkSession, name: str, folder: str, files_per_batc
     """The files of a feed in a folder, as a stream with the declared schema."""
     return (
         spark.readStream.schema(BRONZE[name])
-        .option("header", True)
+        .options(header=True, escape='"')
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(folder)
     )

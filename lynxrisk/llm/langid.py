@@ -33,7 +33,7 @@ RATE = 8.0
 LEAST = 0.5
 UNDETERMINED = "und"
 #: Texts are scored together up to about so many characters.
-GROUP_CHARS = 1 << 20
+GROUP_CHARS = 1 << 18
 
 
 @dataclass(frozen=True)

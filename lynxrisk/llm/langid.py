@@ -112,6 +112,8 @@ def train(languages: list[str], labels: np.ndarray, buckets: list[np.ndarray], c
     """Stochastic gradient descent on the documents' average embeddings; every fifth document only calibrates."""
     rng = np.random.default_rng(seed)
     k = len(languages)
+    if not k:
+        return Model((), np.zeros((BUCKETS, 0), dtype=np.float32), np.zeros(0), 1.0)
     embeddings = rng.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (BUCKETS, DIMENSIONS))
     layer, bias = rng.normal(0, 0.5, (DIMENSIONS, k)), np.zeros(k)
     shares = [c / c.sum() for c in counts]

@@ -16,8 +16,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, less the lines that are similar to an earlier one; n_chars follows the text."""
-    cut = line_dedup.dedup_lines(docs)
+    """Every document, less the lines that are similar to an earlier one, short ones included; n_chars follows the text."""
+    cut = line_dedup.dedup_lines(docs, least_words=1)
     return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

@@ -1,6 +1,7 @@
 """Removing lines that are similar to an earlier line: an exact set-similarity join.
 
-A line's tokens are the hashes of its five-word shingles; lines link at a Jaccard similarity of 4/5 or more.
+A line's tokens are the hashes of its five-word shingles; lines link at a Jaccard similarity of 4/5 or more. The words of a shorter line are one
+token, so that equal short lines are one class.
 Tokens are ordered by rarity, so that the first ones of a line (its prefix) are rare. Similar lines share a token of
 their prefixes, which is where candidates meet; length, position and a parity signature filter them, and
 the Jaccard similarity of the whole token sets is verified. Only DataFrame and SQL functions are used.
@@ -32,24 +33,29 @@ NUMERATOR, DENOMINATOR = 4, 5
 FREQUENT = 1000
 #: How many postings before each are looked at without a join.
 NEAR = 6
-_LINE_WITH_SHINGLE = f"(?:{WORD}{SPACE}){{{SHINGLE - 1}}}{WORD}"
+#: Classes of fewer tokens have no similar class but themselves: one token more or less is already too far.
+LEAST_LINKED = -(-NUMERATOR // (DENOMINATOR - NUMERATOR))
 
 
-def lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, line_no, line): lines of at least five words."""
+def _long_enough(least_words: int) -> str:
+    return f"(?:{WORD}{SPACE}){{{least_words - 1}}}{WORD}"
+
+
+def lines(docs: DataFrame, least_words: int = SHINGLE) -> DataFrame:
+    """(doc_id, text_hash, line_no, line): lines of at least so many words."""
     # cut first, then explode: a line must not carry its document's text along
     cut = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.split(text_or_empty(F.col("text")), "\n", -1).alias("all_lines"))
     parts = cut.select("doc_id", "text_hash", F.posexplode_outer("all_lines").alias("line_no", "line"))
-    return parts.filter(F.col("line").rlike(_LINE_WITH_SHINGLE))
+    return parts.filter(F.col("line").rlike(_long_enough(least_words)))
 
 
 def _shingles(line: Column) -> Column:
-    """Hashes of a line's five-word shingles, repeats included. One expression, so that words are hashed once."""
+    """Hashes of a line's five-word shingles, repeats included; a shorter line's words are one. One expression, so that words are hashed once."""
     hashes = F.transform(words(line), lambda w: F.xxhash64(w))
 
     def joined(h: Column) -> Column:
-        one = lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(SHINGLE)])
-        return F.transform(F.sequence(F.lit(0), F.size(h) - SHINGLE), one)
+        one = lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(SHINGLE)])  # noqa: E731  (words that aren't there are passed over)
+        return F.transform(F.sequence(F.lit(0), F.greatest(F.size(h) - SHINGLE, F.lit(0))), one)
 
     return F.get(F.transform(F.array(hashes), joined), 0)
 
@@ -124,7 +130,7 @@ def frequent_last(classes: DataFrame, table: DataFrame, shared: DataFrame) -> Da
 
 def _shared(classes: DataFrame, table: DataFrame) -> DataFrame:
     """Postings (t, at, id, n, parity, first) of prefix tokens that at least two classes have, frequent tokens last."""
-    postings = _postings(classes)
+    postings = _postings(classes.filter(F.col("n") >= LEAST_LINKED))
     shared = settle(_more_than(postings, 1))
     if not shared.filter(F.col("c") > FREQUENT).isEmpty():
         moved = settle(frequent_last(classes, table, shared))
@@ -190,16 +196,17 @@ def _linkable(x: str, y: Column) -> Column:
     return length & place & (F.bit_count(F.col(f"{x}.parity").bitwiseXOR(y["parity"])) <= n + m - need * 2)
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
+def dedup_lines(docs: DataFrame, least_words: int = SHINGLE) -> DataFrame:
     """All rows and columns, with the text less its lines that are similar to an earlier line, and n_lines, n_removed (long).
 
     Lines end at \\n. Their order is that of doc_id (null last), then of a hash of the text, then in the text. A line of five words or more (as they stand, capitals count) goes if
     an earlier line, kept or not, of this or another document has the same shingles or a Jaccard similarity of at least
-    4/5; shorter and empty lines stay. A document whose lines all go has an empty text. A null text stays null (0 lines). Rows
+    4/5. A shorter line goes if an earlier one has the same words; lines of fewer than ``least_words`` words stay. At 1, as in
+    the query and the pipeline, these are the lines without a word. A document whose lines all go has an empty text. A null text stays null (0 lines). Rows
     that are equal in doc_id and text are one document here: they are treated alike. An empty table gives an empty result. Input columns
     named n_lines or n_removed are replaced.
     """
-    table = lines(docs)
+    table = lines(docs, least_words)
     classes = line_classes(token_sets(table))
     removed = classes_with_earlier(classes, table)
     kept = classes.join(removed, "id", "left_anti").select("first.*")
@@ -211,7 +218,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     numbered = F.transform(F.split(F.col("row.text").cast("string"), "\n", -1), lambda line, i: F.struct(line.alias("line"), i.alias("i")))
     stays = F.filter(
         numbered,
-        lambda s: ~s["line"].rlike(_LINE_WITH_SHINGLE) | F.coalesce(F.array_contains("kept", s["i"]), F.lit(False)),
+        lambda s: ~s["line"].rlike(_long_enough(least_words)) | F.coalesce(F.array_contains("kept", s["i"]), F.lit(False)),
     )
     cut = joined.select("row", numbered.alias("all_lines"), stays.alias("stay"))
     text = F.array_join(F.transform("stay", lambda s: s["line"]), "\n")

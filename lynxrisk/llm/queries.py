@@ -173,7 +173,7 @@ def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return line_dedup.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    return line_dedup.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"), least_words=1)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

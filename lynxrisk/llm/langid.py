@@ -109,7 +109,7 @@ def predict(texts: list[str | None], model: Model) -> tuple[list[str], np.ndarra
 
 
 def train(languages: list[str], labels: np.ndarray, buckets: list[np.ndarray], counts: list[np.ndarray], seed: int = 3) -> Model:
-    """Stochastic gradient descent on the documents' average embeddings; every fifth document only calibrates."""
+    """Stochastic gradient descent on the documents' average embeddings; every fifth document of a language only calibrates."""
     rng = np.random.default_rng(seed)
     k = len(languages)
     if not k:
@@ -117,7 +117,10 @@ def train(languages: list[str], labels: np.ndarray, buckets: list[np.ndarray], c
     embeddings = rng.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (BUCKETS, DIMENSIONS))
     layer, bias = rng.normal(0, 0.5, (DIMENSIONS, k)), np.zeros(k)
     shares = [c / c.sum() for c in counts]
-    held = np.arange(len(labels)) % 5 == 4
+    rank = np.zeros(len(labels), dtype=np.int64)
+    for c in range(k):
+        rank[labels == c] = np.arange((labels == c).sum())
+    held = rank % 5 == 4
     train_on = np.flatnonzero(~held)
     for epoch in range(EPOCHS):
         rate = RATE * (1 - epoch / EPOCHS)

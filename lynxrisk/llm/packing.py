@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import os
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -25,6 +26,9 @@ PARTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 OPEN = 64
 #: Texts are given to the tokenizer in groups of about so many characters.
 GROUP_CHARS = 2_000_000
+#: A run of white space as long as this goes to the tokenizer file: the pattern's search for its end fails on about a million.
+LONG_SPACE = 100_000
+_LONG_SPACE = re.compile(rf"(?<!\s)\s{{{LONG_SPACE}}}")
 
 
 class BestFit:
@@ -74,7 +78,8 @@ def cut(length: int, capacity: int) -> list[tuple[int, int]]:
 def encoder(path: str) -> Callable[[list[str]], Iterator[np.ndarray]]:
     """Token ids of texts by a vocabulary file: a tokenizer (.json), or byte-level BPE ranks (.tiktoken).
 
-    Of one vocabulary both give the same ids; ranks need a third of the time. Special tokens in a text are ordinary text.
+    Of one vocabulary both give the same ids; ranks need a third of the time. Special tokens in a text are ordinary text. Texts with a very
+    long run of white space are encoded by the tokenizer of the same name beside the ranks.
     """
     if path.endswith(".tiktoken"):
         import tiktoken
@@ -82,7 +87,16 @@ def encoder(path: str) -> Callable[[list[str]], Iterator[np.ndarray]]:
         with open(path, "rb") as file:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
         by_rank = tiktoken.Encoding("ranks", pat_str=PARTS, mergeable_ranks=ranks, special_tokens={})
-        return lambda texts: (np.array(by_rank.encode_ordinary(t), dtype="<u4") for t in texts)
+        by_file: list[Callable[[list[str]], Iterator[np.ndarray]]] = []
+
+        def ids(text: str) -> np.ndarray:
+            if len(text) >= LONG_SPACE and _LONG_SPACE.search(text):
+                if not by_file:
+                    by_file.append(encoder(path.removesuffix(".tiktoken") + ".json"))
+                return next(iter(by_file[0]([text])))
+            return np.array(by_rank.encode_ordinary(text), dtype="<u4")
+
+        return lambda texts: map(ids, texts)
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 

@@ -23,6 +23,9 @@ from pyspark.sql import types as T
 # Fixed value: how a byte-level BPE of this kind parts a text before merging (a rank file doesn't say).
 PARTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: The added token of the vocabulary; the tokenizer file has its id, a rank file hasn't.
+ADDED = {"<|endoftext|>": 50256}
+
 OPEN = 64
 #: Texts are given to the tokenizer in groups of about so many characters.
 GROUP_CHARS = 2_000_000
@@ -75,33 +78,34 @@ def cut(length: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first), *((start, capacity) for start in range(first, length, capacity))]
 
 
-def encoder(path: str) -> Callable[[list[str]], Iterator[np.ndarray]]:
+def encoder(path: str, added: bool = False) -> Callable[[list[str]], Iterator[np.ndarray]]:
     """Token ids of texts by a vocabulary file: a tokenizer (.json), or byte-level BPE ranks (.tiktoken).
 
-    Of one vocabulary both give the same ids; ranks need a third of the time. Special tokens in a text are ordinary text. Texts with a very
-    long run of white space are encoded by the tokenizer of the same name beside the ranks.
+    Of one vocabulary both give the same ids; ranks need a third of the time. Special tokens in a text are ordinary text, or
+    with ``added`` have their id, as the tokenizer file gives by itself. Texts with a very long run of white space are encoded by the tokenizer of the same name beside the ranks.
     """
     if path.endswith(".tiktoken"):
         import tiktoken
 
         with open(path, "rb") as file:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
-        by_rank = tiktoken.Encoding("ranks", pat_str=PARTS, mergeable_ranks=ranks, special_tokens={})
+        by_rank = tiktoken.Encoding("ranks", pat_str=PARTS, mergeable_ranks=ranks, special_tokens=ADDED if added else {})
         by_file: list[Callable[[list[str]], Iterator[np.ndarray]]] = []
 
         def ids(text: str) -> np.ndarray:
             if len(text) >= LONG_SPACE and _LONG_SPACE.search(text):
                 if not by_file:
-                    by_file.append(encoder(path.removesuffix(".tiktoken") + ".json"))
+                    by_file.append(encoder(path.removesuffix(".tiktoken") + ".json", added))
                 return next(iter(by_file[0]([text])))
-            return np.array(by_rank.encode_ordinary(text), dtype="<u4")
+            found = by_rank.encode(text, allowed_special="all") if added else by_rank.encode_ordinary(text)
+            return np.array(found, dtype="<u4")
 
         return lambda texts: map(ids, texts)
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    tokenizer.encode_special_tokens = not added
     return lambda texts: (np.array(e.ids, dtype="<u4") for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False))
 
 
@@ -123,13 +127,14 @@ def pack(
     capacity: int = 2048,
     most_open: int = OPEN,
     end_id: int = 0,
+    added: bool = False,
 ) -> DataFrame:
     """Pieces of all documents with their places: doc_id, piece, start, length, ids, sequence_id, offset.
 
     A document is the ids of its text and ``end_id``; a null or empty text is ``end_id`` alone. Only documents of more than
     ``capacity`` tokens are cut. ``ids`` holds a piece's ids as little-endian unsigned 32-bit numbers. Sequences are numbered
     by task, and have no gaps from offset 0. Repeated rows and a null doc_id are packed like any other; other columns are not read.
-    The vocabulary file (see ``encoder``) is read on the executors.
+    The vocabulary file (see ``encoder``, also for ``added``) is read on the executors.
     """
     schema = T.StructType(
         [
@@ -144,7 +149,7 @@ def pack(
     )
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer_path)
+        encode = encoder(tokenizer_path, added)
         fit = BestFit(capacity, most_open)
         first = TaskContext.get().partitionId() << 40
         for batch in batches:

@@ -138,7 +138,7 @@ FROM o GROUP BY conv_id, speaker, piece
 
 
 def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
-    pieces = packing.pack(table(spark, folder, "documents"), tokenizer_path())
+    pieces = packing.pack(table(spark, folder, "documents"), tokenizer_path(), added=True)
     return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 

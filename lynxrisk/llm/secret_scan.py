@@ -1,10 +1,11 @@
 """Finding secrets: fixed patterns, and a battery of randomness tests on long tokens.
 
-The battery asks of every token that could be a key whether it looks drawn at random from its alphabet. The alphabet is that of the
-narrowest encoding that fits. Three tests: chi-squared for equal use of the alphabet, the number of runs in its upper and lower half, and
+The battery asks of every token that could be a key whether it looks drawn at random from its alphabet. A key often hangs on a name or a path, so
+the parts of a token between = signs, then also between slashes, then also between - and _, are tokens of their own. The alphabet is that of the
+narrowest encoding that fits; letters alone have theirs. Three tests: chi-squared for equal use of the alphabet, the number of runs in its upper and lower half, and
 the serial correlation of neighbours. The least p-value, times three, is the token's. Tokens are then dismissed as not random by the
 Benjamini-Hochberg rule, on its own in each class of length, as a short token gives the tests less power: among the dismissed the
-expected share of truly random ones is bounded in every class. What isn't dismissed is reported.
+expected share of truly random ones is bounded in every class. What isn't dismissed is reported, but for tokens that hold a reported part.
 
 Only DataFrame and SQL functions are used. Texts are read once; p-values are counted on a grid (rounded up) of fixed size for each class, so the
 rule needs neither a sort nor a rank over all tokens, and only one number for each class comes to the driver.
@@ -25,8 +26,9 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 LEAST_VALUE = 6
 
-#: Candidates for the tests: runs of these characters, with a digit.
-CANDIDATE = r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/=_-]{20,}"
+#: Candidates for the tests: runs of these characters. Each set has those of the next, so runs lie in one another or apart.
+SIGNS = ["A-Za-z0-9+/=_-", "A-Za-z0-9+/_-", "A-Za-z0-9+_-", "A-Za-z0-9+"]
+CANDIDATES = [f"(?<![{signs}])[{signs}]{{20,}}" for signs in SIGNS]
 _UPPER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 _LOWER = _UPPER.lower()
 #: Encodings from the narrowest: name, pattern of the whole token, alphabet.
@@ -34,9 +36,12 @@ ENCODINGS = [
     ("decimal", "^[0-9]+$", _DIGITS),
     ("hex", "^[0-9a-f]+$", _DIGITS + "abcdef"),
     ("hex_upper", "^[0-9A-F]+$", _DIGITS + "ABCDEF"),
+    ("upper", "^[A-Z]+$", _UPPER),
+    ("lower", "^[a-z]+$", _LOWER),
     ("base32", "^[A-Z2-7]+=*$", _UPPER + "234567"),
     ("base36", "^[0-9a-z]+$", _DIGITS + _LOWER),
     ("base36_upper", "^[0-9A-Z]+$", _DIGITS + _UPPER),
+    ("letters", "^[A-Za-z]+$", _UPPER + _LOWER),
     ("base62", "^[0-9A-Za-z]+$", _DIGITS + _UPPER + _LOWER),
     ("base64", "^[0-9A-Za-z+/]+=*$", _UPPER + _LOWER + _DIGITS + "+/"),
     ("base64url", "^[0-9A-Za-z_-]+=*$", _UPPER + _LOWER + _DIGITS + "-_"),
@@ -116,10 +121,30 @@ def _alphabet(token: Column) -> Column:
     return choice
 
 
+def runs(text: str) -> Column:
+    """Tokens and their parts in a column, each once: (start, text)."""
+
+    def once(all_: Column) -> Column:
+        return F.filter(all_, lambda m, i: (i == 0) | (F.get(all_, i - 1) != m))
+
+    found = F.sort_array(F.concat(*[matches(text, pattern) for pattern in CANDIDATES]))
+    return F.get(F.transform(F.array(found), once), 0)
+
+
+def narrowest(spans: Column) -> Column:
+    """Spans that hold no other, of spans that lie in one another or apart."""
+    ordered = F.sort_array(F.transform(spans, lambda c: F.struct(c["start"].alias("start"), (-c["end"]).alias("back"))))
+
+    def kept(all_: Column) -> Column:
+        # the first span after this one that starts at it or later lies in it or behind it
+        return F.filter(all_, lambda c, i: F.coalesce(F.get(all_, i + 1)["back"] < c["back"], F.lit(True)))
+
+    return F.transform(F.get(F.transform(F.array(ordered), kept), 0), lambda c: F.struct(c["start"].alias("start"), (-c["back"]).alias("end")))
+
+
 def candidates(found: Column) -> Column:
     """(start, end, class, cell) of tokens to be tested: class of length, and p-value on the grid, rounded up."""
-    likely = F.filter(found, lambda m: m["m"].rlike("[0-9]"))
-    with_alphabet = F.transform(likely, lambda m: F.struct(m["start"].alias("start"), m["m"].alias("m"), _alphabet(m["m"]).alias("alphabet")))
+    with_alphabet = F.transform(found, lambda m: F.struct(m["start"].alias("start"), m["m"].alias("m"), _alphabet(m["m"]).alias("alphabet")))
     rich = F.filter(with_alphabet, lambda c: F.length(F.rtrim(c["m"], F.lit("="))) * F.log2(F.length(c["alphabet"])) >= LEAST_BITS)
     return F.transform(
         rich,
@@ -155,20 +180,17 @@ def find_secrets(docs: DataFrame, share: float = SHARE) -> DataFrame:
     """Per row: doc_id, base and spans, arrays of (start, kind, end) by start, then kind.
 
     ``base`` has the matches of the fixed patterns: assignments to a name like password with a value of 6 characters or more, access keys, long runs
-    of hex digits. ``spans`` has these and the tokens of 20 characters or more, with a digit, that pass for random (kind ``random``) and
-    don't lie in a base span. Positions are code points from 0, end exclusive. A null text is empty; texts of any length are scanned
+    of hex digits. ``spans`` has these and the tokens of 20 characters or more, or parts of such a length, that pass for random (kind ``random``),
+    hold no part that does, and don't lie in a base span. Positions are code points from 0, end exclusive. A null text is empty; texts of any length are scanned
     whole. Kinds are numbers: 0 assign, 1 access, 2 hex, 3 random. Columns not read here don't matter.
     """
     text = docs.select("doc_id", text_or_empty(F.col("text")).alias("t"))
     assign = F.filter(matches("t", ASSIGN), lambda m: F.length(F.regexp_extract(m["m"], ASSIGN, 1)) >= LEAST_VALUE)
     base = F.array_sort(F.concat(_spans(assign, 0), _spans(matches("t", ACCESS), 1), _spans(matches("t", HEX), 2)))
-    scanned = settle(text.select("doc_id", base.alias("base"), candidates(matches("t", CANDIDATE)).alias("tested")))
+    scanned = settle(text.select("doc_id", base.alias("base"), candidates(runs("t")).alias("tested")))
     limits = dismissal(scanned, share)
     limit = F.array(*[F.lit(limits.get(i, 0)) for i in range(CLASSES)])
-    random = F.filter(
-        "tested",
-        lambda c: (c["cell"] > F.get(limit, c["class"]))
-        & ~F.exists("base", lambda s: (s["start"] <= c["start"]) & (s["end"] >= c["end"])),
-    )
+    passed = narrowest(F.filter("tested", lambda c: c["cell"] > F.get(limit, c["class"])))
+    random = F.filter(passed, lambda c: ~F.exists("base", lambda s: (s["start"] <= c["start"]) & (s["end"] >= c["end"])))
     more = F.transform(random, lambda c: F.struct(c["start"].alias("start"), F.lit(3).alias("kind"), c["end"].alias("end")))
     return scanned.select("doc_id", "base", F.array_sort(F.concat("base", more)).alias("spans"))

@@ -100,7 +100,7 @@ def battery(token: Column, alphabet: Column) -> Column:
         both = high * (n - high) * 2
         spread = both * (both - n) / (n * n * (n - 1))
         run_p = F.when(spread > 0, _two_sided((runs - both / n - 1) / F.sqrt(spread))).otherwise(F.lit(0.0))
-        mean = F.aggregate(s["values"], F.lit(0.0), lambda a, v: a + v) / n
+        mean = s["mean"]
         power = F.aggregate(s["values"], F.lit(0.0), lambda a, v: a + (v - mean) * (v - mean))
         together = F.aggregate(pairs, F.lit(0.0), lambda a, p: a + (p["a"] - mean) * (p["b"] - mean))
         serial = F.when(power > 0, _two_sided((together / power + F.lit(1.0) / n) * F.sqrt(n))).otherwise(F.lit(0.0))
@@ -111,7 +111,13 @@ def battery(token: Column, alphabet: Column) -> Column:
     counts = F.transform(signs, lambda c: (F.length(bare) - F.length(F.replace(bare, c, F.lit("")))).cast("double"))
     values = F.transform(F.filter(F.split(bare, ""), lambda c: c != ""), lambda c: (F.call_function("instr", alphabet, c) - 1).cast("double"))
     stats = F.struct(F.length(bare).cast("double").alias("n"), F.length(alphabet).cast("double").alias("k"), counts.alias("counts"), values.alias("values"))
-    return F.get(F.transform(F.array(stats), tested), 0)
+
+    def with_mean(s: Column) -> Column:
+        # worked out here, as a lambda would work it out again for each character
+        mean = F.aggregate(s["values"], F.lit(0.0), lambda a, v: a + v) / s["n"]
+        return F.struct(*[s[c].alias(c) for c in ("n", "k", "counts", "values")], mean.alias("mean"))
+
+    return F.get(F.transform(F.transform(F.array(stats), with_mean), tested), 0)
 
 
 def _alphabet(token: Column) -> Column:

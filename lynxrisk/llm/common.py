@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +58,21 @@ def small_join(df: DataFrame, small: DataFrame, on: Column, how: str = "inner",
     return df.join(F.broadcast(small) if few else small, on, how)
 
 
+#: Texts are taken from an Arrow batch in groups of about so many bytes.
+GROUP_BYTES = 2_000_000
+
+
+def groups_of(texts: pa.Array) -> Iterator[list[str | None]]:
+    """The texts of an Arrow batch, in order, in groups of about ``GROUP_BYTES``: Python holds one group at a time."""
+    ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())).to_numpy(zero_copy_only=False)
+    start = 0
+    while start < len(texts):
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(ends.searchsorted(before + GROUP_BYTES, side="right")))
+        yield texts.slice(start, end - start).to_pylist()
+        start = end
+
+
 def replace(df: DataFrame, **columns: Column) -> DataFrame:
     """Add columns; columns of the same name (in any case) that the input has are replaced."""
     taken = {c.lower() for c in columns}
@@ -61,4 +80,4 @@ def replace(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*kept, *[v.alias(k) for k, v in columns.items()])
 
 
-__all__ = ["SMALL_VALUES", "SPACE", "WORD", "n_words", "partitions", "replace", "settle", "small_join", "text_or_empty", "uniform", "words"]
+__all__ = ["GROUP_BYTES", "SMALL_VALUES", "SPACE", "WORD", "groups_of", "n_words", "partitions", "replace", "settle", "small_join", "text_or_empty", "uniform", "words"]

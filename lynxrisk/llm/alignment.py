@@ -83,11 +83,9 @@ class Pieces:
             end = start + LONG_TEXT
             while 0 < (end := text.find(" ", end)) and text[end - 1] == " ":
                 end += 1  # inside a run of blanks, which may be one piece
-            end = end if end > 0 else len(text)
+            end = end if 0 < end < len(text) - 1 else len(text)
             parts.append(text[start:end])  # the model adds the blank that is left out here
             start = end + 1
-        if text.endswith(" ") and start == len(text):
-            parts.append("")
         return np.concatenate([np.array(p, dtype=np.int64) for p in self.model.encode(parts, num_threads=1)])
 
 

@@ -46,6 +46,10 @@ NEVER_NAMES = frozenset(
 )
 HEADER_NAMES = frozenset("header masthead".split())
 NOT_NAMES = frozenset("has is js no not with without".split())
+#: Elements that are a line, or a row of lines, rather than a part of the page.
+_SINGLE = frozenset("caption dd dt figcaption h1 h2 h3 h4 h5 h6 li p pre summary tbody td th tr".split())
+#: A region holds at least so much of the content lines' text: smoothing also raises some short lines beside them.
+SHARE = 0.9
 _KEPT_WHOLE = frozenset("html body main article".split())
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("td", "th", "tr"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
@@ -73,7 +77,7 @@ class Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]  # tag, node, never content, header
         self.open: Counter[str] = Counter()
-        self.parents, self.roles = [-1], [""]
+        self.parents, self.roles, self.names = [-1], [""], [""]
         self.never = self.headers = self.skipped = 0
         self.pieces: list[str] = []
         self.tags = 0
@@ -128,6 +132,7 @@ class Lines(HTMLParser):
             role = "main"
         self.parents.append(self.stack[-1][1])
         self.roles.append(role)
+        self.names.append(tag)
         self.stack.append((tag, len(self.parents) - 1, never, header))
         self.open[tag] += 1
         self.never += never
@@ -241,20 +246,21 @@ def main_text(html: str | None) -> str:
 
 
 def _least_region(lines: Lines, chosen: list[int]) -> list[bool]:
-    """Lines of the least element around all content lines: its own, those of its parts with content, and all between content."""
+    """Lines of the least element around the content lines: its own, those of its parts with content, and all between content."""
     holds = [0] * len(lines.parents)
     for i in chosen:
-        holds[lines.node[i]] += 1
+        holds[lines.node[i]] += len(lines.text[i])
     for node in range(len(holds) - 1, 0, -1):
         holds[lines.parents[node]] += holds[node]
-    least = max(n for n, h in enumerate(holds) if h == len(chosen))  # the innermost has the greatest number
-    if len(chosen) == 1 and least:
-        least = lines.parents[least]  # the element around a single block
-    part = _under(lines, [p == least for p in lines.parents])
-    parts = {part[lines.node[i]] for i in chosen}
+    least = max(n for n, h in enumerate(holds) if h >= SHARE * holds[0])  # the innermost has the greatest number
+    while lines.names[least] in _SINGLE:
+        least = lines.parents[least]
     inside = _under(lines, [n == least for n in range(len(holds))])
+    part = _under(lines, [p == least for p in lines.parents])
+    within = [i for i in chosen if inside[lines.node[i]] == least]
+    parts = {part[lines.node[i]] for i in within}
     return [
-        inside[node] == least and (node == least or part[node] in parts or chosen[0] <= i <= chosen[-1] or lines.parents[node] == least)
+        inside[node] == least and (node == least or part[node] in parts or within[0] <= i <= within[-1] or lines.names[part[node]] in _SINGLE)
         for i, node in enumerate(lines.node)
     ]
 

@@ -14,7 +14,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(queries()) and set(ORACLES) <= set(oracle_sql())
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
@@ -37,7 +37,7 @@ def test_stages(spark, tmp_path):
     from lynxrisk.llm import langid
     from lynxrisk.llm.queries import tokenizer_path
 
-    from .test_line_dedup import brute
+    from .test_line_dedup_short import brute
     from .test_mixing import slow_targets
     from .test_packing import check
     from .test_simhash import groups, near, slow_fingerprint

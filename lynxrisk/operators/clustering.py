@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lynxrisk.sources.session import settle
@@ -22,47 +22,83 @@ class Training:
     summary: DataFrame
 
 
-def train(df: DataFrame, vec: str, k: int = 5, max_iter: int = 20, tol: float = 1e-3) -> Training:
-    """k-means from a start that depends on the vectors alone: the least vector, then the farthest from those chosen.
+def drawn(key: Column, step: int, seed: int) -> Column:
+    """An exponential variate that depends on the key, the step and the seed alone."""
+    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}|{step}|"), key.cast("string"))), 1, 13)
+    return -F.log((F.conv(digits, 16, 10).cast("long") + F.lit(0.5)) / F.lit(2.0**52))
 
-    Rounds go on until at most the share ``tol`` of the rows changes its cluster, or ``max_iter`` rounds are done; a
-    negative ``tol`` does them all. The same rows give the same centroids, however they are partitioned. Each round is one pass over
-    written vectors and a grouping by cluster; k vectors come back to the driver. NULL vectors are left out. Fewer than k
-    different vectors give as many centroids. Centroids are numbered in lexicographic order. ``objective`` is the sum of
+
+def _centroid_table(spark: SparkSession, rows: list) -> DataFrame:
+    return spark.createDataFrame([(i, list(c)) for i, c in enumerate(rows)], CENTROID_SCHEMA)
+
+
+def first_centers(points: DataFrame, k: int, seed: int) -> list:
+    """k-means++: each next center is drawn with a chance in proportion to its squared distance from those chosen.
+
+    The row with the least exponential variate over its weight is such a draw; a minimum needs one row of each task.
+    """
+    centers: list = []
+    while len(centers) < k:
+        weight = F.lit(1.0)
+        rows = points
+        if centers:
+            rows = nearest_centroid(points, "v", _centroid_table(points.sparkSession, centers))
+            weight = F.round(F.pow("anomaly_score", F.lit(2)), DIGITS)
+        ranked = rows.select("v", "key", weight.alias("w")).filter("w > 0")
+        least = ranked.agg(F.min(F.struct((drawn(F.col("key"), len(centers), seed) / F.col("w")).alias("e"), "key", "v"))).first()[0]
+        if least is None:
+            break
+        centers.append(least.v)
+    return centers
+
+
+def train(df: DataFrame, vec: str, k: int = 5, max_iter: int = 20, tol: float = 1e-3, key: str | None = None, seed: int = 42) -> Training:
+    """k-means from a k-means++ start (see ``first_centers``), drawn by ``key``, a column that tells the rows apart.
+
+    Without a key the vector itself is used, so that equal vectors have the chance of one. Rounds go on until at most the share ``tol`` of the rows changes
+    its cluster, or ``max_iter`` rounds are done; a negative ``tol`` does them all. The same rows give the same centroids, however they are partitioned. Each round is one pass over
+    written vectors and one grouping by cluster: the moved share, the objective and the next means come from the same job; k vectors come back to the driver. NULL
+    vectors and those with a NULL component are left out. Fewer than k different vectors give as many centroids. Centroids are numbered in lexicographic order. ``objective`` is the sum of
     squared distances to the last centroids.
     """
     spark = df.sparkSession
     numbers = F.transform(F.col(vec), lambda x: x.cast("double"))
-    points = settle(df.filter(F.col(vec).isNotNull()).select(numbers.alias("v")))
-    table = lambda rows: spark.createDataFrame([(i, list(c)) for i, c in enumerate(rows)], CENTROID_SCHEMA)
-    first = points.agg(F.min("v")).first()[0]
-    centers = [first] if first is not None else []
-    while centers and len(centers) < k:
-        apart = nearest_centroid(points, "v", table(centers)).select("v", F.round("anomaly_score", DIGITS).alias("d"))
-        far = apart.agg(F.max_by(F.struct("v", "d"), F.struct("d", "v"))).first()[0]
-        if far is None or far.d <= 0:
-            break
-        centers.append(far.v)
+    name = F.col(key).cast("string") if key else F.array_join(numbers.cast("array<string>"), ",", "-")
+    whole = F.col(vec).isNotNull() & ~F.exists(vec, lambda x: x.isNull())
+    points = settle(df.filter(whole).select(numbers.alias("v"), F.coalesce(name, F.lit("")).alias("key")))
+    centers = first_centers(points, k, seed)
     rounds, reassigned, objective = 0, 0.0, 0.0
-    while centers and rounds < max_iter:
-        old = table(centers)
-        assigned = nearest_centroid(points, "v", old)
-        means = dict(map(tuple, mean_centroids(assigned, "cluster_id", "v", len(first)).collect()))  # k rows
-        centers = [means.get(i, c) for i, c in enumerate(centers)]
-        rounds += 1
-        now = nearest_centroid(assigned.select("v", F.col("cluster_id").alias("was")), "v", table(centers))
-        moved = now.agg(F.avg((F.col("was") != F.col("cluster_id")).cast("double")), F.sum(F.pow("anomaly_score", F.lit(2)))).first()
-        reassigned, objective = moved
-        if reassigned <= tol:
+    was = None
+    while centers:
+        now = nearest_centroid(points.select("v"), "v", _centroid_table(spark, centers)).withColumnRenamed("cluster_id", "now").withColumnRenamed("anomaly_score", "d")
+        moved = F.lit(0.0)
+        if was is not None:
+            now = nearest_centroid(now, "v", _centroid_table(spark, was))
+            moved = (F.col("cluster_id") != F.col("now")).cast("double")
+        told = [F.count("now").alias("n"), F.sum(moved).alias("moved"), F.sum(F.pow("d", F.lit(2))).alias("far")]
+        clusters = now.groupBy("now").agg(_mean_vector("v", len(centers[0])).alias("mean"), *told).collect()  # k rows
+        objective = float(sum(c.far for c in sorted(clusters)))
+        if was is not None:
+            reassigned = sum(c.moved for c in clusters) / sum(c.n for c in clusters)
+            if rounds >= max_iter or reassigned <= tol:
+                break
+        elif rounds >= max_iter:
             break
-    summary = spark.createDataFrame([(rounds, float(reassigned), float(objective))], "rounds int, reassigned double, objective double")
-    return Training(table(sorted(centers)), summary)
+        means = {c.now: c.mean for c in clusters}
+        was, centers = centers, [means.get(i, c) for i, c in enumerate(centers)]
+        rounds += 1
+    summary = spark.createDataFrame([(rounds, float(reassigned), objective)], "rounds int, reassigned double, objective double")
+    return Training(_centroid_table(spark, sorted(centers)), summary)
+
+
+def _mean_vector(vec: str, dims: int) -> Column:
+    exact = [F.round(F.sum(F.col(vec)[i].cast(DECIMAL)).cast("double") / F.count(F.col(vec)[i]), DIGITS) for i in range(dims)]
+    return F.array(*exact)
 
 
 def mean_centroids(df: DataFrame, label: str, vec: str, dims: int) -> DataFrame:
     """The mean vector per label: the centroid step on its own. The same for any order of the rows."""
-    exact = [F.round(F.sum(F.col(vec)[i].cast(DECIMAL)).cast("double") / F.count(F.col(vec)[i]), DIGITS) for i in range(dims)]
-    return df.groupBy(F.col(label).cast("int").alias("cluster_id")).agg(F.array(*exact).alias("centroid"))
+    return df.groupBy(F.col(label).cast("int").alias("cluster_id")).agg(_mean_vector(vec, dims).alias("centroid"))
 
 
 def squared_distance(a: Column, b: Column) -> Column:

@@ -130,3 +130,31 @@ def sliding(
     frame = Window.partitionBy(*keys, CHUNK).orderBy(*order).rowsBetween(-preceding, 0)
     out = pieces.select("*", *[agg.over(frame).alias(name) for name, agg in columns.items()])
     return out.filter(~F.col(BORROWED)).drop(CHUNK, BORROWED)
+
+
+def sliding_days(
+    df: DataFrame, frames: dict[str, tuple[str, str]], keys: Sequence[str], day: str, preceding: int
+) -> DataFrame:
+    """Adds aggregates over all rows of the key from ``preceding`` days before this row's day up to that day.
+
+    ``frames``: name -> (how, column), with how one of sum, count, min, max and avg. All rows of a day share their frame, so a key is
+    first brought to one row a day, which combines before the shuffle, and frames run over days: a key is at most as long as the
+    timeline, however many rows it has or one of its days has. Rows with a NULL key are one key; those with a NULL day are each
+    other's frame, as in SQL. Columns of ``df`` are kept as they are; ``day`` is a date.
+    """
+    partial = {"sum": [F.sum], "count": [F.count], "min": [F.min], "max": [F.max], "avg": [F.sum, F.count]}
+    needed = sorted({(f.__name__, c) for how, c in frames.values() for f in partial[how]})
+    place = {measure: f"_m{i}" for i, measure in enumerate(needed)}
+    daily = df.groupBy(*keys, F.col(day).alias("_date")).agg(*[getattr(F, how)(c).alias(place[how, c]) for how, c in needed])
+    days = Window.partitionBy(*keys).orderBy(F.unix_date("_date")).rangeBetween(-preceding, 0)
+
+    def over(how: str, column: str) -> Column:
+        if how == "avg":
+            return over("sum", column) / over("count", column)
+        total = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}[how]
+        return total(place[how, column]).over(days)
+
+    rolled = daily.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_date", *[over(*frame).alias(name) for name, frame in frames.items()])
+    on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)] + [F.col(day).eqNullSafe(F.col("_date"))]
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in frames]
+    return df.select(*kept).join(rolled, on).select(*kept, *frames)

@@ -241,5 +241,6 @@ def risk_features(
     """The whole feature table: features, vector, trained clusters, score, percentile, tier."""
     grid = settle(feature_grid(silver, people, calendar(cfg) if ends is None else ends, cfg))
     vectors = add_vectors(grid, cfg)
-    training = train(vectors, "feature_vector", cfg.clusters, cfg.max_iterations, cfg.tolerance)
+    keyed = vectors.withColumn("_key", F.concat_ws("|", "employee_id", "window_end_date"))
+    training = train(keyed, "feature_vector", cfg.clusters, cfg.max_iterations, cfg.tolerance, key="_key")
     return RiskFeatures(score(grid, vectors, training.centroids, cfg, ctx), training.centroids, training.summary)

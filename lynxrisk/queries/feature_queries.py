@@ -197,7 +197,7 @@ def labelled_distance(f: Feeds) -> DataFrame:
     return nearest_centroid(vectors, "embedding", mean_centroids(vectors, "label", "embedding", DIMS))
 
 
-_NEAREST = """WITH x AS (SELECT label, i, avg(embedding[i]) AS c
+_NEAREST = """WITH x AS (SELECT label, i, round(CAST(sum(CAST(CAST(embedding[i] AS DOUBLE) AS DECIMAL(28, 12))) AS DOUBLE) / count(*), 9) AS c
                          FROM embeddings, range(1, 65) r(i) GROUP BY 1, 2),
               d AS (SELECT vec_id, x.label AS cluster_id, sqrt(sum(pow(CAST(embedding[i] AS DOUBLE) - c, 2))) AS dist
                     FROM embeddings e JOIN x ON TRUE GROUP BY 1, 2),
@@ -214,13 +214,17 @@ KMEANS_ROUNDS = 5
 
 
 def _kmeans_sql(k: int, rounds: int) -> str:
-    """Farthest-first start and so many rounds, one materialized step after the other."""
+    """k-means++ start with the engine's draws and so many rounds, one materialized step after the other."""
     far = "list_distance({a}, {b})"
-    steps = ["p AS MATERIALIZED (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)", "c0 AS MATERIALIZED (SELECT 0 AS id, min(v) AS c FROM p)"]
+    draw = "-ln((CAST('0x' || substr(md5('42|{i}|' || vec_id), 1, 13) AS BIGINT) + 0.5) / 4503599627370496)"
+    steps = [
+        "p AS MATERIALIZED (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)",
+        f"c0 AS MATERIALIZED (SELECT 0 AS id, v AS c FROM p ORDER BY {draw.format(i=0)} LIMIT 1)",
+    ]
     for i in range(1, k):
         d = far.format(a="v", b="c")
-        nearest = f"SELECT v, round(min({d}), 9) AS d FROM p, c{i - 1} GROUP BY v"
-        steps.append(f"c{i} AS MATERIALIZED (SELECT * FROM c{i - 1} UNION ALL (SELECT {i}, v FROM ({nearest}) ORDER BY d DESC, v DESC LIMIT 1))")
+        weighed = f"SELECT vec_id, v, round(min(pow({d}, 2)), 9) AS w FROM p, c{i - 1} GROUP BY vec_id, v"
+        steps.append(f"c{i} AS MATERIALIZED (SELECT * FROM c{i - 1} UNION ALL (SELECT {i}, v FROM ({weighed}) WHERE w > 0 ORDER BY {draw.format(i=i)} / w LIMIT 1))")
     model = f"c{k - 1}"
     assigned = "SELECT vec_id, v, first(id ORDER BY {d}, id) AS id, min({d}) AS d FROM p, {m} GROUP BY vec_id, v"
     for r in range(rounds):
@@ -238,8 +242,8 @@ def _kmeans_sql(k: int, rounds: int) -> str:
 @query("q28_kmeans_train", _kmeans_sql(CFG.clusters, KMEANS_ROUNDS))
 def kmeans_train(f: Feeds) -> DataFrame:
     """A fixed number of rounds, which SQL can unroll; the engine also stops when few rows move."""
-    vectors = f.table("embeddings").select(F.transform("embedding", lambda x: x.cast("double")).alias("v"))
-    centers = train(vectors, "v", CFG.clusters, KMEANS_ROUNDS, tol=-1.0).centroids
+    vectors = f.table("embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
+    centers = train(vectors, "v", CFG.clusters, KMEANS_ROUNDS, tol=-1.0, key="vec_id").centroids
     return nearest_centroid(vectors, "v", centers).groupBy("cluster_id").agg(
         F.count(F.lit(1)).alias("members"), F.round(F.avg("anomaly_score"), 4).alias("mean_distance")
     )

@@ -168,6 +168,40 @@ def test_training_does_not_depend_on_the_partitions(spark):
     assert empty.centroids.count() == 0 and empty.summary.first().rounds == 0
 
 
+def test_start_follows_the_squared_distances(spark):
+    """Draws of the second center over many seeds: in proportion to the squared distance, not the farthest alone."""
+    rows = [(i, [float(x)]) for i, x in enumerate([0, 0, 0, 0, 3, 3, 3, 4])]
+    points = clustering.settle(spark.createDataFrame(rows, "key int, v array<double>").selectExpr("v", "CAST(key AS string) AS key"))
+    seconds = [tuple(c[0] for c in clustering.first_centers(points, 2, seed)) for seed in range(60)]
+    from_zero = [b for a, b in seconds if a == 0.0]
+    assert len(from_zero) > 15 and 0.0 not in from_zero
+    assert 0.35 < sum(b == 3.0 for b in from_zero) / len(from_zero) < 0.85  # expected 27 / 43
+
+
+def test_outliers_do_not_take_the_centers(spark):
+    """The start by distances alone takes the outliers; drawn ones find the groups, so the objective is lower."""
+    rng = np.random.default_rng(5)
+    groups = [[float(x) for x in rng.normal((g * 8, g % 2 * 8), 0.5)] for g in range(5) for _ in range(400)]
+    rows = [(i, v) for i, v in enumerate(groups + [[60.0, 0.0], [0.0, 60.0], [60.0, 60.0], [-60.0, 0.0]])]
+    df = spark.createDataFrame(rows, "id int, v array<double>")
+    objective = clustering.train(df, "v", 5, key="id").summary.first().objective
+    farthest = [min(v for _, v in rows)]
+    while len(farthest) < 5:
+        farthest.append(max((v for _, v in rows), key=lambda v: min(np.sum((np.array(v) - c) ** 2) for c in map(np.array, farthest))))
+    x, centers = np.array([v for _, v in rows]), np.array(farthest)
+    for _ in range(20):
+        near = ((x[:, None] - centers) ** 2).sum(axis=2).argmin(axis=1)
+        centers = np.array([x[near == i].mean(axis=0) if (near == i).any() else c for i, c in enumerate(centers)])
+    assert objective < ((x[:, None] - centers) ** 2).sum(axis=2).min(axis=1).sum()
+
+
+def test_training_leaves_out_broken_vectors_and_stops_at_few(spark):
+    df = spark.createDataFrame([(1, None), (2, [None, 1.0]), (3, [1.0, 1.0]), (4, [1.0, 1.0]), (5, [5.0, 5.0])], "id int, v array<double>")
+    trained = clustering.train(df, "v", 4, key="id")
+    assert [r.centroid for r in trained.centroids.orderBy("cluster_id").collect()] == [[1.0, 1.0], [5.0, 5.0]]
+    assert trained.summary.first().objective == 0
+
+
 def test_unknown_peer_group_gives_zero_features(spark):
     cols = "employee_id string, event_date date"
     empty = lambda extra: spark.createDataFrame([], f"{cols}, {extra}")

@@ -7,6 +7,8 @@ from dataclasses import dataclass, field
 
 RESOLVED = "RESOLVED"
 UNRESOLVED = "UNRESOLVED"
+#: A line that did not fit its feed's schema.
+INVALID = "INVALID"
 
 # ---------------------------------------------------------------------------
 # Results depend on these words, numbers and labels.

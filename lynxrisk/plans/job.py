@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lynxrisk.config import RESOLVED, RiskConfig, RunContext
+from lynxrisk.config import INVALID, RESOLVED, RiskConfig, RunContext
 from lynxrisk.operators.identity import Resolved, resolution_gate
 from lynxrisk.plans import features as G
 from lynxrisk.plans import quality, reports, weekly
@@ -44,8 +44,8 @@ class Run:
     cfg: RiskConfig
     ctx: RunContext
 
-    def source(self, name: str) -> DataFrame:
-        return read_bronze(self.spark, name, self.bronze)
+    def source(self, name: str, corrupt: bool = False) -> DataFrame:
+        return read_bronze(self.spark, name, self.bronze, corrupt)
 
     def silver(self, name: str) -> DataFrame:
         return self.lake.read("silver", name)
@@ -85,9 +85,9 @@ class Run:
         return rows, rows
 
     def load_feed(self, domain: str) -> tuple[int, int]:
-        """One scan and one write; the counts of the gate come from the written partitions."""
+        """One scan and one write, malformed lines included; the counts of the gate come from the written partitions."""
         feed = S.FEEDS[domain]
-        tagged = S.tag_feed(feed, self.source(f"{domain}_events"), self.source(REGISTERS[domain]))
+        tagged = S.tag_feed(feed, self.source(f"{domain}_events", corrupt=True), self.source(REGISTERS[domain]))
         written = self.lake.write(
             S.conform_all(feed, tagged, self.ctx), "silver", f"matched_{domain}", ["identity_resolution_status"]
         )
@@ -217,7 +217,7 @@ class Run:
 
 def _status_counts(written: DataFrame) -> tuple[int, int]:
     counts = dict(written.groupBy("identity_resolution_status").count().collect())
-    return counts.get(RESOLVED, 0), sum(counts.values())
+    return counts.get(RESOLVED, 0), sum(n for status, n in counts.items() if status != INVALID)
 
 
 def stages(run: Run) -> list[tuple[str, Callable[[], tuple[int, int]]]]:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lynxrisk import config as C
-from lynxrisk.config import RESOLVED, UNRESOLVED, Box, RunContext, Scale
+from lynxrisk.config import INVALID, RESOLVED, UNRESOLVED, Box, RunContext, Scale
 from lynxrisk.functions.expr import (
     contains_any,
     first_match,
@@ -33,6 +33,7 @@ from lynxrisk.operators.lineage import LINEAGE_COLUMNS, lineage
 from lynxrisk.operators.ordering import running_sum, sliding
 from lynxrisk.operators.tagging import Rules, tag_groups
 from lynxrisk.sources.session import settle
+from lynxrisk.sources.tables import CORRUPT
 
 def _ts(name: str = "event_timestamp") -> Column:
     return F.col(name)
@@ -184,9 +185,13 @@ def conform_all(feed: Feed, tagged: DataFrame, ctx: RunContext) -> DataFrame:
     """Resolved events and dead letters side by side, for one write partitioned by status.
 
     The feed is then read and written once; ``resolved_part`` and ``dead_part`` each read
-    their own partition of the result.
+    their own partition of the result. If the feed was read with its malformed lines (``read_bronze(corrupt=True)``), these are
+    dead letters of the status INVALID: the line as it came and its hash, nothing of what could be read of it.
     """
-    resolved = F.col("identity_resolution_status") == RESOLVED
+    line = F.col(CORRUPT) if CORRUPT in tagged.columns else F.lit(None).cast("string")
+    bad = line.isNotNull()
+    status = F.when(bad, INVALID).otherwise(F.col("identity_resolution_status"))
+    resolved = status == RESOLVED
     prefix = lineage(
         F.col("employee_id"), F.to_date(_ts()), feed.domain, feed.source_file,
         [_part(p) for p in feed.hash_parts], ctx, native=_ts(),
@@ -196,15 +201,16 @@ def conform_all(feed: Feed, tagged: DataFrame, ctx: RunContext) -> DataFrame:
         hashes = hashes.otherwise(record_hash([_part(p) for p in feed.dead_hash]))
     raw = piped([_part(p) for p in feed.raw_parts]) if feed.raw_parts else F.lit(None).cast("string")
     columns = dict(zip(LINEAGE_COLUMNS, prefix)) | {
-        "record_hash": hashes.alias("record_hash"),
-        "identity_resolution_status": F.col("identity_resolution_status"),
+        "employee_id": F.when(~bad, F.col("employee_id")).alias("employee_id"),
+        "record_hash": F.when(bad, record_hash([line])).otherwise(hashes).alias("record_hash"),
+        "identity_resolution_status": status.alias("identity_resolution_status"),
     }
     return tagged.select(
         *columns.values(),
         *_own(feed),
-        F.when(~resolved, F.col(feed.key)).alias("raw_identifier"),
-        F.when(~resolved, F.lit(feed.key)).alias("identifier_type"),
-        F.when(~resolved, raw).alias("raw_record"),
+        F.when(~resolved & ~bad, F.col(feed.key)).alias("raw_identifier"),
+        F.when(~resolved & ~bad, F.lit(feed.key)).alias("identifier_type"),
+        F.when(~resolved, F.coalesce(line, raw)).alias("raw_record"),
     )
 
 
@@ -214,7 +220,7 @@ def resolved_part(feed: Feed, written: DataFrame) -> DataFrame:
 
 
 def dead_part(written: DataFrame) -> DataFrame:
-    return written.filter(F.col("identity_resolution_status") == UNRESOLVED).select(*DEAD_LETTER_COLUMNS)
+    return written.filter(F.col("identity_resolution_status").isin(UNRESOLVED, INVALID)).select(*DEAD_LETTER_COLUMNS)
 
 
 def silver_feed(domain: str, events: DataFrame, register: DataFrame, ctx: RunContext) -> Resolved:

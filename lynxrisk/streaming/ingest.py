@@ -13,13 +13,18 @@ from lynxrisk.config import RunContext
 from lynxrisk.plans import silver as S
 from lynxrisk.sources.schemas import BRONZE
 from lynxrisk.sources.session import use_utc
+from lynxrisk.sources.tables import CORRUPT
+from lynxrisk.streaming.sink import write_batches
 
 
-def read_feed_stream(spark: SparkSession, name: str, folder: str, files_per_batch: int = 1000) -> DataFrame:
-    """The files of a feed in a folder, as a stream with the declared schema."""
+def read_feed_stream(
+    spark: SparkSession, name: str, folder: str, files_per_batch: int = 1000, corrupt: bool = False
+) -> DataFrame:
+    """The files of a feed in a folder, as a stream with the declared schema; ``corrupt`` as in ``read_bronze``."""
+    schema = BRONZE[name] + (f", {CORRUPT} string" if corrupt else "")
     return (
-        spark.readStream.schema(BRONZE[name])
-        .options(header=True, escape='"')
+        spark.readStream.schema(schema)
+        .options(header=True, escape='"', columnNameOfCorruptRecord=CORRUPT)
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(folder)
     )
@@ -44,3 +49,16 @@ def stream_feed(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def stream_feed_batches(
+    spark: SparkSession, domain: str, folder: str, register: DataFrame, out: str, checkpoint: str, ctx: RunContext, files_per_batch: int = 1000
+) -> StreamingQuery:
+    """The same with malformed lines among the dead letters, one folder for each batch, replaced if the batch is run again.
+
+    Read the result with ``sink.read_batches``; ``resolved_part`` and ``dead_part`` take it apart.
+    """
+    use_utc(spark)
+    feed = S.FEEDS[domain]
+    events = read_feed_stream(spark, f"{domain}_events", folder, files_per_batch, corrupt=True)
+    return write_batches(S.conform_all(feed, S.tag_feed(feed, events, register), ctx), out, checkpoint, ["identity_resolution_status"])

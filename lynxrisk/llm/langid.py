@@ -17,10 +17,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lynxrisk.llm.common import settle, small_join, uniform
+from lynxrisk.llm.common import groups_of, settle, small_join, uniform
 
 BUCKETS = 1 << 16
 GRAMS = (2, 3, 4)
@@ -156,7 +157,9 @@ def held_out(doc_id: Column) -> Column:
 def sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
     """(lang, text): of each language the documents with the least hashes, ``per_language`` at most, of those to learn from."""
     labelled = docs.filter("lang IS NOT NULL AND text IS NOT NULL").filter(~held_out(F.col("doc_id"))).select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
-    sizes = settle(labelled.groupBy("lang").agg(F.count("*").alias("n")).withColumnRenamed("lang", "of"))
+    # rows that are equal share their draw, so only different ones count
+    different = labelled.groupBy(F.col("lang").alias("of"), F.xxhash64("doc_id", "text").alias("row")).agg(F.count("*").alias("copies"))
+    sizes = settle(different.groupBy("of").agg(F.count("*").alias("n")))
     draw = uniform(F.lit(3), F.col("doc_id"), F.col("text"))
     # first a rough draw of about twice as many, so that the exact one ranks few rows for each language
     drawn = small_join(labelled.withColumn("draw", draw), sizes, F.col("lang") == F.col("of")).filter(F.col("draw") * F.col("n") < 2.0 * per_language + 20)
@@ -192,14 +195,16 @@ def identify(docs: DataFrame, model: Model | None = None, least: float = LEAST)
     """
     model = model or fit(docs)
 
-    @F.pandas_udf("lang_pred string, score double")
-    def predicted(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for part in texts:
-            if model.languages:
-                names, scores = predict(list(part), model)
-            else:
-                names, scores = [UNDETERMINED] * len(part), np.zeros(len(part))
-            yield pd.DataFrame({"lang_pred": names, "score": scores})
+    @F.arrow_udf("lang_pred string, score double")
+    def predicted(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            names, scores = [UNDETERMINED] * len(batch), np.zeros(len(batch))
+            at = 0
+            for part in groups_of(batch) if model.languages else ():
+                end = at + len(part)
+                names[at:end], scores[at:end] = predict(part, model)
+                at = end
+            yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores)], names=["lang_pred", "score"])
 
     kept = [f"`{c}`" for c in docs.columns if c.lower() not in ("lang_pred", "score", "rejected")]
     answered = docs.select(*kept, predicted(F.col("text").cast("string")).alias("_p"))

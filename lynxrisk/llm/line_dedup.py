@@ -3,7 +3,7 @@
 A line's tokens are the hashes of its five-word shingles; lines link at a Jaccard similarity of 4/5 or more. The words of a shorter line are one
 token, so that equal short lines are one class.
 Tokens are ordered by rarity, so that the first ones of a line (its prefix) are rare. Similar lines share a token of
-their prefixes, which is where candidates meet; length, position and a parity signature filter them, and
+their prefixes, which is where candidates meet; length, position and a parity signature of 256 bits filter them, and
 the Jaccard similarity of the whole token sets is verified. Only DataFrame and SQL functions are used.
 
 For 100 TB:
@@ -16,7 +16,8 @@ For 100 TB:
 * A large group of similar lines is not expanded into pairs. Only whether a class has *any* earlier similar class matters. So each
   posting is first compared to the first ones and the last ones before it in its token's list, by window functions. Only classes
   that have found nothing there are joined to all earlier ones.
-* Token sets are fetched only for classes that share a prefix token with another.
+* Prefix tokens are counted by a grouping that combines; only those that two classes have go on. Token sets are fetched, and signatures made, only
+  for classes that share one with another.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ SHINGLE = 5
 NUMERATOR, DENOMINATOR = 4, 5
 #: Prefix tokens of more classes than this are frequent. Shorter lists cost less than ordering their lines anew.
 FREQUENT = 1000
+#: Numbers of 64 bits in a signature: enough that lines of some hundred words that share a passage differ in more bits than similar ones.
+SIGNATURE = 4
 #: How many postings before each are looked at without a join.
 NEAR = 6
 #: Classes of fewer tokens have no similar class but themselves: one token more or less is already too far.
@@ -74,22 +77,19 @@ def _position(doc_id: Column, text_hash: Column, line_no: Column) -> Column:
 
 
 def line_classes(sets: DataFrame) -> DataFrame:
-    """One row for each different token set: id, h1, h2, n, prefix, parity, first (place of its first line)."""
+    """One row for each different token set: id, h1, h2, n, prefix, first (place of its first line)."""
     n = F.size("tokens")
     prefix = F.slice("tokens", F.lit(1), n - F.floor((n * NUMERATOR + DENOMINATOR - 1) / DENOMINATOR).cast("int") + 1)
-    parity = F.aggregate("tokens", F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(_bit(t)))
     rows = sets.select(
         *_key("tokens"),
         n.alias("n"),
         prefix.alias("prefix"),
-        parity.alias("parity"),
         _position(F.col("doc_id"), F.col("text_hash"), F.col("line_no")).alias("first"),
     )
     grouped = rows.groupBy("h1", "h2").agg(
         F.min("first").alias("first"),
         F.first("n").alias("n"),
         F.first("prefix").alias("prefix"),
-        F.first("parity").alias("parity"),
     )
     return settle(grouped.withColumn("id", F.monotonically_increasing_id()))
 
@@ -98,11 +98,19 @@ def _bit(token: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(token, 32).bitwiseAND(F.lit(63)).cast("int"))
 
 
+def _signature() -> list[Column]:
+    """Parities of the tokens' bits, s0 to s3: sets that differ in so many tokens differ in at most so many bits."""
+    word = lambda t: F.shiftrightunsigned(t, 38).bitwiseAND(F.lit(SIGNATURE - 1))
+    mine = lambda i: lambda a, t: F.when(word(t) == i, a.bitwiseXOR(_bit(t))).otherwise(a)
+    return [F.aggregate("tokens", F.lit(0).cast("long"), mine(i)).alias(f"s{i}") for i in range(SIGNATURE)]
+
+
 def _tokens_of(classes: DataFrame, table: DataFrame) -> DataFrame:
-    """(id, tokens) of some classes, made again from the classes' first lines, which their places tell."""
+    """(id, first, tokens) of some classes, made again from the classes' first lines, which their places tell."""
     wanted = settle(classes.select("id", F.col("first.doc_id").alias("w_id"), F.col("first.text_hash").alias("w_hash"), F.col("first.line_no").alias("w_line")))
     there = F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_hash")) & (F.col("line_no") == F.col("w_line"))
-    found = settle(token_sets(small_join(table, wanted, there).select("id", "line")))
+    place = _position(F.col("doc_id"), F.col("text_hash"), F.col("line_no"))
+    found = settle(token_sets(small_join(table, wanted, there).select("id", place.alias("first"), "line")))
     if found.count() > wanted.count():  # the input has equal rows
         found = settle(found.dropDuplicates(["id"]))
     return found
@@ -112,9 +120,10 @@ def _postings(classes: DataFrame) -> DataFrame:
     return classes.select("id", F.posexplode("prefix").alias("at", "t"))
 
 
-def _more_than(postings: DataFrame, n: int) -> DataFrame:
-    """Postings (t, at, id, c) of tokens that more than ``n`` classes have."""
-    return postings.withColumn("c", F.count("*").over(Window.partitionBy("t"))).filter(F.col("c") > n).select("t", "at", "id", "c")
+def _in_two(postings: DataFrame) -> DataFrame:
+    """Postings (t, at, id, c) of tokens that at least two classes have; c is their number."""
+    counts = settle(postings.groupBy(F.col("t").alias("shared_t")).agg(F.count("*").alias("c")).filter("c > 1"))
+    return small_join(postings, counts, F.col("t") == F.col("shared_t")).select("t", "at", "id", "c")
 
 
 def frequent_last(classes: DataFrame, table: DataFrame, shared: DataFrame) -> DataFrame:
@@ -129,9 +138,9 @@ def frequent_last(classes: DataFrame, table: DataFrame, shared: DataFrame) -> Da
 
 
 def _shared(classes: DataFrame, table: DataFrame) -> DataFrame:
-    """Postings (t, at, id, n, parity, first) of prefix tokens that at least two classes have, frequent tokens last."""
+    """Postings (t, at, id) of prefix tokens that at least two classes have, frequent tokens last."""
     postings = _postings(classes.filter(F.col("n") >= LEAST_LINKED))
-    shared = settle(_more_than(postings, 1))
+    shared = settle(_in_two(postings))
     if not shared.filter(F.col("c") > FREQUENT).isEmpty():
         moved = settle(frequent_last(classes, table, shared))
         new = _postings(moved)
@@ -139,8 +148,8 @@ def _shared(classes: DataFrame, table: DataFrame) -> DataFrame:
         tokens = settle(new.select(F.col("t").alias("new_t")).distinct())
         met = small_join(postings, tokens, F.col("t") == F.col("new_t"), "left_semi").select("t", "at", "id")
         old = met.union(shared.select("t", "at", "id")).join(moved.select("id"), "id", "left_anti").select("t", "at", "id")
-        shared = _more_than(old.union(new.select("t", "at", "id")).distinct(), 1)
-    return settle(shared.drop("c").join(classes.select("id", "n", "parity", "first"), "id"))
+        shared = settle(_in_two(settle(old.union(new.select("t", "at", "id")).distinct())))
+    return shared.drop("c")
 
 
 def _may_link(x: str, y: str) -> Column:
@@ -150,7 +159,7 @@ def _may_link(x: str, y: str) -> Column:
     return F.expr(
         f"{num} * greatest({x}.n, {y}.n) <= {den} * least({x}.n, {y}.n)"
         f" AND least({x}.n - {x}.at, {y}.n - {y}.at) + least({x}.at, {y}.at) >= {need}"
-        f" AND bit_count({x}.parity ^ {y}.parity) <= {x}.n + {y}.n - 2 * {need}"
+        f" AND {' + '.join(f'bit_count({x}.s{i} ^ {y}.s{i})' for i in range(SIGNATURE))} <= {x}.n + {y}.n - 2 * {need}"
     )
 
 
@@ -166,16 +175,18 @@ def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def classes_with_earlier(classes: DataFrame, table: DataFrame) -> DataFrame:
     """(id) of classes that have an earlier similar class; ``table`` has the lines."""
-    shared = _shared(classes, table)
-    token_table = _tokens_of(classes.join(shared.select("id").distinct(), "id", "left_semi"), table)
+    places = _shared(classes, table)
+    token_table = _tokens_of(classes.join(places.select("id").distinct(), "id", "left_semi"), table)
+    signed = token_table.select("id", "first", F.size("tokens").alias("n"), *_signature())
+    shared = settle(places.join(signed, "id"))
 
-    posting = F.struct("id", "n", "at", "parity").alias("p")
+    posting = F.struct("id", "n", "at", *[f"s{i}" for i in range(SIGNATURE)]).alias("p")
     listed = shared.select("t", "first", posting)
     order = Window.partitionBy("t").orderBy("first", "p.id")
     before = F.array_compact(F.array(F.first("p").over(order.rowsBetween(Window.unboundedPreceding, -1)), *[F.lag("p", k).over(order) for k in range(1, NEAR + 1)]))
     near = listed.select("p", before.alias("before")).filter(F.size("before") > 0)
     fits = F.filter("before", lambda y: _linkable("p", y))
-    apart = lambda y: F.struct(F.bit_count(F.col("p.parity").bitwiseXOR(y["parity"])).alias("d"), y["id"].alias("id"))
+    apart = lambda y: F.struct(_bits_apart("p", y).alias("d"), y["id"].alias("id"))
     best = near.select(F.col("p.id").alias("x"), F.array_min(F.transform(fits, apart)).alias("b")).filter("b IS NOT NULL")
     tried = settle(best.select("x", F.col("b.id").alias("y")).distinct())
     found = settle(_similar(tried, token_table).select(F.col("x").alias("id")).distinct())
@@ -193,7 +204,12 @@ def _linkable(x: str, y: Column) -> Column:
     need = F.ceil((n + m) * F.lit(float(NUMERATOR)) / F.lit(float(NUMERATOR + DENOMINATOR)))
     length = F.greatest(n, m) * NUMERATOR <= F.least(n, m) * DENOMINATOR
     place = F.least(n - F.col(f"{x}.at"), m - y["at"]) + F.least(F.col(f"{x}.at"), y["at"]) >= need
-    return length & place & (F.bit_count(F.col(f"{x}.parity").bitwiseXOR(y["parity"])) <= n + m - need * 2)
+    return length & place & (_bits_apart(x, y) <= n + m - need * 2)
+
+
+def _bits_apart(x: str, y: Column) -> Column:
+    bits = [F.bit_count(F.col(f"{x}.s{i}").bitwiseXOR(y[f"s{i}"])) for i in range(SIGNATURE)]
+    return sum(bits[1:], bits[0])
 
 
 def dedup_lines(docs: DataFrame, least_words: int = SHINGLE) -> DataFrame:

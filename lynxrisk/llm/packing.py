@@ -20,6 +20,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from lynxrisk.llm.common import groups_of
+
 # Fixed value: how a byte-level BPE of this kind parts a text before merging (a rank file doesn't say).
 PARTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -27,8 +29,6 @@ PARTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 ADDED = {"<|endoftext|>": 50256}
 
 OPEN = 64
-#: Texts are given to the tokenizer in groups of about so many characters.
-GROUP_CHARS = 2_000_000
 #: A run of white space as long as this goes to the tokenizer file: the pattern's search for its end fails on about a million.
 LONG_SPACE = 100_000
 _LONG_SPACE = re.compile(rf"(?<!\s)\s{{{LONG_SPACE}}}")
@@ -109,18 +109,6 @@ def encoder(path: str, added: bool = False) -> Callable[[list[str]], Iterator[np
     return lambda texts: (np.array(e.ids, dtype="<u4") for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False))
 
 
-def _groups(texts: list[str]) -> Iterator[list[str]]:
-    group, chars = [], 0
-    for text in texts:
-        group.append(text)
-        chars += len(text)
-        if chars >= GROUP_CHARS:
-            yield group
-            group, chars = [], 0
-    if group:
-        yield group
-
-
 def pack(
     docs: DataFrame,
     tokenizer_path: str,
@@ -154,9 +142,9 @@ def pack(
         first = TaskContext.get().partitionId() << 40
         for batch in batches:
             row = 0
-            for group in _groups([t or "" for t in batch.column("text").to_pylist()]):
+            for texts in groups_of(batch.column("text")):
                 out: list[tuple] = []
-                for ids in encode(group):
+                for ids in encode([t or "" for t in texts]):
                     tokens = np.append(ids, np.uint32(end_id))
                     for piece, (start, length) in enumerate(cut(len(tokens), capacity)):
                         sequence, offset = fit.place(length)

@@ -24,11 +24,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lynxrisk.llm.common import partitions, settle, small_join
+from lynxrisk.llm.common import groups_of, partitions, settle, small_join
 from lynxrisk.llm.components import components
 
 BITS, SEGMENTS, LINKED = 64, 6, 3
@@ -57,10 +58,11 @@ def fingerprint_text(text: str | None, n: int = 3) -> int:
 def fingerprint(text: Column) -> Column:
     """Fingerprint of a text column as a signed long; null and empty texts give 0."""
 
-    @F.pandas_udf("long")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("long")
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pd.Series(np.array([fingerprint_text(t) for t in texts], dtype=np.uint64).view(np.int64))
+            found = [fingerprint_text(t) for group in groups_of(texts) for t in group]
+            yield pa.array(np.array(found, dtype=np.uint64).view(np.int64))
 
     return of(text.cast("string"))
 

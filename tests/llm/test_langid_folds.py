@@ -1,3 +1,4 @@
+import zlib
 import random
 
 import numpy as np
@@ -49,3 +50,12 @@ def test_each_language_is_in_both_parts(monkeypatch, languages):
     monkeypatch.setattr(langid.np.random, "default_rng", lambda seed: Rng())
     langid.train([str(i) for i in range(languages)], labels, [np.array([i % languages]) for i in range(len(labels))], [np.ones(1)] * len(labels))
     assert np.bincount(labels[trained[0]], minlength=languages).tolist() == [16] * languages
+
+
+def test_a_language_of_equal_rows_is_learned(spark):
+    """Thousands of equal rows have one draw; their language must not fall out of the sample."""
+    table = spark.createDataFrame([(7 if i < 5000 else i, "der die und nicht" if i < 5000 else f"the and of {i} was", "de" if i < 5000 else "en") for i in range(5060)], "doc_id long, text string, lang string")
+    for same_id in (7, 8, 9):
+        moved = table.selectExpr(f"if(doc_id = 7, {same_id}, doc_id) AS doc_id", "text", "lang")
+        languages = {r.lang for r in langid.sample(moved).select("lang").distinct().collect()}
+        assert ("de" in languages) == (zlib.crc32(str(same_id).encode()) % 3 != 1) and "en" in languages

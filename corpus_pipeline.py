@@ -12,13 +12,15 @@ from lynxrisk.llm.queries import tokenizer_path
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; the model's rejects go. Texts and labels stay as they are."""
-    return langid.identify(docs).filter("NOT rejected").select(*docs.columns)
+    answered = langid.identify(docs.select("doc_id", "text", "lang", F.struct("*").alias("row")))
+    return answered.filter("NOT rejected").select("row.*")
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, less the lines that are similar to an earlier one, short ones included; n_chars follows the text."""
-    cut = line_dedup.dedup_lines(docs, least_words=1)
-    return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    cut = line_dedup.dedup_lines(docs.select("doc_id", "text", F.struct("*").alias("row")), least_words=1)
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return cut.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +30,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, each as often as it takes it."""
-    return mixing.take(docs).select(*docs.columns)
+    return mixing.take(docs).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,13 +3,13 @@
 A source that shall give r times its tokens has every document floor(r) times, and once more with the probability
 that is left. Which documents get one more is drawn by the cube method: inclusion probabilities move at random along directions that
 leave the source's token total and its document total as they are, until they are 0 or 1. Three documents always
-allow such a direction, so at most two stay undecided (the landing problem).
+allow such a direction, so at most two stay undecided (the landing problem). Every document flies, and every draw, the landing's too, leaves all
+expectations as they are: each document has its ratio as its mean number of copies, the longest included.
 
 At scale a source is cut into blocks by a hash. Each block is a task's work. Its undecided documents go on to the next level, where
-blocks of such rest rows are formed, until one block is left for each source; only there the landing takes place. For it
-each block holds back a few documents from the flight, of sizes that fall by a third at a time. They are decided
-last, from the largest to the smallest, each so that the token total comes as near to its target as it can; so the error left is
-about half a small document. All draws are seeded by hashes.
+blocks of such rest rows are formed, until one block is left for each source; only there the landing takes place. Documents are
+settled from the longest to the shortest, so those that stay undecided are short, and the error left is about one short
+document. All draws are seeded by hashes.
 """
 
 from __future__ import annotations
@@ -27,9 +27,10 @@ from lynxrisk.llm.common import n_words, settle, small_join
 
 WEIGHTS = (1, 2, 3)
 MOST = 3.0
-BLOCK_ROWS = 8192
-#: Rows that a block hands on, as a rule at most: the undecided and those held back (sizes fall by a third).
-REST_ROWS = 120
+#: Rows of a block; a flight takes time with the square of it.
+BLOCK_ROWS = 2048
+#: Rows that a block hands on, as a rule at most: the two that its flight leaves undecided.
+REST_ROWS = 4
 _NEAR = 1e-9
 
 
@@ -61,83 +62,81 @@ def source_targets(sizes: DataFrame, weights: Iterable[float] = WEIGHTS, most: f
     return reached.select("source", "source_size", "rows", target.alias("target"))
 
 
-def flight(probability: list[float], tokens: list[float], counts: list[float], draw: Iterable[float]) -> list[int]:
-    """Move probabilities in place to 0 or 1, keeping both totals; the indices that stay undecided (two at most, as a rule)."""
-    draw = iter(draw)
-    active: list[int] = []
-    for i in range(len(probability)):
-        if not _NEAR < probability[i] < 1 - _NEAR:
-            probability[i] = float(round(probability[i]))
-            continue
-        active.append(i)
-        if len(active) == 3:
-            a, b, c = active
-            ta, tb, tc, na, nb, nc = tokens[a], tokens[b], tokens[c], counts[a], counts[b], counts[c]
-            u = (tb * nc - tc * nb, tc * na - ta * nc, ta * nb - tb * na)
-            if not any(u):  # proportional rows: two are enough
-                u = (tb or nb, -(ta or na), 0.0) if ta or tb else (nb, -na, 0.0)
-            _move(probability, active, u, next(draw))
-            active = [j for j in active if _undecided(probability, j)]
-    return active
-
-
-def _undecided(probability: list[float], i: int) -> bool:
-    if _NEAR < probability[i] < 1 - _NEAR:
-        return True
-    probability[i] = float(round(probability[i]))
-    return False
-
-
-def _move(probability: list[float], at: list[int], direction: tuple[float, ...], draw: float) -> None:
-    """Go as far as possible along the direction or against it, drawn so that the expected move is zero."""
-    ahead = behind = math.inf
-    for i, u in zip(at, direction, strict=True):
-        if u > 0:
-            ahead, behind = min(ahead, (1 - probability[i]) / u), min(behind, probability[i] / u)
-        elif u < 0:
-            ahead, behind = min(ahead, -probability[i] / u), min(behind, -(1 - probability[i]) / u)
-    step = ahead if draw * (ahead + behind) < behind else -behind
-    for i, u in zip(at, direction, strict=True):
-        probability[i] += step * u
-
-
-def held_back(tokens: list[float], each: int = 3) -> list[int]:
-    """Indices of a few rows for the landing, given sizes in falling order: ``each`` at a time, then none above two thirds of the last."""
-    kept: list[int] = []
-    size, room = math.inf, each
-    for i, t in enumerate(tokens):
-        if t > 0 and (room or t <= size):
-            kept.append(i)
-            room = room - 1 if room else each - 1
-            size = t * 2 / 3
-    return kept
-
-
-def land(probability: list[float], tokens: list[float], counts: list[float], rest: list[int]) -> None:
-    """Decide what is left, from the largest, each time keeping the token total nearest to its expectation; without words, the row total."""
-    off_tokens = off_rows = 0.0
-    for i in sorted(rest, key=lambda j: -tokens[j]):
-        p, t, n = probability[i], tokens[i], counts[i]
-        off, weight = (off_tokens, t) if t else (off_rows, n)
-        taken = abs(off + (1 - p) * weight) < abs(off - p * weight)
-        probability[i] = float(taken)
-        off_tokens += (taken - p) * t
-        off_rows += (taken - p) * n
+def flight(probability: np.ndarray, tokens: np.ndarray, rows: np.ndarray | None, draw: Callable[[], float]) -> None:
+    """Move probabilities in place to 0 or 1, keeping the totals of tokens and of rows (None: of tokens alone), each in expectation as it was.
+
+    As many as there are totals may stay undecided. Each step takes the first undecided unit, the largest if they are ordered by size, and lets all others
+    make up for it: the direction is the unit's own, less its projection on the totals, weighed by p (1 - p). So large units are settled
+    while many smaller ones are there to balance them, and what stays is small, as a rule.
+    """
+    left = np.arange(len(probability))
+    while True:
+        p = probability[left]
+        p = probability[left] = np.where(np.abs(p - np.round(p)) <= _NEAR, np.round(p), p)
+        left = left[(p > 0) & (p < 1)]
+        if len(left) < 2:
+            return
+        p, t, n = probability[left], tokens[left], None if rows is None else rows[left]
+        u = _direction(p, t, n, 0)
+        if u is None:  # the others are proportional: the first can't move, the second can
+            u = _direction(p, t, n, 1)
+        if u is None:
+            return
+        _move(p, u, draw())
+        probability[left] = p
+
+
+def _direction(p: np.ndarray, tokens: np.ndarray, rows: np.ndarray | None, i: int) -> np.ndarray | None:
+    """A change of the probabilities that raises the i-th and keeps the totals; None if there is no such."""
+    weight = p * (1 - p)
+    weight[i] = 0.0
+    u = np.zeros(len(p))
+    u[i] = 1.0
+    apart = tokens
+    if rows is not None:  # tokens orthogonal to rows, so that equal sizes do no harm
+        norm = float(weight @ rows**2)
+        mean = float(weight @ (rows * tokens)) / norm
+        u -= weight * rows * (rows[i] / norm)
+        apart = tokens - mean * rows
+    norm, scale = float(weight @ apart**2), float(np.abs(tokens).max())
+    if norm > (1e-9 * scale) ** 2 * float(weight.sum()):
+        u -= weight * apart * (apart[i] / norm)
+        u[i] = 1.0
+    elif abs(apart[i]) > 1e-9 * scale:
+        return None
+    return u
+
+
+def _move(p: np.ndarray, u: np.ndarray, draw: float) -> None:
+    """Go as far as possible along the direction or against it, drawn so that the expected move is zero; one unit at least is decided."""
+    size = np.abs(u)
+    moved = size > 1e-14
+    up, down = np.full(len(p), math.inf), np.full(len(p), math.inf)
+    np.divide(np.where(u > 0, 1 - p, p), size, out=up, where=moved)
+    np.divide(np.where(u > 0, p, 1 - p), size, out=down, where=moved)
+    ahead, behind = int(up.argmin()), int(down.argmin())
+    forward = draw * (up[ahead] + down[behind]) < down[behind]
+    step, first = (up[ahead], ahead) if forward else (-down[behind], behind)
+    p += step * u
+    p[first] = round(p[first])
+    np.clip(p, 0.0, 1.0, out=p)
+
+
+def land(probability: np.ndarray, tokens: np.ndarray, draw: Callable[[], float]) -> None:
+    """Decide what the flight left: the total of rows is given up first, then the last unit is drawn. Expectations stay as they are."""
+    flight(probability, tokens, None, draw)
+    for i in np.flatnonzero((probability > 0) & (probability < 1)):
+        probability[i] = float(draw() < probability[i])
 
 
 def _decide(rows: pd.DataFrame, seed: int, last: bool) -> pd.DataFrame:
     """One block of one source: the flight, and the landing where it is the source's only block."""
-    rows = rows.sort_values(["tokens", "unit"], ascending=[False, True], ignore_index=True)
-    probability, tokens, counts = (rows[c].astype(float).tolist() for c in ("probability", "tokens", "n"))
-    draws = np.random.default_rng(xxhash.xxh64_intdigest(rows["unit"].to_numpy().tobytes(), seed))
-    kept = [i for i in held_back(tokens) if _undecided(probability, i)]
-    flying = sorted(set(range(len(rows))) - set(kept))
-    part = [probability[i] for i in flying]
-    rest = flight(part, [tokens[i] for i in flying], [counts[i] for i in flying], iter(lambda: float(draws.random()), None))
-    for i, p in zip(flying, part, strict=True):
-        probability[i] = p
+    rows = rows.sort_values(["tokens", "unit", "unit_too"], ascending=[False, True, True], ignore_index=True)
+    probability, tokens, counts = (rows[c].to_numpy(dtype=float, copy=True) for c in ("probability", "tokens", "n"))
+    draw = np.random.default_rng(xxhash.xxh64_intdigest(rows["unit"].to_numpy().tobytes(), seed)).random
+    flight(probability, tokens, counts, draw)
     if last:
-        land(probability, tokens, counts, kept + [flying[i] for i in rest])
+        land(probability, tokens, draw)
     return rows.assign(probability=probability)
 
 
@@ -208,8 +207,8 @@ def mix(docs: DataFrame, weights: Iterable[float] = WEIGHTS, most: float = MOST,
     """All rows and columns, with size, source_size (long), target (double) and copies (long): how often the mix takes the row.
 
     Size is the number of words of the text (null: 0). Targets are those of ``source_targets``. Of a source with target r times its size,
-    every row has floor(r) or floor(r) + 1 copies, and the words taken come as near to the target as the last, small document
-    allows. A source without words has no copies. Rows that are equal in doc_id, source and text are drawn together, as one unit. The
+    every row has floor(r) or floor(r) + 1 copies, r in the mean over seeds, and the words taken differ from the target by about one short
+    document (by more in a source whose longest document outweighs the rest). A source without words has no copies. Rows that are equal in doc_id, source and text are drawn together, as one unit. The
     result depends on the rows and the seed only, not on their partitions. Null sources are a source of their own; an
     empty table gives an empty result. Input columns named like the new ones are replaced.
     """

@@ -3,6 +3,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -36,30 +37,50 @@ def test_targets_against_filling_by_hand(spark, sizes):
     assert got == {s: pytest.approx(want[s]) for s in sizes}
 
 
-def test_flight_keeps_totals_and_expectation():
+@pytest.mark.parametrize("ratio", [0.05, 0.3, 0.9])
+def test_flight_keeps_totals_and_landing_keeps_expectations(ratio):
     rng = np.random.default_rng(6)
-    tokens = sorted(rng.integers(1, 500, 60).astype(float), reverse=True)
-    moved = np.zeros(60)
-    for _ in range(2000):
-        p = [0.3] * 60
-        rest = mixing.flight(p, tokens, [1.0] * 60, iter(rng.random, None))
-        assert len(rest) <= 2
-        assert np.dot(p, tokens) == pytest.approx(0.3 * sum(tokens)) and sum(p) == pytest.approx(18)
-        assert all(p[i] in (0.0, 1.0) for i in set(range(60)) - set(rest))
+    tokens = np.append(sorted(rng.integers(1, 500, 58).astype(float), reverse=True), [0.0, 0.0])
+    tokens[0] = 4000.0
+    runs, moved = 2000, np.zeros(60)
+    for _ in range(runs):
+        p = np.full(60, ratio)
+        mixing.flight(p, tokens, np.ones(60), rng.random)
+        assert ((p > 0) & (p < 1)).sum() <= 2
+        assert p @ tokens == pytest.approx(ratio * tokens.sum()) and p.sum() == pytest.approx(ratio * 60)
+        mixing.land(p, tokens, rng.random)
+        assert set(p) <= {0.0, 1.0}
         moved += p
-    assert abs(moved / 2000 - 0.3).max() < 0.06
+    assert abs(moved / runs - ratio).max() < 4.5 * math.sqrt(ratio * (1 - ratio) / runs)
+
+
+@pytest.mark.parametrize("sizes", [[5.0] * 40, [0.0] * 40, [9.0] + [0.0] * 30, [7.0, 7.0], [3.0], [], [1e6] + [1.0] * 50, [4.0, 2.0, 1.0], [8.0] + [2.0] * 9])
+def test_flights_of_equal_empty_and_few_sizes(sizes):
+    rng = np.random.default_rng(9)
+    tokens, rows = np.array(sizes), rng.integers(1, 4, len(sizes)).astype(float)
+    moved = np.zeros(len(sizes))
+    for _ in range(800):
+        p = np.full(len(sizes), 0.4)
+        mixing.flight(p, tokens, rows, rng.random)
+        assert ((p > 0) & (p < 1)).sum() <= 2
+        assert p @ tokens == pytest.approx(0.4 * tokens.sum(), abs=1e-6) and p @ rows == pytest.approx(0.4 * rows.sum())
+        mixing.land(p, tokens, rng.random)
+        moved += p
+    assert len(sizes) == 0 or abs(moved / 800 - 0.4).max() < 0.08
 
 
-def test_landing_errs_by_a_small_part_of_a_document():
+def test_every_document_has_its_ratio_over_seeds():
     rng = np.random.default_rng(7)
-    for _ in range(200):
-        tokens = sorted(rng.integers(1, 5000, 400).astype(float), reverse=True)
-        kept = mixing.held_back(tokens)
-        assert len(kept) <= 70
-        p = [0.37] * 400
-        mixing.land(p, tokens, [1.0] * 400, kept)
-        landed = sum(tokens[i] * (p[i] - 0.37) for i in kept)
-        assert abs(landed) <= 0.02 * np.mean(tokens)
+    tokens = rng.lognormal(5, 1, 300).round()
+    rows = pd.DataFrame({"unit": rng.integers(-(2**62), 2**62, 300), "unit_too": 0, "tokens": tokens, "n": 1.0, "probability": 0.37})
+    copies, off = np.zeros(300), []
+    for seed in range(200):
+        done = mixing._decide(rows, seed, last=True).set_index("unit").loc[rows["unit"]]
+        copies += done["probability"].to_numpy()
+        off.append(abs(done["probability"].to_numpy() @ tokens - 0.37 * tokens.sum()))
+    assert abs(copies / 200 - 0.37).max() < 4.5 * math.sqrt(0.37 * 0.63 / 200)
+    assert abs(copies[tokens.argmax()] / 200 - 0.37) < 0.12
+    assert np.mean(off) < np.quantile(tokens, 0.2)
 
 
 def random_docs(n=3000, seed=8):
@@ -71,7 +92,7 @@ def random_docs(n=3000, seed=8):
     return out
 
 
-@pytest.mark.parametrize("block_rows", [8192, 500, 250])
+@pytest.mark.parametrize("block_rows", [2048, 500, 250])
 def test_mix_comes_near_its_targets(spark, block_rows):
     rows = random_docs()
     sizes = defaultdict(int)

@@ -3,7 +3,8 @@
 Each document has a few whole-number measures. A sketch of each measure's distribution is kept for every (language, source): counts
 in buckets whose width is a sixteenth of their value at most, as in a floating-point number with four bits of
 fraction. Sketches of this kind add up, whatever the partitions, so one grouping makes them and languages and the whole
-table get theirs by adding. Quartiles from the sketch set fences; documents outside a fence are not kept.
+table get theirs by adding. Quartiles from the sketch, blended with the language's by the number of documents, set fences; documents
+outside a fence are not kept.
 """
 
 from __future__ import annotations
@@ -24,18 +25,19 @@ WINDOW = 8
 LEAST_WORDS = 20
 MOST_REPEATED_PERCENT = 30
 
-#: Measures, in thousandths unless said, with the least width of the quartile range and whether a low value counts against a text too.
+#: Measures, in thousandths unless said: least width of the quartile range, the largest value a text that passes the base rules can have (None:
+#: no such), and whether a low value counts against a text too.
 MEASURES = {
-    "symbols": (50, False),  # symbols by words
-    "upper": (40, False),  # A-Z by characters in words
-    "word_length": (500, True),  # characters by words, in thousandths of a character
-    "repeated": (100, False),  # words in repeated windows by words
-    "dup_lines": (250, False),  # repeated lines by lines
+    "symbols": (50, None, False),  # symbols by words
+    "upper": (40, 1000, False),  # A-Z by characters in words
+    "word_length": (500, None, True),  # characters by words, in thousandths of a character
+    "repeated": (100, 10 * MOST_REPEATED_PERCENT, False),  # words in repeated windows by words
+    "dup_lines": (150, 1000, False),  # repeated lines by lines
 }
-#: A fence lies so many quartile ranges outside the quartiles.
+#: A fence lies so many quartile ranges outside the quartiles, but leaves at least a quarter of the way from there to the largest value outside.
 REACH = 3
-#: Fewer documents than this have no sketch of their own: the language's is used, else that of all.
-LEAST_DOCS = 200
+#: A group's quartiles are blended with those of its language as if so many documents of the language were in it; a language's with those of all.
+PRIOR_DOCS = 20
 FRACTION_BITS = 4
 _COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_upper long, n_lines long"
 _SYMBOL = re.compile(f"[{re.escape(SYMBOLS)}]")
@@ -126,8 +128,8 @@ def quantiles(sketch: DataFrame, by: list[str], shares: dict[str, float]) -> Dat
     return ranked.groupBy(*by, "measure").agg(F.first("docs").alias("docs"), *values)
 
 
-def fences(sketch: DataFrame, least_docs: int = LEAST_DOCS, reach: int = REACH) -> DataFrame:
-    """(lang, source, limits): for each measure the least and most value, from the narrowest sketch with enough documents."""
+def fences(sketch: DataFrame, prior_docs: int = PRIOR_DOCS, reach: int = REACH) -> DataFrame:
+    """(lang, source, limits): for each measure the least and most value, from the group's quartiles blended with its language's."""
     quartiles = {"q1": 0.25, "q3": 0.75}
     own = quantiles(sketch, ["lang", "source"], quartiles)
     language = quantiles(sketch, ["lang"], quartiles)
@@ -136,27 +138,31 @@ def fences(sketch: DataFrame, least_docs: int = LEAST_DOCS, reach: int = REACH)
     def named(table: DataFrame, prefix: str) -> DataFrame:
         return table.select(*[F.col(c).alias(f"{prefix}_{c}") for c in table.columns])
 
+    def blend(docs: str, value: Column, prior: Column) -> Column:
+        return F.floor((F.col(docs) * value + prior_docs * prior) / (F.col(docs) + prior_docs)).cast("long")
+
     o, lang, every = named(own, "o"), named(language, "l"), named(everything, "e")
     joined = o.join(lang, F.col("o_lang").eqNullSafe(F.col("l_lang")) & (F.col("o_measure") == F.col("l_measure"))).join(every, F.col("o_measure") == F.col("e_measure"))
-    pick = lambda c: F.when(F.col("o_docs") >= least_docs, F.col(f"o_{c}")).when(F.col("l_docs") >= least_docs, F.col(f"l_{c}")).otherwise(F.col(f"e_{c}"))
-    width = F.create_map(*[x for m, (w, _) in MEASURES.items() for x in (F.lit(m), F.lit(w))])
-    low_too = F.create_map(*[x for m, (_, low) in MEASURES.items() for x in (F.lit(m), F.lit(low))])
-    q1, q3 = pick("q1"), pick("q3")
-    span = F.greatest(q3 - q1, width[F.col("o_measure")]) * reach
-    least = F.when(low_too[F.col("o_measure")], q1 - span).otherwise(F.lit(-1))
-    limit = F.struct(F.col("o_measure").alias("measure"), least.cast("long").alias("least"), (q3 + span).cast("long").alias("most"))
+    q1, q3 = (blend("o_docs", F.col(f"o_{q}"), blend("l_docs", F.col(f"l_{q}"), F.col(f"e_{q}"))) for q in quartiles)
+    width, top, low_too = (F.create_map(*[x for m, facts in MEASURES.items() for x in (F.lit(m), F.lit(facts[k]))])[F.col("o_measure")] for k in range(3))
+    span = F.greatest(q3 - q1, width) * reach
+    inside = F.when(top.isNotNull(), q3 + F.floor((F.greatest(top, q3) - q3) * 3 / 4))
+    most = F.least(q3 + span, inside)  # without a largest value: the first
+    least = F.when(low_too, q1 - span).otherwise(F.lit(-1))
+    limit = F.struct(F.col("o_measure").alias("measure"), least.cast("long").alias("least"), most.cast("long").alias("most"))
     return joined.groupBy(F.col("o_lang").alias("f_lang"), F.col("o_source").alias("f_source")).agg(
         F.map_from_entries(F.collect_list(F.struct(limit["measure"].alias("k"), limit.alias("v")))).alias("limits")
     )
 
 
-def judge(docs: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
+def judge(docs: DataFrame, prior_docs: int = PRIOR_DOCS) -> DataFrame:
     """Per row: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, failed.
 
     Base rules: fewer than 20 words, or over 30 % of the words in repeated 8-word windows, fails. The other documents make
     the sketches of their (lang, source); ``kept`` is false for a base failure and for a document outside a fence, and ``failed`` names the
     measures (``base`` for the base rules). A null text counts as empty. Null languages and sources are groups like
-    any other. Repeated rows come back as often as they are there. Columns not read here don't matter.
+    any other. Repeated rows come back as often as they are there; an empty table gives none. Texts are measured whole, however long. Columns not
+    read here don't matter.
     """
     counted = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), measure_counts(F.col("text")).alias("c"))
     base = (F.col("c.n_words") < LEAST_WORDS) | (F.col("c.n_repeat_words") * 100 > F.col("c.n_words") * MOST_REPEATED_PERCENT)
@@ -171,7 +177,7 @@ def judge(docs: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
             share("n_dup_lines", "n_lines").alias("dup_lines"),
         )
     )
-    limits = settle(fences(sketches(measured.filter("NOT base_failed")), least_docs))
+    limits = settle(fences(sketches(measured.filter("NOT base_failed")), prior_docs))
     fenced = small_join(measured, limits, F.col("lang").eqNullSafe(F.col("f_lang")) & F.col("source").eqNullSafe(F.col("f_source")), "left")
     outside = [F.when(~F.col(m).between(F.col("limits")[m]["least"], F.col("limits")[m]["most"]), F.lit(m)) for m in MEASURES]
     failed = F.when(F.col("base_failed"), F.array(F.lit("base"))).otherwise(F.array_compact(F.array(*outside)))

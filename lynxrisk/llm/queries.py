@@ -65,7 +65,7 @@ def _op4() -> str:
         "dup_lines": "n_dup_lines * 1000 // greatest(n_lines, 1)",
     }
     long = " UNION ALL ".join(f"SELECT doc_id, lang, source, '{m}' AS m, {e} AS v FROM counted WHERE NOT base_failed" for m, e in measures.items())
-    limits = ", ".join(f"('{m}', {w}, {low})" for m, (w, low) in q.MEASURES.items())
+    limits = ", ".join(f"('{m}', {w}, {top or 'NULL'}, {low})" for m, (w, top, low) in q.MEASURES.items())
     shift = f"greatest(length(bin(v)) - {1 + q.FRACTION_BITS}, 0)"
     low = 1 << q.FRACTION_BITS
 
@@ -79,7 +79,8 @@ def _op4() -> str:
         )
 
     space = r"\x20\x09-\x0D"
-    pick = lambda c: f"CASE WHEN o.n >= {q.LEAST_DOCS} THEN o.{c} WHEN l.n >= {q.LEAST_DOCS} THEN l.{c} ELSE e.{c} END"
+    prior = q.PRIOR_DOCS
+    blend = lambda c: f"(o.n * o.{c} + {prior} * ((l.n * l.{c} + {prior} * e.{c}) // (l.n + {prior}))) // (o.n + {prior})"
     return f"""
 WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t FROM documents),
 w AS (SELECT *, regexp_extract_all(t, '[^{space}]+') AS ws,
@@ -95,15 +96,15 @@ counted AS (SELECT *, n_words < {q.LEAST_WORDS} OR 100 * n_repeat_words > {q.MOS
 measured AS ({long}),
 sketch AS (SELECT *, CASE WHEN v < {low} THEN v ELSE {shift} * {low} + (v >> CAST({shift} AS INTEGER)) END AS b FROM measured),
 {quartiles("o", "lang, source")}, {quartiles("l", "lang")}, {quartiles("e", "")},
-p(m, width, low_too) AS (VALUES {limits}),
-f AS (SELECT o.lang, o.source, o.m, p.width, p.low_too, {pick("q1")} AS q1, {pick("q3")} AS q3
+p(m, width, top, low_too) AS (VALUES {limits}),
+f AS (SELECT o.lang, o.source, o.m, p.width, p.top, p.low_too, {blend("q1")} AS q1, {blend("q3")} AS q3
         FROM o JOIN l ON o.lang IS NOT DISTINCT FROM l.lang AND o.m = l.m JOIN e ON o.m = e.m JOIN p ON o.m = p.m),
 g AS (SELECT lang, source, m, CASE WHEN low_too THEN q1 - {q.REACH} * greatest(q3 - q1, width) ELSE -1 END AS least,
-        q3 + {q.REACH} * greatest(q3 - q1, width) AS most FROM f),
+        least(q3 + {q.REACH} * greatest(q3 - q1, width), CASE WHEN top IS NOT NULL THEN q3 + (greatest(top, q3) - q3) * 3 // 4 END) AS most FROM f),
 bad AS (SELECT DISTINCT x.doc_id FROM measured x JOIN g ON x.lang IS NOT DISTINCT FROM g.lang AND x.source IS NOT DISTINCT FROM g.source AND x.m = g.m
         WHERE v < least OR v > most)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM bad) AS kept FROM counted
+  NOT base_failed AND NOT EXISTS (SELECT 1 FROM bad WHERE bad.doc_id IS NOT DISTINCT FROM counted.doc_id) AS kept FROM counted
 """
 
 

@@ -95,3 +95,41 @@ def test_edges(spark):
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == slow_counts(text)
         assert not (r.base_failed and r.kept)
     assert quality.judge(docs(spark, [])).count() == 0
+
+
+def spoilt(rng, measure):
+    """A text that is out of line in one measure and passes the base rules."""
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(4, 6)))
+    plain = [word() for _ in range(100)]
+    if measure == "symbols":
+        return " ".join(w + "|" * (i % 2) for i, w in enumerate(plain))
+    if measure == "upper":
+        return " ".join(plain[:50]) + " " + " ".join(w.upper() for w in plain[50:])
+    if measure == "word_length":
+        return " ".join(a + b + word() for a, b in zip(plain, plain[::-1], strict=True))
+    if measure == "repeated":
+        return " ".join(plain + plain[:14])  # 28 of 114 words lie in repeated windows
+    if measure == "dup_lines":
+        return " ".join(plain) + "\n" + "\n".join(f"{w} x" for w in [plain[0], plain[1], plain[2], plain[3]] * 3)
+    return " ".join(plain)
+
+
+def test_each_measure_rejects_what_the_base_rules_pass(spark):
+    rng = random.Random(5)
+    rows = [(i, spoilt(rng, None), "en", f"s{i % 2}") for i in range(300)]
+    rows += [(1000 + i, spoilt(rng, m), "en", "s0") for i, m in enumerate(quality.MEASURES)]
+    got = {r.doc_id: r for r in quality.judge(docs(spark, rows)).collect()}
+    assert all(got[i].kept for i in range(300))
+    for i, m in enumerate(quality.MEASURES):
+        assert not got[1000 + i].base_failed and got[1000 + i].failed == [m]
+
+
+def test_fences_change_little_with_one_document_more(spark):
+    """No number of documents switches a group from other thresholds to its own."""
+    sketch = lambda n: [("en", "big", "upper", 8, 5000), ("en", "own", "upper", 40, n)]
+    most = []
+    for n in (1, 60, 99, 100, 101, 199, 200, 201, 1000, 100_000):
+        table = spark.createDataFrame(sketch(n), "lang string, source string, measure string, bucket long, n long")
+        most.append(next(r.limits["upper"].most for r in quality.fences(table).collect() if r.f_source == "own"))
+    assert most == sorted(most) and most[0] < most[-1]
+    assert most[4] - most[2] <= 2 and most[7] - most[5] <= 2

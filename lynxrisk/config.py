@@ -205,6 +205,8 @@ class RiskConfig:
     min_score_std: float = 0.01
     min_full_domains: int = 7
     min_composite_tiers: int = 2
+    # False keeps the flag of a changed tier constant, as in the data model
+    tier_changes: bool = False
     silver_version: str = "s2_silver_v2"
     gold_version: str = "s3_score_gold_v1"
     home: Box = field(default_factory=Box)

@@ -17,7 +17,7 @@ from lynxrisk.plans import features as G
 from lynxrisk.plans import quality, reports, weekly
 from lynxrisk.plans import silver as S
 from lynxrisk.sources.schemas import BRONZE, DEAD_LETTERS, KEYS, PIPELINE_RUNS
-from lynxrisk.sources.session import scratch, shared_folder, use_utc
+from lynxrisk.sources.session import scratch, settle, shared_folder, use_utc
 from lynxrisk.sources.tables import Lake, append_rows, invalid_lines, read_bronze, write_dead_letter
 
 REGISTERS = {
@@ -169,10 +169,22 @@ class Run:
         names = dict(zip(streams, quality.WEEKLY))
         written = {s: self.lake.write(stamped(t), "gold", names[s]) for s, t in streams.items()}
         fused = weekly.composite(weekly.weekly_internal(gold, self.cfg), written)
+        if self.cfg.tier_changes:
+            fused = self._with_tier_changes(fused)
         self.lake.write(stamped(fused), "gold", "gold_composite_risk")
         rows = gold.count()
         return rows, rows
 
+    def _with_tier_changes(self, fused: DataFrame) -> DataFrame:
+        """Flags that go on from the last run's tables: its composite, and what it had to know of the runs before."""
+        fused = settle(fused)
+        last = self.lake.before("gold")
+        names = ["gold_composite_risk", "gold_earlier_tiers"]
+        known = [last.read("gold", t, [*weekly.KEYS, "risk_tier"]) for t in names if last and last.has("gold", t)]
+        none = fused.select(*weekly.KEYS, "risk_tier").limit(0)
+        earlier = weekly.earlier_tiers(fused, reduce(DataFrame.unionByName, known, none))
+        return weekly.tier_changes(fused, self.lake.write(earlier, "gold", "gold_earlier_tiers"))
+
     def validate(self) -> tuple[int, int]:
         report = quality.quality_report(
             {d: self.feed(d) for d in quality.INTERNAL} | {"hris": self.silver("sv_hris")},

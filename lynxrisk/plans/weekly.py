@@ -172,3 +172,29 @@ def composite(internal: DataFrame, streams: Mapping[str, DataFrame]) -> DataFram
         pick(1).alias("recommended_action"),
         filled(C.NARRATIVES["composite"], fixed(value, 4), F.col("primary_signal_driver")).alias("composite_narrative"),
     )
+
+
+def earlier_tiers(fused: DataFrame, known: DataFrame) -> DataFrame:
+    """The latest known (week, employee, tier) of each employee before the employee's first week in ``fused``.
+
+    ``known`` holds composite rows of earlier runs, each employee's latest at least; weeks that ``fused`` has anew don't count. Employees that
+    ``fused`` lacks keep their latest row, so the result is what the next run has to know besides ``fused``.
+    """
+    first = fused.groupBy(EMPLOYEE).agg(F.min(WEEK).alias("_first"))
+    before = known.select(*KEYS, "risk_tier").join(first, EMPLOYEE, "left").filter(F.col("_first").isNull() | (F.col(WEEK) < F.col("_first")))
+    latest = before.groupBy(EMPLOYEE).agg(F.max(F.struct(WEEK, "risk_tier")).alias("_last"))
+    return latest.select(f"_last.{WEEK}", EMPLOYEE, "_last.risk_tier")
+
+
+def tier_changes(fused: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+    """``tier_change_flag``: whether the tier differs from that of the employee's previous week that is present, however long ago.
+
+    ``earlier`` (from ``earlier_tiers``) has the weeks of former runs that come before. An employee's first week is no change.
+    """
+    rows = fused.withColumn("_old", F.lit(False))
+    if earlier is not None:
+        rows = rows.unionByName(earlier.withColumn("_old", F.lit(True)), allowMissingColumns=True)
+    # one row per employee and week: a key is as long as the timeline has weeks
+    previous = F.lag("risk_tier").over(Window.partitionBy(EMPLOYEE).orderBy(WEEK))
+    changed = rows.withColumn("tier_change_flag", F.coalesce(previous != F.col("risk_tier"), F.lit(False)))
+    return changed.filter("NOT _old").select(*fused.columns)

@@ -6,6 +6,8 @@ compute as well; training by k-means is ``q28``.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from lynxrisk.queries.feature_queries import rounded
 from lynxrisk.queries.feeds import CFG, Feeds
 from lynxrisk.queries.registry import query
 from lynxrisk.queries.written import gold, scored_features, written
+from lynxrisk.sources.session import settle
 
 
 _SCORES = ", ".join(f"round({c}, 9) + 0 AS {c}" for c in SCORE_FEATURES)
@@ -91,6 +94,21 @@ def fused(f: Feeds) -> DataFrame:
     return rounded(composite(f), *scores, "internal_behavioral_risk_score")
 
 
+@query(
+    "q58_tier_change",
+    """SELECT week_start_date, employee_id, risk_tier,
+              coalesce(lag(risk_tier) OVER (PARTITION BY employee_id ORDER BY week_start_date) <> risk_tier, FALSE) AS tier_change_flag
+       FROM composite""",
+)
+def tier_change(f: Feeds) -> DataFrame:
+    """Two runs, one after the other: the second knows of the first what it has to, not its weeks."""
+    whole = settle(composite(f))
+    start = CFG.timeline_start + dt.timedelta(days=CFG.timeline_days // 2)
+    first, second = whole.filter(F.col(weekly.WEEK) < F.lit(start)), whole.filter(F.col(weekly.WEEK) >= F.lit(start))
+    runs = [weekly.tier_changes(first), weekly.tier_changes(second, weekly.earlier_tiers(second, first))]
+    return runs[0].union(runs[1]).select(*weekly.KEYS, "risk_tier", "tier_change_flag")
+
+
 _ELEMENTS = ", ".join(f"round(feature_vector[{i}], 9) + 0 AS v{i}" for i in range(1, len(VECTOR_FEATURES) + 1))
 
 

@@ -71,6 +71,17 @@ class Lake:
         write_table(df, self.path(layer, name), partition_by)
         return self.read(layer, name)
 
+    def has(self, layer: str, name: str) -> bool:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(layer, name))
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+
+    def before(self, stage: str) -> Lake | None:
+        """The lake of the last other run that ended this stage, by the audit rows; None if there is none."""
+        runs = self.spark.read.parquet(self.runs_path).filter((F.col("stage_name") == stage) & (F.col("status") == "success"))
+        run = F.substring_index("run_id", "/", 1)
+        last = runs.filter(run != self.run_id).agg(F.max_by(run, "completed_at")).first()[0]
+        return last and Lake(self.spark, self.base, last)
+
     @property
     def runs_path(self) -> str:
         return f"{self.base}/bronze/pipeline_runs"

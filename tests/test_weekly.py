@@ -3,8 +3,11 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from lynxrisk.config import COMPOSITE_STREAMS, RiskConfig
+from lynxrisk.config import COMPOSITE_STREAMS, RiskConfig, RunContext
 from lynxrisk.plans import weekly as W
+from lynxrisk.plans.job import Run
+from lynxrisk.sources.schemas import PIPELINE_RUNS
+from lynxrisk.sources.tables import Lake, append_rows
 from tests.conftest import day
 
 MONDAY = dt.date(2026, 1, 5)
@@ -123,3 +126,52 @@ def test_weights_must_sum_to_one(monkeypatch):
     monkeypatch.setitem(COMPOSITE_STREAMS, "location_risk_score", (0.5, "location"))
     with pytest.raises(ValueError):
         RiskConfig()
+
+
+TIERS = {"A": "LLHHL", "B": "L..H.", "C": "..M.M", "D": "HL...", "E": "....L"}
+
+
+def tiers(spark, weeks):
+    rows = [(MONDAY + dt.timedelta(7 * w), e, t[w], False) for e, t in TIERS.items() for w in weeks if t[w] != "."]
+    return spark.createDataFrame(rows, "week_start_date date, employee_id string, risk_tier string, tier_change_flag boolean")
+
+
+def changed(df):
+    return {(r.employee_id, (r.week_start_date - MONDAY).days // 7) for r in df.collect() if r.tier_change_flag}
+
+
+WANT = {("A", 2), ("A", 4), ("B", 3), ("D", 1)}
+
+
+def test_tier_changes_pass_over_missing_weeks(spark):
+    got = W.tier_changes(tiers(spark, range(5)))
+    assert got.count() == 12 and changed(got) == WANT
+
+
+@pytest.mark.parametrize("runs", [[[0, 1], [2], [3, 4]], [[0], [1], [2], [3], [4]], [[0, 1, 2], [1, 2, 3], [3, 4]]])
+def test_tier_changes_go_on_over_runs(spark, runs):
+    """Weeks that a later run has anew included; what lies further back than the last run is carried along."""
+    got, known = set(), None
+    for weeks in runs:
+        fused = tiers(spark, weeks)
+        earlier = W.earlier_tiers(fused, known) if known is not None else None
+        done = changed(W.tier_changes(fused, earlier))
+        assert done == {x for x in WANT if x[1] in weeks}
+        got |= done
+        known = fused.select(*W.KEYS, "risk_tier")
+        known = known.unionByName(earlier) if earlier is not None else known
+    assert got == WANT
+
+
+def test_the_job_reads_the_run_before(spark, tmp_path):
+    cfg, base = RiskConfig(tier_changes=True), str(tmp_path)
+    got = set()
+    for n, weeks in enumerate([[0, 1], [2, 3], [4]]):
+        now = dt.datetime(2026, 3, 1 + n)
+        lake = Lake(spark, base, f"r{n}")
+        append_rows(spark.createDataFrame([(f"r{n}/inputs", "inputs", now, now, "success", 1, 1, 0.0, [], None)], PIPELINE_RUNS), lake.runs_path)
+        run = Run(spark, "", lake, cfg, RunContext(now, "v", f"r{n}"))
+        fused = run._with_tier_changes(tiers(spark, weeks))
+        got |= changed(lake.write(fused, "gold", "gold_composite_risk"))
+        append_rows(spark.createDataFrame([(f"r{n}/gold", "gold", now, now, "success", 1, 1, 0.0, [], None)], PIPELINE_RUNS), lake.runs_path)
+    assert got == WANT

@@ -92,7 +92,7 @@ def random_docs(n=3000, seed=8):
     return out
 
 
-@pytest.mark.parametrize("block_rows", [2048, 500, 250])
+@pytest.mark.parametrize("block_rows", [8192, 2048, 500, 250])
 def test_mix_comes_near_its_targets(spark, block_rows):
     rows = random_docs()
     sizes = defaultdict(int)

@@ -176,6 +176,8 @@ class Scale:
     chunk_rows: int = 1_000_000
     # row count up to which the built-in exact percentile is used
     percentile_rows: int = 1_000_000
+    # rows that one task of a wide sort, window or grouping should hold at most
+    task_rows: int = 250_000
     # values a quantile search may leave to be sorted at the end
     quantile_rest: int = 10_000
 

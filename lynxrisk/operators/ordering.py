@@ -23,20 +23,36 @@ CHUNK = "_chunk"
 BORROWED = "_borrowed"
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the biggest key."""
+def spread(df: DataFrame, rows: int, keys: Sequence[str], scale: Scale = Scale()) -> DataFrame:
+    """The rows dealt by the keys over so many partitions that a task holds about ``Scale.task_rows`` of them.
+
+    For a sort, window or grouping by these keys (or more) that follows: its tasks then don't grow with the table. Unchanged
+    if the session's partitions are enough; ``rows`` is how many rows there are, or about.
+    """
+    parts = ceil(rows / scale.task_rows)
+    return df if parts <= session_parts(df) else df.repartition(parts, *keys)
+
+
+def session_parts(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """Rows of the biggest key, and of all."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return sizes.agg(F.max("_rows")).first()[0] or 0
+    largest, total = sizes.agg(F.max("_rows"), F.sum("_rows")).first()
+    return largest or 0, total or 0
 
 
-def sorted_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], pieces: int = 1) -> DataFrame:
+def sorted_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], pieces: int, rows: int, scale: Scale = Scale()) -> DataFrame:
     """Rows cut into ranges of (key, order), with the number of the range in ``_slice``.
 
-    At least ``pieces`` ranges. The slice number is written out with the rows, so it cannot
+    About ``pieces`` ranges, and enough that none has many more than ``Scale.task_rows`` of the ``rows``. Beyond four for each of the session's
+    partitions, smaller ranges would only cost tasks. The slice number is written out with the rows, so it cannot
     change when a lost task is run again.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(max(parts, pieces), *keys, *order)
+    parts = session_parts(df)
+    ranged = df.repartitionByRange(max(parts, min(pieces, 4 * parts), ceil(rows / scale.task_rows)), *keys, *order)
     return settle(ranged.withColumn(SLICE, F.spark_partition_id()))
 
 
@@ -52,11 +68,11 @@ def _add_offsets(local: DataFrame, offsets: DataFrame, keys: Sequence[str]) -> D
     return local.join(offsets, on, "left").drop(offsets[SLICE], *[offsets[k] for k in keys])
 
 
-def row_index(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, pieces: int = 1) -> DataFrame:
-    """1-based position of every row within its key; ``order`` must be total."""
-    slices = sorted_slices(df, keys, order, pieces)
+def row_index(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, pieces: int = 1, rows: int = 0) -> DataFrame:
+    """1-based position of every row within its key; ``order`` must be total. ``rows``: how many there are, if known."""
+    slices = sorted_slices(df, keys, order, pieces, rows)
     here = Window.partitionBy(*keys, SLICE).orderBy(*order)
-    local = slices.withColumn("_here", F.row_number().over(here).cast("long"))
+    local = spread(slices, rows, [*keys, SLICE]).withColumn("_here", F.row_number().over(here).cast("long"))
     offsets = _slice_offsets(slices, keys, F.count(F.lit(1)), "_offset")
     numbered = _add_offsets(local, offsets, keys)
     return numbered.withColumn(out, F.col("_here") + F.col("_offset")).drop("_here", "_offset", SLICE)
@@ -67,13 +83,13 @@ def running_sum(
 ) -> DataFrame:
     """Sum of all rows of the key up to and including this one. The rows are written first, so they are made once."""
     df = settle(df)
-    largest = largest_group(df, keys)
+    largest, rows = group_sizes(df, keys)
     if largest <= scale.window_rows:
         upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(out, F.sum(value).over(upto))
-    slices = sorted_slices(df, keys, order, ceil(largest / scale.chunk_rows))
+        return spread(df, rows, keys).withColumn(out, F.sum(value).over(upto))
+    slices = sorted_slices(df, keys, order, ceil(largest / scale.chunk_rows), rows)
     here = Window.partitionBy(*keys, SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = slices.withColumn("_here", F.sum(value).over(here))
+    local = spread(slices, rows, [*keys, SLICE]).withColumn("_here", F.sum(value).over(here))
     earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     totals = slices.groupBy(*keys, SLICE).agg(F.sum(value).alias("_total"))
     # a slice without any value has the total NULL, and so has a key before its first value
@@ -97,11 +113,11 @@ def frame_chunks(
     edge reach in the neighbouring piece. The rows are written first, so they are made once.
     """
     df = settle(df)
-    largest = largest_group(df, keys)
+    largest, rows = group_sizes(df, keys)
     if largest <= scale.window_rows:
-        return df.withColumn(CHUNK, F.lit(0).cast("long")).withColumn(BORROWED, F.lit(False))
+        return spread(df, rows, keys).withColumn(CHUNK, F.lit(0).cast("long")).withColumn(BORROWED, F.lit(False))
     size = max(scale.chunk_rows, before, after, 1)
-    numbered = row_index(df, keys, order, "_index", ceil(largest / size))
+    numbered = row_index(df, keys, order, "_index", ceil(largest / size), rows)
     zero_based = F.col("_index") - 1
     home = F.floor(zero_based / size).cast("long")
     place = zero_based % size
@@ -113,7 +129,7 @@ def frame_chunks(
         ),
         lambda c: c.isNotNull(),
     )
-    copies = numbered.withColumn("_home", home).withColumn(CHUNK, F.explode(targets))
+    copies = spread(numbered.withColumn("_home", home).withColumn(CHUNK, F.explode(targets)), rows, [*keys, CHUNK])
     return copies.withColumn(BORROWED, F.col(CHUNK) != F.col("_home")).drop("_home", "_index")
 
 

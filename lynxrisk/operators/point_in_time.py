@@ -8,6 +8,7 @@ event is compared with periods of its key, however many these are, and a registe
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 from math import ceil
 
 import pandas as pd
@@ -15,7 +16,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lynxrisk.config import Scale
-from lynxrisk.operators.ordering import SLICE, largest_group, sorted_slices
+from lynxrisk.operators.ordering import SLICE, group_sizes, session_parts, sorted_slices, spread
+from lynxrisk.sources.session import settle
 
 #: The last day of a period without an end.
 OPEN = 2**31 - 2
@@ -47,18 +49,31 @@ def changes_of(register: DataFrame, key: str, since: str, until: str, who: str)
 
     A period includes its last day. Rows without a start, with an end before it, or without a key count for nothing; a period that names nobody hides
     those that began earlier. Equal periods are one before the shuffle, so a key's group is bounded by its dates, not by the rows of the register.
+    A task walks through its sorted periods and holds one key at a time: many small keys cost no more than their rows.
     """
     start, end = F.unix_date(F.to_date(since)), F.coalesce(F.unix_date(F.to_date(until)), F.lit(OPEN))
     rows = register.select(F.col(key).alias("_key"), start.alias("start"), end.alias("end"), F.col(who).cast("string").alias("who"))
-    periods = rows.filter("_key IS NOT NULL AND start IS NOT NULL AND end >= start").groupBy("_key", "start", "end").agg(F.max("who").alias("who"))
-
-    def swept(group: pd.DataFrame) -> pd.DataFrame:
-        names = [None if pd.isna(w) else w for w in group["who"]]
-        days = _sweep(list(zip(group["start"].tolist(), group["end"].tolist(), names, strict=True)))
-        return pd.DataFrame({"_key": group["_key"].iloc[0], "_day": [d for d, _ in days], "who": [w for _, w in days]}, columns=["_key", "_day", "who"])
+    periods = settle(rows.filter("_key IS NOT NULL AND start IS NOT NULL AND end >= start").groupBy("_key", "start", "end").agg(F.max("who").alias("who")))
+
+    def swept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, held, out = None, [], []
+        for batch in batches:
+            names = [None if pd.isna(w) else w for w in batch["who"]]
+            for key, *period in zip(batch["_key"].tolist(), batch["start"].tolist(), batch["end"].tolist(), names, strict=True):
+                if held and key != now and (key == key or now == now):  # NaN is one key
+                    out += [(now, *change) for change in _sweep(held)]
+                    held = []
+                now = key
+                held.append(tuple(period))
+            if out:
+                yield pd.DataFrame(out, columns=["_key", "_day", "who"])
+                out = []
+        if held:
+            yield pd.DataFrame([(now, *change) for change in _sweep(held)], columns=["_key", "_day", "who"])
 
     kind = dict(rows.dtypes)["_key"]
-    return periods.groupBy("_key").applyInPandas(swept, f"_key {kind}, _day int, who string")
+    parts = max(session_parts(register), ceil(periods.count() / Scale().task_rows))
+    return periods.repartition(parts, "_key").sortWithinPartitions("_key").mapInPandas(swept, f"_key {kind}, _day int, who string")
 
 
 def assigned_at(
@@ -77,24 +92,26 @@ def assigned_at(
     nobody and are not shuffled. If the largest key has more than ``Scale.window_rows`` rows, the sorted table is cut into ranges of
     (key, day, a hash of the event), and the value that holds at a cut is carried over it: one row for each key and range. An event column of the name ``who`` is replaced.
     """
-    changes = changes_of(register, on[1], since, until, who)
     kept = [F.col(f"`{c}`") for c in events.columns if c.lower() != who.lower()]
     day = F.unix_date(F.to_date(time))
     marked = events.select(F.col(on[0]).alias("_key"), day.alias("_day"), F.struct(*kept).alias("_event"))
     nobody = F.lit(None).cast("string").alias(who)
     lost = marked.filter("_key IS NULL OR _day IS NULL").select("_event.*", nobody)
     asked = marked.filter("_key IS NOT NULL AND _day IS NOT NULL").withColumn("_kind", F.lit(1)).withColumn("_tie", F.xxhash64("_event"))
+    # only what is asked for is swept: a register may hold many keys that no event has
+    keys = settle(asked.select(F.col("_key").alias("_asked")).distinct())
+    changes = settle(changes_of(register.join(keys, F.col(on[1]) == F.col("_asked"), "left_semi"), on[1], since, until, who))
     told = changes.select("_key", "_day", F.lit(0).alias("_kind"), F.lit(0).cast("long").alias("_tie"), F.struct("who").alias("_change"))
     rows = asked.unionByName(told, allowMissingColumns=True)
     order = ["_day", "_kind", "_tie"]
-    largest = largest_group(rows.select("_key"), ["_key"])
+    largest, total = group_sizes(rows.select("_key"), ["_key"])
     if largest <= scale.window_rows:
         upto = Window.partitionBy("_key").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        held = rows.withColumn("_held", F.last("_change", ignorenulls=True).over(upto))
+        held = spread(rows, total, ["_key"]).withColumn("_held", F.last("_change", ignorenulls=True).over(upto))
     else:
-        slices = sorted_slices(rows, ["_key"], order, ceil(largest / scale.chunk_rows))
+        slices = sorted_slices(rows, ["_key"], order, ceil(largest / scale.chunk_rows), total)
         here = Window.partitionBy("_key", SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        local = slices.withColumn("_here", F.last("_change", ignorenulls=True).over(here))
+        local = spread(slices, total, ["_key", SLICE]).withColumn("_here", F.last("_change", ignorenulls=True).over(here))
         ends = slices.groupBy("_key", SLICE).agg(F.max(F.when(F.col("_kind") == 0, F.struct("_day", "_change"))).alias("_last"))
         earlier = Window.partitionBy("_key").orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
         carried = ends.select("_key", SLICE, F.last("_last", ignorenulls=True).over(earlier)["_change"].alias("_carried"))

@@ -4,18 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lynxrisk.config import Scale
+from lynxrisk.operators.ordering import session_parts, spread
 
-def dense_grid(people: DataFrame, ends: Column, key: str = "employee_id", carry: Sequence[str] = ()) -> DataFrame:
-    """Every key with every window end date, and the attributes to ``carry``."""
-    return people.select(key, *carry, F.explode(ends).alias("window_end_date"))
 
+def dense_grid(people: DataFrame, ends: Column, key: str = "employee_id", scale: Scale = Scale()) -> DataFrame:
+    """Every key with every window end date. The keys are dealt out first: a file of them that one task reads makes many times its rows."""
+    grid = lambda keys: keys.select(key, F.explode(ends).alias("window_end_date"))
+    keys = people.select(key)
+    parts = max(session_parts(keys), ceil(grid(keys).count() / scale.task_rows))
+    return grid(keys.repartition(parts, key))
 
-def gather(parts: Sequence[DataFrame], keys: Sequence[str], grid: DataFrame | None = None) -> DataFrame:
-    """Full outer join of tables that are unique on ``keys``, as one union and one grouping.
+
+def gather(parts: Sequence[DataFrame], keys: Sequence[str], grid: DataFrame | None = None, rows: int = 0) -> DataFrame:
+    """Full outer join of tables that are unique on ``keys``, as one union and one grouping; ``rows``: how many they have together, if known.
 
     With a ``grid`` only its keys are kept, as in left joins onto it. A chain of joins would
     shuffle the growing result again at each step; here every row moves once.
@@ -24,8 +31,8 @@ def gather(parts: Sequence[DataFrame], keys: Sequence[str], grid: DataFrame | No
     columns = [c for t in tables for c in t.columns if c not in keys]
     if len(columns) != len(set(columns)):
         raise ValueError("the tables must not share columns besides the keys")
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
-    merged = rows.groupBy(*keys).agg(*[F.max(c).alias(c) for c in columns])
+    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+    merged = spread(union, rows, keys).groupBy(*keys).agg(*[F.max(c).alias(c) for c in columns])
     return merged if grid is None else merged.filter("_on_grid").drop("_on_grid")
 
 

@@ -30,8 +30,13 @@ def latest_register(register: DataFrame, key: str, since: str, employee: str = "
     A grouped maximum, so every map task sends at most one row per key. Equal dates: the
     greatest employee id.
     """
+    return latest_rows(register, key, since, employee).drop(since)
+
+
+def latest_rows(register: DataFrame, key: str, since: str, employee: str = "employee_id") -> DataFrame:
+    """The same with the date: a register that says no less than the whole about the latest assignments."""
     latest = F.max(F.struct(F.col(since), F.col(employee))).alias("_last")
-    return register.groupBy(key).agg(latest).select(key, F.col(f"_last.{employee}").alias(employee))
+    return register.groupBy(key).agg(latest).select(key, F.col(f"_last.{employee}").alias(employee), F.col(f"_last.{since}").alias(since))
 
 
 def known_people(register: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lynxrisk.config import RiskConfig
 from lynxrisk.functions.expr import day_number
+from lynxrisk.operators.ordering import spread
 
 
 def calendar(cfg: RiskConfig) -> Column:
@@ -69,6 +70,8 @@ def rolling_features(
     both = rows.unionByName(anchors, allowMissingColumns=True).withColumn(
         "_day", day_number(F.col("window_end_date"))
     )
+    # an employee has about as many days as window ends, at most
+    both = spread(both, 2 * anchors.count(), [key])
     base = Window.partitionBy(key).orderBy("_day")
     columns = [
         getattr(F, f.how)(f.measure).over(base.rangeBetween(f.first, f.last)).alias(name)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -183,12 +184,20 @@ def feature_grid(silver: Mapping[str, DataFrame], people: DataFrame, ends: Colum
         lambda: agg_geo(silver["geo"], ends, cfg.travel_km),
         lambda: agg_adjudication(silver["adjudication"], ends),
     ]
-    # each writes its daily table; the writes are independent, so they share the cluster
+    # each writes its daily table and its windows; the writes are independent, so they share the cluster
     with ThreadPoolExecutor(len(feeds)) as pool:
-        parts = list(pool.map(lambda windows: windows(), feeds))
-    grid = dense_grid(people, ends, carry=["role_peer_group"])
-    features = add_peer_features(settle(gather(parts, KEYS, grid)))
-    filled = features.fillna(0.0, C.SCORE_FEATURES).fillna(False, C.FLAG_FEATURES)
+        parts = list(pool.map(lambda windows: settle(windows()), feeds))
+    present = gather(parts, KEYS, rows=sum(part.count() for part in parts))
+    # an employee without any event in any window is no one's peer: only the others are compared, and meet the grid
+    seen = reduce(DataFrame.union, [part.select(EMPLOYEE) for part in parts]).distinct().select(F.col(EMPLOYEE).alias("_seen_id"), F.lit(True).alias("_seen"))
+    known = people.groupBy(EMPLOYEE).agg(F.max("role_peer_group").alias("role_peer_group"))
+    known = settle(known.join(seen, F.col(EMPLOYEE).eqNullSafe(F.col("_seen_id")), "left").select(EMPLOYEE, "role_peer_group", "_seen"))
+    groups = known.filter("_seen").select(F.col(EMPLOYEE).alias("_seen_id"), "role_peer_group")
+    compared = settle(present.join(groups, F.col(EMPLOYEE).eqNullSafe(F.col("_seen_id"))).drop("_seen_id"))
+    grid = dense_grid(known.filter("_seen").select(EMPLOYEE), ends)
+    features = gather([add_peer_features(compared)], KEYS, grid, compared.count() + grid.count())
+    idle = dense_grid(known.filter("_seen IS NULL").select(EMPLOYEE), ends)
+    filled = features.unionByName(idle, allowMissingColumns=True).fillna(0.0, C.SCORE_FEATURES).fillna(False, C.FLAG_FEATURES)
     return filled.select(
         EMPLOYEE,
         END,
@@ -214,7 +223,7 @@ def score(grid: DataFrame, vectors: DataFrame, centroids: DataFrame, cfg: RiskCo
     """Cluster, score, percentile, tier and lineage for the vectors of a feature grid."""
     scored = nearest_centroid(vectors, "feature_vector", centroids)
     # rows with the same behaviour must tie, whatever the order their sums were made in
-    scored = settle(scored.withColumn("anomaly_score", F.round("anomaly_score", 9)))
+    scored = scored.withColumn("anomaly_score", F.round("anomaly_score", 9))
     return add_tiers(scored, cfg).select(
         *grid.columns,
         "feature_vector",

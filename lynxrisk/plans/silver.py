@@ -223,14 +223,16 @@ def dead_part(written: DataFrame) -> DataFrame:
     return written.filter(F.col("identity_resolution_status").isin(UNRESOLVED, INVALID)).select(*DEAD_LETTER_COLUMNS)
 
 
-def silver_feed(domain: str, events: DataFrame, register: DataFrame, ctx: RunContext) -> Resolved:
-    """A feed against its register: pacs, network, dlp, comms, pai or geo.
-
-    The same plan as the daily job's, without the write between: both parts come from ``conform_all``.
-    """
+def matched_feed(domain: str, events: DataFrame, register: DataFrame, ctx: RunContext) -> DataFrame:
+    """A feed against its register: pacs, network, dlp, comms, pai or geo; resolved events and dead letters side by side."""
     feed = FEEDS[domain]
-    whole = conform_all(feed, tag_feed(feed, events, register), ctx)
-    return Resolved(resolved_part(feed, whole), dead_part(whole))
+    return conform_all(feed, tag_feed(feed, events, register), ctx)
+
+
+def silver_feed(domain: str, events: DataFrame, register: DataFrame, ctx: RunContext) -> Resolved:
+    """The two parts of ``matched_feed``: the same plan as the daily job's, without the write between."""
+    whole = matched_feed(domain, events, register, ctx)
+    return Resolved(resolved_part(FEEDS[domain], whole), dead_part(whole))
 
 
 def silver_adjudication(events: DataFrame, ctx: RunContext) -> DataFrame:

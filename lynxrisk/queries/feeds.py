@@ -17,8 +17,11 @@ from pyspark.sql import functions as F
 
 from lynxrisk.config import RiskConfig, RunContext
 from lynxrisk.functions.expr import after_hours, first_match, on_weekend
+from lynxrisk.operators.identity import latest_rows
+from lynxrisk.operators.ordering import spread
 from lynxrisk.operators.rolling import data_calendar
 from lynxrisk.plans import silver as S
+from lynxrisk.sources.session import settle
 
 CTX = RunContext(dt.datetime(2024, 2, 1), "s2_silver_v2", "run-1")
 CFG = RiskConfig(timeline_start=dt.date(2024, 1, 1), timeline_days=30)
@@ -33,6 +36,7 @@ TITLES = {
 # the given texts are invented words, so the rules look for syllables that occur in them
 EMOTIONS = {"frustration": ["ation", "eaux"], "grievance": ["the of"], "distress": ["ing", "la de"], "hostility": ["sch"]}
 KEYWORDS = {"sensitive_terms": ["tion"], "job_seeking": ["the and the", ". la"]}
+REGISTERS = {"pacs": "badges", "geo": "badges", "network": "machines", "dlp": "machines", "comms": "directory", "pai": "handles"}
 PLACES = S.PlaceRules(sensitive=("blog.", "spam-farm"), hubs=(".net/", ".html"), luxury=("utm_source", "#top"))
 
 
@@ -101,13 +105,19 @@ class Feeds:
 
     @cached_property
     def machines(self) -> DataFrame:
-        lines = self.table("lineitem").join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        lines = self.table("lineitem").select("l_orderkey", "l_suppkey", "l_shipdate")
+        lines = spread(lines, self.table("lineitem").count(), ["l_orderkey"]).join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         return lines.select(
             name("MACH_", "l_suppkey").alias("machine_id"),
             name("EMP_", "o_custkey").alias("employee_id"),
             F.to_date("l_shipdate").alias("effective_start"),
         )
 
+    @cached_property
+    def owners(self) -> DataFrame:
+        """The latest assignments of the machines, written once for the feeds that look them up."""
+        return settle(latest_rows(self.machines, "machine_id", "effective_start"))
+
     @cached_property
     def directory(self) -> DataFrame:
         mail = F.concat(F.lit("user"), F.col("c_custkey").cast("string"), F.lit("@corp.internal"))
@@ -260,8 +270,12 @@ class Feeds:
     # --- silver ----------------------------------------------------------------
 
     def feed(self, domain: str) -> S.Resolved:
-        registers = {"pacs": "badges", "geo": "badges", "network": "machines", "dlp": "machines", "comms": "directory", "pai": "handles"}
-        return S.silver_feed(domain, getattr(self, domain), getattr(self, registers[domain]), CTX)
+        return S.silver_feed(domain, getattr(self, domain), getattr(self, REGISTERS[domain]), CTX)
+
+    def matched(self, domain: str) -> DataFrame:
+        """A feed's resolved events and dead letters, of the machines' latest owners: for several feeds."""
+        register = REGISTERS[domain].replace("machines", "owners")
+        return S.matched_feed(domain, getattr(self, domain), getattr(self, register), CTX)
 
     @cached_property
     def sv_hris(self) -> DataFrame:

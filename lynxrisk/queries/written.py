@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from functools import cached_property, lru_cache
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from functools import cached_property, lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,13 +12,15 @@ from pyspark.sql import functions as F
 from lynxrisk.config import VECTOR_FEATURES
 from lynxrisk.operators.clustering import mean_centroids
 from lynxrisk.plans import features as G
+from lynxrisk.plans import silver as S
 from lynxrisk.plans import weekly
-from lynxrisk.queries.feeds import CFG, CTX, Feeds
+from lynxrisk.queries.feeds import CFG, CTX, EMOTIONS, KEYWORDS, REGISTERS, Feeds
 from lynxrisk.sources.session import settle
 
 
 def feature_grid(f: Feeds) -> DataFrame:
-    tables = {d: f.feed(d).ok for d in ("pacs", "network", "dlp", "comms", "pai", "geo")}
+    f.owners  # written before the feeds' threads ask for it
+    tables = {d: S.resolved_part(S.FEEDS[d], f.matched(d)) for d in REGISTERS}
     return G.feature_grid({**tables, "adjudication": f.sv_adjudication}, f.hris, f.ends, CFG)
 
 
@@ -25,11 +29,19 @@ def scored_features(f: Feeds) -> DataFrame:
     vectors = G.add_vectors(grid, CFG)
     groups = sorted(r[0] for r in f.hris.select("role_peer_group").distinct().collect())
     number = F.array_position(F.array(*[F.lit(g) for g in groups]), F.col("role_peer_group")) - 1
-    labelled = vectors.join(f.hris.select("employee_id", "role_peer_group"), "employee_id").withColumn("g", number)
+    # a hash of the people: no task has to sort the vectors
+    people = f.hris.select("employee_id", "role_peer_group").hint("shuffle_hash")
+    labelled = vectors.join(people, "employee_id").withColumn("g", number)
     centers = settle(mean_centroids(labelled, "g", "feature_vector", len(VECTOR_FEATURES)))
     return G.score(grid, vectors, centers, CFG, CTX)
 
 
+def _settled(tables: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    """Independent tables, written at the same time."""
+    with ThreadPoolExecutor(len(tables)) as pool:
+        return dict(zip(tables, pool.map(lambda table: settle(table()), tables.values())))
+
+
 class Written:
     """The tables that later stages read, each written once, as the daily job does."""
 
@@ -44,35 +56,49 @@ class Written:
     def gold(self) -> DataFrame:
         return settle(scored_features(self.f))
 
+    @cached_property
+    def matched(self) -> dict[str, DataFrame]:
+        """Each feed with its dead letters, and the tables that have none: read and resolved once."""
+        f = self.f
+        f.owners
+        feeds = {d: lambda d=d: f.matched(d) for d in REGISTERS}
+        return _settled({**feeds, "adjudication": lambda: f.sv_adjudication, "hris": lambda: f.sv_hris})
+
     @cached_property
     def silver(self) -> dict[str, DataFrame]:
-        return {d: settle(t) for d, t in self.f.silver.items()} | {"hris": settle(self.f.sv_hris)}
+        f, matched = self.f, self.matched
+        tables = {d: S.resolved_part(S.FEEDS[d], matched[d]) for d in REGISTERS}
+        tagged = S.tag_social(tables["pai"], f.tweets, f.handles, EMOTIONS, KEYWORDS)
+        return {**tables, "pai": settle(tagged), "adjudication": matched["adjudication"], "hris": matched["hris"]}
 
     @cached_property
     def external(self) -> dict[str, DataFrame]:
-        tables = {
-            "silver_geo_anomalies": self.f.anomalies.ok,
-            "silver_lifestyle_incongruity": self.f.sv_lifestyle.ok,
-            "silver_financial_stress": self.f.sv_financial,
-            "silver_darkweb_signals": self.f.sv_darkweb.ok,
-        }
-        return {name: settle(t) for name, t in tables.items()}
+        f = self.f
+        return _settled({
+            "silver_geo_anomalies": lambda: f.anomalies.ok,
+            "silver_lifestyle_incongruity": lambda: f.sv_lifestyle.ok,
+            "silver_financial_stress": lambda: f.sv_financial,
+            "silver_darkweb_signals": lambda: f.sv_darkweb.ok,
+        })
 
     @cached_property
     def dead(self) -> DataFrame:
-        return settle(self.f.dead)
+        """The dead letters of all feeds; they lie in written tables already."""
+        f = self.f
+        parts = [S.dead_part(self.matched[d]) for d in REGISTERS]
+        return reduce(DataFrame.unionByName, [*parts, f.anomalies.dead, f.sv_lifestyle.dead, f.sv_darkweb.dead])
 
     @cached_property
     def weekly(self) -> dict[str, DataFrame]:
         ext = self.external
-        streams = {
-            "twitter": weekly.weekly_twitter(self.silver["pai"]),
-            "location": weekly.weekly_location(ext["silver_geo_anomalies"]),
-            "lifestyle": weekly.weekly_lifestyle(ext["silver_lifestyle_incongruity"]),
-            "financial": weekly.weekly_financial(ext["silver_financial_stress"]),
-            "darkweb": weekly.weekly_darkweb(ext["silver_darkweb_signals"]),
-        }
-        return {name: settle(t) for name, t in streams.items()}
+        pai = self.silver["pai"]
+        return _settled({
+            "twitter": lambda: weekly.weekly_twitter(pai),
+            "location": lambda: weekly.weekly_location(ext["silver_geo_anomalies"]),
+            "lifestyle": lambda: weekly.weekly_lifestyle(ext["silver_lifestyle_incongruity"]),
+            "financial": lambda: weekly.weekly_financial(ext["silver_financial_stress"]),
+            "darkweb": lambda: weekly.weekly_darkweb(ext["silver_darkweb_signals"]),
+        })
 
 
 @lru_cache(maxsize=4)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lynxrisk.config import DAY_HOURS
@@ -49,6 +49,14 @@ def count_true(flag: Column) -> Column:
     return F.count_if(flag)
 
 
+def different_values(df: DataFrame, col: str) -> Column:
+    """How many values a column has, as a scalar subquery of its own grouping.
+
+    Several ``countDistinct`` of a table become one aggregation, also as subqueries, and that multiplies every row before the shuffle.
+    """
+    return df.select(col).distinct().agg(F.count(col)).scalar()
+
+
 def any_true(flag: Column) -> Column:
     return F.coalesce(F.bool_or(flag), F.lit(False))
 

@@ -10,55 +10,49 @@ from pyspark.sql import functions as F
 
 from lynxrisk.config import Scale
 from lynxrisk.functions.expr import first_match
+from lynxrisk.operators.ordering import SLICE, sorted_slices, spread
 from lynxrisk.sources.session import settle
 
-
-SLICE = "_slice"
+#: A value of more than one in so many rows is frequent; there are fewer than this.
+HOT = 2000
 
 
 def with_ranks(df: DataFrame, col: str) -> DataFrame:
     """All rows, with how many rows have a lower value (``_below``), the same (``_ties``), and any (``_n``).
 
-    Rows are cut into ranges of the value, ties at random places, so that no range is large because one value is
-    frequent. Each range counts by itself. A value can lie in several ranges only as the least or the
-    greatest of each, so two rows for each range tell what must be added; they are joined to the range, not to the value, and nothing but
-    the number of a range and that small table moves. NULL has no rank; NaN is above every number, as in SQL.
+    The rows are written first, so they are made once. Ranks are those of the different values, each with its count, which combines before the
+    shuffle: however often a value occurs, it is one row there. A value that more than one in ``HOT`` rows has comes back to its rows by broadcast, so these
+    rows don't move; the others are joined by value, where no value owns many rows of a task. NULL has no rank; NaN is above every number, as in SQL.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    valued = df.filter(F.col(col).isNotNull())
-    spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    ranged = settle(valued.withColumn("_spread", spread).repartitionByRange(parts, col, "_spread").drop("_spread").withColumn(SLICE, F.spark_partition_id()))
-    counts = ranged.groupBy(SLICE, col).agg(F.count(F.lit(1)).alias("_here"))
-    in_slice = Window.partitionBy(SLICE)
-    by_value = in_slice.orderBy(col)
-    lower = F.coalesce(F.sum("_here").over(by_value.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    values = counts.select(
-        "*", lower.alias("_lower"), F.sum("_here").over(in_slice).alias("_rows"),
-        F.min(col).over(in_slice).alias("_least"), F.max(col).over(in_slice).alias("_most"),
-    )
-    at_edge = values.filter((F.col(col) == F.col("_least")) | (F.col(col) == F.col("_most")))
-    # at most two rows for each range from here to the end of the edges
-    sizes = at_edge.groupBy(SLICE).agg(F.first("_rows").alias("_rows"))
+    rows = settle(df)
+    counts = settle(rows.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("_value")).agg(F.count(F.lit(1)).alias("_ties")))
+    values = settle(_ranked_values(counts))
+    is_hot = F.col("_ties") * HOT > F.col("_n")
+    hot, rest = values.filter(is_hot), values.filter(~is_hot)
+    same = F.col(col) == F.col("_value")
+    names = [F.col(f"`{c}`") for c in df.columns]
+    told = ["_below", "_ties", "_n"]
+    found = rows.join(F.broadcast(hot), same).select(*names, *told)
+    many = rest.agg(F.sum("_ties")).first()[0]
+    if many:
+        cold = rows.filter(F.col(col).isNotNull()).join(F.broadcast(hot.select("_value")), same, "left_anti")
+        found = found.unionByName(spread(cold, many, [col]).join(rest, same).select(*names, *told))
+    return found.unionByName(rows.filter(F.col(col).isNull()).select(*names, *[F.lit(None).cast("long").alias(c) for c in told]))
+
+
+def _ranked_values(counts: DataFrame) -> DataFrame:
+    """(_value, _ties, _below, _n) of written (_value, _ties): the values are cut into ranges, and what lies before a range is added."""
+    n = counts.count()
+    slices = sorted_slices(counts, [], ["_value"], 1, n)
+    sizes = slices.groupBy(SLICE).agg(F.sum("_ties").alias("_rows"))
+    # one row for each range from here to the end of the offsets
     before = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy()
     offsets = settle(sizes.select(
-        F.col(SLICE).alias("_s"), F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"), F.sum("_rows").over(whole).alias("_n")
+        F.col(SLICE).alias("_s"), F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"), F.sum("_rows").over(Window.partitionBy()).alias("_n")
     ))
-    edges = at_edge.join(F.broadcast(offsets), F.col(SLICE) == F.col("_s"))
-    joint = edges.groupBy(F.col(col).alias("_edge")).agg(
-        F.min(F.col("_offset") + F.col("_lower")).alias("_edge_below"), F.sum("_here").alias("_edge_ties")
-    )
-    spanning = settle(edges.join(joint, F.col(col) == F.col("_edge")).select(F.col(SLICE).alias("_es"), "_edge", "_edge_below", "_edge_ties"))
-
-    row_lower = F.rank().over(by_value) - 1
-    row_ties = F.count(F.lit(1)).over(Window.partitionBy(SLICE, col))
-    ranked = ranged.select("*", row_lower.alias("_lower"), row_ties.alias("_here")).join(F.broadcast(offsets), F.col(SLICE) == F.col("_s"))
-    joined = ranked.join(F.broadcast(spanning), (F.col(SLICE) == F.col("_es")) & (F.col(col) == F.col("_edge")), "left")
-    below = F.coalesce("_edge_below", F.col("_offset") + F.col("_lower"))
-    names = [F.col(f"`{c}`") for c in df.columns]
-    found = joined.select(*names, below.alias("_below"), F.coalesce("_edge_ties", "_here").alias("_ties"), "_n")
-    none = F.lit(None).cast("long")
-    return found.unionByName(df.filter(F.col(col).isNull()).select(*names, none.alias("_below"), none.alias("_ties"), none.alias("_n")))
+    lower = F.coalesce(F.sum("_ties").over(Window.partitionBy(SLICE).orderBy("_value").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = spread(slices, n, [SLICE]).select("*", lower.alias("_lower")).join(F.broadcast(offsets), F.col(SLICE) == F.col("_s"))
+    return ranked.select("_value", "_ties", (F.col("_offset") + F.col("_lower")).alias("_below"), "_n")
 
 
 def percentile_rank_avg(df: DataFrame, col: str, out: str) -> DataFrame:
@@ -110,19 +104,30 @@ class _Target:
 
 
 def _narrow(df: DataFrame, targets: list[_Target], accuracy: int) -> None:
-    """One step for all targets: bracket each by approximate quantiles, then count exactly."""
-    brackets = []
-    for i, t in enumerate(targets):
-        at = (t.index - t.below) / max(t.inside - 1, 1)
-        spread = 2.0 / accuracy
-        probs = F.array(F.lit(max(at - spread, 0.0)), F.lit(min(at + spread, 1.0)))
-        inner = F.when(t.interior(), F.col(t.col))
-        brackets.append(F.percentile_approx(inner, probs, accuracy).alias(f"t{i}"))
-    found = df.agg(*brackets).first()
+    """One step for all targets: bracket each by approximate quantiles, then count exactly.
+
+    Targets that are still in the same interval share its sketch, and those with the same bracket its counts.
+    """
+    groups: dict[tuple, list[_Target]] = {}
+    for t in targets:
+        groups.setdefault((t.col, t.low, t.high), []).append(t)
+    shares = {}
+    for key, group in groups.items():
+        for t in group:
+            at, margin = (t.index - t.below) / max(t.inside - 1, 1), 2.0 / accuracy
+            shares.setdefault(key, []).extend([max(at - margin, 0.0), min(at + margin, 1.0)])
+    sketches = [
+        F.percentile_approx(F.when(group[0].interior(), F.col(group[0].col)), F.array(*[F.lit(p) for p in shares[key]]), accuracy).alias(f"g{i}")
+        for i, (key, group) in enumerate(groups.items())
+    ]
+    found = df.agg(*sketches).first()
+    brackets = {}
+    for quantiles, group in zip(found, groups.values(), strict=True):
+        for j, t in enumerate(group):
+            brackets.setdefault((t.col, t.low, t.high, quantiles[2 * j], quantiles[2 * j + 1]), []).append(t)
     counts = []
-    for i, t in enumerate(targets):
-        low, high = found[i]
-        x = F.when(t.interior(), F.col(t.col))
+    for i, ((*_, low, high), group) in enumerate(brackets.items()):
+        x = F.when(group[0].interior(), F.col(group[0].col))
         counts += [
             F.count_if(x < low).alias(f"lt{i}"),
             F.count_if(x == low).alias(f"lo{i}"),
@@ -130,23 +135,23 @@ def _narrow(df: DataFrame, targets: list[_Target], accuracy: int) -> None:
             F.count_if(x == high).alias(f"hi{i}"),
         ]
     exact = df.agg(*counts).first()
-    for i, t in enumerate(targets):
-        low, high = found[i]
-        below = t.below + exact[f"lt{i}"]
-        upto_low = below + exact[f"lo{i}"]
-        inside = exact[f"in{i}"]
-        upto_high = upto_low + inside + (exact[f"hi{i}"] if high > low else 0)
-        if below <= t.index < upto_low:
-            t.answer = low
-        elif upto_low <= t.index < upto_low + inside:
-            t.low, t.high, t.below, t.inside = low, high, upto_low, inside
-        elif upto_low + inside <= t.index < upto_high:
-            t.answer = high
-        elif t.index < below:
-            t.high, t.inside = low, exact[f"lt{i}"]
-        else:
-            t.low, t.inside = high, t.below + t.inside - upto_high
-            t.below = upto_high
+    for i, ((*_, low, high), group) in enumerate(brackets.items()):
+        for t in group:
+            below = t.below + exact[f"lt{i}"]
+            upto_low = below + exact[f"lo{i}"]
+            inside = exact[f"in{i}"]
+            upto_high = upto_low + inside + (exact[f"hi{i}"] if high > low else 0)
+            if below <= t.index < upto_low:
+                t.answer = low
+            elif upto_low <= t.index < upto_low + inside:
+                t.low, t.high, t.below, t.inside = low, high, upto_low, inside
+            elif upto_low + inside <= t.index < upto_high:
+                t.answer = high
+            elif t.index < below:
+                t.high, t.inside = low, exact[f"lt{i}"]
+            else:
+                t.low, t.inside = high, t.below + t.inside - upto_high
+                t.below = upto_high
 
 
 def exact_quantiles(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lynxrisk import config as C
-from lynxrisk.functions.expr import count_true, fixed
+from lynxrisk.functions.expr import count_true, different_values, fixed
 
 
 def _latest(gold: DataFrame) -> DataFrame:
@@ -49,7 +49,8 @@ def persistent_high(gold: DataFrame, windows: int = 3) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") >= windows)
     )
-    return gold.select(*_TREND).join(often, "employee_id", "left_semi").orderBy("employee_id", "window_end_date")
+    # a hash of the few employees: no task has to sort the windows of all others
+    return gold.select(*_TREND).join(often.hint("shuffle_hash"), "employee_id", "left_semi").orderBy("employee_id", "window_end_date")
 
 
 def risk_trend(gold: DataFrame, employees: Sequence[str]) -> DataFrame:
@@ -118,13 +119,9 @@ def latest_runs(runs: DataFrame, n: int = 20) -> DataFrame:
 
 
 def gold_stats(gold: DataFrame) -> DataFrame:
-    return gold.agg(
-        F.count(F.lit(1)).alias("gold_rows"),
-        F.countDistinct("employee_id").alias("employees"),
-        F.countDistinct("window_end_date").alias("windows"),
-        F.max("model_run_id").alias("model_run_id"),
-        F.max("scored_at").alias("scored_at"),
-    )
+    different = {out: different_values(gold, c) for out, c in (("employees", "employee_id"), ("windows", "window_end_date"))}
+    facts = gold.agg(F.count(F.lit(1)).alias("gold_rows"), F.max("model_run_id").alias("model_run_id"), F.max("scored_at").alias("scored_at"))
+    return facts.withColumns(different).select("gold_rows", *different, "model_run_id", "scored_at")
 
 
 def signal_summary() -> Column:

@@ -168,11 +168,11 @@ class Run:
         stamped = lambda df: df.withColumn("scored_at", F.lit(self.ctx.ingested_at))
         names = dict(zip(streams, quality.WEEKLY))
         written = {s: self.lake.write(stamped(t), "gold", names[s]) for s, t in streams.items()}
-        fused = weekly.composite(weekly.weekly_internal(gold, self.cfg), written)
+        rows = gold.count()
+        fused = weekly.composite(weekly.weekly_internal(gold, self.cfg), written, rows + sum(t.count() for t in written.values()))
         if self.cfg.tier_changes:
             fused = self._with_tier_changes(fused)
         self.lake.write(stamped(fused), "gold", "gold_composite_risk")
-        rows = gold.count()
         return rows, rows
 
     def _with_tier_changes(self, fused: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from lynxrisk import config as C
 from lynxrisk.config import RiskConfig
 from lynxrisk.functions.expr import clip, count_true, filled, first_match, fixed, week_start
 from lynxrisk.operators.grid import gather
+from lynxrisk.operators.ordering import spread
 
 WEEK, EMPLOYEE = "week_start_date", "employee_id"
 KEYS = [WEEK, EMPLOYEE]
@@ -122,10 +123,11 @@ def weekly_darkweb(detections: DataFrame) -> DataFrame:
 
 
 def weekly_internal(features: DataFrame, cfg: RiskConfig = RiskConfig()) -> DataFrame:
-    """Mean percentile by window start. Windows start on every weekday, the streams on Mondays."""
+    """Mean percentile by window start, of a written table. Windows start on every weekday, the streams on Mondays."""
     start = F.date_sub("window_end_date", cfg.window_days - 1)
+    starts = features.select(start.alias(WEEK), EMPLOYEE, "anomaly_percentile")
     return (
-        features.withColumn(WEEK, start)
+        spread(starts, features.count(), KEYS)
         .groupBy(*KEYS)
         .agg(F.avg(F.col("anomaly_percentile") / 100.0).alias("internal_behavioral_risk_score"))
     )
@@ -140,15 +142,15 @@ STREAM_SCORES = {
 }
 
 
-def composite(internal: DataFrame, streams: Mapping[str, DataFrame]) -> DataFrame:
+def composite(internal: DataFrame, streams: Mapping[str, DataFrame], rows: int = 0) -> DataFrame:
     """The six scores of a week fused into one, with tier, action and main driver.
 
-    Weeks and employees that only some inputs have are kept; a missing score is 0.
+    Weeks and employees that only some inputs have are kept; a missing score is 0. ``rows``: of all inputs together, if known.
     """
     parts = [
         streams[name].select(*KEYS, F.col(source).alias(score)) for name, (source, score) in STREAM_SCORES.items()
     ]
-    scores = gather([internal, *parts], KEYS).fillna(0.0, list(C.COMPOSITE_STREAMS))
+    scores = gather([internal, *parts], KEYS, rows=rows).fillna(0.0, list(C.COMPOSITE_STREAMS))
     total = sum((F.col(s) * weight for s, (weight, _) in C.COMPOSITE_STREAMS.items()), F.lit(0.0))
     # inner rounding: sums that differ in the last bit only must not fall on different sides
     scored = (
@@ -181,7 +183,8 @@ def earlier_tiers(fused: DataFrame, known: DataFrame) -> DataFrame:
     ``fused`` lacks keep their latest row, so the result is what the next run has to know besides ``fused``.
     """
     first = fused.groupBy(EMPLOYEE).agg(F.min(WEEK).alias("_first"))
-    before = known.select(*KEYS, "risk_tier").join(first, EMPLOYEE, "left").filter(F.col("_first").isNull() | (F.col(WEEK) < F.col("_first")))
+    tiers = spread(known.select(*KEYS, "risk_tier"), known.count(), [EMPLOYEE])
+    before = tiers.join(first, EMPLOYEE, "left").filter(F.col("_first").isNull() | (F.col(WEEK) < F.col("_first")))
     latest = before.groupBy(EMPLOYEE).agg(F.max(F.struct(WEEK, "risk_tier")).alias("_last"))
     return latest.select(f"_last.{WEEK}", EMPLOYEE, "_last.risk_tier")
 
@@ -189,12 +192,12 @@ def earlier_tiers(fused: DataFrame, known: DataFrame) -> DataFrame:
 def tier_changes(fused: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
     """``tier_change_flag``: whether the tier differs from that of the employee's previous week that is present, however long ago.
 
-    ``earlier`` (from ``earlier_tiers``) has the weeks of former runs that come before. An employee's first week is no change.
+    ``fused`` is written. ``earlier`` (from ``earlier_tiers``) has the weeks of former runs that come before. An employee's first week is no change.
     """
     rows = fused.withColumn("_old", F.lit(False))
     if earlier is not None:
         rows = rows.unionByName(earlier.withColumn("_old", F.lit(True)), allowMissingColumns=True)
     # one row per employee and week: a key is as long as the timeline has weeks
     previous = F.lag("risk_tier").over(Window.partitionBy(EMPLOYEE).orderBy(WEEK))
-    changed = rows.withColumn("tier_change_flag", F.coalesce(previous != F.col("risk_tier"), F.lit(False)))
+    changed = spread(rows, fused.count(), [EMPLOYEE]).withColumn("tier_change_flag", F.coalesce(previous != F.col("risk_tier"), F.lit(False)))
     return changed.filter("NOT _old").select(*fused.columns)

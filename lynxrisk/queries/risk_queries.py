@@ -75,7 +75,9 @@ def weekly_darkweb(f: Feeds) -> DataFrame:
 
 
 def composite(f: Feeds) -> DataFrame:
-    return weekly.composite(weekly.weekly_internal(gold(f)), written(f).weekly)
+    streams = written(f).weekly
+    rows = gold(f).count() + sum(stream.count() for stream in streams.values())
+    return weekly.composite(weekly.weekly_internal(gold(f)), streams, rows)
 
 
 @query(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lynxrisk import config as C
 from lynxrisk.config import RESOLVED, RiskConfig
+from lynxrisk.functions.expr import different_values
 from lynxrisk.sources.schemas import KEYS
 
 INTERNAL = ["pacs", "network", "dlp", "comms", "pai", "geo", "adjudication"]
@@ -52,21 +53,19 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 def check_gold(gold: DataFrame, expected: Column, cfg: RiskConfig) -> DataFrame:
-    """Coverage, null rates, clusters, lineage, model run and score range, from one scan."""
+    """Coverage, null rates, clusters, lineage, model run and score range."""
     n = F.count(F.lit(1))
+    different = {out: different_values(gold, c) for out, c in (("employees", "employee_id"), ("clusters", "cluster_id"), ("runs", "model_run_id"))}
     facts = gold.agg(
         n.alias("n"),
-        F.countDistinct("employee_id").alias("employees"),
         *[(n - F.count(c)).alias(f"null_{c}") for c in C.SCORE_FEATURES],
-        F.countDistinct("cluster_id").alias("clusters"),
         F.count_if(F.col("model_run_id").isNull() | F.col("source_silver_files").isNull()).alias("no_lineage"),
-        F.countDistinct("model_run_id").alias("runs"),
         F.max("model_run_id").alias("run"),
         F.min("anomaly_score").alias("low"),
         F.max("anomaly_score").alias("high"),
         F.avg("anomaly_score").alias("mean"),
         F.stddev_samp("anomaly_score").alias("std"),
-    ).withColumn("expected", expected)
+    ).withColumns({"expected": expected, **different})
     col = F.col
     rates = {c: F.coalesce(col(f"null_{c}") / F.nullif(col("n"), F.lit(0)), F.lit(0.0)) for c in C.SCORE_FEATURES}
     return _rows(

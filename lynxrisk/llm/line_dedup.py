@@ -3,7 +3,7 @@
 A line's tokens are the hashes of its five-word shingles; lines link at a Jaccard similarity of 4/5 or more. The words of a shorter line are one
 token, so that equal short lines are one class.
 Tokens are ordered by rarity, so that the first ones of a line (its prefix) are rare. Similar lines share a token of
-their prefixes, which is where candidates meet; length, position and a parity signature of 256 bits filter them, and
+their prefixes (several, as these are longer than one common token needs), which is where candidates meet; length, position and a parity signature of 256 bits filter them, and
 the Jaccard similarity of the whole token sets is verified. Only DataFrame and SQL functions are used.
 
 For 100 TB:
@@ -14,10 +14,10 @@ For 100 TB:
   where it matters, in the prefixes: only lines with such a token there are ordered anew. So no token is
   joined to its count but those of these lines. The order is the same for all lines; the result doesn't depend on it.
 * A large group of similar lines is not expanded into pairs. Only whether a class has *any* earlier similar class matters. So each
-  posting is first compared to the first ones and the last ones before it in its token's list, by window functions. Only classes
-  that have found nothing there are joined to all earlier ones.
-* Prefix tokens are counted by a grouping that combines; only those that two classes have go on. Token sets are fetched, and signatures made, only
-  for classes that share one with another.
+  posting of a long list is first compared to the first ones and the last ones before it in its token's list, by window functions. Only classes
+  that have found nothing there are joined to all earlier ones. Lists of up to ``NEAR + 2`` postings are joined at once.
+* Prefix tokens are counted by a grouping that combines; only those that two classes have go on, and only classes with several of these. Their token
+  sets are fetched once, signatures are made of them by a grouping, and to be verified only the sets of classes in a pair are moved.
 """
 
 from __future__ import annotations
@@ -34,8 +34,10 @@ NUMERATOR, DENOMINATOR = 4, 5
 FREQUENT = 1000
 #: Numbers of 64 bits in a signature: enough that lines of some hundred words that share a passage differ in more bits than similar ones.
 SIGNATURE = 4
-#: How many postings before each are looked at without a join.
+#: How many postings before each are looked at without a join, where a token has more than two more than that.
 NEAR = 6
+#: Similar lines share at least so many tokens of their prefixes; a class that shares fewer with all others has no similar one.
+COMMON = 3
 #: Classes of fewer tokens have no similar class but themselves: one token more or less is already too far.
 LEAST_LINKED = -(-NUMERATOR // (DENOMINATOR - NUMERATOR))
 
@@ -65,7 +67,7 @@ def _shingles(line: Column) -> Column:
 
 def token_sets(table: DataFrame) -> DataFrame:
     """Lines with ``tokens``: the hashes of their different shingles, in order."""
-    return table.withColumn("tokens", F.sort_array(F.array_distinct(_shingles(F.col("line"))))).drop("line")
+    return table.withColumn("tokens", F.array_distinct(F.sort_array(_shingles(F.col("line"))))).drop("line")
 
 
 def _key(tokens: str) -> list[Column]:
@@ -76,14 +78,22 @@ def _position(doc_id: Column, text_hash: Column, line_no: Column) -> Column:
     return F.struct(doc_id.isNull().alias("no_id"), doc_id.alias("doc_id"), text_hash.alias("text_hash"), line_no.alias("line_no"))
 
 
+def _spare(n: Column) -> Column:
+    """How many tokens of n a similar set may lack. With one more, the first tokens in order have one in common with the other's."""
+    return n - F.floor((n * NUMERATOR + DENOMINATOR - 1) / DENOMINATOR).cast("int")
+
+
+def _prefix(tokens: str) -> Column:
+    """The first tokens of an ordered set: so many that COMMON of them are in each similar set's, too."""
+    return F.slice(tokens, F.lit(1), _spare(F.size(tokens)) + COMMON)
+
+
 def line_classes(sets: DataFrame) -> DataFrame:
     """One row for each different token set: id, h1, h2, n, prefix, first (place of its first line)."""
-    n = F.size("tokens")
-    prefix = F.slice("tokens", F.lit(1), n - F.floor((n * NUMERATOR + DENOMINATOR - 1) / DENOMINATOR).cast("int") + 1)
     rows = sets.select(
         *_key("tokens"),
-        n.alias("n"),
-        prefix.alias("prefix"),
+        F.size("tokens").alias("n"),
+        _prefix("tokens").alias("prefix"),
         _position(F.col("doc_id"), F.col("text_hash"), F.col("line_no")).alias("first"),
     )
     grouped = rows.groupBy("h1", "h2").agg(
@@ -98,11 +108,12 @@ def _bit(token: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(token, 32).bitwiseAND(F.lit(63)).cast("int"))
 
 
-def _signature() -> list[Column]:
-    """Parities of the tokens' bits, s0 to s3: sets that differ in so many tokens differ in at most so many bits."""
-    word = lambda t: F.shiftrightunsigned(t, 38).bitwiseAND(F.lit(SIGNATURE - 1))
-    mine = lambda i: lambda a, t: F.when(word(t) == i, a.bitwiseXOR(_bit(t))).otherwise(a)
-    return [F.aggregate("tokens", F.lit(0).cast("long"), mine(i)).alias(f"s{i}") for i in range(SIGNATURE)]
+def _signed(token_table: DataFrame) -> DataFrame:
+    """(id, first, n, s0 to s3), the signature being parities of the tokens' bits: sets that differ in so many tokens differ in at most so many bits."""
+    word = F.shiftrightunsigned("t", 38).bitwiseAND(F.lit(SIGNATURE - 1))
+    parity = lambda i: F.bit_xor(F.when(word == i, _bit(F.col("t"))).otherwise(F.lit(0).cast("long")))
+    each = token_table.select("id", "first", F.explode("tokens").alias("t"))
+    return each.groupBy("id", "first").agg(F.count("*").cast("int").alias("n"), *[parity(i).alias(f"s{i}") for i in range(SIGNATURE)])
 
 
 def _tokens_of(classes: DataFrame, table: DataFrame) -> DataFrame:
@@ -120,36 +131,23 @@ def _postings(classes: DataFrame) -> DataFrame:
     return classes.select("id", F.posexplode("prefix").alias("at", "t"))
 
 
-def _in_two(postings: DataFrame) -> DataFrame:
-    """Postings (t, at, id, c) of tokens that at least two classes have; c is their number."""
+def _met(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Postings (t, at, id, c) of tokens that c > 1 classes have, for classes with at least COMMON of them; and those classes (met_id)."""
     counts = settle(postings.groupBy(F.col("t").alias("shared_t")).agg(F.count("*").alias("c")).filter("c > 1"))
-    return small_join(postings, counts, F.col("t") == F.col("shared_t")).select("t", "at", "id", "c")
+    shared = settle(small_join(postings, counts, F.col("t") == F.col("shared_t")).select("t", "at", "id", "c"))
+    enough = settle(shared.groupBy(F.col("id").alias("met_id")).count().filter(F.col("count") >= COMMON).select("met_id"))
+    return small_join(shared, enough, F.col("id") == F.col("met_id"), "left_semi"), enough
 
 
-def frequent_last(classes: DataFrame, table: DataFrame, shared: DataFrame) -> DataFrame:
-    """(id, prefix) of the classes whose prefix changes when frequent tokens stand last, by their counts."""
-    frequent = shared.filter(F.col("c") > FREQUENT)
-    tokens = _tokens_of(classes.join(frequent.select("id").distinct(), "id", "left_semi"), table)
+def frequent_last(token_table: DataFrame, frequent: DataFrame) -> DataFrame:
+    """(id, prefix) of all classes of the token table, where frequent tokens stand last, by their counts."""
     counts = settle(frequent.select(F.col("t").alias("f"), "c").distinct())
-    ranked = small_join(tokens.select("id", F.explode("tokens").alias("t")), counts, F.col("t") == F.col("f"), "left")
+    having = settle(frequent.select(F.col("id").alias("having_id")).distinct())
+    sets = small_join(token_table, having, F.col("id") == F.col("having_id"), "left")
+    ranked = small_join(sets.filter("having_id IS NOT NULL").select("id", F.explode("tokens").alias("t")), counts, F.col("t") == F.col("f"), "left")
     ordered = ranked.groupBy("id").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("c", F.lit(0)).alias("c"), "t"))).alias("all"))
-    length = F.size("all") - F.floor((F.size("all") * NUMERATOR + DENOMINATOR - 1) / DENOMINATOR).cast("int") + 1
-    return ordered.select("id", F.transform(F.slice("all", F.lit(1), length), lambda x: x["t"]).alias("prefix"))
-
-
-def _shared(classes: DataFrame, table: DataFrame) -> DataFrame:
-    """Postings (t, at, id) of prefix tokens that at least two classes have, frequent tokens last."""
-    postings = _postings(classes.filter(F.col("n") >= LEAST_LINKED))
-    shared = settle(_in_two(postings))
-    if not shared.filter(F.col("c") > FREQUENT).isEmpty():
-        moved = settle(frequent_last(classes, table, shared))
-        new = _postings(moved)
-        # old postings that stand: shared ones, and those that only now share a token
-        tokens = settle(new.select(F.col("t").alias("new_t")).distinct())
-        met = small_join(postings, tokens, F.col("t") == F.col("new_t"), "left_semi").select("t", "at", "id")
-        old = met.union(shared.select("t", "at", "id")).join(moved.select("id"), "id", "left_anti").select("t", "at", "id")
-        shared = settle(_in_two(settle(old.union(new.select("t", "at", "id")).distinct())))
-    return shared.drop("c")
+    moved = ordered.select("id", F.transform(_prefix("all"), lambda x: x["t"]).alias("prefix"))
+    return settle(moved.union(sets.filter("having_id IS NULL").select("id", _prefix("tokens").alias("prefix"))))
 
 
 def _may_link(x: str, y: str) -> Column:
@@ -164,36 +162,51 @@ def _may_link(x: str, y: str) -> Column:
 
 
 def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those pairs (x, y) whose Jaccard similarity is high enough."""
-    both = pairs.join(sets.select(F.col("id").alias("x"), F.col("tokens").alias("xt")), "x").join(
-        sets.select(F.col("id").alias("y"), F.col("tokens").alias("yt")), "y"
+    """Those pairs (x, y) whose Jaccard similarity is high enough. Only the token sets of the pairs' classes are moved."""
+    ids = settle(pairs.select(F.explode(F.array("x", "y")).alias("in_pair")).distinct())
+    few = small_join(sets.select("id", "tokens"), ids, F.col("id") == F.col("in_pair"), "left_semi")
+    both = pairs.join(few.select(F.col("id").alias("x"), F.col("tokens").alias("xt")), "x").join(
+        few.select(F.col("id").alias("y"), F.col("tokens").alias("yt")), "y"
     )
     common = F.size(F.array_intersect("xt", "yt"))
     union = F.size("xt") + F.size("yt") - common
     return both.filter(common * DENOMINATOR >= union * NUMERATOR).select("x", "y")
 
 
-def classes_with_earlier(classes: DataFrame, table: DataFrame) -> DataFrame:
-    """(id) of classes that have an earlier similar class; ``table`` has the lines."""
-    places = _shared(classes, table)
-    token_table = _tokens_of(classes.join(places.select("id").distinct(), "id", "left_semi"), table)
-    signed = token_table.select("id", "first", F.size("tokens").alias("n"), *_signature())
-    shared = settle(places.join(signed, "id"))
+def _earlier(postings: DataFrame, others: DataFrame) -> DataFrame:
+    """Pairs (x, y) of a class and an earlier one of the others that may be similar, by a join on the token."""
+    earlier = F.expr("x.t = y.t AND (y.first < x.first OR (y.first = x.first AND y.id < x.id))")
+    return postings.alias("x").join(others.alias("y"), earlier & _may_link("x", "y")).select(F.col("x.id").alias("x"), F.col("y.id").alias("y"))
+
 
+def _nearest(postings: DataFrame) -> DataFrame:
+    """For each posting the likeliest pair (x, y) with the first or one of the last before it in its token's list."""
     posting = F.struct("id", "n", "at", *[f"s{i}" for i in range(SIGNATURE)]).alias("p")
-    listed = shared.select("t", "first", posting)
+    listed = postings.select("t", "first", posting)
     order = Window.partitionBy("t").orderBy("first", "p.id")
     before = F.array_compact(F.array(F.first("p").over(order.rowsBetween(Window.unboundedPreceding, -1)), *[F.lag("p", k).over(order) for k in range(1, NEAR + 1)]))
     near = listed.select("p", before.alias("before")).filter(F.size("before") > 0)
     fits = F.filter("before", lambda y: _linkable("p", y))
     apart = lambda y: F.struct(_bits_apart("p", y).alias("d"), y["id"].alias("id"))
     best = near.select(F.col("p.id").alias("x"), F.array_min(F.transform(fits, apart)).alias("b")).filter("b IS NOT NULL")
-    tried = settle(best.select("x", F.col("b.id").alias("y")).distinct())
+    return best.select("x", F.col("b.id").alias("y"))
+
+
+def classes_with_earlier(classes: DataFrame, table: DataFrame) -> DataFrame:
+    """(id) of classes that have an earlier similar class; ``table`` has the lines."""
+    places, met = _met(_postings(classes.filter(F.col("n") >= LEAST_LINKED)))
+    token_table = _tokens_of(small_join(classes, met, F.col("id") == F.col("met_id"), "left_semi"), table)
+    frequent = settle(places.filter(F.col("c") > FREQUENT))
+    if not frequent.isEmpty():
+        places, met = _met(_postings(frequent_last(token_table, frequent)))
+    signed = _signed(small_join(token_table, met, F.col("id") == F.col("met_id"), "left_semi"))
+    shared = settle(places.join(signed, "id").filter(F.col("at") <= _spare(F.col("n"))))
+
+    short, long = shared.filter(F.col("c") <= NEAR + 2), shared.filter(F.col("c") > NEAR + 2)
+    tried = settle(_earlier(short, short).union(_nearest(long)).distinct())
     found = settle(_similar(tried, token_table).select(F.col("x").alias("id")).distinct())
 
-    left = shared.join(found, "id", "left_anti").alias("x")
-    earlier = F.expr("x.t = y.t AND (y.first < x.first OR (y.first = x.first AND y.id < x.id))")
-    rest = left.join(shared.alias("y"), earlier & _may_link("x", "y")).select(F.col("x.id").alias("x"), F.col("y.id").alias("y")).distinct()
+    rest = settle(_earlier(long.join(found, "id", "left_anti"), long).distinct())
     more = _similar(rest, token_table).select(F.col("x").alias("id")).distinct()
     return settle(found.union(more))
 
@@ -234,7 +247,7 @@ def dedup_lines(docs: DataFrame, least_words: int = SHINGLE) -> DataFrame:
     numbered = F.transform(F.split(F.col("row.text").cast("string"), "\n", -1), lambda line, i: F.struct(line.alias("line"), i.alias("i")))
     stays = F.filter(
         numbered,
-        lambda s: ~s["line"].rlike(_long_enough(least_words)) | F.coalesce(F.array_contains("kept", s["i"]), F.lit(False)),
+        lambda s: F.coalesce(F.array_contains("kept", s["i"]), F.lit(False)) | ~s["line"].rlike(_long_enough(least_words)),
     )
     cut = joined.select("row", numbered.alias("all_lines"), stays.alias("stay"))
     text = F.array_join(F.transform("stay", lambda s: s["line"]), "\n")

@@ -43,4 +43,4 @@ def components(links: DataFrame) -> DataFrame:
             return now.select(F.col("src").alias("node"), F.col("dst").alias("root")).union(now.select(F.col("dst").alias("node"), F.col("dst").alias("root")).distinct())
         before = state
         large = _large_star(now).filter("src <> dst").distinct()
-        now = settle(_small_star(large).filter("src <> dst").distinct())
+        now = settle(_small_star(large).filter("src <> dst").distinct(), rows=2 * state[0])

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lynxrisk.llm.common import groups_of, settle, small_join, uniform
+from lynxrisk.llm.common import bound_batches, groups_of, settle, small_join, uniform
 
 BUCKETS = 1 << 16
 GRAMS = (2, 3, 4)
@@ -193,6 +193,7 @@ def identify(docs: DataFrame, model: Model | None = None, least: float = LEAST)
     ``model`` one is trained on ``docs`` (columns doc_id, text, lang), less its held-out documents. Input columns named like the
     new ones are replaced.
     """
+    bound_batches(docs.sparkSession)
     model = model or fit(docs)
 
     @F.arrow_udf("lang_pred string, score double")

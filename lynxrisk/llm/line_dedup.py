@@ -131,23 +131,23 @@ def _postings(classes: DataFrame) -> DataFrame:
     return classes.select("id", F.posexplode("prefix").alias("at", "t"))
 
 
-def _met(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Postings (t, at, id, c) of tokens that c > 1 classes have, for classes with at least COMMON of them; and those classes (met_id)."""
-    counts = settle(postings.groupBy(F.col("t").alias("shared_t")).agg(F.count("*").alias("c")).filter("c > 1"))
+def _met(postings: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
+    """Postings (t, at, id, c) of tokens that c > 1 of n classes have, for classes with at least COMMON of them; and those classes (met_id)."""
+    counts = settle(postings.groupBy(F.col("t").alias("shared_t")).agg(F.count("*").alias("c")).filter("c > 1"), rows=n)
     shared = settle(small_join(postings, counts, F.col("t") == F.col("shared_t")).select("t", "at", "id", "c"))
-    enough = settle(shared.groupBy(F.col("id").alias("met_id")).count().filter(F.col("count") >= COMMON).select("met_id"))
+    enough = settle(shared.groupBy(F.col("id").alias("met_id")).count().filter(F.col("count") >= COMMON).select("met_id"), rows=n)
     return small_join(shared, enough, F.col("id") == F.col("met_id"), "left_semi"), enough
 
 
-def frequent_last(token_table: DataFrame, frequent: DataFrame) -> DataFrame:
-    """(id, prefix) of all classes of the token table, where frequent tokens stand last, by their counts."""
-    counts = settle(frequent.select(F.col("t").alias("f"), "c").distinct())
-    having = settle(frequent.select(F.col("id").alias("having_id")).distinct())
+def frequent_last(token_table: DataFrame, frequent: DataFrame, n: int | None = None) -> DataFrame:
+    """(id, prefix) of all classes of the token table (n at most), where frequent tokens stand last, by their counts."""
+    counts = settle(frequent.select(F.col("t").alias("f"), "c").distinct(), rows=n)
+    having = settle(frequent.select(F.col("id").alias("having_id")).distinct(), rows=n)
     sets = small_join(token_table, having, F.col("id") == F.col("having_id"), "left")
     ranked = small_join(sets.filter("having_id IS NOT NULL").select("id", F.explode("tokens").alias("t")), counts, F.col("t") == F.col("f"), "left")
     ordered = ranked.groupBy("id").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("c", F.lit(0)).alias("c"), "t"))).alias("all"))
     moved = ordered.select("id", F.transform(_prefix("all"), lambda x: x["t"]).alias("prefix"))
-    return settle(moved.union(sets.filter("having_id IS NULL").select("id", _prefix("tokens").alias("prefix"))))
+    return settle(moved.union(sets.filter("having_id IS NULL").select("id", _prefix("tokens").alias("prefix"))), rows=n)
 
 
 def _may_link(x: str, y: str) -> Column:
@@ -161,9 +161,9 @@ def _may_link(x: str, y: str) -> Column:
     )
 
 
-def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those pairs (x, y) whose Jaccard similarity is high enough. Only the token sets of the pairs' classes are moved."""
-    ids = settle(pairs.select(F.explode(F.array("x", "y")).alias("in_pair")).distinct())
+def _similar(pairs: DataFrame, sets: DataFrame, n: int) -> DataFrame:
+    """Those pairs (x, y) of n classes whose Jaccard similarity is high enough. Only the token sets of the pairs' classes are moved."""
+    ids = settle(pairs.select(F.explode(F.array("x", "y")).alias("in_pair")).distinct(), rows=n)
     few = small_join(sets.select("id", "tokens"), ids, F.col("id") == F.col("in_pair"), "left_semi")
     both = pairs.join(few.select(F.col("id").alias("x"), F.col("tokens").alias("xt")), "x").join(
         few.select(F.col("id").alias("y"), F.col("tokens").alias("yt")), "y"
@@ -194,21 +194,22 @@ def _nearest(postings: DataFrame) -> DataFrame:
 
 def classes_with_earlier(classes: DataFrame, table: DataFrame) -> DataFrame:
     """(id) of classes that have an earlier similar class; ``table`` has the lines."""
-    places, met = _met(_postings(classes.filter(F.col("n") >= LEAST_LINKED)))
+    n = classes.count()  # as many rows as a table of classes has at most
+    places, met = _met(_postings(classes.filter(F.col("n") >= LEAST_LINKED)), n)
     token_table = _tokens_of(small_join(classes, met, F.col("id") == F.col("met_id"), "left_semi"), table)
     frequent = settle(places.filter(F.col("c") > FREQUENT))
     if not frequent.isEmpty():
-        places, met = _met(_postings(frequent_last(token_table, frequent)))
+        places, met = _met(_postings(frequent_last(token_table, frequent, n)), n)
     signed = _signed(small_join(token_table, met, F.col("id") == F.col("met_id"), "left_semi"))
-    shared = settle(places.join(signed, "id").filter(F.col("at") <= _spare(F.col("n"))))
+    shared = settle(places.join(signed, "id").filter(F.col("at") <= _spare(F.col("n"))), rows=n)
 
     short, long = shared.filter(F.col("c") <= NEAR + 2), shared.filter(F.col("c") > NEAR + 2)
     tried = settle(_earlier(short, short).union(_nearest(long)).distinct())
-    found = settle(_similar(tried, token_table).select(F.col("x").alias("id")).distinct())
+    found = settle(_similar(tried, token_table, n).select(F.col("x").alias("id")).distinct(), rows=n)
 
     rest = settle(_earlier(long.join(found, "id", "left_anti"), long).distinct())
-    more = _similar(rest, token_table).select(F.col("x").alias("id")).distinct()
-    return settle(found.union(more))
+    more = _similar(rest, token_table, n).select(F.col("x").alias("id")).distinct()
+    return settle(found.union(more), rows=n)
 
 
 def _linkable(x: str, y: Column) -> Column:
@@ -239,7 +240,7 @@ def dedup_lines(docs: DataFrame, least_words: int = SHINGLE) -> DataFrame:
     classes = line_classes(token_sets(table))
     removed = classes_with_earlier(classes, table)
     kept = classes.join(removed, "id", "left_anti").select("first.*")
-    by_doc = settle(kept.groupBy("doc_id", "text_hash").agg(F.collect_set("line_no").alias("kept")).select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"), "kept"))
+    by_doc = settle(kept.groupBy("doc_id", "text_hash").agg(F.collect_set("line_no").alias("kept")).select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"), "kept"), rows=classes.count())
 
     rows = docs.select(F.struct("*").alias("row"))
     same = F.col("row.doc_id").eqNullSafe(F.col("kept_id")) & (F.xxhash64("row.text") == F.col("kept_hash"))

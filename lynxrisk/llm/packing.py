@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from lynxrisk.llm.common import groups_of
+from lynxrisk.llm.common import bound_batches, groups_of
 
 # Fixed value: how a byte-level BPE of this kind parts a text before merging (a rank file doesn't say).
 PARTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -124,6 +124,7 @@ def pack(
     by task, and have no gaps from offset 0. Repeated rows and a null doc_id are packed like any other; other columns are not read.
     The vocabulary file (see ``encoder``, also for ``added``) is read on the executors.
     """
+    bound_batches(docs.sparkSession)
     schema = T.StructType(
         [
             T.StructField("doc_id", docs.schema["doc_id"].dataType),

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lynxrisk.llm.common import groups_of, partitions, settle, small_join
+from lynxrisk.llm.common import bound_batches, groups_of, partitions, settle, small_join
 from lynxrisk.llm.components import components
 
 BITS, SEGMENTS, LINKED = 64, 6, 3
@@ -212,7 +212,7 @@ def fingerprint_links(fingerprints: DataFrame, bucket_rows: int = 2048) -> DataF
 
 def component_names(own: DataFrame, bucket_rows: int = 2048) -> DataFrame:
     """(fp, root, component_id) for each different fingerprint of a written table (doc_id, fp); a root stands for a component."""
-    classes = settle(own.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    classes = settle(own.groupBy("fp").agg(F.min("doc_id").alias("first")), rows=own.count())
     roots = components(fingerprint_links(classes, bucket_rows))  # only fingerprints that have a link
     rooted = classes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
@@ -227,6 +227,7 @@ def near_duplicates(docs: DataFrame, bucket_rows: int = 2048) -> DataFrame:
     like any other. A null doc_id is kept, and is never the smallest unless a component has no other.
     Repeated rows come back as often as they are there. Other columns of the input are not read.
     """
+    bound_batches(docs.sparkSession)
     own = settle(docs.select("doc_id", fingerprint(F.col("text")).alias("fp")))
     return own.join(component_names(own, bucket_rows), "fp").select(
         "doc_id",
@@ -242,10 +243,11 @@ def one_of_each(docs: DataFrame, bucket_rows: int = 2048) -> DataFrame:
     equal in both any one. Which rows stay is found on ids and hashes alone; texts are not shuffled while the list of kept rows is
     small enough to be sent to them.
     """
+    bound_batches(docs.sparkSession)
     own = settle(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), fingerprint(F.col("text")).alias("fp")))
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"))
     named = own.join(component_names(own.select("doc_id", "fp"), bucket_rows), "fp")
-    kept = settle(named.groupBy("root").agg(F.min(order).alias("least")).select("least.kept_id", "least.kept_hash"))
+    kept = settle(named.groupBy("root").agg(F.min(order).alias("least")).select("least.kept_id", "least.kept_hash"), rows=own.count())
     here = F.col("row.doc_id").eqNullSafe(F.col("kept_id")) & (F.xxhash64("row.text") == F.col("kept_hash"))
     rows = small_join(docs.select(F.struct("*").alias("row")), kept, here, "left_semi")
     same = own.doc_id.eqNullSafe(kept.kept_id) & (own.text_hash == kept.kept_hash)

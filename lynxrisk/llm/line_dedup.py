@@ -161,9 +161,9 @@ def _may_link(x: str, y: str) -> Column:
     )
 
 
-def _similar(pairs: DataFrame, sets: DataFrame, n: int) -> DataFrame:
-    """Those pairs (x, y) of n classes whose Jaccard similarity is high enough. Only the token sets of the pairs' classes are moved."""
-    ids = settle(pairs.select(F.explode(F.array("x", "y")).alias("in_pair")).distinct(), rows=n)
+def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those pairs (x, y) whose Jaccard similarity is high enough. Only the token sets of the pairs' classes are moved."""
+    ids = settle(pairs.select(F.explode(F.array("x", "y")).alias("in_pair")).distinct(), rows=sets.count())
     few = small_join(sets.select("id", "tokens"), ids, F.col("id") == F.col("in_pair"), "left_semi")
     both = pairs.join(few.select(F.col("id").alias("x"), F.col("tokens").alias("xt")), "x").join(
         few.select(F.col("id").alias("y"), F.col("tokens").alias("yt")), "y"
@@ -205,10 +205,10 @@ def classes_with_earlier(classes: DataFrame, table: DataFrame) -> DataFrame:
 
     short, long = shared.filter(F.col("c") <= NEAR + 2), shared.filter(F.col("c") > NEAR + 2)
     tried = settle(_earlier(short, short).union(_nearest(long)).distinct())
-    found = settle(_similar(tried, token_table, n).select(F.col("x").alias("id")).distinct(), rows=n)
+    found = settle(_similar(tried, token_table).select(F.col("x").alias("id")).distinct(), rows=n)
 
     rest = settle(_earlier(long.join(found, "id", "left_anti"), long).distinct())
-    more = _similar(rest, token_table, n).select(F.col("x").alias("id")).distinct()
+    more = _similar(rest, token_table).select(F.col("x").alias("id")).distinct()
     return settle(found.union(more), rows=n)
 
 

@@ -192,9 +192,9 @@ def _nearest(postings: DataFrame) -> DataFrame:
     return best.select("x", F.col("b.id").alias("y"))
 
 
-def classes_with_earlier(classes: DataFrame, table: DataFrame) -> DataFrame:
-    """(id) of classes that have an earlier similar class; ``table`` has the lines."""
-    n = classes.count()  # as many rows as a table of classes has at most
+def classes_with_earlier(classes: DataFrame, table: DataFrame, n: int | None = None) -> DataFrame:
+    """(id) of classes (n, counted here if not given) that have an earlier similar class; ``table`` has the lines."""
+    n = classes.count() if n is None else n  # as many rows as a table of classes has at most
     places, met = _met(_postings(classes.filter(F.col("n") >= LEAST_LINKED)), n)
     token_table = _tokens_of(small_join(classes, met, F.col("id") == F.col("met_id"), "left_semi"), table)
     frequent = settle(places.filter(F.col("c") > FREQUENT))
@@ -238,9 +238,10 @@ def dedup_lines(docs: DataFrame, least_words: int = SHINGLE) -> DataFrame:
     """
     table = lines(docs, least_words)
     classes = line_classes(token_sets(table))
-    removed = classes_with_earlier(classes, table)
+    n = classes.count()
+    removed = classes_with_earlier(classes, table, n)
     kept = classes.join(removed, "id", "left_anti").select("first.*")
-    by_doc = settle(kept.groupBy("doc_id", "text_hash").agg(F.collect_set("line_no").alias("kept")).select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"), "kept"), rows=classes.count())
+    by_doc = settle(kept.groupBy("doc_id", "text_hash").agg(F.collect_set("line_no").alias("kept")).select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"), "kept"), rows=n)
 
     rows = docs.select(F.struct("*").alias("row"))
     same = F.col("row.doc_id").eqNullSafe(F.col("kept_id")) & (F.xxhash64("row.text") == F.col("kept_hash"))
